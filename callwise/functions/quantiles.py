@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from callwise.functions.scalars import nan_to_null
+from callwise.sources.staging import local_rows
 
 MAP_ROWS = 1_000_000
 SKETCH_ACCURACY = 2_000
@@ -35,9 +36,9 @@ def quantiles(
     ``by`` names columns with few groups (a split or a version), at most 1,000 of them.
     """
     df = nan_to_null(df, cols)
-    heads = _sketch(df, cols, probs, by, map_rows)
-    if max((r[f"n_{i}"] for r in heads for i in range(len(cols))), default=0) <= map_rows:
+    if df.count() <= map_rows:  # for a parquet table a look at the file footers
         return _from_map(df, cols, probs, by)
+    heads = _sketch(df, cols, probs, by)
     targets = []
     for r in heads:
         for i, c in enumerate(cols):
@@ -72,7 +73,7 @@ def values_at_ranks(df: DataFrame, col: str, by: str, ranks: dict[Any, Sequence[
     return {(r["grp"], int(r["prob"])): r["value"] for r in out}
 
 
-def _sketch(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str], map_rows: int) -> list:
+def _sketch(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> list:
     near = [q for p in probs for q in (max(0.0, p - BRACKET_SLACK), min(1.0, p + BRACKET_SLACK))]
     aggs = []
     for i, c in enumerate(cols):
@@ -124,7 +125,7 @@ def _select(df: DataFrame, cols: Sequence[str], by: Sequence[str], targets: list
             StructField("slot", IntegerType()),
         ]
     )
-    plan = spark.createDataFrame([(*t, k) for k, t in enumerate(targets)], schema)  # groups x columns x quantiles
+    plan = local_rows(spark, [(*t, k) for k, t in enumerate(targets)], schema)  # groups x columns x quantiles
     bracket = F.broadcast(plan.select(*[F.col(b).alias(f"_{b}") for b in by], F.col("feature").alias("_f"), "slot", "lo", "hi"))
     entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
     tall = df.select(*by, F.inline(entries)).filter(F.col("value").isNotNull())

@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callwise.functions.keyed import hash_bucket, hash_key
-from callwise.sources.staging import stage
+from callwise.sources.staging import local_rows, stage
 
 MAX_CLASSES = 10_000
 PLAIN_WINDOW_ROWS = 100_000
@@ -50,7 +50,7 @@ def keys_at_hash_ranks(
         .withColumn("upto", F.sum("n").over(per_class.rowsBetween(Window.unboundedPreceding, 0)))
     )
     cls_type = df.schema[label].dataType.simpleString()
-    targets = spark.createDataFrame(wanted, f"cls {cls_type}, rank bigint")  # classes x cuts rows
+    targets = local_rows(spark, wanted, f"cls {cls_type}, rank bigint")  # classes x cuts rows
     hits = counts.join(
         F.broadcast(targets.withColumnRenamed("cls", "t_cls")),
         F.col("cls").eqNullSafe(F.col("t_cls")) & (F.col("rank") > F.col("upto") - F.col("n")) & (F.col("rank") <= F.col("upto")),

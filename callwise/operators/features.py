@@ -39,37 +39,54 @@ class _Fitted(_Cols):
         return json.loads(self.getOrDefault(self.fitted))
 
 
-def _bounds(df: DataFrame, cols: Sequence[str], factor: float) -> dict[str, tuple[float, float]]:
-    """Lower and upper clamp per column; a column without any value has none."""
-    found: dict[str, dict[float, float]] = {}
-    for r in quantiles(df, cols, [0.25, 0.75]).collect():  # two numbers per column
+Fences = dict[str, tuple[float, float]]
+
+
+def _fences(df: DataFrame, cols: Sequence[str], factor: float, group: str | None = None) -> dict[object, Fences]:
+    """Lower and upper clamp per column, for the whole table (key None) or per group. A column without any value has
+    none. Two numbers per group and column reach the driver."""
+    found: dict[object, dict[str, dict[float, float]]] = {None: {}} if group is None else {}
+    for r in quantiles(df, cols, [0.25, 0.75], [group] if group else []).collect():
         if r["value"] is not None:
-            found.setdefault(r["feature"], {})[r["prob"]] = r["value"]
-    out = {}
-    for c, q in found.items():
-        spread = q[0.75] - q[0.25]
-        out[c] = (q[0.25] - factor * spread, q[0.75] + factor * spread)
-    return out
+            found.setdefault(r[group] if group else None, {}).setdefault(r["feature"], {})[r["prob"]] = r["value"]
+    return {
+        g: {c: (q[0.25] - factor * (q[0.75] - q[0.25]), q[0.75] + factor * (q[0.75] - q[0.25])) for c, q in per.items()}
+        for g, per in found.items()
+    }
 
 
-def _apply_clamp(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
-    df = nan_to_null(df, list(bounds))
-    return df.withColumns({c: clamp(F.col(c).cast("double"), F.lit(lo), F.lit(hi)) for c, (lo, hi) in bounds.items()})
+def _apply_clamp(df: DataFrame, fences: dict[object, Fences], group: str | None = None) -> DataFrame:
+    cols = sorted({c for per in fences.values() for c in per})
+    df = nan_to_null(df, cols)
+    out = {}
+    for c in cols:
+        x = F.col(c).cast("double")
+        new = x
+        for g, per in fences.items():
+            if c in per:
+                mine = clamp(x, F.lit(per[c][0]), F.lit(per[c][1]))
+                new = mine if group is None else F.when(F.col(group).eqNullSafe(F.lit(g)), mine).otherwise(new)
+        out[c] = new
+    return df.withColumns(out) if out else df
 
 
 class BatchWinsorizer(Transformer, _Cols, DefaultParamsReadable, DefaultParamsWritable):
-    """Clamp to the quartile fences of the very batch that is transformed."""
+    """Clamp to the quartile fences of the very batch that is transformed, or of each batch in a table that holds
+    several, told apart by the column ``group``."""
 
     factor = Param(Params._dummy(), "factor", "fence width in interquartile ranges", TypeConverters.toFloat)
+    group = Param(Params._dummy(), "group", "column that tells batches apart, if the table has it", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, cols: Sequence[str] | None = None, factor: float = 1.5):
+    def __init__(self, *, cols: Sequence[str] | None = None, factor: float = 1.5, group: str | None = None):
         super().__init__()
         self._setDefault(factor=1.5)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return _apply_clamp(dataset, _bounds(dataset, self.get_cols(), self.getOrDefault(self.factor)))
+        group = self.getOrDefault(self.group) if self.isSet(self.group) else None
+        group = group if group in dataset.columns else None
+        return _apply_clamp(dataset, _fences(dataset, self.get_cols(), self.getOrDefault(self.factor), group), group)
 
 
 class FittedWinsorizer(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable):
@@ -84,21 +101,24 @@ class FittedWinsorizer(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWri
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> WinsorizerModel:
-        bounds = _bounds(dataset, self.get_cols(), self.getOrDefault(self.factor))
-        return WinsorizerModel()._set(cols=self.get_cols(), fitted=json.dumps(bounds))
+        fences = _fences(dataset, self.get_cols(), self.getOrDefault(self.factor))[None]
+        return WinsorizerModel()._set(cols=self.get_cols(), fitted=json.dumps(fences))
 
 
 class WinsorizerModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return _apply_clamp(dataset, {c: tuple(b) for c, b in self.values().items()})
+        return _apply_clamp(dataset, {None: {c: tuple(b) for c, b in self.values().items()}})
 
 
-def iqr_winsorizer(cols: Sequence[str], factor: float = 1.5, bounds: str = "batch") -> Transformer | Estimator:
+def iqr_winsorizer(
+    cols: Sequence[str], factor: float = 1.5, bounds: str = "batch", group: str | None = None
+) -> Transformer | Estimator:
     """``bounds="batch"`` takes the fences from each batch it is applied to, ``"fitted"`` freezes them at fit."""
     if bounds not in ("batch", "fitted"):
         raise ValueError(bounds)
-    kind = BatchWinsorizer if bounds == "batch" else FittedWinsorizer
-    return kind(cols=list(cols), factor=factor)
+    if bounds == "batch":
+        return BatchWinsorizer(cols=list(cols), factor=factor, group=group)
+    return FittedWinsorizer(cols=list(cols), factor=factor)
 
 
 class MedianImputer(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable):
@@ -169,19 +189,20 @@ class LabelEncoder(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritabl
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> LabelEncoderModel:
-        counts = value_counts(dataset, self.get_cols())
-        sizes = counts.groupBy("feature").agg(F.count("*").alias("k"))
-        limited = counts.join(sizes.filter(F.col("k") <= MAX_CATEGORIES), "feature")
-        rows = limited.select("feature", "num", "value").collect()  # at most MAX_CATEGORIES values per column
-        fitted: dict[str, list[str]] = {c: [] for c in self.get_cols()}
-        for r in sorted(rows, key=lambda r: (r["feature"], r["num"] is not None, r["num"] or 0.0, r["value"])):
-            fitted[r["feature"]].append(r["value"])
-        empty = [c for c, vs in fitted.items() if not vs]
-        if empty:
-            raise ValueError(f"no values, or more than {MAX_CATEGORIES}, in {empty}; use label_dictionary and encode_with")
-        return LabelEncoderModel()._set(
-            cols=self.get_cols(), fitted=json.dumps(fitted), unseen=self.getOrDefault(self.unseen)
-        )
+        values = {c: [v for _, v, _ in rows] for c, rows in _category_counts(dataset, self.get_cols()).items()}
+        return LabelEncoderModel()._set(cols=self.get_cols(), fitted=json.dumps(values), unseen=self.getOrDefault(self.unseen))
+
+
+def _category_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, list[tuple]]:
+    """``(num, value, n)`` of each category in the order of its own type, bounded by MAX_CATEGORIES per column."""
+    rows = value_counts(df, cols).limit(len(cols) * MAX_CATEGORIES + 1).collect()
+    found: dict[str, list[tuple]] = {c: [] for c in cols}
+    for r in sorted(rows, key=lambda r: (r["feature"], r["num"] is not None, r["num"] or 0.0, r["value"])):
+        found[r["feature"]].append((r["num"], r["value"], r["n"]))
+    wrong = [c for c, values in found.items() if not 0 < len(values) <= MAX_CATEGORIES]
+    if wrong:
+        raise ValueError(f"no values, or more than {MAX_CATEGORIES}, in {wrong}; use label_dictionary and encode_with")
+    return found
 
 
 class LabelEncoderModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWritable):
@@ -275,19 +296,19 @@ def feature_pipeline(
     factor: float = 1.5,
     bounds: str = "batch",
     unseen: str = "error",
+    group: str | None = None,
 ) -> Pipeline:
     """Numeric columns: clamp, then median. Categorical columns: most frequent value, then code.
 
-    Clamping never moves a median (the median lies between the quartiles and the fences lie outside them), so the
-    imputer runs before the clamp in the plan order of the fit and reads the raw columns: the fit needs no second
-    pass over clamped data.
+    Clamping never moves a median (it lies between the quartiles, the fences lie outside them), so the medians are
+    fitted on the raw columns and the fit needs no second pass over clamped data. ``group`` names a column that tells
+    apart several batches in one table; each is then clamped by its own quartiles in the same pass.
     """
     numeric, categorical = list(numeric), list(categorical)
     return Pipeline(
         stages=[
-            _ClampThenImpute(cols=numeric, factor=factor, bounds=bounds),
-            ModeImputer(cols=categorical),
-            LabelEncoder(cols=categorical, unseen=unseen),
+            _ClampThenImpute(cols=numeric, factor=factor, bounds=bounds, group=group),
+            _ImputeThenEncode(cols=categorical, unseen=unseen),
             FeatureTable(key=key, cols=numeric + categorical, keep=list(keep)),
         ]
     )
@@ -295,10 +316,11 @@ def feature_pipeline(
 
 class _ClampThenImpute(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable):
     factor = Param(Params._dummy(), "factor", "fence width in interquartile ranges", TypeConverters.toFloat)
+    group = Param(Params._dummy(), "group", "column that tells batches apart", TypeConverters.toString)
     bounds = Param(Params._dummy(), "bounds", "batch or fitted", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, cols: Sequence[str] | None = None, factor: float = 1.5, bounds: str = "batch"):
+    def __init__(self, *, cols: Sequence[str] | None = None, factor: float = 1.5, bounds: str = "batch", group: str | None = None):
         super().__init__()
         self._setDefault(factor=1.5, bounds="batch")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
@@ -306,12 +328,36 @@ class _ClampThenImpute(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWri
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         cols, factor = self.get_cols(), self.getOrDefault(self.factor)
         imputer = MedianImputer(cols=cols).fit(dataset)
-        clamp_step = iqr_winsorizer(cols, factor, self.getOrDefault(self.bounds))
+        group = self.getOrDefault(self.group) if self.isSet(self.group) else None
+        clamp_step = iqr_winsorizer(cols, factor, self.getOrDefault(self.bounds), group)
         if isinstance(clamp_step, Estimator):
             clamp_step = clamp_step.fit(dataset)
         return PipelineModel(stages=[clamp_step, imputer])
 
 
+class _ImputeThenEncode(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable):
+    """Modes and codes from one count of the categories: a mode is itself a category, so imputing adds none."""
+
+    unseen = Param(Params._dummy(), "unseen", "error or code", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, cols: Sequence[str] | None = None, unseen: str = "error"):
+        super().__init__()
+        self._setDefault(unseen="error")
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        cols = self.get_cols()
+        counts = _category_counts(dataset, cols)
+        # the first of the most frequent values, as the rows are in ascending order
+        best = {c: max(rows, key=lambda r: r[2]) for c, rows in counts.items()}
+        modes_ = {c: value if num is None else num for c, (num, value, _) in best.items()}
+        codes = {c: [v for _, v, _ in rows] for c, rows in counts.items()}
+        imputer = ImputerModel()._set(cols=cols, fitted=json.dumps(modes_))
+        encoder = LabelEncoderModel()._set(cols=cols, fitted=json.dumps(codes), unseen=self.getOrDefault(self.unseen))
+        return PipelineModel(stages=[imputer, encoder])
+
+
 def fit_pipeline(pipeline: Pipeline, *parts: DataFrame) -> PipelineModel:
     """Fit on the union of the given splits. The default flow fits on training and evaluation rows together."""
     rows = parts[0]

@@ -114,8 +114,9 @@ def _search(queries: DataFrame, cells: DataFrame, k: int, own: bool) -> DataFram
     sizes = queries.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(VISIT_ROWS)).cast("int").alias("chunks"))
     sizes = F.broadcast(sizes)  # one row per cell, at most MAX_PIVOTS
     left = queries.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("p"), F.col("chunks")).cast("int")).drop("chunks")
+    # fresh names for the columns: both sides may come from the same table
     right = cells.join(sizes, "cell").select(
-        "cell", "x", "ids", "p", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+        *[F.col(c).alias(c) for c in ("cell", "x", "ids", "p")], F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
     )
 
     def look(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from callwise.operators.stats import features_of, stats_common, value_counts
-from callwise.functions.scalars import is_integral
+from callwise.operators.stats import features_of, profile, value_counts
 
 CONSTRAINTS = (
     "feature string, type string, min_fraction double, min_count bigint, shape_dim int, domain array<string>, "
@@ -23,31 +22,23 @@ def infer_schema(df: DataFrame, exclude: Sequence[str] = (), domain_limit: int =
     cols = features_of(df, exclude)
     types = dict(df.dtypes)
     text = [c for c in cols if types[c] == "string"]
-    whole = [c for c in cols if is_integral(types[c])]
-    out = stats_common(df, cols).select(
+    unit = (F.col("type") == "INT") & (F.col("lo") >= 0) & (F.col("hi") <= 1)
+    out = profile(df, cols).select(
         "feature",
         "type",
         F.when(F.col("num_missing") == 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("min_fraction"),
         F.lit(1).cast("bigint").alias("min_count"),
         F.when(F.col("max_num_values") == F.col("min_num_values"), F.col("max_num_values").cast("int")).alias("shape_dim"),
+        F.coalesce(unit, F.lit(False)).alias("is_bool"),
     )
     if text:
-        counts = value_counts(df, text)
-        few = counts.groupBy("feature").agg(F.count("*").alias("k")).filter(F.col("k") <= domain_limit)
-        # only features within the limit are collected into an array
-        domains = counts.join(few, "feature").groupBy("feature").agg(F.array_sort(F.collect_set("value")).alias("domain"))
-        out = out.join(domains, "feature", "left")
+        # one value over the limit is enough to know that a domain is open, so no more are kept
+        order = Window.partitionBy("feature").orderBy("value")
+        some = value_counts(df, text).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= domain_limit + 1)
+        domains = some.groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("domain"))
+        out = out.join(domains.filter(F.size("domain") <= domain_limit), "feature", "left")
     else:
         out = out.withColumn("domain", F.lit(None).cast("array<string>"))
-    if whole:
-        ranges = df.agg(*[x for i, c in enumerate(whole) for x in (F.min(c).alias(f"lo_{i}"), F.max(c).alias(f"hi_{i}"))])
-        entries = [
-            F.struct(F.lit(c).alias("feature"), ((F.col(f"lo_{i}") >= 0) & (F.col(f"hi_{i}") <= 1)).alias("is_bool"))
-            for i, c in enumerate(whole)
-        ]
-        out = out.join(ranges.select(F.inline(F.array(*entries))), "feature", "left")
-    else:
-        out = out.withColumn("is_bool", F.lit(False))
     return out.select(
         "feature",
         "type",
@@ -55,7 +46,7 @@ def infer_schema(df: DataFrame, exclude: Sequence[str] = (), domain_limit: int =
         "min_count",
         "shape_dim",
         "domain",
-        F.coalesce("is_bool", F.lit(False)).alias("is_bool"),
+        "is_bool",
         F.array().cast("array<string>").alias("not_in_environment"),
         F.lit(None).cast("double").alias("skew_threshold"),
         F.lit(None).cast("double").alias("drift_threshold"),

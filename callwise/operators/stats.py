@@ -13,6 +13,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from callwise.functions.quantiles import MAX_GROUPS, quantiles
 from callwise.functions.scalars import is_fractional, is_integral, is_numeric, nan_to_null
+from callwise.sources.staging import local_rows
 
 
 def feature_type(dtype: str) -> str:
@@ -51,38 +52,45 @@ def value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
     return tall.groupBy(*by, "feature", "value", "num").agg(F.count("*").alias("n"))
 
 
-def stats_common(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Presence and values per example of each feature, with the number of examples and of features."""
+def profile(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """What schema inference and validation need to know of each feature, from one pass over the data: type, presence,
+    values per example, and the smallest and largest number."""
     df = nan_to_null(df, cols)
     types = dict(df.dtypes)
-    aggs = []
+    none = F.lit(None).cast("double")
+    aggs, entries = [], []
     for i, c in enumerate(cols):
-        present = F.col(c).isNotNull()
-        size = F.size(c) if types[c].startswith("array<") else F.lit(1)
-        per_row = F.when(present, size)
-        aggs += [
-            F.count(c).alias(f"n_{i}"),
-            F.min(per_row).alias(f"lo_{i}"),
-            F.max(per_row).alias(f"hi_{i}"),
-            F.coalesce(F.sum(per_row), F.lit(0)).alias(f"t_{i}"),
-        ]
-    wide = df.groupBy(*by).agg(F.count("*").alias("num_examples"), *aggs)
-    entries = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.lit(feature_type(types[c])).alias("type"),
-            F.col("num_examples"),
-            F.lit(len(cols)).cast("bigint").alias("num_features"),
-            F.col(f"n_{i}").alias("num_non_missing"),
-            (F.col("num_examples") - F.col(f"n_{i}")).alias("num_missing"),
-            F.col(f"lo_{i}").cast("bigint").alias("min_num_values"),
-            F.col(f"hi_{i}").cast("bigint").alias("max_num_values"),
-            F.try_divide(F.col(f"t_{i}").cast("double"), F.col(f"n_{i}")).alias("avg_num_values"),
-            F.col(f"t_{i}").cast("bigint").alias("tot_num_values"),
+        listed, number = types[c].startswith("array<"), is_numeric(types[c])
+        aggs.append(F.count(c).alias(f"n_{i}"))
+        if listed:
+            aggs += [f(F.when(F.col(c).isNotNull(), F.size(c))).alias(f"{k}_{i}") for f, k in ((F.min, "a"), (F.max, "b"), (F.sum, "t"))]
+        if number:
+            aggs += [F.min(c).cast("double").alias(f"lo_{i}"), F.max(c).cast("double").alias(f"hi_{i}")]
+        n = F.col(f"n_{i}")
+        single = F.when(n > 0, F.lit(1)).cast("bigint")  # a scalar cell holds one value
+        total = F.coalesce(F.col(f"t_{i}"), F.lit(0)).cast("bigint") if listed else n
+        entries.append(
+            F.struct(
+                F.lit(c).alias("feature"),
+                F.lit(feature_type(types[c])).alias("type"),
+                F.col("num_examples"),
+                F.lit(len(cols)).cast("bigint").alias("num_features"),
+                n.alias("num_non_missing"),
+                (F.col("num_examples") - n).alias("num_missing"),
+                (F.col(f"a_{i}").cast("bigint") if listed else single).alias("min_num_values"),
+                (F.col(f"b_{i}").cast("bigint") if listed else single).alias("max_num_values"),
+                F.try_divide(total.cast("double"), n).alias("avg_num_values"),
+                total.alias("tot_num_values"),
+                (F.col(f"lo_{i}") if number else none).alias("lo"),
+                (F.col(f"hi_{i}") if number else none).alias("hi"),
+            )
         )
-        for i, c in enumerate(cols)
-    ]
-    return _tall(wide, by, entries)
+    return _tall(df.groupBy(*by).agg(F.count("*").alias("num_examples"), *aggs), by, entries)
+
+
+def stats_common(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Presence and values per example of each feature, with the number of examples and of features."""
+    return profile(df, cols, by).drop("lo", "hi")
 
 
 def numeric_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -161,7 +169,7 @@ def hist_equal_width(df: DataFrame, cols: Sequence[str], buckets: int = 10, by:
     ]
     fields = [StructField(b, df.schema[b].dataType) for b in by]
     fields += [StructField("feature", StringType()), StructField("lo", DoubleType()), StructField("width", DoubleType())]
-    limits = df.sparkSession.createDataFrame(spans, StructType(fields))
+    limits = local_rows(df.sparkSession, spans, StructType(fields))
     frames = limits.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
     tall = _tall(wide, by, [F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in cols]).filter(F.col("value").isNotNull())

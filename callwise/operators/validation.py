@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callwise.functions.scalars import is_numeric, nan_to_null
 from callwise.operators.schema import expected_in
-from callwise.operators.stats import cast_to_schema, features_of, numeric_columns, stats_common, value_counts
+from callwise.operators.stats import cast_to_schema, features_of, profile, value_counts
+from callwise.sources.staging import pin
 
 DETAIL_EXAMPLES = 5
 DRIFT_BUCKETS = 10
@@ -77,13 +78,9 @@ def anomaly_domain(counts: DataFrame, schema: DataFrame) -> DataFrame:
     return _report(found, "domain", "ERROR", told, F.concat_ws(" ", F.col("kinds"), F.lit("values in"), F.col("rows"), F.lit("rows")), F.lit("domain"))
 
 
-def anomaly_bool(df: DataFrame, schema: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Values other than 0 and 1 in a bool domain."""
-    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"lo_{i}").alias("lo"), F.col(f"hi_{i}").alias("hi")) for i, c in enumerate(columns)])
-    limits = df.agg(
-        *[x for i, c in enumerate(columns) for x in (F.min(F.col(c).cast("double")).alias(f"lo_{i}"), F.max(F.col(c).cast("double")).alias(f"hi_{i}"))]
-    ).select(F.inline(entries))
-    bad = limits.join(schema.filter("is_bool").select("feature"), "feature").filter((F.col("lo") < 0) | (F.col("hi") > 1))
+def anomaly_bool(stats: DataFrame, schema: DataFrame) -> DataFrame:
+    """Numbers other than 0 and 1 in a bool domain."""
+    bad = stats.join(schema.filter("is_bool").select("feature"), "feature").filter((F.col("lo") < 0) | (F.col("hi") > 1))
     seen = F.concat_ws(" to ", F.col("lo").cast("bigint"), F.col("hi").cast("bigint"))
     return _report(bad, "bool", "ERROR", F.lit("values other than 0 and 1"), seen, F.lit("0 to 1"))
 
@@ -185,21 +182,19 @@ def validate(
     if types_from_schema:
         df = cast_to_schema(df, schema)
     cols = features_of(df, exclude)
-    stats = stats_common(df, cols)
+    stats, schema = pin(profile(df, cols)), pin(schema)  # one row per column each; seven checks read them
     types = dict(df.dtypes)
     text = [c for c in cols if types[c] == "string"]
-    numbers = numeric_columns(df, cols)
     parts = [
         anomaly_type(stats, schema),
         anomaly_missing_column(stats, schema, environment),
         anomaly_new_column(stats, schema, ignore_columns),
         anomaly_presence(stats, schema),
         anomaly_shape(stats, schema),
+        anomaly_bool(stats, schema),
     ]
     if text:
         parts.append(anomaly_domain(value_counts(df, text), schema))
-    if numbers:
-        parts.append(anomaly_bool(df, schema, numbers))
     if serving is not None:
         parts.append(skew(df, serving, schema))
     if previous is not None:

@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_roots: dict[str, str] = {}
 
@@ -31,6 +34,28 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/callwise/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+PIN_ROWS = 100_000
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Fetch a table of statistics (one row per column, class or group) and hand it back as a local relation.
+
+    What refers to it many times then costs one pass over the data. The row count is checked.
+    """
+    table = df.limit(PIN_ROWS + 1).toArrow()
+    if table.num_rows > PIN_ROWS:
+        raise ValueError(f"over {PIN_ROWS} rows: stage this table instead")
+    return df.sparkSession.createDataFrame(table, df.schema)
+
+
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
+    """A few rows of parameters as a local relation, whose size the optimizer knows."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    columns = {f.name: [r[i] for r in rows] for i, f in enumerate(schema.fields)}
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet and return the written table (columnar, so later reads prune and push down)."""
     spark = df.sparkSession
