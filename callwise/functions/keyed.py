@@ -17,6 +17,10 @@ def hash_key(key: Column, seed: int) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(f"-{seed}")).cast("binary"))
 
 
+def hash_key_sql(key: str, seed: int) -> str:
+    return f"md5(CAST(concat(CAST({key} AS STRING), '-{seed}') AS BINARY))"
+
+
 def hash_bucket(hashed: Column) -> Column:
     return F.substring(hashed, 1, BUCKET_DIGITS)
 

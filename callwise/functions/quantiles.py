@@ -14,7 +14,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from callwise.functions.scalars import nan_to_null
+from callwise.functions.scalars import ident, literal, nan_to_null
 from callwise.sources.staging import local_rows
 
 MAP_ROWS = 1_000_000
@@ -74,17 +74,13 @@ def values_at_ranks(df: DataFrame, col: str, by: str, ranks: dict[Any, Sequence[
 
 
 def _sketch(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> list:
-    near = [q for p in probs for q in (max(0.0, p - BRACKET_SLACK), min(1.0, p + BRACKET_SLACK))]
+    near = ", ".join(f"{q!r}D" for p in probs for q in (max(0.0, p - BRACKET_SLACK), min(1.0, p + BRACKET_SLACK)))
     aggs = []
     for i, c in enumerate(cols):
-        v = F.col(c).cast("double")
-        aggs += [
-            F.count(c).alias(f"n_{i}"),
-            F.min(v).alias(f"min_{i}"),
-            F.max(v).alias(f"max_{i}"),
-            F.percentile_approx(v, near, SKETCH_ACCURACY).alias(f"near_{i}"),
-        ]
-    rows = df.groupBy(*by).agg(*aggs).limit(MAX_GROUPS + 1).collect()
+        v = f"CAST({ident(c)} AS DOUBLE)"
+        aggs += [f"count({ident(c)}) AS n_{i}", f"min({v}) AS min_{i}", f"max({v}) AS max_{i}"]
+        aggs.append(f"percentile_approx({v}, array({near}), {SKETCH_ACCURACY}) AS near_{i}")
+    rows = df.groupBy(*by).agg(*map(F.expr, aggs)).limit(MAX_GROUPS + 1).collect()
     if len(rows) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups in {list(by)}")
     return rows
@@ -97,16 +93,16 @@ def _bracket(row: Any, i: int, j: int, n: int) -> tuple[float, float]:
 
 
 def _from_map(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    at = F.array(*[F.lit(float(p)) for p in probs])
-    wide = df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), at).alias(f"q_{i}") for i, c in enumerate(cols)])
-    entries = F.array(
-        *[
-            F.struct(F.lit(c).alias("feature"), F.lit(float(p)).alias("prob"), F.col(f"q_{i}")[j].alias("value"))
-            for i, c in enumerate(cols)
-            for j, p in enumerate(probs)
-        ]
+    at = ", ".join(f"{float(p)!r}D" for p in probs)
+    wide = df.groupBy(*by).agg(
+        *[F.expr(f"percentile(CAST({ident(c)} AS DOUBLE), array({at})) AS q_{i}") for i, c in enumerate(cols)]
+    )
+    entries = ", ".join(
+        f"named_struct('feature', {literal(c)}, 'prob', {float(p)!r}D, 'value', q_{i}[{j}])"
+        for i, c in enumerate(cols)
+        for j, p in enumerate(probs)
     )
-    return wide.select(*by, F.inline(entries))
+    return wide.select(*by, F.expr(f"inline(array({entries}))"))
 
 
 def _select(df: DataFrame, cols: Sequence[str], by: Sequence[str], targets: list) -> DataFrame:
@@ -127,8 +123,8 @@ def _select(df: DataFrame, cols: Sequence[str], by: Sequence[str], targets: list
     )
     plan = local_rows(spark, [(*t, k) for k, t in enumerate(targets)], schema)  # groups x columns x quantiles
     bracket = F.broadcast(plan.select(*[F.col(b).alias(f"_{b}") for b in by], F.col("feature").alias("_f"), "slot", "lo", "hi"))
-    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
-    tall = df.select(*by, F.inline(entries)).filter(F.col("value").isNotNull())
+    entries = ", ".join(f"named_struct('feature', {literal(c)}, 'value', CAST({ident(c)} AS DOUBLE))" for c in cols)
+    tall = df.select(*by, F.expr(f"inline(array({entries}))")).filter("value IS NOT NULL")
     match = F.col("feature") == F.col("_f")
     for b in by:
         match = match & F.col(b).eqNullSafe(F.col(f"_{b}"))

@@ -6,13 +6,13 @@ buckets, carry small per-bucket totals across, and let windows work inside one b
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callwise.functions.keyed import hash_bucket, hash_key
+from callwise.functions.scalars import literal
 from callwise.sources.staging import local_rows, stage
 
 MAX_CLASSES = 10_000
@@ -94,14 +94,17 @@ def range_bucket(c: Column, edges: Sequence[float]) -> Column:
     """Number of edges below ``c``, found by two short scans (coarse, then fine) over literal arrays."""
     if not edges:
         return F.lit(0)
-    edges = [float(e) for e in edges]
     coarse = edges[RANGE_FANOUT - 1 :: RANGE_FANOUT]
-    below = F.size(F.filter(F.array(*map(F.lit, coarse)), lambda e: e < c)) if coarse else F.lit(0)
+    below = F.size(F.filter(_double_array(coarse), lambda e: e < c)) if coarse else F.lit(0)
     start = below * RANGE_FANOUT
-    fine = F.slice(F.array(*map(F.lit, edges)), start + 1, RANGE_FANOUT)
+    fine = F.slice(_double_array(edges), start + 1, RANGE_FANOUT)
     return start + F.size(F.filter(fine, lambda e: e < c))
 
 
+def _double_array(values: Sequence[float]) -> Column:
+    return F.expr(f"array({', '.join(literal(float(v)) for v in values)})")
+
+
 def range_edges(table: DataFrame, column: str, buckets: int = RANGE_BUCKETS) -> list[float]:
     """Distinct values that cut ``column`` into about equally full ranges. Only balance depends on their accuracy."""
     probs = [i / buckets for i in range(1, buckets)]
@@ -167,8 +170,3 @@ def with_previous(
         marked = cut.join(F.broadcast(lasts), "_r").withColumn("_prev", F.coalesce(F.lag(row).over(inner), F.col("_carry")))
         marked = marked.drop("_r", "_carry")
     return marked.withColumns({f"prev_{c}": F.col(f"_prev.{c}") for c in columns}).drop("_prev")
-
-
-def below(edges: Sequence[Any], value: Any) -> int:
-    """Driver-side twin of ``range_bucket`` for tests."""
-    return bisect_left(list(edges), value)

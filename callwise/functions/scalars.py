@@ -6,10 +6,32 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Wide expressions over many columns are written as SQL text: one call instead of one per operator.
 DECISION_THRESHOLD = 0.53
 MICROS_PER_DAY = 86_400_000_000
 
 
+def ident(name: str) -> str:
+    """Column name as SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value: object) -> str:
+    """Python value as SQL."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, int):
+        return f"{value}L"
+    if isinstance(value, float):
+        if value != value or value in (float("inf"), float("-inf")):
+            return f"double('{value}')"
+        return f"{value!r}D"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def date_render(c: Column) -> Column:
     """Date or timestamp as ``yyyy-MM-dd`` text; null stays null."""
     return F.date_format(c, "yyyy-MM-dd")
@@ -62,7 +84,7 @@ def nan_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """NaN counts as missing everywhere in this library; Spark itself sorts it above all numbers."""
     wanted = set(df.columns if cols is None else cols)
     swaps = {
-        name: F.nanvl(F.col(name), F.lit(None).cast(dtype))
+        name: F.expr(f"nanvl({ident(name)}, CAST(NULL AS {dtype}))")
         for name, dtype in df.dtypes
         if name in wanted and is_fractional(dtype)
     }

@@ -17,7 +17,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callwise.functions.quantiles import quantiles
-from callwise.functions.scalars import clamp, is_numeric, nan_to_null
+from callwise.functions.scalars import ident, is_numeric, literal, nan_to_null
 from callwise.operators.stats import value_counts
 
 MAX_CATEGORIES = 10_000
@@ -60,16 +60,20 @@ def _apply_clamp(df: DataFrame, fences: dict[object, Fences], group: str | None
     df = nan_to_null(df, cols)
     out = {}
     for c in cols:
-        x = F.col(c).cast("double")
-        new = x
+        cases = []
         for g, per in fences.items():
             if c in per:
-                mine = clamp(x, F.lit(per[c][0]), F.lit(per[c][1]))
-                new = mine if group is None else F.when(F.col(group).eqNullSafe(F.lit(g)), mine).otherwise(new)
-        out[c] = new
+                mine = clamp_sql(c, *per[c])
+                cases.append(mine if group is None else f"WHEN {ident(group)} <=> {literal(g)} THEN {mine}")
+        out[c] = F.expr(cases[0] if group is None else f"CASE {' '.join(cases)} ELSE CAST({ident(c)} AS DOUBLE) END")
     return df.withColumns(out) if out else df
 
 
+def clamp_sql(c: str, lo: float, hi: float) -> str:
+    x = f"CAST({ident(c)} AS DOUBLE)"
+    return f"(CASE WHEN {x} < {literal(lo)} THEN {literal(lo)} WHEN {x} > {literal(hi)} THEN {literal(hi)} ELSE {x} END)"
+
+
 class BatchWinsorizer(Transformer, _Cols, DefaultParamsReadable, DefaultParamsWritable):
     """Clamp to the quartile fences of the very batch that is transformed, or of each batch in a table that holds
     several, told apart by the column ``group``."""
@@ -158,7 +162,7 @@ class ImputerModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWritable)
         for c, v in self.values().items():
             # the median of whole numbers may be a fraction
             to = types[c] if not isinstance(v, float) or v.is_integer() else "double"
-            fills[c] = F.coalesce(F.col(c).cast(to), F.lit(v).cast(to))
+            fills[c] = F.expr(f"coalesce(CAST({ident(c)} AS {to}), CAST({literal(v)} AS {to}))")
         return df.withColumns(fills) if fills else df
 
 
@@ -213,17 +217,15 @@ class LabelEncoderModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWrit
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         strict = self.getOrDefault(self.unseen) == "error"
-        return dataset.withColumns({c: _code(F.col(c), c, values, strict) for c, values in self.values().items()})
+        return dataset.withColumns({c: _code(c, values, strict) for c, values in self.values().items()})
 
 
-def _code(c: Column, name: str, values: Sequence[str], strict: bool) -> Column:
-    pairs = [x for i, v in enumerate(values) for x in (F.lit(v), F.lit(float(i)))]
-    text = c.cast("string")
-    found = F.try_element_at(F.create_map(*pairs), text)
-    if strict:
-        told = F.raise_error(F.concat(F.lit(f"unseen value in {name}: "), F.coalesce(text, F.lit("null")))).cast("double")
-        return F.coalesce(found, told)
-    return F.coalesce(found, F.lit(-1.0))
+def _code(name: str, values: Sequence[str], strict: bool) -> Column:
+    text = f"CAST({ident(name)} AS STRING)"
+    keys = ", ".join(map(literal, values))
+    codes = ", ".join(f"{i}D" for i in range(len(values)))
+    told = f"CAST(raise_error(concat('unseen value in ', {literal(name)}, ': ', coalesce({text}, 'null'))) AS DOUBLE)"
+    return F.expr(f"coalesce(try_element_at(map_from_arrays(array({keys}), array({codes})), {text}), {told if strict else '-1D'})")
 
 
 def encode_with(df: DataFrame, dictionary: DataFrame, col: str, unseen: str = "error") -> DataFrame:
@@ -284,7 +286,7 @@ class FeatureTable(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         kept = [c for c in self.getOrDefault(self.keep) if c in dataset.columns]
-        features = [F.col(c).cast("double").alias(c) for c in self.getOrDefault(self.cols)]
+        features = [F.expr(f"CAST({ident(c)} AS DOUBLE) AS {ident(c)}") for c in self.getOrDefault(self.cols)]
         return dataset.select(self.getOrDefault(self.key), *features, *kept)
 
 

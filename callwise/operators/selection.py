@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from callwise.functions.scalars import nan_to_null
+from callwise.functions.scalars import ident, literal, nan_to_null
+from callwise.operators.stats import tall
 
 
 def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
@@ -16,32 +17,23 @@ def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     class mean (as ``var_pop`` does) because raw sums of squares cancel badly on large values.
     """
     df = nan_to_null(df, cols)
-    aggs = [
-        x
-        for i, c in enumerate(cols)
-        for x in (
-            F.count(c).alias(f"n_{i}"),
-            F.avg(F.col(c).cast("double")).alias(f"m_{i}"),
-            F.var_pop(F.col(c).cast("double")).alias(f"v_{i}"),
-        )
-    ]
-    entries = [
-        F.struct(F.lit(c).alias("feature"), F.col(f"n_{i}").alias("n"), F.col(f"m_{i}").alias("m"), F.col(f"v_{i}").alias("v"))
-        for i, c in enumerate(cols)
-    ]
-    per_class = df.groupBy(label).agg(*aggs).select(F.inline(F.array(*entries))).filter(F.col("n") > 0)
+    aggs, entries = [], []
+    for i, c in enumerate(cols):
+        v = f"CAST({ident(c)} AS DOUBLE)"
+        aggs += [f"count({ident(c)}) AS n_{i}", f"avg({v}) AS m_{i}", f"var_pop({v}) AS v_{i}"]
+        entries.append(f"named_struct('feature', {literal(c)}, 'n', n_{i}, 'm', m_{i}, 'v', v_{i})")
+    per_class = tall(df.groupBy(label).agg(*map(F.expr, aggs)), [], entries).filter("n > 0")
     # classes x columns rows from here on
     whole = per_class.groupBy("feature").agg(
-        F.count("*").alias("k"),
-        F.sum("n").alias("total"),
-        (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"),
-        F.sum(F.col("n") * F.col("v")).alias("within"),
+        F.expr("count(*) AS k"),
+        F.expr("sum(n) AS total"),
+        F.expr("sum(n * m) / sum(n) AS grand"),
+        F.expr("sum(n * v) AS within"),
+        F.expr("collect_list(named_struct('n', n, 'm', m)) AS classes"),
     )
-    between = per_class.join(whole.select("feature", "grand"), "feature").groupBy("feature").agg(
-        F.sum(F.col("n") * (F.col("m") - F.col("grand")) * (F.col("m") - F.col("grand"))).alias("between")
-    )
-    f = F.try_divide(F.try_divide(F.col("between"), F.col("k") - 1), F.try_divide(F.col("within"), F.col("total") - F.col("k")))
-    return whole.join(between, "feature").select("feature", f.alias("f"))
+    between = "aggregate(classes, 0D, (s, c) -> s + c.n * (c.m - grand) * (c.m - grand))"
+    f = f"try_divide(try_divide({between}, k - 1), try_divide(within, total - k)) AS f"
+    return whole.select("feature", F.expr(f))
 
 
 def best_features(df: DataFrame, cols: Sequence[str], label: str, k: int) -> list[str]:

@@ -12,7 +12,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callwise.functions.keyed import hash_key
+from callwise.functions.keyed import hash_key_sql
+from callwise.functions.scalars import ident, literal
 from callwise.functions.quantiles import values_at_ranks
 from callwise.functions.ranking import MAX_CLASSES, class_counts, keys_at_hash_ranks
 
@@ -43,17 +44,18 @@ def cut_by_hash(
             ranks.append(total)
         upto[c] = ranks
     cuts = keys_at_hash_ranks(df, key, label, seed, upto)
-    me = F.struct(hash_key(F.col(key), seed).alias("h"), F.col(key).alias("k"))
-    key_type = df.schema[key].dataType
-    out = F.lit(rest)
+    key_type = df.schema[key].dataType.simpleString()
+    me = f"struct({hash_key_sql(ident(key), seed)}, {ident(key)})"
+    cases = []
     for c, ranks in upto.items():
-        inner = F.lit(rest)
-        for name, rank in reversed(list(zip(names, ranks))):
-            if rank > 0:
-                h, k = cuts[(c, rank)]
-                inner = F.when(me <= F.struct(F.lit(h).alias("h"), F.lit(k).cast(key_type).alias("k")), F.lit(name)).otherwise(inner)
-        out = F.when(F.col(label).eqNullSafe(F.lit(c)), inner).otherwise(out)
-    return out
+        steps = [
+            f"WHEN {me} <= struct({literal(cuts[(c, rank)][0])}, CAST({literal(cuts[(c, rank)][1])} AS {key_type})) THEN {literal(name)}"
+            for name, rank in zip(names, ranks)
+            if rank > 0
+        ]
+        mine = f"CASE {' '.join(steps)} ELSE {literal(rest)} END" if steps else literal(rest)
+        cases.append(f"WHEN {ident(label)} <=> {literal(c)} THEN {mine}")
+    return F.expr(f"CASE {' '.join(cases)} ELSE {literal(rest)} END")
 
 
 def stratified_holdout(df: DataFrame, key: str, label: str, share: float, seed: int = SEED) -> DataFrame:
@@ -107,11 +109,9 @@ def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 10, name: str
     sizes = fold_sizes([(r[0], r["n"]) for r in sorted(rows, key=lambda r: r["first"])], k)
     uptos = {c: [sum(s[: i + 1]) for i in range(k - 1)] for c, s in sizes.items()}
     cut = values_at_ranks(df, key, label, {c: [u - 1 for u in us if u > 0] for c, us in uptos.items()})
-    fold = F.lit(None).cast("int")
+    cases = []
     for c, us in uptos.items():
-        inner = F.lit(k - 1)
-        for i in reversed(range(k - 1)):
-            if us[i] > 0:
-                inner = F.when(F.col(key).cast("double") <= F.lit(cut[(c, us[i] - 1)]), F.lit(i)).otherwise(inner)
-        fold = F.when(F.col(label).eqNullSafe(F.lit(c)), inner).otherwise(fold)
-    return df.withColumn(name, fold)
+        steps = [f"WHEN CAST({ident(key)} AS DOUBLE) <= {literal(cut[(c, us[i] - 1)])} THEN {i}" for i in range(k - 1) if us[i] > 0]
+        mine = f"CASE {' '.join(steps)} ELSE {k - 1} END" if steps else str(k - 1)
+        cases.append(f"WHEN {ident(label)} <=> {literal(c)} THEN {mine}")
+    return df.withColumn(name, F.expr(f"CASE {' '.join(cases)} END"))

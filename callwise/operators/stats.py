@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from callwise.functions.quantiles import MAX_GROUPS, quantiles
-from callwise.functions.scalars import is_fractional, is_integral, is_numeric, nan_to_null
+from callwise.functions.scalars import ident, is_fractional, is_integral, is_numeric, literal, nan_to_null
 from callwise.sources.staging import local_rows
 
 
@@ -31,8 +31,9 @@ def features_of(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [c for c in df.columns if c not in set(exclude)]
 
 
-def _tall(df: DataFrame, by: Sequence[str], structs: Sequence[Column]) -> DataFrame:
-    return df.select(*by, F.inline(F.array(*structs)))
+def tall(df: DataFrame, by: Sequence[str], structs: Sequence[str]) -> DataFrame:
+    """One output row per struct (SQL text), the ``by`` columns repeated."""
+    return df.select(*by, F.expr(f"inline(array({', '.join(structs)}))"))
 
 
 def value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -41,15 +42,11 @@ def value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
     df = nan_to_null(df, cols)
     types = dict(df.dtypes)
     entries = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col(c).cast("string").alias("value"),
-            (F.col(c).cast("double") if is_numeric(types[c]) else F.lit(None).cast("double")).alias("num"),
-        )
+        f"named_struct('feature', {literal(c)}, 'value', CAST({ident(c)} AS STRING), "
+        f"'num', CAST({ident(c) if is_numeric(types[c]) else 'NULL'} AS DOUBLE))"
         for c in cols
     ]
-    tall = _tall(df, by, entries).filter(F.col("value").isNotNull())
-    return tall.groupBy(*by, "feature", "value", "num").agg(F.count("*").alias("n"))
+    return tall(df, by, entries).filter("value IS NOT NULL").groupBy(*by, "feature", "value", "num").agg(F.count("*").alias("n"))
 
 
 def profile(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -57,35 +54,25 @@ def profile(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataF
     values per example, and the smallest and largest number."""
     df = nan_to_null(df, cols)
     types = dict(df.dtypes)
-    none = F.lit(None).cast("double")
-    aggs, entries = [], []
+    aggs, entries = ["count(*) AS num_examples"], []
     for i, c in enumerate(cols):
-        listed, number = types[c].startswith("array<"), is_numeric(types[c])
-        aggs.append(F.count(c).alias(f"n_{i}"))
+        q, listed, number = ident(c), types[c].startswith("array<"), is_numeric(types[c])
+        aggs.append(f"count({q}) AS n_{i}")
         if listed:
-            aggs += [f(F.when(F.col(c).isNotNull(), F.size(c))).alias(f"{k}_{i}") for f, k in ((F.min, "a"), (F.max, "b"), (F.sum, "t"))]
+            aggs += [f"{f}(CASE WHEN {q} IS NOT NULL THEN size({q}) END) AS {k}_{i}" for f, k in (("min", "a"), ("max", "b"), ("sum", "t"))]
         if number:
-            aggs += [F.min(c).cast("double").alias(f"lo_{i}"), F.max(c).cast("double").alias(f"hi_{i}")]
-        n = F.col(f"n_{i}")
-        single = F.when(n > 0, F.lit(1)).cast("bigint")  # a scalar cell holds one value
-        total = F.coalesce(F.col(f"t_{i}"), F.lit(0)).cast("bigint") if listed else n
+            aggs += [f"CAST(min({q}) AS DOUBLE) AS lo_{i}", f"CAST(max({q}) AS DOUBLE) AS hi_{i}"]
+        single = f"CASE WHEN n_{i} > 0 THEN 1L END"  # a scalar cell holds one value
+        total = f"CAST(coalesce(t_{i}, 0) AS BIGINT)" if listed else f"n_{i}"
         entries.append(
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.lit(feature_type(types[c])).alias("type"),
-                F.col("num_examples"),
-                F.lit(len(cols)).cast("bigint").alias("num_features"),
-                n.alias("num_non_missing"),
-                (F.col("num_examples") - n).alias("num_missing"),
-                (F.col(f"a_{i}").cast("bigint") if listed else single).alias("min_num_values"),
-                (F.col(f"b_{i}").cast("bigint") if listed else single).alias("max_num_values"),
-                F.try_divide(total.cast("double"), n).alias("avg_num_values"),
-                total.alias("tot_num_values"),
-                (F.col(f"lo_{i}") if number else none).alias("lo"),
-                (F.col(f"hi_{i}") if number else none).alias("hi"),
-            )
+            f"named_struct('feature', {literal(c)}, 'type', '{feature_type(types[c])}', 'num_examples', num_examples, "
+            f"'num_features', {len(cols)}L, 'num_non_missing', n_{i}, 'num_missing', num_examples - n_{i}, "
+            f"'min_num_values', {f'CAST(a_{i} AS BIGINT)' if listed else single}, "
+            f"'max_num_values', {f'CAST(b_{i} AS BIGINT)' if listed else single}, "
+            f"'avg_num_values', try_divide(CAST({total} AS DOUBLE), n_{i}), 'tot_num_values', {total}, "
+            f"'lo', {f'lo_{i}' if number else 'CAST(NULL AS DOUBLE)'}, 'hi', {f'hi_{i}' if number else 'CAST(NULL AS DOUBLE)'})"
         )
-    return _tall(df.groupBy(*by).agg(F.count("*").alias("num_examples"), *aggs), by, entries)
+    return tall(df.groupBy(*by).agg(*map(F.expr, aggs)), by, entries)
 
 
 def stats_common(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -101,28 +88,15 @@ def numeric_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
 def stats_numeric(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Mean, population deviation, zeros, minimum, exact median and maximum of numeric features."""
     df = nan_to_null(df, cols)
-    aggs = []
+    aggs, entries = [], []
     for i, c in enumerate(cols):
-        v = F.col(c).cast("double")
-        aggs += [
-            F.avg(v).alias(f"mean_{i}"),
-            F.stddev_pop(v).alias(f"sd_{i}"),
-            F.count(F.when(v == 0, 1)).alias(f"z_{i}"),
-            F.min(v).alias(f"lo_{i}"),
-            F.max(v).alias(f"hi_{i}"),
-        ]
-    entries = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col(f"mean_{i}").alias("mean"),
-            F.col(f"sd_{i}").alias("std_dev"),
-            F.col(f"z_{i}").alias("num_zeros"),
-            F.col(f"lo_{i}").alias("min"),
-            F.col(f"hi_{i}").alias("max"),
+        v = f"CAST({ident(c)} AS DOUBLE)"
+        aggs += [f"avg({v}) AS mean_{i}", f"stddev_pop({v}) AS sd_{i}", f"count(CASE WHEN {v} = 0 THEN 1 END) AS z_{i}"]
+        aggs += [f"min({v}) AS lo_{i}", f"max({v}) AS hi_{i}"]
+        entries.append(
+            f"named_struct('feature', {literal(c)}, 'mean', mean_{i}, 'std_dev', sd_{i}, 'num_zeros', z_{i}, 'min', lo_{i}, 'max', hi_{i})"
         )
-        for i, c in enumerate(cols)
-    ]
-    moments = _tall(df.groupBy(*by).agg(*aggs), by, entries)
+    moments = tall(df.groupBy(*by).agg(*map(F.expr, aggs)), by, entries)
     medians = quantiles(df, cols, [0.5], by).select(*by, "feature", F.col("value").alias("median"))
     return moments.join(medians, [*by, "feature"], "left")
 
@@ -157,28 +131,30 @@ def hist_equal_width(df: DataFrame, cols: Sequence[str], buckets: int = 10, by:
     """Counts in equally wide buckets between minimum and maximum; empty buckets are listed, the last includes the
     maximum. A constant feature has all its values in the first bucket."""
     df = nan_to_null(df, cols)
-    ends = [x for i, c in enumerate(cols) for x in (F.min(F.col(c).cast("double")).alias(f"lo_{i}"), F.max(F.col(c).cast("double")).alias(f"hi_{i}"))]
+    ends = [F.expr(f"{f}(CAST({ident(c)} AS DOUBLE)) AS {f}_{i}") for i, c in enumerate(cols) for f in ("min", "max")]
     found = df.groupBy(*by).agg(*ends).limit(MAX_GROUPS + 1).collect()  # two numbers per group and column
     if len(found) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups in {list(by)}")
     spans = [
-        (*[r[b] for b in by], c, r[f"lo_{i}"], (r[f"hi_{i}"] - r[f"lo_{i}"]) / buckets)
+        (*[r[b] for b in by], c, r[f"min_{i}"], (r[f"max_{i}"] - r[f"min_{i}"]) / buckets)
         for r in found
         for i, c in enumerate(cols)
-        if r[f"lo_{i}"] is not None
+        if r[f"min_{i}"] is not None
     ]
     fields = [StructField(b, df.schema[b].dataType) for b in by]
     fields += [StructField("feature", StringType()), StructField("lo", DoubleType()), StructField("width", DoubleType())]
     limits = local_rows(df.sparkSession, spans, StructType(fields))
     frames = limits.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-    tall = _tall(wide, by, [F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in cols]).filter(F.col("value").isNotNull())
-    place = F.when(
-        F.col("width") > 0,
-        F.least(F.lit(buckets - 1), F.floor((F.col("value") - F.col("lo")) / F.when(F.col("width") > 0, F.col("width"))).cast("int")),
-    ).otherwise(0)
+    values = [f"named_struct('feature', {literal(c)}, 'value', CAST({ident(c)} AS DOUBLE))" for c in cols]
+    place = f"CASE WHEN width > 0 THEN least({buckets - 1}, CAST(floor((value - lo) / width) AS INT)) ELSE 0 END AS bucket"
     on = [*by, "feature"]
-    counts = tall.join(F.broadcast(limits), on).groupBy(*on, place.alias("bucket")).agg(F.count("*").alias("n"))
+    counts = (
+        tall(df, by, values)
+        .filter("value IS NOT NULL")
+        .join(F.broadcast(limits), on)
+        .groupBy(*on, F.expr(place))
+        .agg(F.count("*").alias("n"))
+    )
     return frames.join(counts, [*by, "feature", "bucket"], "left").select(
         *by,
         "feature",

@@ -23,12 +23,8 @@ DRIFT_BUCKETS = 10
 
 def _report(df: DataFrame, kind: str, severity: str, detail: Column, observed: Column, expected: Column) -> DataFrame:
     return df.select(
-        "feature",
-        F.lit(kind).alias("anomaly_type"),
-        F.lit(severity).alias("severity"),
-        detail.cast("string").alias("detail"),
-        observed.cast("string").alias("observed"),
-        expected.cast("string").alias("expected"),
+        "feature", F.lit(kind).alias("anomaly_type"), F.lit(severity).alias("severity"),
+        detail.cast("string").alias("detail"), observed.cast("string").alias("observed"), expected.cast("string").alias("expected"),
     )
 
 
