@@ -24,6 +24,6 @@ def join_spread(left: DataFrame, right: DataFrame, on: str, tie: str, how: str =
     salted = left.join(hot, on, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(tie), F.lit(SALTS))).otherwise(F.lit(0).cast("bigint"))
     )
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    spread = right.join(hot, on, "left").withColumn("_salt", F.explode(salts).cast("bigint"))
+    salts = F.expr(f"CASE WHEN _hot THEN sequence(0L, {SALTS - 1}L) ELSE array(0L) END")
+    spread = right.join(hot, on, "left").withColumn("_salt", F.explode(salts))
     return salted.drop("_hot").join(spread.drop("_hot"), [on, "_salt"], how).drop("_salt")

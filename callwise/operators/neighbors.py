@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from callwise.functions.scalars import ident
 from callwise.functions.skew import join_spread
 from callwise.sources.staging import stage
 
@@ -39,10 +40,17 @@ def minority_knn(
 
 
 def nearest(df: DataFrame, key: str, cols: Sequence[str], k: int, cell_points: int = CELL_POINTS) -> DataFrame:
-    spark = df.sparkSession
-    rows = stage(
-        df.select(F.col(key).cast("bigint").alias("id"), F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in cols]).alias("x")), "knn_rows"
-    )  # adding 0.0 turns -0.0 into 0.0, so equal points have equal arrays
+    return nearest_staged(stage(feature_arrays(df, key, cols), "knn_rows"), k, cell_points)
+
+
+def feature_arrays(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """``(id, x)``; adding 0.0 turns -0.0 into 0.0, so equal points have equal arrays."""
+    values = ", ".join(f"CAST({ident(c)} AS DOUBLE) + 0D" for c in cols)
+    return df.select(F.col(key).cast("bigint").alias("id"), F.expr(f"array({values}) AS x"))
+
+
+def nearest_staged(rows: DataFrame, k: int, cell_points: int = CELL_POINTS) -> DataFrame:
+    """As ``nearest``, for rows ``(id, x)`` in a stored table."""
     few = Window.partitionBy("x").orderBy("id")
     points = stage(
         rows.withColumn("r", F.row_number().over(few))

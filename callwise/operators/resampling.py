@@ -10,10 +10,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame, functions as F
 
+from callwise.functions.scalars import ident
 from callwise.functions.keyed import UINT32, hash_integer
 from callwise.functions.skew import join_spread
 from callwise.functions.ranking import class_counts, hash_position
-from callwise.operators.neighbors import nearest
+from callwise.operators.neighbors import feature_arrays, nearest_staged
 from callwise.operators.splits import SEED
 from callwise.sources.staging import stage
 
@@ -45,13 +46,8 @@ def synthetic_rows(df: DataFrame, key: str, cols: Sequence[str], label: str, k:
     if counts[rare] < 2:
         raise ValueError("the rare class needs at least two rows")
     spark = df.sparkSession
-    minority = stage(
-        df.filter(F.col(label) == F.lit(rare)).select(
-            F.col(key).cast("bigint").alias("id"), F.array(*[F.col(c).cast("double") for c in cols]).alias("x")
-        ),
-        "minority",
-    )
-    pairs = stage(nearest(minority.select("id", *[F.col("x")[i].alias(c) for i, c in enumerate(cols)]), "id", cols, k), "pairs")
+    minority = stage(feature_arrays(df.filter(F.col(label) == F.lit(rare)), key, cols), "minority")
+    pairs = stage(nearest_staged(minority, k), "pairs")
     ends = minority.select(F.col("id").alias("neighbor"), F.col("x").alias("to"))
     # a row with many copies is the neighbor of all of them, hence the spread join
     around = join_spread(pairs, ends, "neighbor", tie="id").groupBy("id").agg(
@@ -66,7 +62,7 @@ def synthetic_rows(df: DataFrame, key: str, cols: Sequence[str], label: str, k:
         (hash_integer(tag("gap")) / F.lit(UINT32)).alias("gap"),
     )
     joined = drawn.join(bases, "pos").withColumn("end", F.element_at("around", (F.pmod("pick", F.size("around")) + 1).cast("int")))
-    made = [(F.col("x")[i] + F.col("gap") * (F.col("end.to")[i] - F.col("x")[i])).alias(c) for i, c in enumerate(cols)]
+    made = [F.expr(f"x[{i}] + gap * (end.to[{i}] - x[{i}]) AS {ident(c)}") for i, c in enumerate(cols)]
     label_type = df.schema[label].dataType
     return joined.select(
         "j", F.col("id").alias("base"), F.col("end.neighbor").alias("neighbor"), "gap", *made, F.lit(rare).cast(label_type).alias(label)
