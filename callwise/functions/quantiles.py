@@ -55,9 +55,16 @@ def quantiles(
 def values_at_ranks(df: DataFrame, col: str, by: str, ranks: dict[Any, Sequence[int]], map_rows: int = MAP_ROWS) -> dict:
     """Value of ``col`` at each wanted 0-based rank inside each group of ``by``; the driver gets groups x ranks values."""
     rows = df.select(F.col(by).alias("grp"), F.col(col).cast("double").alias("v"))
-    limits = {r["grp"]: r for r in rows.groupBy("grp").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    limits = {
+        r["grp"]: r for r in rows.groupBy("grp").agg(F.expr("count(v) AS n"), F.expr("min(v) AS lo"), F.expr("max(v) AS hi")).collect()
+    }
     if any(max(abs(x["lo"]), abs(x["hi"])) > 2**53 for x in limits.values() if x["n"]):
         raise ValueError(f"{col} has values beyond 2**53, which doubles cannot tell apart")
+    if sum(x["n"] for x in limits.values()) <= map_rows:
+        order = Window.partitionBy("grp").orderBy("v")
+        hits = " OR ".join(f"(grp <=> {literal(g)} AND pos = {int(r)})" for g, rs in ranks.items() for r in sorted(set(rs)))
+        numbered = rows.filter("v IS NOT NULL").withColumn("pos", F.row_number().over(order) - 1)
+        return {(r["grp"], r["pos"]): r["v"] for r in numbered.filter(hits or "false").collect()}
     targets = []
     for g, rs in ranks.items():
         n = limits[g]["n"]

@@ -30,18 +30,23 @@ def class_counts(df: DataFrame, label: str) -> dict[Any, int]:
 
 
 def keys_at_hash_ranks(
-    df: DataFrame, key: str, label: str, seed: int, ranks: Mapping[Any, Sequence[int]]
+    df: DataFrame, key: str, label: str, seed: int, ranks: Mapping[Any, Sequence[int]], plain: bool = False
 ) -> dict[tuple[Any, int], tuple[str, Any]]:
     """The (hash, key) pair that holds each wanted 1-based rank of the hash order inside each class.
 
     Counts per (class, hash bucket) locate the one bucket that contains a rank; only that 1/65,536 of the class is
-    then sorted. Ranks of 0 are skipped.
+    then sorted. ``plain`` sorts each class whole, for tables known to be small. Ranks of 0 are skipped.
     """
     spark = df.sparkSession
     wanted = [(c, int(r)) for c, rs in ranks.items() for r in sorted(set(rs)) if r > 0]
     if not wanted:
         return {}
     hashed = df.select(F.col(label).alias("cls"), F.col(key).alias("key"), hash_key(F.col(key), seed).alias("h"))
+    if plain:
+        order = Window.partitionBy("cls").orderBy("h", "key")
+        numbered = hashed.withColumn("rank", F.row_number().over(order))
+        hit = " OR ".join(f"(cls <=> {literal(c)} AND rank = {r})" for c, r in wanted)
+        return {(r["cls"], r["rank"]): (r["h"], r["key"]) for r in numbered.filter(hit).collect()}  # classes x cuts rows
     hashed = hashed.withColumn("bucket", hash_bucket(F.col("h")))
     per_class = Window.partitionBy("cls").orderBy("bucket")
     counts = (
@@ -118,6 +123,7 @@ def running_totals(
     descending: bool = False,
     plain_rows: int = PLAIN_WINDOW_ROWS,
     buckets: int = RANGE_BUCKETS,
+    is_staged: bool = False,
 ) -> DataFrame:
     """Running sums over the whole table in the order of ``order``, whose values must be distinct.
 
@@ -125,7 +131,7 @@ def running_totals(
     passes see the same rows. Up to ``plain_rows`` rows one window does it; beyond that the rows are cut into ranges
     and each range starts from the total of the ranges before it.
     """
-    staged = stage(table, "ordered")
+    staged = table if is_staged else stage(table, "ordered")
     direction = F.col(order).desc() if descending else F.col(order).asc()
     if staged.count() <= plain_rows:
         w = Window.orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)

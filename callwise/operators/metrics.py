@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from callwise.functions.ranking import running_totals, with_previous
+from callwise.sources.staging import stage
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -96,19 +97,18 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def _cumulative(df: DataFrame, label: str, score: str, plain_rows: int | None) -> DataFrame:
+    """Counts per score with running sums from the best score down, and the totals ``_t`` of both classes."""
     extra = {} if plain_rows is None else {"plain_rows": plain_rows, "buckets": 64}
-    return running_totals(score_counts(df, label, score), "threshold", {"tp": "pos", "fp": "neg"}, descending=True, **extra)
-
-
-def _totals(curve: DataFrame) -> Column:
-    """Positives and negatives of the whole table, as a scalar subquery over the staged counts."""
-    return curve.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
+    counts = stage(score_counts(df, label, score), "per-score")
+    totals = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
+    curve = running_totals(counts, "threshold", {"tp": "pos", "fp": "neg"}, descending=True, is_staged=True, **extra)
+    return curve.withColumn("_t", totals)
 
 
 def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "score", plain_rows: int | None = None) -> DataFrame:
     """``(threshold, precision, recall)`` at every distinct score, and the final point (1, 0) without threshold."""
     curve = _cumulative(df, label, score, plain_rows)
-    points = curve.withColumn("_t", _totals(curve)).select(
+    points = curve.select(
         "threshold",
         _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         F.when(F.col("_t.p") > 0, _ratio(F.col("tp"), F.col("_t.p"))).otherwise(1.0).alias("recall"),
@@ -123,7 +123,7 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score", plain_r
     Ranking by the 0/1 prediction instead of a score gives the three-point curve.
     """
     curve = _cumulative(df, label, score, plain_rows)
-    points = curve.withColumn("_t", _totals(curve)).select(
+    points = curve.select(
         "threshold", _ratio(F.col("fp"), F.col("_t.n")).alias("fpr"), _ratio(F.col("tp"), F.col("_t.p")).alias("tpr")
     )
     first = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))

@@ -19,6 +19,9 @@ from callwise.operators.splits import SEED
 from callwise.sources.staging import stage
 
 
+BROADCAST_BASES = 20_000
+
+
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Add ``n / (classes * n_class)``, so that every class weighs the same in total."""
     counts = class_counts(df, label)
@@ -61,6 +64,8 @@ def synthetic_rows(df: DataFrame, key: str, cols: Sequence[str], label: str, k:
         hash_integer(tag("neighbor")).alias("pick"),
         (hash_integer(tag("gap")) / F.lit(UINT32)).alias("gap"),
     )
+    # few bases would be few join keys for very many drawn rows: those are broadcast, BROADCAST_BASES at most
+    bases = F.broadcast(bases) if counts[rare] <= BROADCAST_BASES else bases
     joined = drawn.join(bases, "pos").withColumn("end", F.element_at("around", (F.pmod("pick", F.size("around")) + 1).cast("int")))
     made = [F.expr(f"x[{i}] + gap * (end.to[{i}] - x[{i}]) AS {ident(c)}") for i, c in enumerate(cols)]
     label_type = df.schema[label].dataType

@@ -20,6 +20,7 @@ from callwise.functions.ranking import MAX_CLASSES, class_counts, keys_at_hash_r
 SEED = 250
 SERVING_SHARE = 0.1
 EVAL_SHARE = 0.2
+PLAIN_ROWS = 500_000  # up to here a class may be sorted in one task
 
 
 def allocate(counts: Mapping[Any, int], share: float) -> dict[Any, int]:
@@ -33,7 +34,14 @@ def allocate(counts: Mapping[Any, int], share: float) -> dict[Any, int]:
 
 
 def cut_by_hash(
-    df: DataFrame, key: str, label: str, names: Sequence[str], rest: str, sizes: Sequence[Mapping[Any, int]], seed: int
+    df: DataFrame,
+    key: str,
+    label: str,
+    names: Sequence[str],
+    rest: str,
+    sizes: Sequence[Mapping[Any, int]],
+    seed: int,
+    plain: bool = False,
 ) -> Column:
     """Name of the split of each row: ``names[i]`` gets the next ``sizes[i][class]`` rows of its class, ``rest`` the others."""
     upto: dict[Any, list[int]] = {}
@@ -43,7 +51,7 @@ def cut_by_hash(
             total += s[c]
             ranks.append(total)
         upto[c] = ranks
-    cuts = keys_at_hash_ranks(df, key, label, seed, upto)
+    cuts = keys_at_hash_ranks(df, key, label, seed, upto, plain)
     key_type = df.schema[key].dataType.simpleString()
     me = f"struct({hash_key_sql(ident(key), seed)}, {ident(key)})"
     cases = []
@@ -58,10 +66,14 @@ def cut_by_hash(
     return F.expr(f"CASE {' '.join(cases)} ELSE {literal(rest)} END")
 
 
-def stratified_holdout(df: DataFrame, key: str, label: str, share: float, seed: int = SEED) -> DataFrame:
+def stratified_holdout(
+    df: DataFrame, key: str, label: str, share: float, seed: int = SEED, plain_rows: int = PLAIN_ROWS
+) -> DataFrame:
     """Add ``is_holdout`` for a share of the rows that keeps the class proportions."""
-    sizes = allocate(class_counts(df, label), share)
-    return df.withColumn("is_holdout", cut_by_hash(df, key, label, ["holdout"], "rest", [sizes], seed) == F.lit("holdout"))
+    counts = class_counts(df, label)
+    plain = sum(counts.values()) <= plain_rows
+    name = cut_by_hash(df, key, label, ["holdout"], "rest", [allocate(counts, share)], seed, plain)
+    return df.withColumn("is_holdout", name == F.lit("holdout"))
 
 
 def three_way_split(
@@ -71,6 +83,7 @@ def three_way_split(
     serving: float = SERVING_SHARE,
     evaluation: float = EVAL_SHARE,
     seed: int = SEED,
+    plain_rows: int = PLAIN_ROWS,
 ) -> DataFrame:
     """Add ``split``: a serving holdout, then an evaluation holdout of what remains, the rest for training.
 
@@ -79,7 +92,8 @@ def three_way_split(
     counts = class_counts(df, label)
     first = allocate(counts, serving)
     second = allocate({c: n - first[c] for c, n in counts.items()}, evaluation)
-    return df.withColumn("split", cut_by_hash(df, key, label, ["serving", "eval"], "train", [first, second], seed))
+    plain = sum(counts.values()) <= plain_rows
+    return df.withColumn("split", cut_by_hash(df, key, label, ["serving", "eval"], "train", [first, second], seed, plain))
 
 
 def serving_emulation(split_df: DataFrame, label: str) -> DataFrame:
@@ -97,7 +111,9 @@ def fold_sizes(counts: Sequence[tuple[Any, int]], k: int) -> dict[Any, list[int]
     return sizes
 
 
-def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 10, name: str = "fold") -> DataFrame:
+def stratified_kfold(
+    df: DataFrame, key: str, label: str, k: int = 10, name: str = "fold", plain_rows: int = PLAIN_ROWS
+) -> DataFrame:
     """Add the fold number 0..k-1. Folds are unshuffled: in each class a fold is a run of consecutive ids.
 
     Classes are laid out in the order of their smallest id. The cut ids are order statistics, so the table itself is
@@ -108,7 +124,7 @@ def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 10, name: str
         raise ValueError(f"{label} has more than {MAX_CLASSES} values and is no class label")
     sizes = fold_sizes([(r[0], r["n"]) for r in sorted(rows, key=lambda r: r["first"])], k)
     uptos = {c: [sum(s[: i + 1]) for i in range(k - 1)] for c, s in sizes.items()}
-    cut = values_at_ranks(df, key, label, {c: [u - 1 for u in us if u > 0] for c, us in uptos.items()})
+    cut = values_at_ranks(df, key, label, {c: [u - 1 for u in us if u > 0] for c, us in uptos.items()}, plain_rows)
     cases = []
     for c, us in uptos.items():
         steps = [f"WHEN CAST({ident(key)} AS DOUBLE) <= {literal(cut[(c, us[i] - 1)])} THEN {i}" for i in range(k - 1) if us[i] > 0]

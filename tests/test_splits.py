@@ -36,6 +36,14 @@ def test_three_way_is_complete_disjoint_and_stable(people):
     assert other != first
 
 
+def test_hash_buckets_give_the_same_split(people):
+    plain = {r["id"]: r["split"] for r in S.three_way_split(people, "id", "y").collect()}
+    wide = {r["id"]: r["split"] for r in S.three_way_split(people, "id", "y", plain_rows=0).collect()}
+    assert wide == plain
+    folds = [S.stratified_kfold(people, "id", "y", 7, plain_rows=n).orderBy("id").collect() for n in (0, 10**6)]
+    assert folds[0] == folds[1]
+
+
 def test_three_way_is_two_holdouts(people):
     both = {r["id"]: r["split"] for r in S.three_way_split(people, "id", "y").collect()}
     first = S.stratified_holdout(people, "id", "y", 0.1)
