@@ -554,13 +554,14 @@ def point_metrics(spark, d):
 
 
 def _scores(spark, d):
+    """The new version scored the customers with over 5 orders, the old one those with a low-priority order."""
     scored = C.campaign_scores(spark, d)
-    new = SV.as_scores(scored.filter(F.col("id") % 10 != 3), "v0.0.2")
-    return new.unionByName(SV.as_scores(scored.filter(F.col("id") % 10 != 4), "v0.0.1", score="old_score"))
+    new = SV.as_scores(scored.filter(F.col("n_orders") > 5), "v0.0.2")
+    return new.unionByName(SV.as_scores(scored.filter(F.col("n_low") > 0), "v0.0.1", score="old_score"))
 
 
 def _outcomes(spark, d):
-    return C.campaign_table(spark, d).filter(F.col("n_orders") > 9).select("id", F.col("response").alias("result"))
+    return C.campaign_table(spark, d).filter(F.col("n_urgent") > 2).select("id", F.col("response").alias("result"))
 
 
 @query

@@ -108,7 +108,7 @@ def logistic(intercept: float, weights: dict[str, float]) -> str:
 SCORED = (
     *FEATURES,
     "scored AS (SELECT id, response AS label, "
-    + f"round({logistic(INTERCEPT, WEIGHTS)}, 3) AS score, round({logistic(OLD_INTERCEPT, OLD_WEIGHTS)}, 3) AS old_score FROM features)",
+    + f"round({logistic(INTERCEPT, WEIGHTS)}, 3) AS score, round({logistic(OLD_INTERCEPT, OLD_WEIGHTS)}, 3) AS old_score, n_orders, n_low FROM features)",
     "pred AS (SELECT *, CASE WHEN score >= 0.53 THEN 1 ELSE 0 END AS pred FROM scored)",
 )
 
@@ -484,8 +484,8 @@ def points(pred: str) -> str:
 add("point_metrics", *SCORED, sql=f"SELECT {points('score >= 0.53')} FROM scored")
 
 VERSIONS = """
-scores AS (SELECT id, score, 'v0.0.2' AS version FROM scored WHERE id % 10 <> 3 UNION ALL SELECT id, old_score, 'v0.0.1' FROM scored WHERE id % 10 <> 4),
-outcomes AS (SELECT id, response AS result FROM campaign WHERE n_orders > 9)"""
+scores AS (SELECT id, score, 'v0.0.2' AS version FROM scored WHERE n_orders > 5 UNION ALL SELECT id, old_score, 'v0.0.1' FROM scored WHERE n_low > 0),
+outcomes AS (SELECT id, response AS result FROM campaign WHERE n_urgent > 2)"""
 add("attach_scores", *SCORED, VERSIONS, sql="SELECT c.id, segment, score AS success_rate FROM campaign c LEFT JOIN scores s ON s.id = c.id AND version = 'v0.0.2'")
 add("champion_challenger", *SCORED, VERSIONS, sql="""
 SELECT id, o.score AS old_score, n.score AS new_score, round(n.score - o.score, 6) AS change FROM

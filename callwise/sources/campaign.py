@@ -100,13 +100,15 @@ def campaign_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def campaign_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, label, score, old_score)`` from fixed coefficients, scores rounded so that ties occur."""
+    """``(id, label, score, old_score, n_orders, n_low)``: fixed coefficients, scores rounded so that ties occur."""
     features = campaign_features(spark, sf_dir)
     return features.select(
         KEY,
         F.col(LABEL).alias("label"),
         F.round(linear_logistic(INTERCEPT, WEIGHTS), 3).alias("score"),
         F.round(linear_logistic(OLD_INTERCEPT, OLD_WEIGHTS), 3).alias("old_score"),
+        "n_orders",
+        "n_low",
     )
 
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -17,6 +18,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="callwise-warehouse-"))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

@@ -110,6 +110,29 @@ def test_table_replaces_itself_with_a_new_column(spark, tmp_path):
     assert spark.read.parquet(path).agg(F.sum("rate")).collect()[0][0] == 90
 
 
+def test_catalog_table_replaces_itself(spark):
+    spark.range(10).write.mode("overwrite").saveAsTable("customer_copy")
+    for column in ("old_rate", "new_rate"):
+        T.overwrite_with_column(spark, T.read_table(spark, "customer_copy").withColumn(column, F.col("id") * 2), "customer_copy")
+    out = T.read_table(spark, "customer_copy")
+    assert out.columns == ["id", "old_rate", "new_rate"] and out.agg(F.sum("new_rate")).collect()[0][0] == 90
+
+
+def test_csv_round_trip_keeps_types_and_nulls(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a,\"b\"", 1.5, None), (2, None, None, 7)], "id long, s string, x double, n int")
+    T.write_csv(df.withColumn("row_index", F.col("id")), str(tmp_path / "csv"))
+    back = T.read_csv(spark, str(tmp_path / "csv"), "id long, s string, x double, n int, row_index long", drop=["row_index"])
+    assert back.schema == df.schema and back.orderBy("id").collect() == df.orderBy("id").collect()
+
+
+def test_splits_prune(spark, base, tmp_path):
+    path = str(tmp_path / "splits")
+    T.write_splits(SP.three_way_split(base, C.KEY, C.LABEL), path)
+    assert sum(T.read_split(spark, path, s).count() for s in ("train", "eval", "serving")) == 150
+    plan = T.read_split(spark, path, "eval")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
+
+
 def test_call_list_order_and_exclusions(spark):
     scores = spark.createDataFrame([(i, s, "v") for i, s in ((3, 0.9), (1, 0.9), (2, 0.95), (4, 0.1))], "id long, score double, version string")
     outcomes = spark.createDataFrame([(2, 1)], "id long, result int")
