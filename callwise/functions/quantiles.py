@@ -46,8 +46,9 @@ def quantiles(
             for j, p in enumerate(probs):
                 if n:
                     pos = p * (n - 1)
-                    lo_rank, hi_rank = int(pos), min(int(pos) + 1, n - 1)
-                    lo, hi = _bracket(r, i, j, n)
+                    lo_rank = int(pos)
+                    hi_rank = lo_rank if pos == lo_rank else lo_rank + 1
+                    lo, hi = _bracket(r, i, j, p, n)
                     targets.append((*[r[b] for b in by], c, float(p), lo_rank, hi_rank, float(pos - lo_rank), lo, hi))
     return _select(df, cols, by, targets)
 
@@ -93,7 +94,10 @@ def _sketch(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequ
     return rows
 
 
-def _bracket(row: Any, i: int, j: int, n: int) -> tuple[float, float]:
+def _bracket(row: Any, i: int, j: int, p: float, n: int) -> tuple[float, float]:
+    if p <= 0 or p >= 1:  # the ends need no search
+        end = row[f"min_{i}"] if p <= 0 else row[f"max_{i}"]
+        return end, end
     if n * BRACKET_SLACK < 4:  # the bracket would be narrower than the ranks it must hold
         return row[f"min_{i}"], row[f"max_{i}"]
     return row[f"near_{i}"][2 * j], row[f"near_{i}"][2 * j + 1]
@@ -136,8 +140,7 @@ def _select(df: DataFrame, cols: Sequence[str], by: Sequence[str], targets: list
     for b in by:
         match = match & F.col(b).eqNullSafe(F.col(f"_{b}"))
     # values below the bracket share one row per slot: only their number matters
-    width = F.col("hi") - F.col("lo")
-    share = F.when(width > 0, (F.col("value") - F.col("lo")) / F.when(width > 0, width)).otherwise(F.lit(0.0))
+    share = F.expr("CASE WHEN hi > lo THEN (value - lo) / (hi - lo) ELSE 0D END")
     inside = (
         tall.join(bracket, match & (F.col("value") <= F.col("hi")))
         .select(

@@ -95,23 +95,28 @@ def hash_position(df: DataFrame, key: str, seed: int, name: str = "pos") -> Data
     )
 
 
-def range_bucket(c: Column, edges: Sequence[float]) -> Column:
-    """Number of edges below ``c``, found by two short scans (coarse, then fine) over literal arrays."""
+def range_bucket(c: Column, edges: Sequence[Any]) -> Column:
+    """Number of edges (numbers or texts) below ``c``, found by two short scans (coarse, then fine) over literal arrays."""
     if not edges:
         return F.lit(0)
     coarse = edges[RANGE_FANOUT - 1 :: RANGE_FANOUT]
-    below = F.size(F.filter(_double_array(coarse), lambda e: e < c)) if coarse else F.lit(0)
+    below = F.size(F.filter(_literal_array(coarse), lambda e: e < c)) if coarse else F.lit(0)
     start = below * RANGE_FANOUT
-    fine = F.slice(_double_array(edges), start + 1, RANGE_FANOUT)
+    fine = F.slice(_literal_array(edges), start + 1, RANGE_FANOUT)
     return start + F.size(F.filter(fine, lambda e: e < c))
 
 
-def _double_array(values: Sequence[float]) -> Column:
-    return F.expr(f"array({', '.join(literal(float(v)) for v in values)})")
+def _literal_array(values: Sequence[Any]) -> Column:
+    return F.expr(f"array({', '.join(literal(v) for v in values)})")
 
 
-def range_edges(table: DataFrame, column: str, buckets: int = RANGE_BUCKETS) -> list[float]:
-    """Distinct values that cut ``column`` into about equally full ranges. Only balance depends on their accuracy."""
+def range_edges(table: DataFrame, column: str, buckets: int = RANGE_BUCKETS) -> list[Any]:
+    """Values that cut ``column`` into about equally full ranges. Only the balance depends on them, no result does.
+
+    Texts, which must be distinct, are cut at a hash sample of themselves.
+    """
+    if dict(table.dtypes)[column] == "string":
+        return sorted(r[0] for r in table.select(column).orderBy(F.xxhash64(column), column).limit(buckets - 1).collect())
     probs = [i / buckets for i in range(1, buckets)]
     return sorted(set(table.stat.approxQuantile(column, probs, 1 / (4 * buckets))))
 
@@ -125,7 +130,7 @@ def running_totals(
     buckets: int = RANGE_BUCKETS,
     is_staged: bool = False,
 ) -> DataFrame:
-    """Running sums over the whole table in the order of ``order``, whose values must be distinct.
+    """Running sums over the whole table in the order of ``order``, a number or text whose values must be distinct.
 
     ``sums`` maps an output name to the column that is summed. The input is staged, so its size is known and both
     passes see the same rows. Up to ``plain_rows`` rows one window does it; beyond that the rows are cut into ranges
@@ -136,7 +141,8 @@ def running_totals(
     if staged.count() <= plain_rows:
         w = Window.orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
         return staged.withColumns({out: F.sum(src).over(w) for out, src in sums.items()})
-    cut = staged.withColumn("_r", range_bucket(F.col(order).cast("double"), range_edges(staged, order, buckets)))
+    value = F.col(order) if dict(staged.dtypes)[order] == "string" else F.col(order).cast("double")
+    cut = staged.withColumn("_r", range_bucket(value, range_edges(staged, order, buckets)))
     ranges = Window.orderBy(F.col("_r").desc() if descending else F.col("_r").asc())
     before = ranges.rowsBetween(Window.unboundedPreceding, -1)
     starts = cut.groupBy("_r").agg(*[F.sum(src).alias(f"_t_{out}") for out, src in sums.items()])
