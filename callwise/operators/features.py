@@ -365,11 +365,3 @@ class _ImputeThenEncode(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWr
         imputer = ImputerModel()._set(cols=cols, fitted=json.dumps(modes_))
         encoder = LabelEncoderModel()._set(cols=cols, fitted=json.dumps(codes), unseen=self.getOrDefault(self.unseen))
         return PipelineModel(stages=[imputer, encoder])
-
-
-def fit_pipeline(pipeline: Pipeline, *parts: DataFrame) -> PipelineModel:
-    """Fit on the union of the given splits. The default flow fits on training and evaluation rows together."""
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return pipeline.fit(rows)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
 from callwise.functions.scalars import DECISION_THRESHOLD, threshold_classify
@@ -44,7 +42,3 @@ def call_list(scores: DataFrame, outcomes: DataFrame, version: str, n: int) -> D
     """The n customers to call next: best score first, those already called left out. A top-n, not a full sort."""
     waiting = scores.filter(F.col("version") == version).join(outcomes.select("id"), "id", "left_anti")
     return waiting.select("id", "score").orderBy(F.col("score").desc(), "id").limit(n)
-
-
-def version_columns(versions: Sequence[str], prefix: str = "success_rate_") -> dict[str, str]:
-    return {v: f"{prefix}{v}" for v in versions}

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -66,15 +65,3 @@ def overwrite_with_column(spark: SparkSession, table: DataFrame, target: str) ->
         staged.write.mode("overwrite").parquet(target)
     else:
         staged.write.mode("overwrite").option("mergeSchema", "true").saveAsTable(target)
-
-
-def append_rows(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException:
-        return False
