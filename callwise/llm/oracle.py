@@ -2,6 +2,24 @@
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["op2_line_dedup"] = """
+WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+w AS (
+  SELECT doc_id, pos, ls[pos] AS a, ls[pos + 1] AS b, ls[pos + 2] AS c
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) - 1)) AS pos FROM l)
+),
+r AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) AS rn
+  FROM w WHERE NOT (trim(a) = '' AND trim(b) = '' AND trim(c) = '')
+),
+covered AS (SELECT DISTINCT doc_id, pos + unnest([0, 1, 2]) AS line FROM r WHERE rn > 1),
+x AS (SELECT doc_id, len(ls) AS n_lines, ls, unnest(range(1, len(ls) + 1)) AS line FROM l)
+SELECT x.doc_id, any_value(n_lines) AS n_lines, count(covered.line) AS n_removed,
+       coalesce(string_agg(ls[x.line], chr(10) ORDER BY x.line) FILTER (covered.line IS NULL), '') AS text
+FROM x LEFT JOIN covered ON x.doc_id = covered.doc_id AND x.line = covered.line
+GROUP BY x.doc_id
+"""
+
 ORACLE["op10_exact_dedup"] = """
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents

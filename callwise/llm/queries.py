@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callwise.llm import exact_dedup, simhash, token_counts
+from callwise.llm import exact_dedup, line_dedup, packing, secrets, simhash, token_counts
 from callwise.llm.common import documents
 from callwise.sources.staging import stage
 
@@ -21,12 +21,34 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(documents(spark, sf_dir))
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(documents(spark, sf_dir), width=3, distance=2)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), capacity=SEQUENCE_TOKENS)
+
+
+@query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secrets(documents(spark, sf_dir))
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *[number(i).alias(f"n_{kind}") for i, kind in enumerate(secrets.KINDS[:3])],
+        F.sha2(secrets.render("base"), 256).alias("base_sha256"),
+        secrets.render(F.concat("base", "added")).alias("spans"),
+    )
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(documents(spark, sf_dir))
