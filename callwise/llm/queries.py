@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callwise.llm import exact_dedup, line_dedup, packing, secrets, simhash, token_counts
+from callwise.llm import exact_dedup, line_dedup, packing, secrets, simhash, token_counts, toxicity
 from callwise.llm.common import documents
 from callwise.sources.staging import stage
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SEQUENCE_TOKENS = 1024
+TOXIC = 0.7
 
 
 def query(fn: Query) -> Query:
@@ -62,3 +63,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     digests = exact_dedup.digests(docs).withColumnsRenamed({"doc_id": "_d", "n_bytes": "_b", "prefix_hash": "_p"})
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("n_bytes") == F.col("_b")) & (F.col("prefix_hash") == F.col("_p"))
     return digests.join(decided, same).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.add_scores(docs.select("doc_id", "text"), toxicity.trained(docs, labels))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
