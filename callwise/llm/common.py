@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -14,12 +15,23 @@ HOT_ROWS = 20_000
 HOT_SHARE = 1_000
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers find this library where the driver found it; an installed or shipped one is found as well."""
+    known = spark.sparkContext.environment
+    if ROOT not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(x for x in (known.get("PYTHONPATH"), ROOT) if x)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id bigint, text string)``: all other columns are left behind, whatever their names; null text is empty."""
+    reachable(docs.sparkSession)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 

@@ -4,13 +4,14 @@ Training: for every word stem (its first bytes) the labelled documents of each c
 log-odds between the classes under a Dirichlet prior, and their standard error, decide which stems enter the lexicon.
 Scoring: a token scores the log-odds of its strongest stem, any other token the small negative log-odds of not being in the
 lexicon. One linear scan gives all maximal segments of a text. Under the clean background the best segment of n tokens
-follows an extreme-value law, P(S > s) ~ K n exp(-lambda s), so a segment counts by how far lambda s exceeds ln(K n), and a
-document by the sum over its significant segments. A logistic curve fitted on the labelled documents turns that into a
-probability.
+follows an extreme-value law, P(S > s) = 1 - exp(-K n exp(-lambda s)). K is the share of lexicon tokens in clean text, as
+every segment starts at one (clumps of a Poisson process). A segment counts by -ln P, a document by the sum over its
+significant segments, and a logistic curve fitted on the labelled documents turns that into a probability.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,18 +19,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callwise.llm.common import map_texts, texts
+from callwise.llm.common import map_texts, reachable, texts
 from callwise.llm.words import groups, LETTERS, scan, stem_hashes
 from callwise.sources.staging import stage
 
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8, 10)
 PRIOR = 0.5  # Dirichlet pseudo-documents per stem and class at least
 PRIOR_DOCS = 50.0  # and so many more, shared out by how common the stem is in both classes together
-LEAST_Z = 3.3
+LEAST_Z = 3.0
 LEAST_ODDS = 2.0
 LEXICON = 262_144  # a bound on the model, 4 MB; the strongest stems stay
-SIGNIFICANT = 0.0  # nats by which a segment must exceed ln(K n)
-K = 1.0  # the scale of the extreme-value law; the logistic fit absorbs what it is off
+SIGNIFICANT = 3.0  # nats: a chance of 5 % that clean text of this length has such a segment
 BINS = 4_096
 BIN = 0.05
 
@@ -40,6 +40,7 @@ class Model:
     odds: np.ndarray
     neutral: float  # score of a token outside the lexicon
     rate: float  # lambda
+    scale: float = 1.0  # K
     intercept: float = 0.0
     slope: float = 0.0
 
@@ -91,15 +92,16 @@ def _token_scores(model: Model, raws: list[bytes]) -> Iterator[tuple[np.ndarray,
 
 
 def passages_of(model: Model, raws: list[bytes]) -> list[list[tuple[int, int, float]]]:
-    """Significant segments ``(first word, word after the last, nats above chance)`` of each text."""
+    """Significant segments ``(first word, word after the last, -ln P)`` of each text."""
     out: list[list[tuple[int, int, float]]] = []
     for number, doc, place, score in _token_scores(model, raws):
         cuts = np.searchsorted(doc, np.arange(len(number) + 1))
         for i, n in enumerate(number.tolist()):
             a, b = cuts[i], cuts[i + 1]
             found = segments(place[a:b].tolist(), score[a:b].tolist(), model.neutral) if b > a else []
-            chance = np.log(K * n) if n else 0.0
-            out.append([(f, last + 1, model.rate * s - chance) for f, last, s in found if model.rate * s - chance > SIGNIFICANT])
+            expected = [model.scale * n * math.exp(-min(model.rate * s, 600.0)) for _, _, s in found]
+            nats = [-math.log(-math.expm1(-e)) for e in expected]
+            out.append([(f, last + 1, x) for (f, last, _), x in zip(found, nats, strict=True) if x > SIGNIFICANT])
     return out
 
 
@@ -138,7 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     summed = stage(counted.groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "words")]), "stems")
     totals = summed.filter("stem = 0").first()
     n_toxic, n_clean, words = (int(totals[c]) for c in ("toxic", "clean", "words")) if totals else (0, 0, 0)
-    empty = Model(np.zeros(0, np.uint64), np.zeros(0), -0.05, 1.0, float(np.log((n_toxic + 0.5) / (n_clean + 0.5))), 0.0)
+    empty = Model(np.zeros(0, np.uint64), np.zeros(0), -0.05, 1.0, 1.0, float(np.log((n_toxic + 0.5) / (n_clean + 0.5))), 0.0)
     if not n_toxic or not n_clean:
         return empty
     prior = PRIOR + PRIOR_DOCS * (F.col("toxic") + F.col("clean")) / (n_toxic + n_clean)
@@ -148,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     best = scored.filter((F.col("z") > LEAST_Z) & (F.col("odds") > LEAST_ODDS)).orderBy(F.desc("z"), "stem").limit(LEXICON).toArrow()
     if not best.num_rows:
         return empty
-    stems, order = best["stem"].to_numpy().view(np.uint64), None
+    stems = best["stem"].to_numpy().view(np.uint64)
     order = np.argsort(stems)
     s = best["odds"].to_numpy()[order]
     # share of lexicon tokens in clean text, and lambda: the positive root of sum p exp(lambda s) = 1
@@ -163,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     for _ in range(60):
         middle = (low + high) / 2
         low, high = (middle, high) if grown(middle) < 1 else (low, middle)
-    model = Model(stems[order], s, neutral, high)
+    model = Model(stems[order], s, neutral, high, inside)
 
     def bins(marks: list, raws: list) -> dict:
         x = np.array([_evidence(p) for p in passages_of(model, raws)])
@@ -171,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
 
     table = map_texts(learned, bins, "bin bigint, label bigint", ("label", "text")).groupBy("bin", "label").count().toArrow()  # 2 * BINS rows at most
     intercept, slope = _logistic(table["bin"].to_numpy() * BIN, table["label"].to_numpy(), table["count"].to_numpy())
-    return Model(model.stems, model.odds, model.neutral, model.rate, intercept, slope)
+    return Model(model.stems, model.odds, model.neutral, model.rate, model.scale, intercept, slope)
 
 
 def _evidence(found: list[tuple[int, int, float]]) -> float:
@@ -194,9 +196,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.05)
 def add_scores(docs: DataFrame, model: Model, score: str = "score", passages: str | None = None) -> DataFrame:
     """``docs`` with all of its columns and the probability of the label; a column called ``score`` is replaced.
 
-    ``passages`` names a column for the significant passages ``(first word, word after the last, nats above chance)``. The
+    ``passages`` names a column for the significant passages ``(first word, word after the last, -ln P)``. The
     score reads the text alone; null and empty texts get that of a text without evidence. Row by row, no shuffle.
     """
+    reachable(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (score, passages)]
     read = docs.select(*[F.col(_quoted(c)) for c in kept], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_scored"))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
