@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callwise.llm import exact_dedup, line_dedup, packing, secrets, simhash, token_counts, toxicity
+from callwise.llm import embedding_dedup, exact_dedup, line_dedup, mixing, packing, secrets, simhash, token_counts, toxicity
 from callwise.llm.common import documents
 from callwise.sources.staging import stage
 
@@ -70,3 +70,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = toxicity.add_scores(docs.select("doc_id", "text"), toxicity.trained(docs, labels))
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+@query
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
