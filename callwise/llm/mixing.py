@@ -23,7 +23,7 @@ TOPIC_BYTES = 6  # shorter words say little about the subject
 TEMPERATURE = 0.8
 SHARE = 0.7
 SWEEPS = 30
-TOLERANCE = 1e-6
+TOLERANCE = 1e-4
 NONE = "(none)"
 
 
@@ -64,8 +64,9 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], share: float = SHAR
     """Add ``weight``, the tokens each cell is to give: the marginals of ``targets`` times ``share`` of all tokens.
 
     ``cells`` has the dimensions and ``tokens``. A value without a target keeps what the other dimensions leave it; a target
-    without tokens cannot be met. The sweeps end when all sums are within ``tolerance`` or after ``sweeps``; with cells at
-    their limit the sums may stay off, which ``weight`` then shows. Each sweep ends as a written table.
+    without tokens cannot be met. The sweeps end when none changes a cell by more than ``tolerance`` of itself, or after
+    ``sweeps``; with cells at their limit the sums may stay off, which ``weight`` then shows. Each sweep ends as a written
+    table.
     """
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     current = cells.withColumn("weight", F.col("tokens").cast("double") * share)
@@ -73,15 +74,14 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], share: float = SHAR
         return current
     wanted = {d: stage(t.select(F.col("value").alias(d), (F.col("share") * total * share).alias("_want")), f"target-{d}") for d, t in targets.items()}
     for _ in range(sweeps):
-        off: Column = F.lit(0.0)
+        current = current.withColumn("_old", F.col("weight"))
         for k, (d, want) in enumerate(wanted.items()):
             sums = current.groupBy(d).agg(F.sum("weight").alias("_sum")).join(want, d)
             ratio = sums.select(d, F.when(F.col("_sum") > 0, F.col("_want") / F.col("_sum")).otherwise(F.lit(1.0)).alias(f"_r{k}"))
             current = current.join(ratio, d, "left").withColumn("weight", F.least(F.col("tokens"), F.col("weight") * F.coalesce(f"_r{k}", F.lit(1.0))))
-            off = F.greatest(off, F.abs(F.coalesce(f"_r{k}", F.lit(1.0)) - 1))
-        current = stage(current.withColumn("_off", off), "raked")
-        worst = current.agg(F.max("_off")).first()[0]
-        current = current.drop("_off", *[f"_r{k}" for k in range(len(wanted))])
+        current = stage(current, "raked")
+        worst = current.agg(F.max(F.abs(F.col("weight") - F.col("_old")) / F.greatest("_old", F.lit(1e-9)))).first()[0]
+        current = current.drop("_old", *[f"_r{k}" for k in range(len(wanted))])
         if worst < tolerance:
             break
     return current

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callwise.llm import embedding_dedup, exact_dedup, line_dedup, mixing, packing, secrets, simhash, token_counts, toxicity
+from callwise.llm import embedding_dedup, exact_dedup, line_dedup, mixing, packing, secrets, simhash, substring_dedup, token_counts, toxicity
 from callwise.llm.common import documents
 from callwise.sources.staging import stage
 
@@ -80,3 +80,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(documents(spark, sf_dir))
