@@ -103,12 +103,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with its own columns and one row left of each group of equal texts."""
     decided = stage(exact_duplicates(docs), "decided")
-    gone = decided.filter("NOT kept").select(F.col("doc_id").alias("_gone"), F.col("n_bytes").alias("_bytes")).distinct()
-    n_bytes = F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    left = docs.join(gone.hint("shuffle_hash"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_gone")) & (n_bytes == F.col("_bytes")), "left_anti")
-    again = texts(docs).groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
+    gone = decided.filter("NOT kept").select("doc_id", "n_bytes").distinct().hint("shuffle_hash")
+    n_bytes = F.octet_length(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    left = docs.join(gone, docs["doc_id"].cast("bigint").eqNullSafe(gone["doc_id"]) & (n_bytes == gone["n_bytes"]), "left_anti")
+    again = stage(texts(docs).groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
     if again.isEmpty():  # no doc_id occurs twice
         return left
-    repeated = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_again"))
+    repeated = left["doc_id"].cast("bigint").eqNullSafe(again["doc_id"])
     once = left.join(again, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
     return left.join(again, repeated, "left_anti").unionByName(once)

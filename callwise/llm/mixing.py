@@ -112,5 +112,5 @@ def mix(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, share:
 
 def sample(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, share: float = SHARE, seed: int = 42) -> DataFrame:
     """``docs`` with its own columns, the sampled rows only."""
-    ids = mix(docs, targets, share, seed).filter("sampled").select(F.col("doc_id").alias("_taken")).distinct()
-    return docs.join(stage(ids, "sampled").hint("shuffle_hash"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_taken")), "left_semi")
+    taken = stage(mix(docs, targets, share, seed).filter("sampled").select("doc_id").distinct(), "sampled").hint("shuffle_hash")
+    return docs.join(taken, docs["doc_id"].cast("bigint").eqNullSafe(taken["doc_id"]), "left_semi")

@@ -134,5 +134,5 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def drop_near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
     """``docs`` with its own columns, one document left of each component: the one with the smallest doc_id."""
     groups = simhash_groups(docs, width=width, distance=distance)
-    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(stage(gone, "gone").hint("shuffle_hash"), F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    gone = stage(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "gone").hint("shuffle_hash")
+    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["doc_id"], "left_anti")

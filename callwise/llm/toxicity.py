@@ -201,7 +201,7 @@ def add_scores(docs: DataFrame, model: Model, score: str = "score", passages: st
     """
     reachable(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (score, passages)]
-    read = docs.select(*[F.col(_quoted(c)) for c in kept], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_scored"))
+    read = docs.select(*[F.col(_quoted(c)) for c in kept], F.coalesce(F.col("text").cast("string"), F.lit("")))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     fields = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in read.schema.fields[:-1])
     kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("nats", pa.float64())]))
@@ -232,3 +232,11 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 
 def trained(docs: DataFrame, labels: DataFrame) -> Model:
     return train(docs, labels.filter(~held_out()))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float) -> DataFrame:
+    """``docs`` with its own columns, without the documents that score ``limit`` or more."""
+    score = "score"
+    while score in docs.columns:
+        score = "_" + score
+    return add_scores(docs, trained(docs, labels), score).filter(F.col(score) < limit).select(*[F.col(_quoted(c)) for c in docs.columns])
