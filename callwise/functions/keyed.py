@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-UINT32 = 4294967296.0
+DRAW_DIGITS = 15
+DRAWS = 2.0 ** (4 * DRAW_DIGITS)
 BUCKET_DIGITS = 4  # 65,536 hash buckets
 
 
@@ -26,5 +27,5 @@ def hash_bucket(hashed: Column) -> Column:
 
 
 def hash_integer(text: Column) -> Column:
-    """Integer in [0, 2**32) from the first eight hexadecimal digits."""
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    """Integer in [0, 2**60) from the first 15 hexadecimal digits: far more than rows, so a remainder is even."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, DRAW_DIGITS), 16, 10).cast("bigint")

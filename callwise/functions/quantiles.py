@@ -1,176 +1,86 @@
-"""Exact quantiles and order statistics for columns of any size.
+"""Exact quantiles of columns of any size, for any number of groups.
 
-Spark's ``percentile`` keeps every distinct value of a column in one map. That is fine for a bounded number of rows
-and is used then. Beyond the bound, a sketch gives a narrow bracket around each wanted rank, one more pass counts
-what lies below the bracket and the distinct values inside it, and the rank is found among those. The result is
-exact: the counts are exact, and a bracket that missed its rank would raise an error, never give another value.
+A sketch gives a narrow bracket around each wanted rank. One more pass counts what lies below each bracket and collects
+the distinct values inside it. The bracket is then cut into sub-buckets and narrowed to the one with the rank, again and
+again, until one task can sort what is left. The result is exact: all counts are exact, and a bracket that missed its
+rank would raise an error, never give another value. There is one way for all sizes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import Any
 
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from callwise.functions.scalars import ident, literal, nan_to_null
-from callwise.sources.staging import local_rows
+from callwise.sources.staging import stage
 
-MAP_ROWS = 1_000_000
 SKETCH_ACCURACY = 2_000
 BRACKET_SLACK = 1e-3
 SUB_BUCKETS = 1_024
-MAX_GROUPS = 1_000
+SORT_ROWS = 100_000  # distinct values that one task sorts
 
 
-def quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    map_rows: int = MAP_ROWS,
-) -> DataFrame:
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), sort_rows: int = SORT_ROWS) -> DataFrame:
     """Linearly interpolated quantiles as rows ``(by..., feature, prob, value)``, nulls and NaN left out.
 
-    ``by`` names columns with few groups (a split or a version), at most 1,000 of them.
+    A column without values gives rows with a null value, in every group of ``by``.
     """
     df = nan_to_null(df, cols)
-    if df.count() <= map_rows:  # for a parquet table a look at the file footers
-        return _from_map(df, cols, probs, by)
-    heads = _sketch(df, cols, probs, by)
-    targets = []
-    for r in heads:
-        for i, c in enumerate(cols):
-            n = r[f"n_{i}"]
-            for j, p in enumerate(probs):
-                if n:
-                    pos = p * (n - 1)
-                    lo_rank = int(pos)
-                    hi_rank = lo_rank if pos == lo_rank else lo_rank + 1
-                    lo, hi = _bracket(r, i, j, p, n)
-                    targets.append((*[r[b] for b in by], c, float(p), lo_rank, hi_rank, float(pos - lo_rank), lo, hi))
-    return _select(df, cols, by, targets)
-
-
-def values_at_ranks(df: DataFrame, col: str, by: str, ranks: dict[Any, Sequence[int]], map_rows: int = MAP_ROWS) -> dict:
-    """Value of ``col`` at each wanted 0-based rank inside each group of ``by``; the driver gets groups x ranks values."""
-    rows = df.select(F.col(by).alias("grp"), F.col(col).cast("double").alias("v"))
-    limits = {
-        r["grp"]: r for r in rows.groupBy("grp").agg(F.expr("count(v) AS n"), F.expr("min(v) AS lo"), F.expr("max(v) AS hi")).collect()
-    }
-    if any(max(abs(x["lo"]), abs(x["hi"])) > 2**53 for x in limits.values() if x["n"]):
-        raise ValueError(f"{col} has values beyond 2**53, which doubles cannot tell apart")
-    if sum(x["n"] for x in limits.values()) <= map_rows:
-        order = Window.partitionBy("grp").orderBy("v")
-        hits = " OR ".join(f"(grp <=> {literal(g)} AND pos = {int(r)})" for g, rs in ranks.items() for r in sorted(set(rs)))
-        numbered = rows.filter("v IS NOT NULL").withColumn("pos", F.row_number().over(order) - 1)
-        return {(r["grp"], r["pos"]): r["v"] for r in numbered.filter(hits or "false").collect()}
-    targets = []
-    for g, rs in ranks.items():
-        n = limits[g]["n"]
-        needed = sorted({int(r) for r in rs if 0 <= r < n})
-        brackets = {r: (limits[g]["lo"], limits[g]["hi"]) for r in needed}
-        if n > map_rows and needed:
-            mine = rows.filter(F.col("grp").eqNullSafe(F.lit(g)))
-            near = [min(1.0, max(0.0, (r + d * BRACKET_SLACK * n) / n)) for r in needed for d in (-1, 1)]
-            found = mine.agg(F.percentile_approx("v", near, SKETCH_ACCURACY).alias("q")).collect()[0]["q"]
-            brackets = {r: (found[2 * k], found[2 * k + 1]) for k, r in enumerate(needed)}
-        targets += [(g, "v", float(r), r, r, 0.0, *brackets[r]) for r in needed]
-    out = _select(rows, ["v"], ["grp"], targets).collect()
-    return {(r["grp"], int(r["prob"])): r["value"] for r in out}
-
-
-def _sketch(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> list:
+    groups = [f"_g{i}" for i in range(len(by))]
     near = ", ".join(f"{q!r}D" for p in probs for q in (max(0.0, p - BRACKET_SLACK), min(1.0, p + BRACKET_SLACK)))
-    aggs = []
+    aggs, parts = [], []
     for i, c in enumerate(cols):
         v = f"CAST({ident(c)} AS DOUBLE)"
         aggs += [f"count({ident(c)}) AS n_{i}", f"min({v}) AS min_{i}", f"max({v}) AS max_{i}"]
         aggs.append(f"percentile_approx({v}, array({near}), {SKETCH_ACCURACY}) AS near_{i}")
-    rows = df.groupBy(*by).agg(*map(F.expr, aggs)).limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups in {list(by)}")
-    return rows
-
-
-def _bracket(row: Any, i: int, j: int, p: float, n: int) -> tuple[float, float]:
-    if p <= 0 or p >= 1:  # the ends need no search
-        end = row[f"min_{i}"] if p <= 0 else row[f"max_{i}"]
-        return end, end
-    if n * BRACKET_SLACK < 4:  # the bracket would be narrower than the ranks it must hold
-        return row[f"min_{i}"], row[f"max_{i}"]
-    return row[f"near_{i}"][2 * j], row[f"near_{i}"][2 * j + 1]
+        parts.append(f"named_struct('feature', {literal(c)}, 'n', n_{i}, 'low', min_{i}, 'high', max_{i}, 'near', near_{i})")
+    named = [F.col(b).alias(g) for b, g in zip(by, groups, strict=True)]
+    heads = df.groupBy(*named).agg(*map(F.expr, aggs)).select(*groups, F.expr(f"inline(array({', '.join(parts)}))"))
+    wanted = F.posexplode(F.array(*[F.lit(float(p)) for p in probs]))
+    heads = heads.select("*", wanted.alias("k", "prob")).withColumn("pos", F.expr("prob * (n - 1)"))
+    ends = "CASE WHEN pos = floor(pos) THEN array(floor(pos)) ELSE array(floor(pos), floor(pos) + 1) END"
+    narrow = f"prob > 0 AND prob < 1 AND n * {BRACKET_SLACK}D >= 4"  # else the bracket would be narrower than its ranks
+    at = lambda end, plain, i: f"CASE WHEN prob {end} THEN {plain} WHEN {narrow} THEN element_at(near, 2 * k + {i}) ELSE {plain} END"
+    # the ends of the order need no search: their bracket is one value
+    low = F.expr(f"CASE WHEN prob >= 1 THEN high ELSE {at('<= 0', 'low', 1)} END")
+    high = F.expr(f"CASE WHEN prob <= 0 THEN low ELSE {at('>= 1', 'high', 2)} END")
+    plan = heads.select(*groups, "feature", "prob", "n", "pos", low.alias("lo"), high.alias("hi"), F.explode_outer(F.expr(f"IF(n > 0, {ends}, array())")).alias("rank"))
+    slot = F.to_json(F.struct(*groups, "feature", "prob", "rank"))
+    plan = stage(plan.withColumn("slot", slot), "quantile_plan")
 
-
-def _from_map(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    at = ", ".join(f"{float(p)!r}D" for p in probs)
-    wide = df.groupBy(*by).agg(
-        *[F.expr(f"percentile(CAST({ident(c)} AS DOUBLE), array({at})) AS q_{i}") for i, c in enumerate(cols)]
-    )
-    entries = ", ".join(
-        f"named_struct('feature', {literal(c)}, 'prob', {float(p)!r}D, 'value', q_{i}[{j}])"
-        for i, c in enumerate(cols)
-        for j, p in enumerate(probs)
-    )
-    return wide.select(*by, F.expr(f"inline(array({entries}))"))
-
-
-def _select(df: DataFrame, cols: Sequence[str], by: Sequence[str], targets: list) -> DataFrame:
-    spark = df.sparkSession
-    group_fields = [df.schema[b] for b in by]
-    schema = StructType(
-        [StructField(f.name, f.dataType) for f in group_fields]
-        + [
-            StructField("feature", StringType()),
-            StructField("prob", DoubleType()),
-            StructField("lo_rank", LongType()),
-            StructField("hi_rank", LongType()),
-            StructField("part", DoubleType()),
-            StructField("lo", DoubleType()),
-            StructField("hi", DoubleType()),
-            StructField("slot", IntegerType()),
-        ]
-    )
-    plan = local_rows(spark, [(*t, k) for k, t in enumerate(targets)], schema)  # groups x columns x quantiles
-    bracket = F.broadcast(plan.select(*[F.col(b).alias(f"_{b}") for b in by], F.col("feature").alias("_f"), "slot", "lo", "hi"))
     entries = ", ".join(f"named_struct('feature', {literal(c)}, 'value', CAST({ident(c)} AS DOUBLE))" for c in cols)
-    tall = df.select(*by, F.expr(f"inline(array({entries}))")).filter("value IS NOT NULL")
-    match = F.col("feature") == F.col("_f")
-    for b in by:
-        match = match & F.col(b).eqNullSafe(F.col(f"_{b}"))
-    # values below the bracket share one row per slot: only their number matters
-    share = F.expr("CASE WHEN hi > lo THEN (value - lo) / (hi - lo) ELSE 0D END")
-    inside = (
-        tall.join(bracket, match & (F.col("value") <= F.col("hi")))
-        .select(
-            "slot",
-            F.when(F.col("value") >= F.col("lo"), F.least(F.lit(SUB_BUCKETS - 1), F.floor(share * SUB_BUCKETS))).otherwise(F.lit(-1)).cast("int").alias("sub"),
-            F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("value"),
-        )
-        .groupBy("slot", "sub", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    ranks = F.broadcast(plan.select("slot", "lo_rank", "hi_rank"))
-    per_slot = Window.partitionBy("slot").orderBy("sub").rowsBetween(Window.unboundedPreceding, 0)
-    subs = (
-        inside.groupBy("slot", "sub").agg(F.sum("n").alias("m"))
-        .withColumn("upto", F.sum("m").over(per_slot))  # at most SUB_BUCKETS + 1 rows per slot
-        .join(ranks, "slot")
-        .filter((F.col("upto") > F.col("lo_rank")) & (F.col("upto") - F.col("m") <= F.col("hi_rank")) & (F.col("sub") >= 0))
-        .select("slot", "sub", (F.col("upto") - F.col("m")).alias("before"), "lo_rank", "hi_rank")
-    )
-    # two sub-buckets per slot at most hold a rank: those between them are empty
-    order = Window.partitionBy("slot", "sub").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = inside.join(F.broadcast(subs), ["slot", "sub"]).withColumn("upto", F.col("before") + F.sum("n").over(order))
-
-    def at(rank: str):
-        hit = (F.col("upto") > F.col(rank)) & (F.col("upto") - F.col("n") <= F.col(rank))
-        return F.max(F.when(hit, F.col("value")))
-
-    found = placed.groupBy("slot").agg(at("lo_rank").alias("a"), at("hi_rank").alias("b"))
-    missing = F.raise_error(F.lit("a quantile bracket missed its rank; raise BRACKET_SLACK"))
-    value = F.when(F.col("a").isNull() | F.col("b").isNull(), missing.cast("double")).otherwise(
-        F.col("a") + (F.col("b") - F.col("a")) * F.col("part")
-    )
-    return plan.join(found, "slot", "left").select(*by, "feature", "prob", value.alias("value"))
+    tall = df.select(*named, F.expr(f"inline(array({entries}))")).filter("value IS NOT NULL")
+    brackets = plan.filter("rank IS NOT NULL").select(*[F.col(g).alias(f"_{g}") for g in groups], F.col("feature").alias("_f"), "slot", "lo", "hi")
+    same = (F.col("feature") == F.col("_f")) & (F.col("value") <= F.col("hi"))
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    # values below a bracket share one row: only their number matters
+    inside = tall.join(brackets, same).select("slot", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("value"))
+    inside = stage(inside.groupBy("slot", "value").agg(F.count("*").alias("m")), "quantile_values")
+    below = inside.filter("value IS NULL").select("slot", F.col("m").alias("before"))
+    state = plan.filter("rank IS NOT NULL").join(below, "slot", "left").select("slot", "rank", F.coalesce("before", F.lit(0)).alias("before"), "lo", "hi")
+    while True:
+        state, rows = _narrowed(inside, state)
+        if rows <= sort_rows:
+            break
+    within = inside.join(state, "slot").filter("value >= lo AND value <= hi")
+    order = Window.partitionBy("slot").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)  # sort_rows rows at most
+    placed = within.withColumn("upto", F.col("before") + F.sum("m").over(order)).filter("upto > rank AND upto - m <= rank").select("slot", "value")
+    missing = F.raise_error(F.lit("a quantile bracket missed its rank; raise BRACKET_SLACK")).cast("double")
+    found = plan.join(placed, "slot", "left").withColumn("value", F.when(F.col("rank").isNotNull() & F.col("value").isNull(), missing).otherwise(F.col("value")))
+    pair = found.groupBy(*groups, "feature", "prob").agg(F.min("value").alias("a"), F.max("value").alias("b"), F.max(F.expr("pos - floor(pos)")).alias("part"))
+    return pair.select(*[F.col(g).alias(b) for g, b in zip(groups, by, strict=True)], "feature", "prob", F.expr("a + (b - a) * coalesce(part, 0D)").alias("value"))
+
+
+def _narrowed(inside: DataFrame, state: DataFrame) -> tuple[DataFrame, int]:
+    """The sub-bucket of each bracket that holds its rank, as a new bracket between values that occur, and the most distinct
+    values in one of them."""
+    share = "CASE WHEN hi > lo THEN (value - lo) / (hi - lo) ELSE 0D END"
+    sub = F.expr(f"CAST(least({SUB_BUCKETS - 1}, floor(({share}) * {SUB_BUCKETS})) AS INT)").alias("sub")
+    cut = inside.join(state, "slot").filter("value >= lo AND value <= hi")
+    counts = cut.groupBy("slot", "rank", "before", sub).agg(F.sum("m").alias("m"), F.count("*").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    upto = Window.partitionBy("slot").orderBy("sub").rowsBetween(Window.unboundedPreceding, 0)  # SUB_BUCKETS rows at most
+    summed = counts.withColumn("upto", F.col("before") + F.sum("m").over(upto)).filter("upto > rank AND upto - m <= rank")
+    chosen = stage(summed.select("slot", "rank", (F.col("upto") - F.col("m")).alias("before"), "lo", "hi", F.when(F.col("hi") > F.col("lo"), F.col("rows")).otherwise(1).alias("rows")), "quantile_state")
+    return chosen.drop("rows"), chosen.agg(F.max("rows")).first()[0] or 0

@@ -16,9 +16,9 @@ from callwise.functions.scalars import literal
 from callwise.sources.staging import local_rows, stage
 
 MAX_CLASSES = 10_000
-PLAIN_WINDOW_ROWS = 100_000
-RANGE_BUCKETS = 1_024
-RANGE_FANOUT = 32
+RANGE_ROWS = 1_000  # rows of a range that one task orders, as long as RANGE_BUCKETS ranges are enough
+RANGE_BUCKETS = 8_192
+RANGE_FANOUT = 64
 
 
 def class_counts(df: DataFrame, label: str) -> dict[Any, int]:
@@ -29,28 +29,29 @@ def class_counts(df: DataFrame, label: str) -> dict[Any, int]:
     return {r[0]: r[1] for r in sorted(rows, key=lambda r: (r[0] is not None, r[0]))}
 
 
-def keys_at_hash_ranks(
-    df: DataFrame, key: str, label: str, seed: int, ranks: Mapping[Any, Sequence[int]], plain: bool = False
-) -> dict[tuple[Any, int], tuple[str, Any]]:
-    """The (hash, key) pair that holds each wanted 1-based rank of the hash order inside each class.
+def keys_at_hash_ranks(df: DataFrame, key: str, label: str, seed: int, ranks: Mapping[Any, Sequence[int]]) -> dict[tuple[Any, int], tuple[str, Any]]:
+    """The (hash, key) pair that holds each wanted 1-based rank of the hash order inside each class. Ranks of 0 are skipped."""
+    hashed = hash_key(F.col(key), seed)
+    return _keys_at_ranks(df, key, label, ranks, hashed, hash_bucket(F.col("ord")))
 
-    Counts per (class, hash bucket) locate the one bucket that contains a rank; only that 1/65,536 of the class is
-    then sorted. ``plain`` sorts each class whole, for tables known to be small. Ranks of 0 are skipped.
-    """
+
+def keys_at_ranks(df: DataFrame, key: str, label: str, ranks: Mapping[Any, Sequence[int]]) -> dict[tuple[Any, int], Any]:
+    """The key that holds each wanted 1-based rank inside each class, in the order of the key's own type (number or text)."""
+    edges = range_edges(df.filter(F.col(key).isNotNull()), key, ranges_for(df.count()))
+    found = _keys_at_ranks(df, key, label, ranks, F.col(key), range_bucket(F.col("ord"), edges))
+    return {at: k for at, (_, k) in found.items()}
+
+
+def _keys_at_ranks(df: DataFrame, key: str, label: str, ranks: Mapping[Any, Sequence[int]], order: Column, bucket: Column) -> dict:
+    """Counts per (class, bucket) locate the one bucket that contains a rank; only that part of the class is then sorted."""
     spark = df.sparkSession
     wanted = [(c, int(r)) for c, rs in ranks.items() for r in sorted(set(rs)) if r > 0]
     if not wanted:
         return {}
-    hashed = df.select(F.col(label).alias("cls"), F.col(key).alias("key"), hash_key(F.col(key), seed).alias("h"))
-    if plain:
-        order = Window.partitionBy("cls").orderBy("h", "key")
-        numbered = hashed.withColumn("rank", F.row_number().over(order))
-        hit = " OR ".join(f"(cls <=> {literal(c)} AND rank = {r})" for c, r in wanted)
-        return {(r["cls"], r["rank"]): (r["h"], r["key"]) for r in numbered.filter(hit).collect()}  # classes x cuts rows
-    hashed = hashed.withColumn("bucket", hash_bucket(F.col("h")))
+    keyed = df.select(F.col(label).alias("cls"), F.col(key).alias("key"), order.alias("ord")).withColumn("bucket", bucket)
     per_class = Window.partitionBy("cls").orderBy("bucket")
     counts = (
-        hashed.groupBy("cls", "bucket")
+        keyed.groupBy("cls", "bucket")
         .agg(F.count("*").alias("n"))
         .withColumn("upto", F.sum("n").over(per_class.rowsBetween(Window.unboundedPreceding, 0)))
     )
@@ -65,17 +66,22 @@ def keys_at_hash_ranks(
         "rank",
         (F.col("rank") - F.col("upto") + F.col("n")).alias("local_rank"),
     )
-    inside = hashed.join(
+    inside = keyed.join(
         F.broadcast(hits), F.col("cls").eqNullSafe(F.col("b_cls")) & (F.col("bucket") == F.col("b_bucket"))
     )
-    order = Window.partitionBy("cls", "rank").orderBy("h", "key")
+    sorted_part = Window.partitionBy("cls", "rank").orderBy("ord", "key")
     rows = (
-        inside.withColumn("pos", F.row_number().over(order))
+        inside.withColumn("pos", F.row_number().over(sorted_part))
         .filter(F.col("pos") == F.col("local_rank"))
-        .select("cls", "rank", "h", "key")
+        .select("cls", "rank", "ord", "key")
         .collect()  # classes x cuts rows
     )
-    return {(r["cls"], r["rank"]): (r["h"], r["key"]) for r in rows}
+    return {(r["cls"], r["rank"]): (r["ord"], r["key"]) for r in rows}
+
+
+def ranges_for(rows: int) -> int:
+    """Ranges to cut so many rows into: about RANGE_ROWS each, RANGE_BUCKETS at most."""
+    return max(1, min(RANGE_BUCKETS, -(-rows // RANGE_ROWS)))
 
 
 def hash_position(df: DataFrame, key: str, seed: int, name: str = "pos") -> DataFrame:
@@ -115,6 +121,8 @@ def range_edges(table: DataFrame, column: str, buckets: int = RANGE_BUCKETS) ->
 
     Texts, which must be distinct, are cut at a hash sample of themselves.
     """
+    if buckets < 2:
+        return []
     if dict(table.dtypes)[column] == "string":
         return sorted(r[0] for r in table.select(column).orderBy(F.xxhash64(column), column).limit(buckets - 1).collect())
     probs = [i / buckets for i in range(1, buckets)]
@@ -126,21 +134,18 @@ def running_totals(
     order: str,
     sums: Mapping[str, str],
     descending: bool = False,
-    plain_rows: int = PLAIN_WINDOW_ROWS,
-    buckets: int = RANGE_BUCKETS,
+    buckets: int | None = None,
     is_staged: bool = False,
 ) -> DataFrame:
     """Running sums over the whole table in the order of ``order``, a number or text whose values must be distinct.
 
     ``sums`` maps an output name to the column that is summed. The input is staged, so its size is known and both
-    passes see the same rows. Up to ``plain_rows`` rows one window does it; beyond that the rows are cut into ranges
-    and each range starts from the total of the ranges before it.
+    passes see the same rows. The rows are cut into ranges, more of them the more rows there are, and each range starts
+    from the total of the ranges before it.
     """
     staged = table if is_staged else stage(table, "ordered")
     direction = F.col(order).desc() if descending else F.col(order).asc()
-    if staged.count() <= plain_rows:
-        w = Window.orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
-        return staged.withColumns({out: F.sum(src).over(w) for out, src in sums.items()})
+    buckets = buckets or ranges_for(staged.count())
     value = F.col(order) if dict(staged.dtypes)[order] == "string" else F.col(order).cast("double")
     cut = staged.withColumn("_r", range_bucket(value, range_edges(staged, order, buckets)))
     ranges = Window.orderBy(F.col("_r").desc() if descending else F.col("_r").asc())
@@ -161,8 +166,7 @@ def with_previous(
     table: DataFrame,
     order: Sequence[str],
     columns: Sequence[str],
-    plain_rows: int = PLAIN_WINDOW_ROWS,
-    buckets: int = RANGE_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add ``prev_<column>``: the value in the row before, in the order of ``order``, over the whole table.
 
@@ -171,14 +175,11 @@ def with_previous(
     """
     staged = stage(table, "lagged")
     row = F.struct(*columns)
-    if staged.count() <= plain_rows:
-        marked = staged.withColumn("_prev", F.lag(row).over(Window.orderBy(*order)))
-    else:
-        first = F.col(order[0]).cast("double")
-        cut = staged.withColumn("_r", range_bucket(first, range_edges(staged, order[0], buckets)))
-        lasts = cut.groupBy("_r").agg(F.max_by(row, F.struct(*order)).alias("_last"))
-        lasts = lasts.select("_r", F.lag("_last").over(Window.orderBy("_r")).alias("_carry"))  # <= `buckets` rows
-        inner = Window.partitionBy("_r").orderBy(*order)
-        marked = cut.join(F.broadcast(lasts), "_r").withColumn("_prev", F.coalesce(F.lag(row).over(inner), F.col("_carry")))
-        marked = marked.drop("_r", "_carry")
+    first = F.col(order[0]).cast("double")
+    cut = staged.withColumn("_r", range_bucket(first, range_edges(staged, order[0], buckets or ranges_for(staged.count()))))
+    lasts = cut.groupBy("_r").agg(F.max_by(row, F.struct(*order)).alias("_last"))
+    lasts = lasts.select("_r", F.lag("_last").over(Window.orderBy("_r")).alias("_carry"))  # <= `buckets` rows
+    inner = Window.partitionBy("_r").orderBy(*order)
+    marked = cut.join(F.broadcast(lasts), "_r").withColumn("_prev", F.coalesce(F.lag(row).over(inner), F.col("_carry")))
+    marked = marked.drop("_r", "_carry")
     return marked.withColumns({f"prev_{c}": F.col(f"_prev.{c}") for c in columns}).drop("_prev")

@@ -17,7 +17,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from callwise.functions.quantiles import quantiles
-from callwise.functions.ranking import PLAIN_WINDOW_ROWS, running_totals
+from callwise.functions.ranking import running_totals
 from callwise.functions.scalars import ident, is_numeric, literal, nan_to_null
 from callwise.operators.stats import value_counts
 
@@ -173,7 +173,7 @@ def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return value_counts(df, cols).groupBy("feature").agg(best.alias("b")).select("feature", "b.value", (-F.col("b.m")).alias("n"))
 
 
-def label_dictionary(df: DataFrame, cols: Sequence[str], plain_rows: int = PLAIN_WINDOW_ROWS) -> DataFrame:
+def label_dictionary(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> DataFrame:
     """``(feature, value, num, code)``: each value's 0-based rank in the order of its own type (numbers as numbers).
 
     A code is a running count over the distinct values, so a dictionary may be larger than one task can sort.
@@ -182,7 +182,7 @@ def label_dictionary(df: DataFrame, cols: Sequence[str], plain_rows: int = PLAIN
     for c in cols:
         values = value_counts(df, [c]).select("feature", "value", "num", F.lit(1).alias("one"))
         order = "num" if is_numeric(types[c]) else "value"
-        ranked = running_totals(values, order, {"upto": "one"}, plain_rows=plain_rows)
+        ranked = running_totals(values, order, {"upto": "one"}, buckets=buckets)
         mine = ranked.select("feature", "value", "num", (F.col("upto") - 1).alias("code"))
         out = mine if out is None else out.unionByName(mine)
     return out

@@ -96,18 +96,17 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
-def _cumulative(df: DataFrame, label: str, score: str, plain_rows: int | None) -> DataFrame:
+def _cumulative(df: DataFrame, label: str, score: str, buckets: int | None) -> DataFrame:
     """Counts per score with running sums from the best score down, and the totals ``_t`` of both classes."""
-    extra = {} if plain_rows is None else {"plain_rows": plain_rows, "buckets": 64}
     counts = stage(score_counts(df, label, score), "per-score")
     totals = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
-    curve = running_totals(counts, "threshold", {"tp": "pos", "fp": "neg"}, descending=True, is_staged=True, **extra)
+    curve = running_totals(counts, "threshold", {"tp": "pos", "fp": "neg"}, descending=True, buckets=buckets, is_staged=True)
     return curve.withColumn("_t", totals)
 
 
-def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "score", plain_rows: int | None = None) -> DataFrame:
+def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None) -> DataFrame:
     """``(threshold, precision, recall)`` at every distinct score, and the final point (1, 0) without threshold."""
-    curve = _cumulative(df, label, score, plain_rows)
+    curve = _cumulative(df, label, score, buckets)
     points = curve.select(
         "threshold",
         _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
@@ -117,12 +116,12 @@ def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "sc
     return points.unionByName(last)
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "score", plain_rows: int | None = None) -> DataFrame:
+def roc_curve(df: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None) -> DataFrame:
     """``(threshold, fpr, tpr)`` at every distinct score and the starting point (0, 0) without threshold.
 
     Ranking by the 0/1 prediction instead of a score gives the three-point curve.
     """
-    curve = _cumulative(df, label, score, plain_rows)
+    curve = _cumulative(df, label, score, buckets)
     points = curve.select(
         "threshold", _ratio(F.col("fp"), F.col("_t.n")).alias("fpr"), _ratio(F.col("tp"), F.col("_t.p")).alias("tpr")
     )
@@ -149,9 +148,14 @@ def best_threshold(curve: DataFrame, objective: str = "reference", beta: float =
     return rated.agg(best.alias("b")).select("b.threshold", "b.objective")
 
 
-def auc(curve: DataFrame, x: str, y: str, plain_rows: int | None = None) -> DataFrame:
-    """Area under any curve by trapezoids between neighbors in the order of x, then y."""
-    extra = {} if plain_rows is None else {"plain_rows": plain_rows, "buckets": 64}
-    steps = with_previous(curve.select(x, y), [x, y], [x, y], **extra)
+def auc(curve: DataFrame, x: str, y: str, order: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Area under a curve by trapezoids between neighbors.
+
+    ``order`` names the numeric column whose ascending values run along the curve, such as the negated threshold; without
+    it the points are taken in the order of x, then y, which fits a curve that never falls (ROC), not a
+    precision-recall curve.
+    """
+    rows = curve.select(x, y) if order is None else curve.select(x, y, F.col(order).cast("double").alias("_at"))
+    steps = with_previous(rows, [x, y] if order is None else ["_at", x, y], [x, y], buckets)
     area = (F.col(x) - F.col(f"prev_{x}")) * (F.col(y) + F.col(f"prev_{y}")) / 2
     return steps.agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("auc"))

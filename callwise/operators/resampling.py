@@ -11,7 +11,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame, functions as F
 
 from callwise.functions.scalars import ident
-from callwise.functions.keyed import UINT32, hash_integer
+from callwise.functions.keyed import DRAWS, hash_integer
 from callwise.functions.skew import join_spread
 from callwise.functions.ranking import class_counts, hash_position
 from callwise.operators.neighbors import feature_arrays, nearest_staged
@@ -19,17 +19,13 @@ from callwise.operators.splits import SEED
 from callwise.sources.staging import stage
 
 
-BROADCAST_BASES = 20_000
-
-
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Add ``n / (classes * n_class)``, so that every class weighs the same in total."""
-    counts = class_counts(df, label)
-    n, k = sum(counts.values()), len(counts)
-    weight = F.lit(None).cast("double")
-    for c, m in counts.items():
-        weight = F.when(F.col(label).eqNullSafe(F.lit(c)), F.lit(n / (k * m))).otherwise(weight)
-    return df.withColumn(name, weight)
+    counts = df.groupBy(F.col(label).alias("_cls")).agg(F.count("*").alias("_m"))
+    total = counts.agg(F.sum("_m").alias("_n"), F.count("*").alias("_k"))
+    weights = counts.join(F.broadcast(total)).select("_cls", (F.col("_n") / (F.col("_k") * F.col("_m"))).alias(name))
+    plain = df.drop(name)
+    return plain.join(weights, plain[label].eqNullSafe(weights["_cls"])).drop("_cls")
 
 
 def synthetic_rows(df: DataFrame, key: str, cols: Sequence[str], label: str, k: int = 5, seed: int = SEED) -> DataFrame | None:
@@ -62,10 +58,8 @@ def synthetic_rows(df: DataFrame, key: str, cols: Sequence[str], label: str, k:
         F.col("id").alias("j"),
         F.pmod(hash_integer(tag("base")), F.lit(counts[rare])).alias("pos"),
         hash_integer(tag("neighbor")).alias("pick"),
-        (hash_integer(tag("gap")) / F.lit(UINT32)).alias("gap"),
+        (hash_integer(tag("gap")) / F.lit(DRAWS)).alias("gap"),
     )
-    # few bases would be few join keys for very many drawn rows: those are broadcast, BROADCAST_BASES at most
-    bases = F.broadcast(bases) if counts[rare] <= BROADCAST_BASES else bases
     joined = drawn.join(bases, "pos").withColumn("end", F.element_at("around", (F.pmod("pick", F.size("around")) + 1).cast("int")))
     made = [F.expr(f"x[{i}] + gap * (end.to[{i}] - x[{i}]) AS {ident(c)}") for i, c in enumerate(cols)]
     label_type = df.schema[label].dataType

@@ -11,7 +11,8 @@ from callwise.operators.stats import tall
 
 
 def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
-    """``(feature, f)`` for each column against the class.
+    """``(feature, f)`` for each column against the class: infinite for a column that tells the classes apart without any
+    spread inside them, null for a constant one.
 
     One pass gives count, mean and sum of squares about the mean per class; the sums of squares are taken about the
     class mean (as ``var_pop`` does) because raw sums of squares cancel badly on large values.
@@ -32,14 +33,15 @@ def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
         F.expr("collect_list(named_struct('n', n, 'm', m)) AS classes"),
     )
     between = "aggregate(classes, 0D, (s, c) -> s + c.n * (c.m - grand) * (c.m - grand))"
-    f = f"try_divide(try_divide({between}, k - 1), try_divide(within, total - k)) AS f"
-    return whole.select("feature", F.expr(f))
+    apart = "CASE WHEN b > 0 AND k > 1 THEN double('infinity') END"  # constant inside every class
+    f = f"CASE WHEN within = 0 THEN {apart} ELSE try_divide(try_divide(b, k - 1), try_divide(within, total - k)) END AS f"
+    return whole.withColumn("b", F.expr(between)).select("feature", F.expr(f))
 
 
 def best_features(df: DataFrame, cols: Sequence[str], label: str, k: int) -> list[str]:
-    """The k columns with the highest F in their original order; of equal F the earlier column."""
+    """The k columns with the highest F in their original order; of equal F the later column, as a stable ascending sort has it."""
     scores = {r["feature"]: r["f"] for r in anova_f(df, cols, label).collect()}  # one number per column
-    rank = sorted(range(len(cols)), key=lambda i: (-(scores.get(cols[i]) if scores.get(cols[i]) is not None else -1.0), i))
+    rank = sorted(range(len(cols)), key=lambda i: (-(scores.get(cols[i]) if scores.get(cols[i]) is not None else -1.0), -i))
     return [cols[i] for i in sorted(rank[:k])]
 
 

@@ -1,7 +1,8 @@
 """Reproducible splits with exact class proportions.
 
 Rows are put in the order of a hash of their id. A split is then a rank cut inside each class, and a rank cut is a
-comparison with one (hash, id) pair, so the wide table is never shuffled: only (id, label) is read to find the cuts.
+comparison with the (hash, id) pairs of its class, which are broadcast (classes x cuts of them), so the wide table is never
+shuffled: only (id, label) is read to find the cuts.
 """
 
 from __future__ import annotations
@@ -10,17 +11,15 @@ from collections.abc import Mapping, Sequence
 from math import ceil
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from callwise.functions.keyed import hash_key_sql
-from callwise.functions.scalars import ident, literal
-from callwise.functions.quantiles import values_at_ranks
-from callwise.functions.ranking import MAX_CLASSES, class_counts, keys_at_hash_ranks
+from callwise.functions.keyed import hash_key
+from callwise.functions.ranking import class_counts, keys_at_hash_ranks, keys_at_ranks
+from callwise.sources.staging import local_rows
 
 SEED = 250
 SERVING_SHARE = 0.1
 EVAL_SHARE = 0.2
-PLAIN_ROWS = 500_000  # up to here a class may be sorted in one task
 
 
 def allocate(counts: Mapping[Any, int], share: float) -> dict[Any, int]:
@@ -33,58 +32,38 @@ def allocate(counts: Mapping[Any, int], share: float) -> dict[Any, int]:
     return {c: parts[c][0] + (order.index(c) < left) for c in counts}
 
 
-def cut_by_hash(
-    df: DataFrame,
-    key: str,
-    label: str,
-    names: Sequence[str],
-    rest: str,
-    sizes: Sequence[Mapping[Any, int]],
-    seed: int,
-    plain: bool = False,
-) -> Column:
-    """Name of the split of each row: ``names[i]`` gets the next ``sizes[i][class]`` rows of its class, ``rest`` the others."""
-    upto: dict[Any, list[int]] = {}
-    for c in sizes[0]:
-        total, ranks = 0, []
-        for s in sizes:
-            total += s[c]
-            ranks.append(total)
-        upto[c] = ranks
-    cuts = keys_at_hash_ranks(df, key, label, seed, upto, plain)
+def _runs(sizes: Sequence[Mapping[Any, int]]) -> dict[Any, list[int]]:
+    """Rank at which each part ends, per class."""
+    return {c: [sum(s[c] for s in sizes[: i + 1]) for i in range(len(sizes))] for c in sizes[0]}
+
+
+def _part(df: DataFrame, label: str, me: str, kind: str, ends: Mapping[Any, Sequence[Any]], name: str) -> DataFrame:
+    """Add ``name``: how many of its class's ends a row lies beyond. An end of None is one that nothing lies before."""
+    cls_type = df.schema[label].dataType.simpleString()
+    table = local_rows(df.sparkSession, [(c, list(e)) for c, e in ends.items()], f"_cls {cls_type}, _ends array<{kind}>")
+    joined = df.join(F.broadcast(table), df[label].eqNullSafe(table["_cls"]), "left")
+    return joined.withColumn(name, F.expr(f"size(filter(_ends, e -> e IS NULL OR e < {me}))")).drop("_cls", "_ends")
+
+
+def cut_by_hash(df: DataFrame, key: str, label: str, names: Sequence[str], rest: str, sizes: Sequence[Mapping[Any, int]], seed: int, name: str = "split") -> DataFrame:
+    """Add the split of each row: ``names[i]`` gets the next ``sizes[i][class]`` rows of its class, ``rest`` the others."""
+    runs = _runs(sizes)
+    cuts = keys_at_hash_ranks(df, key, label, seed, runs)
+    ends = {c: [{"h": cuts[(c, r)][0], "k": cuts[(c, r)][1]} if r else None for r in ranks] for c, ranks in runs.items()}
     key_type = df.schema[key].dataType.simpleString()
-    me = f"struct({hash_key_sql(ident(key), seed)}, {ident(key)})"
-    cases = []
-    for c, ranks in upto.items():
-        steps = [
-            f"WHEN {me} <= struct({literal(cuts[(c, rank)][0])}, CAST({literal(cuts[(c, rank)][1])} AS {key_type})) THEN {literal(name)}"
-            for name, rank in zip(names, ranks)
-            if rank > 0
-        ]
-        mine = f"CASE {' '.join(steps)} ELSE {literal(rest)} END" if steps else literal(rest)
-        cases.append(f"WHEN {ident(label)} <=> {literal(c)} THEN {mine}")
-    return F.expr(f"CASE {' '.join(cases)} ELSE {literal(rest)} END")
-
-
-def stratified_holdout(
-    df: DataFrame, key: str, label: str, share: float, seed: int = SEED, plain_rows: int = PLAIN_ROWS
-) -> DataFrame:
+    marked = df.withColumn("_me", F.struct(hash_key(F.col(key), seed).alias("h"), F.col(key).alias("k")))
+    parted = _part(marked, label, "_me", f"struct<h:string,k:{key_type}>", ends, "_part").drop("_me")
+    said = F.array(*[F.lit(n) for n in (*names, rest)])
+    return parted.withColumn(name, F.coalesce(F.element_at(said, F.col("_part") + 1), F.lit(rest))).drop("_part")
+
+
+def stratified_holdout(df: DataFrame, key: str, label: str, share: float, seed: int = SEED) -> DataFrame:
     """Add ``is_holdout`` for a share of the rows that keeps the class proportions."""
-    counts = class_counts(df, label)
-    plain = sum(counts.values()) <= plain_rows
-    name = cut_by_hash(df, key, label, ["holdout"], "rest", [allocate(counts, share)], seed, plain)
-    return df.withColumn("is_holdout", name == F.lit("holdout"))
-
-
-def three_way_split(
-    df: DataFrame,
-    key: str,
-    label: str,
-    serving: float = SERVING_SHARE,
-    evaluation: float = EVAL_SHARE,
-    seed: int = SEED,
-    plain_rows: int = PLAIN_ROWS,
-) -> DataFrame:
+    sizes = [allocate(class_counts(df, label), share)]
+    return cut_by_hash(df, key, label, ["holdout"], "rest", sizes, seed, "is_holdout").withColumn("is_holdout", F.col("is_holdout") == "holdout")
+
+
+def three_way_split(df: DataFrame, key: str, label: str, serving: float = SERVING_SHARE, evaluation: float = EVAL_SHARE, seed: int = SEED) -> DataFrame:
     """Add ``split``: a serving holdout, then an evaluation holdout of what remains, the rest for training.
 
     Holding out twice in the same hash order is the same as cutting that order at two ranks, so one pass does both.
@@ -92,8 +71,7 @@ def three_way_split(
     counts = class_counts(df, label)
     first = allocate(counts, serving)
     second = allocate({c: n - first[c] for c, n in counts.items()}, evaluation)
-    plain = sum(counts.values()) <= plain_rows
-    return df.withColumn("split", cut_by_hash(df, key, label, ["serving", "eval"], "train", [first, second], seed, plain))
+    return cut_by_hash(df, key, label, ["serving", "eval"], "train", [first, second], seed)
 
 
 def serving_emulation(split_df: DataFrame, label: str) -> DataFrame:
@@ -111,23 +89,17 @@ def fold_sizes(counts: Sequence[tuple[Any, int]], k: int) -> dict[Any, list[int]
     return sizes
 
 
-def stratified_kfold(
-    df: DataFrame, key: str, label: str, k: int = 10, name: str = "fold", plain_rows: int = PLAIN_ROWS
-) -> DataFrame:
+def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 10, name: str = "fold") -> DataFrame:
     """Add the fold number 0..k-1. Folds are unshuffled: in each class a fold is a run of consecutive ids.
 
-    Classes are laid out in the order of their smallest id. The cut ids are order statistics, so the table itself is
-    not sorted.
+    Ids are numbers or texts, in the order of their type. Classes are laid out in the order of their smallest id. The cut
+    ids are order statistics, found for all classes in one job, so the table itself is not sorted.
     """
-    rows = df.groupBy(label).agg(F.count("*").alias("n"), F.min(key).alias("first")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values and is no class label")
-    sizes = fold_sizes([(r[0], r["n"]) for r in sorted(rows, key=lambda r: r["first"])], k)
-    uptos = {c: [sum(s[: i + 1]) for i in range(k - 1)] for c, s in sizes.items()}
-    cut = values_at_ranks(df, key, label, {c: [u - 1 for u in us if u > 0] for c, us in uptos.items()}, plain_rows)
-    cases = []
-    for c, us in uptos.items():
-        steps = [f"WHEN CAST({ident(key)} AS DOUBLE) <= {literal(cut[(c, us[i] - 1)])} THEN {i}" for i in range(k - 1) if us[i] > 0]
-        mine = f"CASE {' '.join(steps)} ELSE {k - 1} END" if steps else str(k - 1)
-        cases.append(f"WHEN {ident(label)} <=> {literal(c)} THEN {mine}")
-    return df.withColumn(name, F.expr(f"CASE {' '.join(cases)} END"))
+    counts = class_counts(df, label)
+    first = {r[0]: r[1] for r in df.groupBy(label).agg(F.min(key)).collect()}  # a row per class, which class_counts has bounded
+    sizes = fold_sizes([(c, counts[c]) for c in sorted(counts, key=lambda c: first[c])], k)
+    runs = {c: [sum(s[: i + 1]) for i in range(k - 1)] for c, s in sizes.items()}
+    cuts = keys_at_ranks(df, key, label, runs)
+    ends = {c: [cuts[(c, r)] if r else None for r in ranks] for c, ranks in runs.items()}
+    marked = df.withColumn("_me", F.col(key))
+    return _part(marked, label, "_me", df.schema[key].dataType.simpleString(), ends, name).drop("_me")

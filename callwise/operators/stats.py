@@ -9,11 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from callwise.functions.quantiles import MAX_GROUPS, quantiles
+from callwise.functions.quantiles import quantiles
 from callwise.functions.scalars import ident, is_fractional, is_integral, is_numeric, literal, nan_to_null
-from callwise.sources.staging import local_rows
+from callwise.sources.staging import local_rows, stage
 
 
 def feature_type(dtype: str) -> str:
@@ -132,18 +131,9 @@ def hist_equal_width(df: DataFrame, cols: Sequence[str], buckets: int = 10, by:
     maximum. A constant feature has all its values in the first bucket."""
     df = nan_to_null(df, cols)
     ends = [F.expr(f"{f}(CAST({ident(c)} AS DOUBLE)) AS {f}_{i}") for i, c in enumerate(cols) for f in ("min", "max")]
-    found = df.groupBy(*by).agg(*ends).limit(MAX_GROUPS + 1).collect()  # two numbers per group and column
-    if len(found) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups in {list(by)}")
-    spans = [
-        (*[r[b] for b in by], c, r[f"min_{i}"], (r[f"max_{i}"] - r[f"min_{i}"]) / buckets)
-        for r in found
-        for i, c in enumerate(cols)
-        if r[f"min_{i}"] is not None
-    ]
-    fields = [StructField(b, df.schema[b].dataType) for b in by]
-    fields += [StructField("feature", StringType()), StructField("lo", DoubleType()), StructField("width", DoubleType())]
-    limits = local_rows(df.sparkSession, spans, StructType(fields))
+    limits = df.groupBy(*by).agg(*ends)
+    spans = ", ".join(f"named_struct('feature', {literal(c)}, 'lo', min_{i}, 'width', (max_{i} - min_{i}) / {buckets})" for i, c in enumerate(cols))
+    limits = stage(limits.select(*by, F.expr(f"inline(array({spans}))")).filter("lo IS NOT NULL"), "limits")  # a row per group and column
     frames = limits.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     values = [f"named_struct('feature', {literal(c)}, 'value', CAST({ident(c)} AS DOUBLE))" for c in cols]
     place = f"CASE WHEN width > 0 THEN least({buckets - 1}, CAST(floor((value - lo) / width) AS INT)) ELSE 0 END AS bucket"
@@ -151,7 +141,7 @@ def hist_equal_width(df: DataFrame, cols: Sequence[str], buckets: int = 10, by:
     counts = (
         tall(df, by, values)
         .filter("value IS NOT NULL")
-        .join(F.broadcast(limits), on)
+        .join(limits, on)
         .groupBy(*on, F.expr(place))
         .agg(F.count("*").alias("n"))
     )
@@ -166,15 +156,25 @@ def hist_equal_width(df: DataFrame, cols: Sequence[str], buckets: int = 10, by:
 
 
 def hist_quantiles(df: DataFrame, cols: Sequence[str], buckets: int = 10, by: Sequence[str] = ()) -> DataFrame:
-    """Bucket limits between exact quantiles, each bucket holding the same share of the values."""
-    edges = quantiles(df, cols, [i / buckets for i in range(buckets + 1)], by)
-    numbered = edges.withColumn("edge", F.round(F.col("prob") * buckets).cast("int"))
-    w = Window.partitionBy(*by, "feature").orderBy("edge")  # buckets + 1 rows per feature
-    return (
-        numbered.withColumn("high", F.lead("value").over(w))
-        .filter(F.col("edge") < buckets)
-        .select(*by, "feature", F.col("edge").alias("bucket"), F.col("value").alias("low"), "high")
-    )
+    """Buckets between exact quantiles and the values in each: from ``low`` on, below ``high``, the last includes it.
+
+    Values that occur often make buckets uneven; a bucket without width is empty unless it is the last.
+    """
+    df = nan_to_null(df, cols)
+    edges = stage(quantiles(df, cols, [i / buckets for i in range(buckets + 1)], by), "edges")
+    limits = edges.groupBy(*by, "feature").agg(F.array_sort(F.collect_list(F.struct("prob", "value"))).alias("e"))  # buckets + 1 numbers
+    limits = limits.select(*[F.col(b).alias(f"_{b}") for b in by], F.col("feature").alias("_f"), F.expr("transform(e, x -> x.value)").alias("e"))
+    values = [f"named_struct('feature', {literal(c)}, 'value', CAST({ident(c)} AS DOUBLE))" for c in cols]
+    same = F.col("feature") == F.col("_f")
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"_{b}"))
+    place = F.expr(f"least({buckets - 1}, size(filter(e, x -> x <= value)) - 1)").alias("bucket")
+    counts = tall(df, by, values).filter("value IS NOT NULL").join(limits, same).groupBy(*by, "feature", place).agg(F.count("*").alias("n"))
+    frames = limits.select(*[F.col(f"_{b}").alias(b) for b in by], F.col("_f").alias("feature"), F.posexplode(F.slice("e", 1, buckets)).alias("bucket", "low"), "e")
+    frames = frames.withColumn("high", F.element_at("e", F.col("bucket") + 2)).drop("e")
+    again = counts.select(*[F.col(b).alias(f"_{b}") for b in by], F.col("feature").alias("_f"), F.col("bucket").alias("_b"), "n")
+    same = same & (F.col("bucket") == F.col("_b"))
+    return frames.join(again, same, "left").select(*by, "feature", "bucket", "low", "high", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def top_values(df: DataFrame, cols: Sequence[str], k: int = 20, by: Sequence[str] = ()) -> DataFrame:

@@ -237,15 +237,18 @@ def standardize(spark, d):
 
 @query
 def anova_f(spark, d):
-    campaign = SEL.anova_f(C.campaign_table(spark, d), C.NUMERIC, C.LABEL).withColumn("task", F.lit("response"))
+    base = C.campaign_table(spark, d).withColumns({"separator": F.col("response") * 3, "constant": F.lit(7)})
+    campaign = SEL.anova_f(base, [*C.NUMERIC, "separator", "constant"], C.LABEL).withColumn("task", F.lit("response"))
     docs = SEL.anova_f(C.document_labels(spark, d), ["n_chars", "n_words"], "toxic").withColumn("task", F.lit("toxic"))
     return rounded(campaign.unionByName(docs), "f")
 
 
 @query
 def select_k_best(spark, d):
-    chosen = SEL.select_k_best(C.campaign_features(spark, d), C.KEY, C.NUMERIC, C.LABEL, 4)
-    kept = [c for c in chosen.columns if c in C.NUMERIC]
+    """A column that separates the classes perfectly comes first."""
+    features = C.campaign_features(spark, d).withColumn("separator", F.col("response") * 3.0)
+    chosen = SEL.select_k_best(features, C.KEY, [*C.NUMERIC, "separator"], C.LABEL, 4)
+    kept = [c for c in chosen.columns if c in (*C.NUMERIC, "separator")]
     return rounded(chosen.unpivot(["id", "response"], kept, "feature", "value"), "value")
 
 
@@ -542,7 +545,9 @@ def roc_curve(spark, d):
 def auc_trapezoid(spark, d):
     roc = M.auc(M.roc_curve(C.campaign_scores(spark, d)), "fpr", "tpr").withColumn("curve", F.lit("roc"))
     hard = M.auc(M.roc_curve(_predicted(spark, d), score="pred"), "fpr", "tpr").withColumn("curve", F.lit("roc of labels"))
-    return rounded(roc.unionByName(hard), "auc")
+    curve = M.precision_recall_curve(C.campaign_scores(spark, d)).withColumn("at", F.coalesce(-F.col("threshold"), F.lit(float("-inf"))))
+    recall = M.auc(curve, "recall", "precision", order="at").withColumn("curve", F.lit("precision-recall"))
+    return rounded(roc.unionByName(hard).unionByName(recall), "auc")
 
 
 @query

@@ -215,15 +215,18 @@ add("standardize", CAMPAIGN, "m AS (SELECT " + ", ".join(f"avg({c}) AS a_{c}, st
 
 
 def anova(source: str, c: str, label: str, task: str) -> str:
-    return f"""SELECT '{c}' AS feature, round((sum(n * (m - g) * (m - g)) / (count(*) - 1)) / (sum(ss) / (sum(n) - count(*))), 6) AS f, '{task}' AS task FROM (
+    return f"""SELECT '{c}' AS feature, CASE WHEN sum(ss) = 0 THEN CASE WHEN sum(n * (m - g) * (m - g)) > 0 THEN 'inf'::DOUBLE END
+  ELSE round((sum(n * (m - g) * (m - g)) / (count(*) - 1)) / (sum(ss) / (sum(n) - count(*))), 6) END AS f, '{task}' AS task FROM (
   SELECT count({c}) AS n, avg({c}) AS m, var_pop({c}) * count({c}) AS ss, (SELECT avg({c}) FROM {source}) AS g FROM {source} GROUP BY {label})"""
 
 
-add("anova_f", CAMPAIGN, DOCS, sql=" UNION ALL ".join(
-    [anova("campaign", c, "response", "response") for c in NUMERIC] + [anova("docs", c, "toxic", "toxic") for c in ("n_chars", "n_words")]))
+SEPARATED = "separated AS (SELECT response, response * 3 AS separator, 7 AS constant FROM campaign)"
+add("anova_f", CAMPAIGN, DOCS, SEPARATED, sql=" UNION ALL ".join(
+    [anova("campaign", c, "response", "response") for c in NUMERIC] + [anova("separated", c, "response", "response") for c in ("separator", "constant")] + [anova("docs", c, "toxic", "toxic") for c in ("n_chars", "n_words")]))
 add("select_k_best", *FEATURES, "rated AS (" + " UNION ALL ".join(anova("features", c, "response", "x") for c in NUMERIC) + ")",
-    "best AS (SELECT feature FROM rated ORDER BY f DESC LIMIT 4)",
-    sql="SELECT id, response, feature, round(value, 6) AS value FROM (UNPIVOT features ON " + ", ".join(NUMERIC) + " INTO NAME feature VALUE value) WHERE feature IN (SELECT feature FROM best)")
+    "wide AS (SELECT *, response * 3.0::DOUBLE AS separator FROM features)",
+    "best AS (SELECT feature FROM (SELECT feature, f FROM rated UNION ALL SELECT 'separator', 'inf'::DOUBLE) ORDER BY f DESC LIMIT 4)",
+    sql="SELECT id, response, feature, round(value, 6) AS value FROM (UNPIVOT wide ON " + ", ".join([*NUMERIC, "separator"]) + " INTO NAME feature VALUE value) WHERE feature IN (SELECT feature FROM best)")
 
 TYPES = {"segment": "BYTES", "nation": "BYTES", "income": "FLOAT", "last_order": "BYTES", "spend_a": "FLOAT", "spend_n": "FLOAT", "spend_r": "FLOAT"}
 kind = lambda c: TYPES.get(c, "INT")
@@ -271,7 +274,8 @@ def equal_width(source: str, c: str) -> str:
 
 
 def equal_share(source: str, c: str) -> str:
-    return f"""SELECT '{c}' AS feature, CAST(b AS INT) AS bucket, round(q[b + 1], 6) AS low, round(q[b + 2], 6) AS high
+    return f"""SELECT '{c}' AS feature, CAST(b AS INT) AS bucket, round(q[b + 1], 6) AS low, round(q[b + 2], 6) AS high,
+  (SELECT count(*) FROM {source} s WHERE {dbl('s.' + c)} >= q[b + 1] AND ({dbl('s.' + c)} < q[b + 2] OR b = 9)) AS n
   FROM (SELECT quantile_cont({dbl(c)}, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS q FROM {source}), range(10) AS r(b)"""
 
 
@@ -396,7 +400,7 @@ MINORITY = "rare AS (SELECT * FROM features WHERE response = 1)"
 add("knn_minority", *FEATURES, MINORITY, knn("rare", NUMERIC, 5), sql="SELECT id, neighbor, rank, round(sqrt(distance2), 6) AS distance FROM near")
 add("knn_documents", DOCS, "rare AS (SELECT doc_id, n_chars::DOUBLE AS n_chars, n_words::DOUBLE AS n_words FROM docs WHERE toxic = 1)", knn("rare", ["n_chars", "n_words"], 3, "doc_id"),
     sql="SELECT id, neighbor, rank, distance2 FROM near")
-draw = lambda part: f"('0x' || substr(md5('250-' || j || '-{part}'), 1, 8))::BIGINT"
+draw = lambda part: f"('0x' || substr(md5('250-' || j || '-{part}'), 1, 15))::BIGINT"
 SYNTH = (
     *FEATURES,
     MINORITY,
@@ -405,7 +409,7 @@ SYNTH = (
 missing AS (SELECT count(*) FILTER (WHERE response = 0) - count(*) FILTER (WHERE response = 1) AS n FROM features),
 placed AS (SELECT *, row_number() OVER (ORDER BY md5(concat(id, '-250')), id) - 1 AS pos FROM rare),
 degree AS (SELECT id, count(*) AS k FROM near GROUP BY id),
-drawn AS (SELECT j, {draw('base')} % (SELECT count(*) FROM rare) AS pos, {draw('neighbor')} AS pick, {draw('gap')} / 4294967296.0::DOUBLE AS gap
+drawn AS (SELECT j, {draw('base')} % (SELECT count(*) FROM rare) AS pos, {draw('neighbor')} AS pick, {draw('gap')} / 1152921504606846976.0::DOUBLE AS gap
   FROM missing, range(n) AS r(j)),
 synth AS (SELECT j, b.id AS base, e.id AS neighbor, gap, """
     + ", ".join(f"b.{c} + gap * (e.{c} - b.{c}) AS {c}" for c in NUMERIC)
@@ -470,7 +474,10 @@ add("roc_curve", *SCORED, CURVE.format(source="scored"), HARD, sql="""
 SELECT round(threshold, 6) AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr, 'score' AS ranked_by FROM roc
 UNION ALL SELECT round(threshold, 6), round(fpr, 6), round(tpr, 6), 'pred' FROM roc_h""")
 area = lambda t: f"(SELECT round(sum((fpr - px) * (tpr + py) / 2), 6) FROM (SELECT fpr, tpr, lag(fpr) OVER w AS px, lag(tpr) OVER w AS py FROM {t} WINDOW w AS (ORDER BY fpr, tpr)))"
-add("auc_trapezoid", *SCORED, CURVE.format(source="scored"), HARD, sql=f"SELECT {area('roc')} AS auc, 'roc' AS curve UNION ALL SELECT {area('roc_h')}, 'roc of labels'")
+pr_area = """SELECT round(sum((recall - pr) * (precision + pp) / 2), 6), 'precision-recall' FROM (
+  SELECT precision, recall, lag(recall) OVER w AS pr, lag(precision) OVER w AS pp
+  FROM (SELECT threshold, precision, recall FROM pr UNION ALL SELECT 'inf'::DOUBLE, 1, 0) WINDOW w AS (ORDER BY threshold DESC))"""
+add("auc_trapezoid", *SCORED, CURVE.format(source="scored"), HARD, sql=f"SELECT {area('roc')} AS auc, 'roc' AS curve UNION ALL SELECT {area('roc_h')}, 'roc of labels' UNION ALL {pr_area}")
 
 
 def points(pred: str) -> str:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 _local_roots: dict[str, str] = {}
@@ -52,8 +53,9 @@ def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType |
     """A few rows of parameters as a local relation, whose size the optimizer knows."""
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    columns = {f.name: [r[i] for r in rows] for i, f in enumerate(schema.fields)}
-    return spark.createDataFrame(pa.table(columns), schema)
+    kinds = to_arrow_schema(schema)
+    columns = [pa.array([r[i] for r in rows], kinds.field(i).type) for i in range(len(schema.fields))]
+    return spark.createDataFrame(pa.table(columns, names=schema.names), schema)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -65,7 +65,7 @@ def test_labels_as_scores_give_three_points(scored):
 def test_curves_in_ranges_equal_the_plain_ones(many):
     for curve in (M.precision_recall_curve, M.roc_curve):
         plain = sorted(map(str, curve(many).collect()))
-        assert sorted(map(str, curve(many, plain_rows=0).collect())) == plain
+        assert sorted(map(str, curve(many, buckets=64).collect())) == plain
         assert sorted(map(str, curve(many.repartition(11, "score")).collect())) == plain
 
 
@@ -76,7 +76,7 @@ def test_auc_in_ranges_and_against_pairs(many):
     wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     roc = M.roc_curve(many)
     assert M.auc(roc, "fpr", "tpr").collect()[0][0] == pytest.approx(wins, abs=1e-9)
-    assert M.auc(roc, "fpr", "tpr", plain_rows=0).collect()[0][0] == pytest.approx(wins, abs=1e-9)
+    assert M.auc(roc, "fpr", "tpr", buckets=64).collect()[0][0] == pytest.approx(wins, abs=1e-9)
 
 
 def test_best_threshold_objectives(spark):
@@ -91,3 +91,9 @@ def test_best_threshold_nan_wins_and_the_lowest_of_them(spark):
     got = M.best_threshold(curve).collect()[0]
     assert got["threshold"] == 0.8 and math.isnan(got["objective"])
     assert M.best_threshold(curve, "f1").collect()[0]["threshold"] == 0.5
+
+
+def test_area_under_a_precision_recall_curve_needs_its_order(spark):
+    points = spark.createDataFrame([(0.0, 1.0, 0.0), (1.0, 0.5, 0.5), (2.0, 0.25, 0.5), (3.0, 0.5, 1.0)], "at double, precision double, recall double")
+    want = 0.5 * (1.0 + 0.5) / 2 + 0.5 * (0.25 + 0.5) / 2
+    assert M.auc(points, "recall", "precision", order="at").collect()[0][0] == pytest.approx(want)

@@ -31,11 +31,22 @@ PROBS = [0.0, 0.1, 0.25, 1 / 3, 0.5, 0.75, 0.999, 1.0]
 def test_bracket_quantiles_equal_percentile(skewed, by):
     cols = ["x", "y", "id"]
     key = lambda r: tuple(r[b] for b in by) + (r["feature"], r["prob"])
-    plain = {key(r): r["value"] for r in Q.quantiles(skewed, cols, PROBS, by).collect()}
-    wide = {key(r): r["value"] for r in Q.quantiles(skewed, cols, PROBS, by, map_rows=0).collect()}
-    assert plain.keys() == wide.keys()
-    for k, v in plain.items():
-        assert wide[k] == pytest.approx(v, rel=1e-12, abs=1e-12)
+    plain = {}
+    for c in cols:
+        rows = skewed.groupBy(*by).agg(F.expr(f"percentile({c}, array({', '.join(f'{p!r}D' for p in PROBS)}))").alias("q")).collect()
+        plain |= {(*(r[b] for b in by), c, p): v for r in rows for p, v in zip(PROBS, r["q"], strict=True)}
+    for limit in (10, Q.SORT_ROWS):  # many narrowings and one
+        wide = {key(r): r["value"] for r in Q.quantiles(skewed, cols, PROBS, by, sort_rows=limit).collect()}
+        assert plain.keys() == wide.keys()
+        for k, v in plain.items():
+            assert wide[k] == pytest.approx(v, rel=1e-12, abs=1e-12)
+
+
+def test_quantiles_of_many_groups_and_empty_columns(spark):
+    df = spark.range(12_000).select((F.col("id") % 3000).alias("g"), F.col("id").cast("double").alias("x"), F.lit(None).cast("double").alias("y"))
+    got = Q.quantiles(df, ["x", "y"], [0.5], ["g"]).collect()
+    assert len(got) == 6000
+    assert all(r["value"] == (r["g"] + 4500 if r["feature"] == "x" else None) for r in got)
 
 
 def test_quantiles_against_hand_values(spark):
@@ -44,27 +55,27 @@ def test_quantiles_against_hand_values(spark):
     assert got == [1.75, 2.5, 4.75]
 
 
-def test_values_at_ranks(skewed):
+def test_keys_at_ranks_of_numbers_and_texts(skewed):
     ids = sorted(r["id"] for r in skewed.filter("g = 'b'").collect())
-    want = [0, 1, 700, len(ids) - 1]
-    for limit in (0, 10**6):
-        got = Q.values_at_ranks(skewed, "id", "g", {"b": want}, map_rows=limit)
-        assert [got[("b", r)] for r in want] == [ids[r] for r in want]
+    want = [1, 2, 701, len(ids)]
+    assert [R.keys_at_ranks(skewed, "id", "g", {"b": want})[("b", r)] for r in want] == [ids[r - 1] for r in want]
+    texts = skewed.withColumn("id", F.concat(F.lit("k"), "id"))
+    names = sorted(f"k{i}" for i in ids)
+    assert [R.keys_at_ranks(texts, "id", "g", {"b": want})[("b", r)] for r in want] == [names[r - 1] for r in want]
 
 
-def test_values_at_ranks_refuses_indistinct_ids(spark):
-    df = spark.createDataFrame([(2**60, 1)], "id long, g int")
-    with pytest.raises(ValueError):
-        Q.values_at_ranks(df, "id", "g", {1: [0]})
+def test_keys_beyond_doubles_stay_apart(spark):
+    df = spark.createDataFrame([(2**60 + i, 1) for i in range(50)], "id long, g int")
+    assert R.keys_at_ranks(df, "id", "g", {1: [1, 2, 50]}) == {(1, 1): 2**60, (1, 2): 2**60 + 1, (1, 50): 2**60 + 49}
 
 
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_totals_in_ranges(skewed, descending):
     counts = skewed.groupBy("x").agg(F.count("*").alias("n"))
     got = {}
-    for limit, buckets in ((10**6, 64), (0, 64), (0, 7)):
-        out = R.running_totals(counts, "x", {"cum": "n"}, descending, plain_rows=limit, buckets=buckets)
-        got[(limit, buckets)] = {r["x"]: r["cum"] for r in out.collect()}
+    for buckets in (1, 7, 64):
+        out = R.running_totals(counts, "x", {"cum": "n"}, descending, buckets=buckets)
+        got[buckets] = {r["x"]: r["cum"] for r in out.collect()}
     want, total = {}, 0
     for r in sorted(counts.collect(), key=lambda r: r["x"], reverse=descending):
         total += r["n"]
@@ -76,8 +87,8 @@ def test_with_previous_in_ranges(spark):
     data = [(float(i // 3), float(i)) for i in range(500)]
     df = spark.createDataFrame(data, "x double, y double")
     want = dict(zip(data[1:], data)) | {data[0]: (None, None)}
-    for limit in (0, 10**6):
-        out = R.with_previous(df, ["x", "y"], ["x", "y"], plain_rows=limit, buckets=16)
+    for buckets in (1, 16):
+        out = R.with_previous(df, ["x", "y"], ["x", "y"], buckets=buckets)
         assert {(r["x"], r["y"]): (r["prev_x"], r["prev_y"]) for r in out.collect()} == want
 
 

@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter
 
 import pytest
@@ -36,12 +37,22 @@ def test_three_way_is_complete_disjoint_and_stable(people):
     assert other != first
 
 
-def test_hash_buckets_give_the_same_split(people):
-    plain = {r["id"]: r["split"] for r in S.three_way_split(people, "id", "y").collect()}
-    wide = {r["id"]: r["split"] for r in S.three_way_split(people, "id", "y", plain_rows=0).collect()}
-    assert wide == plain
-    folds = [S.stratified_kfold(people, "id", "y", 7, plain_rows=n).orderBy("id").collect() for n in (0, 10**6)]
-    assert folds[0] == folds[1]
+def test_splits_are_runs_of_the_hash_order(people):
+    got = {r["id"]: (r["y"], r["split"]) for r in S.three_way_split(people, "id", "y").collect()}
+    for y in {v[0] for v in got.values()}:
+        order = sorted((i for i in got if got[i][0] == y), key=lambda i: (hashlib.md5(f"{i}-{S.SEED}".encode()).hexdigest(), i))
+        told = [got[i][1] for i in order]
+        assert told == sorted(told, key=["serving", "eval", "train"].index)
+
+
+def test_folds_are_runs_of_ids_of_any_type(people):
+    numbers = {r["id"]: (r["y"], r["fold"]) for r in S.stratified_kfold(people, "id", "y", 7).collect()}
+    texts = S.stratified_kfold(people.withColumn("id", F.concat(F.lit("k"), "id")), "id", "y", 7)
+    for got in (numbers, {r["id"]: (r["y"], r["fold"]) for r in texts.collect()}):
+        for y in {v[0] for v in got.values()}:
+            told = [got[i][1] for i in sorted(i for i in got if got[i][0] == y)]
+            assert told == sorted(told)
+    assert Counter(f for _, f in numbers.values()).most_common()[-1][1] >= 142
 
 
 def test_three_way_is_two_holdouts(people):
@@ -56,7 +67,8 @@ def test_three_way_is_two_holdouts(people):
 
 def test_split_is_a_narrow_projection(people):
     plan = S.three_way_split(people, "id", "y")._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Join" not in plan
+    # only the cuts move: one broadcast of a row per class
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan and plan.count("Exchange") == plan.count("BroadcastExchange")
 
 
 def test_serving_has_no_label(people):
