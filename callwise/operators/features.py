@@ -1,8 +1,8 @@
 """Feature preparation: quartile clamping, imputation, category codes, standardization.
 
-Each step is a Spark ML Estimator or Transformer that saves and loads like the built-in ones. Fitted parameters are
-a few numbers or a bounded dictionary and enter the plan as literals, so applying a fitted pipeline is one narrow
-projection: no join and no shuffle.
+Each step is a Spark ML Estimator or Transformer that saves and loads like the built-in ones. Fitted numbers enter the plan
+as literals. Category codes are a table of any size, saved with the model and joined; Spark broadcasts it where its size
+allows, so that a pipeline with usual dictionaries is one narrow projection without a shuffle.
 """
 
 from __future__ import annotations
@@ -13,15 +13,13 @@ from collections.abc import Sequence
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLWritable
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from callwise.functions.quantiles import quantiles
-from callwise.functions.ranking import running_totals
-from callwise.functions.scalars import ident, is_numeric, literal, nan_to_null
+from callwise.functions.scalars import ident, is_integral, is_numeric, literal, nan_to_null
 from callwise.operators.stats import value_counts
-
-MAX_CATEGORIES = 10_000
+from callwise.sources.staging import fresh_path, stage
 
 
 class _Cols(Params):
@@ -151,10 +149,15 @@ class ModeImputer(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable
     def _fit(self, dataset: DataFrame) -> ImputerModel:
         rows = modes(dataset, self.get_cols()).collect()  # one value per column
         types = dict(dataset.dtypes)
-        fitted = {r["feature"]: r["value"] if not is_numeric(types[r["feature"]]) else float(r["value"]) for r in rows}
+        fitted = {r["feature"]: _typed(r["value"], types[r["feature"]]) for r in rows}
         return ImputerModel()._set(cols=self.get_cols(), fitted=json.dumps(fitted))
 
 
+def _typed(text: str, dtype: str) -> str | int | float:
+    """A whole number keeps all of its digits."""
+    return int(text) if is_integral(dtype) else float(text) if is_numeric(dtype) else text
+
+
 class ImputerModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         df = nan_to_null(dataset, self.get_cols())
@@ -173,19 +176,21 @@ def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return value_counts(df, cols).groupBy("feature").agg(best.alias("b")).select("feature", "b.value", (-F.col("b.m")).alias("n"))
 
 
-def label_dictionary(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> DataFrame:
+def label_dictionary(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
     """``(feature, value, num, code)``: each value's 0-based rank in the order of its own type (numbers as numbers).
 
-    A code is a running count over the distinct values, so a dictionary may be larger than one task can sort.
+    All columns in one pass: the distinct values are sorted by ranges, ranked inside each range, and the ranges of a column
+    add up what lies before them, so no task holds a whole dictionary.
     """
-    types, out = dict(df.dtypes), None
-    for c in cols:
-        values = value_counts(df, [c]).select("feature", "value", "num", F.lit(1).alias("one"))
-        order = "num" if is_numeric(types[c]) else "value"
-        ranked = running_totals(values, order, {"upto": "one"}, buckets=buckets)
-        mine = ranked.select("feature", "value", "num", (F.col("upto") - 1).alias("code"))
-        out = mine if out is None else out.unionByName(mine)
-    return out
+    values = value_counts(df, cols).select("feature", "value", "num")
+    order = ["feature", "num", "value"]
+    ranged = values.repartitionByRange(*([partitions] if partitions else []), *order).withColumn("part", F.spark_partition_id())
+    ranged = stage(ranged, "dictionary")
+    before = Window.partitionBy("feature").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    starts = ranged.groupBy("feature", "part").count().select("feature", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("feature", "part").orderBy("num", "value")
+    ranked = ranged.withColumn("row", F.row_number().over(inside) - 1).join(starts, ["feature", "part"])
+    return ranked.select("feature", "value", "num", (F.col("start") + F.col("row")).alias("code"))
 
 
 class LabelEncoder(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable):
@@ -200,43 +205,51 @@ class LabelEncoder(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritabl
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> LabelEncoderModel:
-        values = {c: [v for _, v, _ in rows] for c, rows in _category_counts(dataset, self.get_cols()).items()}
-        return LabelEncoderModel()._set(cols=self.get_cols(), fitted=json.dumps(values), unseen=self.getOrDefault(self.unseen))
+        path = fresh_path(dataset.sparkSession, "codes")
+        label_dictionary(dataset, self.get_cols()).write.parquet(path)
+        empty = set(self.get_cols()) - {r[0] for r in dataset.sparkSession.read.parquet(path).select("feature").distinct().collect()}
+        if empty:
+            raise ValueError(f"no values in {sorted(empty)}")
+        return LabelEncoderModel()._set(cols=self.get_cols(), table=path, unseen=self.getOrDefault(self.unseen))
+
 
+class _CodesWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.instance.dictionary(SparkSession.active()).write.parquet(f"{path}/codes")
 
-def _category_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, list[tuple]]:
-    """``(num, value, n)`` of each category in the order of its own type, bounded by MAX_CATEGORIES per column."""
-    rows = value_counts(df, cols).limit(len(cols) * MAX_CATEGORIES + 1).collect()
-    found: dict[str, list[tuple]] = {c: [] for c in cols}
-    for r in sorted(rows, key=lambda r: (r["feature"], r["num"] is not None, r["num"] or 0.0, r["value"])):
-        found[r["feature"]].append((r["num"], r["value"], r["n"]))
-    wrong = [c for c, values in found.items() if not 0 < len(values) <= MAX_CATEGORIES]
-    if wrong:
-        raise ValueError(f"no values, or more than {MAX_CATEGORIES}, in {wrong}; use label_dictionary and encode_with")
-    return found
 
+class _CodesReader(DefaultParamsReader):
+    def load(self, path: str) -> LabelEncoderModel:
+        return super().load(path)._set(table=f"{path}/codes")
+
+
+class LabelEncoderModel(Model, _Cols, MLReadable, MLWritable):
+    """The dictionary is a stored table ``(feature, value, num, code)``; saving the model copies it beside the parameters."""
 
-class LabelEncoderModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWritable):
     unseen = Param(Params._dummy(), "unseen", "error or code", TypeConverters.toString)
+    table = Param(Params._dummy(), "table", "path of the dictionary", TypeConverters.toString)
 
-    def codes(self) -> dict[str, list[str]]:
-        return self.values()
+    def write(self) -> DefaultParamsWriter:
+        return _CodesWriter(self)
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        strict = self.getOrDefault(self.unseen) == "error"
-        return dataset.withColumns({c: _code(c, values, strict) for c, values in self.values().items()})
+    @classmethod
+    def read(cls) -> DefaultParamsReader:
+        return _CodesReader(cls)
 
+    def dictionary(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.getOrDefault(self.table))
 
-def _code(name: str, values: Sequence[str], strict: bool) -> Column:
-    text = f"CAST({ident(name)} AS STRING)"
-    keys = ", ".join(map(literal, values))
-    codes = ", ".join(f"{i}D" for i in range(len(values)))
-    told = f"CAST(raise_error(concat('unseen value in ', {literal(name)}, ': ', coalesce({text}, 'null'))) AS DOUBLE)"
-    return F.expr(f"coalesce(try_element_at(map_from_arrays(array({keys}), array({codes})), {text}), {told if strict else '-1D'})")
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        codes = self.dictionary(dataset.sparkSession)
+        for c in self.get_cols():
+            dataset = encode_with(dataset, codes, c, self.getOrDefault(self.unseen))
+        return dataset
 
 
 def encode_with(df: DataFrame, dictionary: DataFrame, col: str, unseen: str = "error") -> DataFrame:
-    """Encode by joining a dictionary table of any size. Spark chooses the join; a hot value is left to its skew join."""
+    """Encode by joining a dictionary table of any size, the columns staying in their order. Spark broadcasts it if its
+    size allows; beyond that a hot value is split by the skew join, as every row meets one code at most."""
     codes = dictionary.filter(F.col("feature") == col).select(F.col("value").alias("_v"), F.col("code").cast("double").alias("_code"))
     joined = df.join(codes, F.col(col).cast("string") == F.col("_v"), "left")
     if unseen == "error":
@@ -345,7 +358,7 @@ class _ClampThenImpute(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWri
 
 
 class _ImputeThenEncode(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable):
-    """Modes and codes from one count of the categories: a mode is itself a category, so imputing adds none."""
+    """A mode is itself a category, so imputing adds none, and the codes are fitted on the same rows."""
 
     unseen = Param(Params._dummy(), "unseen", "error or code", TypeConverters.toString)
 
@@ -357,11 +370,5 @@ class _ImputeThenEncode(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWr
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         cols = self.get_cols()
-        counts = _category_counts(dataset, cols)
-        # the first of the most frequent values, as the rows are in ascending order
-        best = {c: max(rows, key=lambda r: r[2]) for c, rows in counts.items()}
-        modes_ = {c: value if num is None else num for c, (num, value, _) in best.items()}
-        codes = {c: [v for _, v, _ in rows] for c, rows in counts.items()}
-        imputer = ImputerModel()._set(cols=cols, fitted=json.dumps(modes_))
-        encoder = LabelEncoderModel()._set(cols=cols, fitted=json.dumps(codes), unseen=self.getOrDefault(self.unseen))
-        return PipelineModel(stages=[imputer, encoder])
+        encoder = LabelEncoder(cols=cols, unseen=self.getOrDefault(self.unseen)).fit(dataset)
+        return PipelineModel(stages=[ModeImputer(cols=cols).fit(dataset), encoder])

@@ -32,6 +32,18 @@ def champion_challenger(scores: DataFrame, old: str, new: str) -> DataFrame:
     return both.withColumn("change", F.col("new_score") - F.col("old_score"))
 
 
+def latest_scores(daily: DataFrame) -> DataFrame:
+    """The score of the last day on which a version scored a customer."""
+    last = F.max_by(F.struct("score", "scored_on"), "scored_on")
+    return daily.groupBy("id", "version").agg(last.alias("l")).select("id", "version", "l.score", "l.scored_on")
+
+
+def latest_outcomes(outcomes: DataFrame) -> DataFrame:
+    """``(id, result)``: a customer who was called several times counts once, with the last outcome; of two on one day the
+    better one."""
+    return outcomes.groupBy("id").agg(F.max(F.struct("called_on", "result")).alias("l")).select("id", "l.result")
+
+
 def outcome_metrics(scores: DataFrame, outcomes: DataFrame, threshold: float = DECISION_THRESHOLD) -> DataFrame:
     """Precision, recall, accuracy and number of calls of each version, against what the calls brought."""
     called = scores.join(outcomes.select("id", F.col("result").alias("label")), "id").withColumn("pred", threshold_classify(F.col("score"), threshold))

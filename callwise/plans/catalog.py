@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callwise.functions import scalars as S
@@ -207,6 +209,13 @@ def label_encode(spark, d):
     return X.LabelEncoder(cols=C.CATEGORICAL).fit(base).transform(base)
 
 
+@query
+def label_encode_large(spark, d):
+    """A category per order: more values than any list of literals should hold."""
+    orders = C.table(spark, d, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("code"))
+    return X.LabelEncoder(cols=["code"]).fit(orders).transform(orders)
+
+
 @query
 def label_encode_join(spark, d):
     """Numbers as categories, encoded through a dictionary table: 10 sorts after 2."""
@@ -425,12 +434,17 @@ def validation_gate(spark, d):
     """Number of anomalies, and whether a run would warn, for a clean and for a faulty table."""
     schema = _constraints(spark, d)
     clean = R.dropna_any(C.campaign_table(spark, d))
-    reports = V.validate(clean, schema, "TRAINING", exclude=["id"]).withColumn("data", F.lit("clean")).unionByName(
-        V.validate(_faulty(spark, d), schema, "SERVING", exclude=["id"], ignore_columns=["old_score"]).withColumn("data", F.lit("faulty"))
-    )
-    both = local_rows(spark, [("clean",), ("faulty",)], "data string")
-    counts = reports.groupBy("data").agg(F.count("*").alias("n"))
-    return both.join(counts, "data", "left").select("data", F.coalesce("n", F.lit(0)).alias("anomalies"), F.coalesce(F.col("n") > 0, F.lit(False)).alias("warns"))
+    reports = {
+        "clean": V.validate(clean, schema, "TRAINING", exclude=["id"]),
+        "faulty": V.validate(_faulty(spark, d), schema, "SERVING", exclude=["id"], ignore_columns=["old_score"]),
+    }
+    rows = []
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        for name, report in reports.items():
+            report = stage(report, "report")
+            rows.append((name, report.count(), V.gate(report)))
+    return local_rows(spark, rows, "data string, anomalies bigint, warns boolean")
 
 
 @query
@@ -491,6 +505,20 @@ def class_weights(spark, d):
     return rounded(RS.class_weights(C.campaign_table(spark, d), C.LABEL).select("id", "response", "weight"), "weight")
 
 
+@query
+def class_weights_many(spark, d):
+    """Thousands of classes: the orders of a customer."""
+    orders = C.table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 5000).alias("cls"))
+    return rounded(RS.class_weights(orders, "cls"), "weight")
+
+
+@query
+def stratified_kfold_text(spark, d):
+    """Folds by ids that are texts."""
+    docs = C.document_labels(spark, d).select(F.concat(F.lit("doc-"), F.col("doc_id")).alias("doc_id"), "toxic")
+    return SP.stratified_kfold(docs, "doc_id", "toxic")
+
+
 # ---- scores and evaluation -----------------------------------------------------------------------------------
 
 
@@ -599,12 +627,33 @@ def score_upsert(spark, d):
     T.write_scores(scores, path)
     T.write_scores(scores.filter(F.col("version") == "v0.0.1").withColumn("score", F.round(F.col("score") / 2, 6)), path)
     C.campaign_table(spark, d).select("id", "nation").write.parquet(wide)
-    for version, column in (("v0.0.1", "old_rate"), ("v0.0.2", "new_rate")):
-        customers = T.read_table(spark, wide)
-        T.overwrite_with_column(spark, SV.attach_scores(customers, T.read_scores(spark, path), version, column), wide)
+    columns = {"v0.0.1": "old_rate", "v0.0.2": "new_rate"}
+    T.overwrite_with_column(spark, SV.attach_versions(T.read_table(spark, wide), T.read_scores(spark, path), columns), wide)
     return T.read_table(spark, wide)
 
 
+@query
+def daily_scores(spark, d):
+    """Two days are written, the first one again with other scores: history stays, the latest score of each customer counts."""
+    path = fresh_path(spark, "daily")
+    scores = _scores(spark, d)
+    T.write_daily_scores(scores, "2024-03-01", path)
+    T.write_daily_scores(scores.filter(F.col("id") % 2 == 0).withColumn("score", F.round(F.col("score") / 4, 6)), "2024-03-02", path)
+    T.write_daily_scores(scores.withColumn("score", F.round(F.col("score") / 2, 6)), "2024-03-01", path)
+    latest = SV.latest_scores(T.read_scores(spark, path, T.DAILY_SCHEMA))
+    return latest.withColumn("scored_on", S.date_render(F.col("scored_on")))
+
+
+@query
+def outcomes_latest(spark, d):
+    """Some customers are called twice; their last outcome counts, once."""
+    path = fresh_path(spark, "outcomes")
+    first = _outcomes(spark, d)
+    T.write_outcomes(first, "2024-03-01", path)
+    T.write_outcomes(first.filter(F.col("id") % 3 == 0).withColumn("result", 1 - F.col("result")), "2024-03-02", path)
+    return rounded(SV.outcome_metrics(_scores(spark, d), SV.latest_outcomes(T.read_outcomes(spark, path))), "precision", "recall", "accuracy")
+
+
 def _runs(spark, d):
     scored = C.campaign_scores(spark, d)
     runs = None
@@ -643,18 +692,22 @@ def holdout_report(spark, d):
     return rounded(M.classification_report(scored, by=["split"]), "precision", "recall", "f1")
 
 
-# ---- training: checked by rows and by the tests --------------------------------------------------------------
+# ---- training: SQL checks which rows are scored, and that every score is a probability -----------------------
 
 
 def _prepared(spark, d):
     return C._once(spark, d, "prepared", lambda: flows.prepare(C.campaign_table(spark, d), C.KEY, C.LABEL, C.NUMERIC, C.CATEGORICAL)[0])
 
 
+def _probability(c: str):
+    return F.coalesce(F.col(c).between(0.0, 1.0), F.lit(False)).alias("scored")
+
+
 def _fit_and_score(spark, d, estimator):
     rows = _prepared(spark, d)
     train, evaluation = (rows.filter(F.col("split") == s) for s in ("train", "eval"))
     model = RS.Smoted(inner=estimator, key=C.KEY, cols=C.FEATURES, label=C.LABEL).fit(train)
-    return MM.positive_probability(model, MM.assemble(evaluation, C.FEATURES)).select("id", "response", "score")
+    return MM.positive_probability(model, MM.assemble(evaluation, C.FEATURES)).select("id", "response", _probability("score"))
 
 
 @query
@@ -664,36 +717,52 @@ def logistic_fit(spark, d):
 
 @query
 def random_forest_fit(spark, d):
-    return _fit_and_score(spark, d, MM.random_forest(trees=20, depth=6))
+    return _fit_and_score(spark, d, MM.random_forest())
 
 
 @query
 def mlp_fit(spark, d):
-    return _fit_and_score(spark, d, MM.mlp(len(C.FEATURES), hidden=10, max_iter=20))
+    return _fit_and_score(spark, d, MM.mlp(len(C.FEATURES)))
 
 
 @query
 def grid_search(spark, d):
+    """Three folds and two settings: the whole search is 100 fits (see the README)."""
     train = _prepared(spark, d).filter(F.col("split") == "train")
     folds = SP.stratified_kfold(train, C.KEY, C.LABEL, 3).withColumn("label", F.col(C.LABEL).cast("double"))
     folds = stage(MM.assemble(folds, C.FEATURES), "folds")
     smoted = RS.Smoted(inner=MM.logistic(), key=C.KEY, cols=C.FEATURES, label=C.LABEL)
     found = MM.grid_search(smoted, {"C": [0.1, 13.0], "maxIter": [50]}, "fold", 3).fit(folds)
     rows = [(str(settings), float(accuracy)) for settings, accuracy in MM.grid_results(found)]
-    return local_rows(spark, rows, "settings string, accuracy double")
+    return local_rows(spark, rows, "settings string, accuracy double").select("settings", _probability("accuracy"))
 
 
 @query
 def feature_ablation(spark, d):
-    runs = flows.feature_ablation(_prepared(spark, d), C.KEY, C.FEATURES, C.LABEL, [4, 11])
-    return runs.select("run_name", F.map_values("metrics").alias("metrics"))
+    runs = flows.feature_ablation(_prepared(spark, d), C.KEY, C.FEATURES, C.LABEL, [5, 10, len(C.FEATURES)])
+    return runs.select("run_name", F.element_at("params", "n").alias("n"), F.size(F.filter(F.map_values("metrics"), lambda v: v.between(0.0, 1.0))).alias("measures"))
 
 
 @query
 def batch_score(spark, d):
+    """Score the serving split with a saved model, store the scores and attach them to the customers."""
     rows = _prepared(spark, d)
-    model = flows.train_ensemble(rows.filter(F.col("split") == "train"), C.KEY, C.FEATURES, C.LABEL, trees=20, depth=6)
-    root = fresh_path(spark, "models")
+    model = flows.train_ensemble(rows.filter(F.col("split") == "train"), C.KEY, C.FEATURES, C.LABEL)
+    root, path = fresh_path(spark, "models"), fresh_path(spark, "scores")
     MM.save_version(model, root, "v0.0.2")
     serving = rows.filter(F.col("split") == "serving").drop("response")
-    return flows.batch_score(serving, MM.load_version(spark, root, "v0.0.2"), "v0.0.2")
+    T.write_scores(flows.batch_score(serving, MM.load_version(spark, root, "v0.0.2"), "v0.0.2"), path)
+    customers = C.campaign_table(spark, d).select("id", "nation")
+    return SV.attach_scores(customers, T.read_scores(spark, path), "v0.0.2", "rate").select("id", "nation", _probability("rate"))
+
+
+@query
+def saved_pipeline(spark, d):
+    """Fit the feature pipeline, save it, load it and apply it: the rows are those of the fitted one."""
+    rows, fitted = flows.prepare(C.campaign_table(spark, d), C.KEY, C.LABEL, C.NUMERIC, C.CATEGORICAL, minimum=("n_orders", 2))
+    path = fresh_path(spark, "pipeline")
+    fitted.write().save(path)
+    base = SP.three_way_split(R.dropna_any(C.campaign_table(spark, d)), C.KEY, C.LABEL)
+    kept = base.filter((F.col("split") == "serving") | (F.col("n_orders") > 2))
+    again = PipelineModel.load(path).transform(kept)
+    return rounded(again.select(rows.columns), *C.NUMERIC)

@@ -168,12 +168,20 @@ add("stratified_holdout", CAMPAIGN, "counts AS (SELECT response AS cls, count(*)
     sql="SELECT id, response, pos <= take AS is_holdout FROM hashed JOIN first ON cls = response")
 add("three_way_split", CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, response, split FROM split")
 add("serving_emulation", CAMPAIGN, *split("campaign"), sql="SELECT * EXCLUDE (response, split) REPLACE (" + DAY + ") FROM split WHERE split = 'serving'")
-add("stratified_kfold", DOCS, """
-numbered AS (SELECT doc_id, toxic, min(doc_id) OVER (PARTITION BY toxic) AS head FROM docs),
+def folds(rows: str) -> tuple[str, ...]:
+    return (f"""
+numbered AS (SELECT doc_id, toxic, min(doc_id) OVER (PARTITION BY toxic) AS head FROM {rows}),
 laid AS (SELECT *, row_number() OVER (ORDER BY head, doc_id) - 1 AS place, row_number() OVER (PARTITION BY toxic ORDER BY doc_id) - 1 AS pos FROM numbered),
 dealt AS (SELECT toxic, place % 10 AS fold, count(*) AS n FROM laid GROUP BY ALL),
-ends AS (SELECT toxic, fold, sum(n) OVER (PARTITION BY toxic ORDER BY fold) AS upto, sum(n) OVER (PARTITION BY toxic ORDER BY fold) - n AS start FROM dealt)""",
-    sql="SELECT l.doc_id, l.toxic, CAST(e.fold AS INT) AS fold FROM laid l JOIN ends e ON e.toxic = l.toxic AND l.pos >= e.start AND l.pos < e.upto")
+ends AS (SELECT toxic, fold, sum(n) OVER (PARTITION BY toxic ORDER BY fold) AS upto, sum(n) OVER (PARTITION BY toxic ORDER BY fold) - n AS start FROM dealt)""",)
+
+
+FOLDED = "SELECT l.doc_id, l.toxic, CAST(e.fold AS INT) AS fold FROM laid l JOIN ends e ON e.toxic = l.toxic AND l.pos >= e.start AND l.pos < e.upto"
+add("stratified_kfold", DOCS, *folds("docs"), sql=FOLDED)
+add("stratified_kfold_text", DOCS, "named AS (SELECT concat('doc-', doc_id) AS doc_id, toxic FROM docs)", *folds("named"), sql=FOLDED)
+add("label_encode_large", sql="SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY CAST(o_orderkey AS VARCHAR)) - 1 AS DOUBLE) AS code FROM orders")
+add("class_weights_many", sql="""SELECT o_orderkey, cls, round(count(*) OVER () / ((SELECT count(DISTINCT o_custkey % 5000) FROM orders) * count(*) OVER (PARTITION BY cls))::DOUBLE, 6) AS weight
+FROM (SELECT o_orderkey, o_custkey % 5000 AS cls FROM orders)""")
 
 CLAMP_COLS = [*NUMERIC, "complain"]
 add("iqr_winsorize", CAMPAIGN, bounds("campaign", CLAMP_COLS), sql="SELECT id, " + ", ".join(r6(clamped(c), c) for c in CLAMP_COLS) + " FROM campaign, bounds")
@@ -510,3 +518,14 @@ add("log_run", *SCORED, RUNS, sql="""
 SELECT run_name, 'threshold' AS first_param, '8' AS n, recall, NULL::VARCHAR AS model_path FROM runs UNION ALL SELECT 'manual', 'n', '18', 0.5, 'models/v0'""")
 add("leaderboard", *SCORED, RUNS, sql="SELECT metric, CAST(rank() OVER (PARTITION BY metric ORDER BY value DESC) AS INT) AS rank, run_name, value FROM ("
     + " UNION ALL ".join(f"SELECT 'validation_{m}' AS metric, run_name, {m} AS value FROM runs" for m in ("precision", "recall", "accuracy")) + ")")
+
+add("daily_scores", *SCORED, VERSIONS, sql="""
+SELECT id, version, round(score / CASE WHEN id % 2 = 0 THEN 4 ELSE 2 END, 6) AS score, CASE WHEN id % 2 = 0 THEN '2024-03-02' ELSE '2024-03-01' END AS scored_on FROM scores""")
+add("outcomes_latest", *SCORED, VERSIONS, "last AS (SELECT id, CASE WHEN id % 3 = 0 THEN 1 - result ELSE result END AS result FROM outcomes)", sql=f"""
+SELECT version, {points('score >= 0.53')}, count(*) AS calls FROM (SELECT version, score, result AS label FROM scores JOIN last USING (id)) GROUP BY version""")
+for _name in ("logistic_fit", "random_forest_fit", "mlp_fit"):
+    add(_name, CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, response, TRUE AS scored FROM split WHERE split = 'eval'")
+add("batch_score", CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, nation, id IN (SELECT id FROM split WHERE split = 'serving') AS scored FROM campaign")
+ORACLE["grid_search"] = "SELECT settings, TRUE AS scored FROM (VALUES ('{''C'': 0.1, ''maxIter'': 50}'), ('{''C'': 13.0, ''maxIter'': 50}')) AS v(settings)"
+ORACLE["feature_ablation"] = "SELECT run_name, n, 3 AS measures FROM (VALUES ('select-5-features', '5'), ('select-10-features', '10'), ('select-11-features', '11')) AS v(run_name, n)"
+ORACLE["saved_pipeline"] = ORACLE["fit_apply_pipeline"]

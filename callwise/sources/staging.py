@@ -1,7 +1,9 @@
 """Tables written between the steps of a flow.
 
 A staged table cuts the lineage and survives the loss of executors. It lives under the shared folder that the
-session names in ``spark.checkpoint.dir``; only a local session without that setting gets a temporary folder.
+session names in ``spark.checkpoint.dir``. A local session without that setting, whose driver and executors are one
+process, gets a temporary folder; on a cluster the setting is required. ``drop_staged`` ends the staged tables of an
+application.
 """
 
 from __future__ import annotations
@@ -64,3 +66,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete all staged tables of this application; frames that read them are of no use afterwards."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/callwise/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,6 +10,8 @@ from pyspark.sql.types import StructType
 from callwise.sources.staging import stage
 
 SCORES_SCHEMA = "id bigint, score double, version string"
+DAILY_SCHEMA = "id bigint, score double, version string, scored_on date"
+OUTCOMES_SCHEMA = "id bigint, result int, called_on date"
 
 
 def read_table(spark: SparkSession, source: str) -> DataFrame:
@@ -54,6 +56,23 @@ def read_scores(spark: SparkSession, path: str, schema: StructType | str = SCORE
     return spark.read.schema(schema).parquet(path)
 
 
+def write_daily_scores(scores: DataFrame, day: str, path: str) -> None:
+    """Scores by version and day: a rerun replaces its own day of its own versions, all other days stay."""
+    dated = scores.withColumn("scored_on", F.lit(day).cast("date"))
+    writer = dated.write.mode("overwrite").partitionBy("version", "scored_on")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def write_outcomes(outcomes: DataFrame, day: str, path: str) -> None:
+    """What the calls of a day brought, ``(id, result)`` with result 0 or 1; a rerun replaces the day."""
+    dated = outcomes.select("id", F.col("result").cast("int").alias("result"), F.lit(day).cast("date").alias("called_on"))
+    dated.write.mode("overwrite").partitionBy("called_on").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(OUTCOMES_SCHEMA).parquet(path)
+
+
 def overwrite_with_column(spark: SparkSession, table: DataFrame, target: str) -> None:
     """Replace the table stored at ``target`` by ``table``, which may be derived from it and have new columns.
 

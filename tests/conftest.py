@@ -20,6 +20,7 @@ def spark():
         .config("spark.driver.memory", "6g")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="callwise-warehouse-"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="callwise-staged-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
