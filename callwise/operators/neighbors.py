@@ -6,7 +6,8 @@
    more pivots and cells stay small.
 3. A first pass searches each cell alone. The distance to the k-th neighbor found there bounds the true one.
 4. A point then visits only those other cells that the triangle inequality cannot rule out. Visits to a busy cell are
-   cut into chunks, so no task holds an unbounded group.
+   cut into chunks and the points of a large cell into parts; each chunk meets each part, and the best of all parts are
+   merged. So no task holds an unbounded group, however many points a cell has.
 
 Nothing is dropped on the way: a cell is skipped only when none of its points can be nearer.
 """
@@ -27,6 +28,7 @@ from callwise.sources.staging import stage
 CELL_POINTS = 2_000
 MAX_PIVOTS = 65_536
 VISIT_ROWS = 20_000
+HELD_ROWS = 8_000
 MATRIX_ROWS = 512  # rows of a distance matrix held at once
 SLACK = 1e-9  # relative; keeps rounding in the bounds from excluding a tie
 
@@ -62,7 +64,7 @@ def nearest_staged(rows: DataFrame, k: int, cell_points: int = CELL_POINTS) -> D
     )
     pivots = _pivots(points, ceil(points.count() / cell_points))
     cells = stage(_assign(points, pivots), "knn_cells") if len(pivots) > 1 else points.withColumns({"cell": F.lit(0), "far": F.lit(0.0)})
-    local = _search(cells.select("p", "x", "cell"), cells, k, own=True)
+    local = _best(_search(cells.select("p", "x", "cell"), cells, k, own=True), k)
     if len(pivots) > 1:
         local = stage(local, "knn_local")
         visits = _visits(cells, local, pivots, k)
@@ -115,16 +117,20 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _search(queries: DataFrame, cells: DataFrame, k: int, own: bool) -> DataFrame:
-    """Best k neighbor rows of each query point among the points of one cell, per (cell, chunk) group.
+    """Best k neighbor rows of each query point in each part of its cell, per (cell, chunk, part) group.
 
-    Queries of a cell are cut into chunks of about VISIT_ROWS; each chunk meets the cell's points once.
+    Queries of a cell are cut into chunks of about VISIT_ROWS and its points into parts of about HELD_ROWS.
     """
     sizes = queries.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(VISIT_ROWS)).cast("int").alias("chunks"))
-    sizes = F.broadcast(sizes)  # one row per cell, at most MAX_PIVOTS
-    left = queries.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("p"), F.col("chunks")).cast("int")).drop("chunks")
+    held_sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(HELD_ROWS)).cast("int").alias("parts"))
+    sizes = F.broadcast(sizes.join(held_sizes, "cell"))  # one row per cell, at most MAX_PIVOTS
+    left = queries.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("p"), F.col("chunks")).cast("int"))
+    left = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("chunks", "parts")
     # fresh names for the columns: both sides may come from the same table
     right = cells.join(sizes, "cell").select(
-        *[F.col(c).alias(c) for c in ("cell", "x", "ids", "p")], F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+        *[F.col(c).alias(c) for c in ("cell", "x", "ids", "p")],
+        F.pmod(F.xxhash64("p"), F.col("parts")).cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
     )
 
     def look(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -133,27 +139,27 @@ def _search(queries: DataFrame, cells: DataFrame, k: int, own: bool) -> DataFram
             return empty
         x, y = np.stack(asked["x"].to_numpy()), np.stack(held["x"].to_numpy())
         ap, hp = asked["p"].to_numpy(), held["p"].to_numpy()
-        ids = held["ids"].to_list()
+        number = np.array([len(i) for i in held["ids"]])
+        flat, first = np.concatenate(held["ids"].to_list()), np.cumsum(number) - number
         width = min(k + 1, len(y))
-        got_p, got_q, got_d = [], [], []
+        got = []
         for s in range(0, len(x), MATRIX_ROWS):
             d = _distances(x[s : s + MATRIX_ROWS], y)
             if own:
                 d[ap[s : s + MATRIX_ROWS][:, None] == hp[None, :]] = np.inf
             edge = np.partition(d, width - 1, axis=1)[:, width - 1]
-            for i in range(len(d)):
-                near = np.flatnonzero(d[i] <= edge[i])  # all ties of the last place stay in
-                pairs = sorted((d[i, j], q) for j in near if d[i, j] < np.inf for q in ids[j])[:k]
-                got_p += [ap[s + i]] * len(pairs)
-                got_d += [e[0] for e in pairs]
-                got_q += [e[1] for e in pairs]
-        return pd.DataFrame({"p": got_p, "q": got_q, "d2": got_d}) if got_p else empty
-
-    return (
-        left.groupBy("cell", "chunk")
-        .cogroup(right.groupBy("cell", "chunk"))
-        .applyInPandas(look, "p bigint, q bigint, d2 double")
-    )
+            i, j = np.nonzero((d <= edge[:, None]) & (d < np.inf))  # all ties of the last place stay in
+            pair = np.repeat(np.arange(len(i)), number[j])  # a point stands for all of its ids
+            inner = np.arange(len(pair)) - np.repeat(np.cumsum(number[j]) - number[j], number[j])
+            q, who, d2 = flat[first[j][pair] + inner], i[pair], d[i, j][pair]
+            order = np.lexsort((q, d2, who))
+            place = np.arange(len(order)) - np.searchsorted(who[order], who[order])
+            best = order[place < k]
+            got.append(pd.DataFrame({"p": ap[s + who[best]], "q": q[best], "d2": d2[best]}))
+        return pd.concat(got) if got else empty
+
+    on = ["cell", "chunk", "part"]
+    return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(look, "p bigint, q bigint, d2 double")
 
 
 def _visits(cells: DataFrame, local: DataFrame, pivots: np.ndarray, k: int) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from callwise.operators import models as MM
 from callwise.operators import resampling as RS
+from callwise.operators import neighbors
 from callwise.operators.neighbors import minority_knn, nearest
 
 
@@ -52,6 +53,14 @@ def test_neighbors_equal_brute_force(cloud, cell_points):
     assert found(nearest(df, "id", ["a", "b", "c"], 4, cell_points)) == brute(points, 4)
 
 
+def test_large_cells_are_searched_in_parts(cloud, monkeypatch):
+    df, points = cloud
+    monkeypatch.setattr(neighbors, "HELD_ROWS", 9)
+    monkeypatch.setattr(neighbors, "VISIT_ROWS", 11)
+    for cell_points in (10**6, 40):
+        assert found(nearest(df, "id", ["a", "b", "c"], 4, cell_points)) == brute(points, 4)
+
+
 def test_neighbors_of_a_few_rows(spark):
     df = spark.createDataFrame([(1, 0.0), (2, 0.0), (3, 1.0)], "id long, a double")
     assert found(nearest(df, "id", ["a"], 5)) == {1: [(0.0, 2), (1.0, 3)], 2: [(0.0, 1), (1.0, 3)], 3: [(1.0, 1), (1.0, 2)]}
