@@ -22,8 +22,8 @@ from callwise.sources.staging import stage
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Add ``n / (classes * n_class)``, so that every class weighs the same in total."""
     counts = df.groupBy(F.col(label).alias("_cls")).agg(F.count("*").alias("_m"))
-    total = counts.agg(F.sum("_m").alias("_n"), F.count("*").alias("_k"))
-    weights = counts.join(F.broadcast(total)).select("_cls", (F.col("_n") / (F.col("_k") * F.col("_m"))).alias(name))
+    n, k = counts.agg(F.sum("_m"), F.count("*")).first()
+    weights = counts.select("_cls", (F.lit(n or 0) / (F.lit(k) * F.col("_m"))).alias(name))
     plain = df.drop(name)
     return plain.join(weights, plain[label].eqNullSafe(weights["_cls"])).drop("_cls")
 
