@@ -766,3 +766,20 @@ def saved_pipeline(spark, d):
     kept = base.filter((F.col("split") == "serving") | (F.col("n_orders") > 2))
     again = PipelineModel.load(path).transform(kept)
     return rounded(again.select(rows.columns), *C.NUMERIC)
+
+
+@query
+def daily_run(spark, d):
+    """The daily flow on the serving split: check, prepare, score with a saved model, store and attach the scores."""
+    rows, fitted = flows.prepare(C.campaign_table(spark, d), C.KEY, C.LABEL, C.NUMERIC, C.CATEGORICAL)
+    root, path = fresh_path(spark, "models"), fresh_path(spark, "scores")
+    train = rows.filter(F.col("split") == "train")
+    member = RS.Smoted(inner=MM.logistic(), key=C.KEY, cols=C.FEATURES, label=C.LABEL).fit(train)
+    MM.save_version(MM.voting_model({"lr": member}, C.FEATURES), root, "v0.0.2")
+    split = SP.three_way_split(R.dropna_any(C.campaign_table(spark, d)), C.KEY, C.LABEL)
+    schema = stage(SC.infer_schema(split.filter(F.col("split") == "train").drop("split", "response", "id")), "schema")
+    customers = SP.serving_emulation(split, C.LABEL)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        scored = flows.daily_run(spark, customers, schema, fitted, root, path, "v0.0.2", "rate", ignore_columns=["last_order"])
+    return scored.select("id", _probability("rate"))

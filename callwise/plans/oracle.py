@@ -529,3 +529,4 @@ add("batch_score", CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, natio
 ORACLE["grid_search"] = "SELECT settings, TRUE AS scored FROM (VALUES ('{''C'': 0.1, ''maxIter'': 50}'), ('{''C'': 13.0, ''maxIter'': 50}')) AS v(settings)"
 ORACLE["feature_ablation"] = "SELECT run_name, n, 3 AS measures FROM (VALUES ('select-5-features', '5'), ('select-10-features', '10'), ('select-11-features', '11')) AS v(run_name, n)"
 ORACLE["saved_pipeline"] = ORACLE["fit_apply_pipeline"]
+add("daily_run", CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, TRUE AS scored FROM split WHERE split = 'serving'")
