@@ -1,4 +1,4 @@
-"""The superstore customer table: its columns, their roles, and the constraints a daily batch must meet."""
+"""The customer table: its columns, their roles, and the constraints a daily batch must meet."""
 
 from __future__ import annotations
 
