@@ -24,6 +24,7 @@ TEMPERATURE = 0.8
 SHARE = 0.7
 SWEEPS = 30
 TOLERANCE = 1e-4
+CELLS_PER_TASK = 100_000
 NONE = "(none)"
 
 
@@ -57,7 +58,7 @@ def described(docs: DataFrame, topics: int = TOPICS) -> DataFrame:
 def tempered(cells: DataFrame, dimension: str, temperature: float = TEMPERATURE) -> DataFrame:
     """Target shares ``(value, share)`` that flatten a marginal: proportional to its tokens to the power ``temperature``."""
     sums = cells.groupBy(F.col(dimension).alias("value")).agg(F.pow(F.sum("tokens"), F.lit(temperature)).alias("p")).filter("p > 0")
-    return sums.crossJoin(F.broadcast(sums.agg(F.sum("p").alias("all")))).select("value", (F.col("p") / F.col("all")).alias("share"))
+    return sums.select("value", (F.col("p") / F.lit(sums.agg(F.sum("p")).first()[0])).alias("share"))
 
 
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], share: float = SHARE, sweeps: int = SWEEPS, tolerance: float = TOLERANCE) -> DataFrame:
@@ -72,9 +73,10 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], share: float = SHAR
     current = cells.withColumn("weight", F.col("tokens").cast("double") * share)
     if not total:
         return current
-    wanted = {d: stage(t.select(F.col("value").alias(d), (F.col("share") * total * share).alias("_want")), f"target-{d}") for d, t in targets.items()}
+    parts = max(1, -(-cells.count() // CELLS_PER_TASK))  # few cells need no exchange between the sums of a sweep
+    wanted = {d: stage(t.coalesce(parts).select(F.col("value").alias(d), (F.col("share") * total * share).alias("_want")), f"target-{d}").coalesce(parts) for d, t in targets.items()}
     for _ in range(sweeps):
-        current = current.withColumn("_old", F.col("weight"))
+        current = current.coalesce(parts).withColumn("_old", F.col("weight"))
         for k, (d, want) in enumerate(wanted.items()):
             sums = current.groupBy(d).agg(F.sum("weight").alias("_sum")).join(want, d)
             ratio = sums.select(d, F.when(F.col("_sum") > 0, F.col("_want") / F.col("_sum")).otherwise(F.lit(1.0)).alias(f"_r{k}"))
