@@ -28,6 +28,10 @@ def _head(raw: bytes, prefix_bytes: int) -> int:
     return xxhash.xxh3_64_intdigest(raw[:prefix_bytes].lower(), seed=len(raw) & 0xFFFFFFFF)
 
 
+def _digest(raw: bytes) -> bytes:
+    return hashlib.sha256(raw.lower()).digest()
+
+
 def heads(docs: DataFrame, prefix_bytes: int = PREFIX_BYTES) -> DataFrame:
     def each(ids: list, raws: list) -> dict:
         head = np.fromiter((_head(r, prefix_bytes) for r in raws), np.uint64, len(raws))
@@ -41,7 +45,7 @@ def digests(docs: DataFrame, prefix_bytes: int = PREFIX_BYTES) -> DataFrame:
 
     def each(ids: list, raws: list) -> dict:
         out = _full(ids, raws, prefix_bytes)
-        out["text_sha256"] = pa.array([hashlib.sha256(r.lower()).hexdigest() for r in raws])
+        out["text_sha256"] = pa.array([_digest(r).hex() for r in raws])
         return out
 
     return map_texts(texts(docs), each, HEADS + ", text_sha256 string")
@@ -52,17 +56,10 @@ def _full(ids: list, raws: list, prefix_bytes: int) -> dict:
     return {"doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array([len(r) for r in raws], pa.int64()), "prefix_hash": head}
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_bytes: int = PREFIX_BYTES) -> DataFrame:
-    """``(doc_id, n_bytes, prefix_hash, keep_id, group_size, kept)``: one row per document, also those to drop.
-
-    Texts are equal when they agree after lower-casing A-Z; the largest doc_id of a group stays. Null text is empty.
-    A document is a distinct (doc_id, text): a repeated row is the same document and counts once. A null doc_id is a
-    document like others; it stays only if all of its group have none. An empty table gives an empty result; other
-    columns of ``docs`` are not read.
-    """
+def _decided(docs: DataFrame, id_col: str, text_col: str, prefix_bytes: int) -> DataFrame:
+    """``exact_duplicates`` with the full hash (null where no other row has the length and prefix) and ``n_rows`` per document."""
     source = texts(docs, id_col, text_col)
-    rows = stage(heads(source, prefix_bytes).distinct(), "heads")
-    shared = rows.groupBy("n_bytes", "prefix_hash").count().filter("count > 1")
+    shared = heads(source, prefix_bytes).groupBy("n_bytes", "prefix_hash").count().filter("count > 1")
     bit = F.pmod(F.col("prefix_hash"), F.lit(FILTER_BITS))
     words = shared.select(F.floor(bit / 32).alias("word"), F.expr("shiftleft(1L, CAST(pmod(prefix_hash, 32) AS INT))").alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER_BITS / 32 rows
@@ -71,44 +68,64 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shipped = docs.sparkSession.sparkContext.broadcast(table)
 
     def each(ids: list, raws: list) -> dict:
-        mask = shipped.value
-        head = np.fromiter((_head(r, prefix_bytes) for r in raws), np.uint64, len(raws)).view(np.int64)
-        slot = np.mod(head, FILTER_BITS)
-        live = np.flatnonzero((mask[slot >> 5] >> (slot & 31).astype(np.uint32)) & np.uint32(1))
-        return {
-            "doc_id": pa.array([ids[i] for i in live], pa.int64()),
-            "n_bytes": pa.array([len(raws[i]) for i in live], pa.int64()),
-            "prefix_hash": head[live],
-            "full_hash": pa.array([hashlib.sha256(raws[i].lower()).digest() for i in live], pa.binary()),
-        }
-
-    full = stage(map_texts(source, each, HEADS + ", full_hash binary").distinct(), "full")
-    groups = full.groupBy("n_bytes", "full_hash").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    groups = stage(groups.filter("group_size > 1"), "groups")
-    copies = join_groups(full, groups, ["n_bytes", "full_hash"], "group_size", "doc_id").select(
-        F.col("doc_id").alias("d"), F.col("n_bytes").alias("b"), F.col("prefix_hash").alias("p"), "keep_id", "group_size"
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("n_bytes") == F.col("b")) & (F.col("prefix_hash") == F.col("p"))
-    kept = F.col("group_size").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    return rows.join(copies, same, "left").select(
-        "doc_id",
-        "n_bytes",
-        "prefix_hash",
-        F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
-        kept.alias("kept"),
+        mask, out = shipped.value, _full(ids, raws, prefix_bytes)
+        slot = np.mod(out["prefix_hash"], FILTER_BITS)
+        live = (mask[slot >> 5] >> (slot & 31).astype(np.uint32)) & np.uint32(1)
+        return out | {"full_hash": pa.array([_digest(r) if on else None for r, on in zip(raws, live.tolist(), strict=True)], pa.binary())}
+
+    hashed = stage(map_texts(source, each, HEADS + ", full_hash binary"), "hashed")
+    full = hashed.filter("full_hash IS NOT NULL").groupBy("doc_id", "n_bytes", "prefix_hash", "full_hash").agg(F.count("*").alias("n_rows"))
+    full = stage(full, "full")
+    groups = stage(full.groupBy("n_bytes", "full_hash").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
+    together = join_groups(full, groups, ["n_bytes", "full_hash"], "group_size", "doc_id")
+    one = F.lit(1).cast("bigint")
+    single = hashed.filter("full_hash IS NULL").withColumns({"n_rows": one, "keep_id": F.col("doc_id"), "group_size": one})
+    return together.select(*single.columns).unionByName(single).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+
+
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_bytes: int = PREFIX_BYTES) -> DataFrame:
+    """``(doc_id, n_bytes, prefix_hash, keep_id, group_size, kept)``: one row per document, also those to drop.
+
+    Texts are equal when they agree after lower-casing A-Z; the largest doc_id of a group stays. Null text is empty.
+    A document is a distinct (doc_id, text): a repeated row is the same document and counts once. A null doc_id is a
+    document like others; it stays only if all of its group have none. An empty table gives an empty result; other
+    columns of ``docs`` are not read.
+    """
+    return _decided(docs, id_col, text_col, prefix_bytes).drop("full_hash", "n_rows")
+
+
+def _same_document(left: DataFrame, hashed: str, right: DataFrame):
+    """A row of ``left`` is the document of ``right``: its id, length and full hash, so that texts of one id, or of none, stay apart."""
+    n_bytes = F.octet_length(F.coalesce(left["text"].cast("string"), F.lit("")))
+    return left["doc_id"].cast("bigint").eqNullSafe(right["doc_id"]) & (n_bytes == right["n_bytes"]) & (left[hashed] == right["full_hash"])
+
+
+def with_copies(docs: DataFrame) -> DataFrame:
+    """``(doc_id, keep_id, group_size, kept, text_sha256)`` of every row of ``docs``."""
+    copies = stage(_decided(docs, "doc_id", "text", PREFIX_BYTES).filter("group_size > 1"), "copies")
+    copies = copies.select(F.col("doc_id").alias("_d"), F.col("n_bytes").alias("_b"), F.lower(F.hex("full_hash")).alias("_h"), "keep_id", "group_size")
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("n_bytes") == F.col("_b")) & (F.col("text_sha256") == F.col("_h"))
+    keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
+    size = F.coalesce("group_size", F.lit(1).cast("bigint"))
+    return digests(docs).join(copies, same, "left").select(
+        "doc_id", keep.alias("keep_id"), size.alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256"
     )
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with its own columns and one row left of each group of equal texts."""
-    decided = stage(exact_duplicates(docs), "decided")
-    gone = decided.filter("NOT kept").select("doc_id", "n_bytes").distinct().hint("shuffle_hash")
-    n_bytes = F.octet_length(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    left = docs.join(gone, docs["doc_id"].cast("bigint").eqNullSafe(gone["doc_id"]) & (n_bytes == gone["n_bytes"]), "left_anti")
-    again = stage(texts(docs).groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    if again.isEmpty():  # no doc_id occurs twice
-        return left
-    repeated = left["doc_id"].cast("bigint").eqNullSafe(again["doc_id"])
-    once = left.join(again, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(again, repeated, "left_anti").unionByName(once)
+    decided = stage(_decided(docs, "doc_id", "text", PREFIX_BYTES).filter("NOT kept OR n_rows > 1"), "decided")
+    key = ["doc_id", "n_bytes", "full_hash"]
+    gone = decided.filter("NOT kept").select(*key).hint("shuffle_hash")
+    hashed = "_hash"
+    while hashed in docs.columns:
+        hashed += "_"
+    sha256 = F.pandas_udf(lambda raws: raws.map(_digest), "binary")
+    rows = docs.withColumn(hashed, sha256(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")))
+    left = rows.join(gone, _same_document(rows, hashed, gone), "left_anti")
+    again = decided.filter("kept").select(*key)
+    if again.isEmpty():  # no document occurs twice
+        return left.drop(hashed)
+    repeated = _same_document(left, hashed, again)
+    once = left.join(again, repeated, "left_semi").dropDuplicates(["doc_id", hashed])
+    return left.join(again, repeated, "left_anti").unionByName(once).drop(hashed)

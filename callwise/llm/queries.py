@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callwise.llm import embedding_dedup, exact_dedup, line_dedup, mixing, packing, secrets, simhash, substring_dedup, token_counts, toxicity
 from callwise.llm.common import documents
-from callwise.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,11 +57,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    decided = stage(exact_dedup.exact_duplicates(docs), "decided")
-    digests = exact_dedup.digests(docs).withColumnsRenamed({"doc_id": "_d", "n_bytes": "_b", "prefix_hash": "_p"})
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("n_bytes") == F.col("_b")) & (F.col("prefix_hash") == F.col("_p"))
-    return digests.join(decided, same).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact_dedup.with_copies(documents(spark, sf_dir))
 
 
 @query

@@ -39,6 +39,21 @@ def test_exact_stage_keeps_columns_and_one_row(make, odd, spark):
     assert exact_dedup.exact_duplicates(docs.limit(0)).count() == 0
 
 
+def test_texts_without_id_or_of_one_id_stay_apart(make):
+    long = "p" * 300
+    rows = [(None, "abc"), (5, "ABC"), (None, "xyz"), (7, "one"), (7, "two"), (9, "One"), (None, long + "a"), (None, long + "b"), (3, long + "c"), (3, long + "d"), (4, "Twice"), (4, "twice")]
+    left = exact_dedup.drop_exact_duplicates(make(rows))
+    want = [(None, long + "a"), (None, long + "b"), (None, "xyz"), (3, long + "c"), (3, long + "d"), (4, "twice"), (5, "abc"), (7, "two"), (9, "one")]
+    got = [(i, t.lower()) for i, t in collected(left.select("doc_id", "text"), "doc_id")]
+    assert sorted(got, key=lambda r: (r[0] or 0, r[1])) == sorted(want, key=lambda r: (r[0] or 0, r[1]))
+    decided = exact_dedup.exact_duplicates(make(rows)).select("doc_id", "keep_id", "group_size", "kept")
+    named = sorted((i or 0, k or 0, n, kept) for i, k, n, kept in decided.collect())
+    assert named == sorted([(0, 5, 2, False), (5, 5, 2, True), (0, 0, 1, True), (7, 9, 2, False), (7, 7, 1, True), (9, 9, 2, True)] + [(0, 0, 1, True)] * 2 + [(3, 3, 1, True)] * 2 + [(4, 4, 1, True)])
+    digests = [hashlib.sha256(lower(t)).hexdigest() for _, t in rows]
+    per_row = collected(exact_dedup.with_copies(make(rows)).select("text_sha256", "doc_id"), "text_sha256", "doc_id")
+    assert sorted((h, i or 0) for h, i in per_row) == sorted((h, i or 0) for h, (i, _) in zip(digests, rows, strict=True))
+
+
 def fingerprint(text):
     words = lower(text).split()
     parts = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
