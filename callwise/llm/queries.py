@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callwise.llm import embedding_dedup, exact_dedup, line_dedup, mixing, packing, secrets, simhash, substring_dedup, token_counts, toxicity
+from callwise.llm import (
+    conversations,
+    embedding_dedup,
+    exact_dedup,
+    hard_negatives,
+    license_scan,
+    line_dedup,
+    mixing,
+    packing,
+    secrets,
+    simhash,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 from callwise.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +94,21 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(documents(spark, sf_dir))
+
+
+@query
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.with_all(conversations.repair_conversations(conversations.damaged(rows)), rows)
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 100 == 0, label=label)
