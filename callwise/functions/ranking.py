@@ -84,18 +84,19 @@ def ranges_for(rows: int) -> int:
     return max(1, min(RANGE_BUCKETS, -(-rows // RANGE_ROWS)))
 
 
-def hash_position(df: DataFrame, key: str, seed: int, name: str = "pos") -> DataFrame:
-    """Add a dense 0-based position in hash order, numbered inside 65,536 hash buckets."""
+def hash_position(df: DataFrame, key: str, seed: int, name: str = "pos", by: str | None = None) -> DataFrame:
+    """Add a dense 0-based position in hash order, numbered inside 65,536 hash buckets; with ``by``, within each of its values."""
     keyed = df.withColumn("_h", hash_key(F.col(key), seed)).withColumn("_bucket", hash_bucket(F.col("_h")))
-    ordered = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    group = [] if by is None else [by]
+    ordered = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        keyed.groupBy("_bucket").agg(F.count("*").alias("_n"))  # at most 65,536 rows: fixed by the hash prefix
-        .select("_bucket", F.coalesce(F.sum("_n").over(ordered), F.lit(0)).alias("_start"))
+        keyed.groupBy(*group, "_bucket").agg(F.count("*").alias("_n"))  # at most 65,536 rows a group: fixed by the hash prefix
+        .select(*group, "_bucket", F.coalesce(F.sum("_n").over(ordered), F.lit(0)).alias("_start"))
     )
-    inner = Window.partitionBy("_bucket").orderBy("_h", key)
+    inner = Window.partitionBy(*group, "_bucket").orderBy("_h", key)
     return (
         keyed.withColumn("_row", F.row_number().over(inner))
-        .join(F.broadcast(starts), "_bucket")
+        .join(F.broadcast(starts) if by is None else starts, [*group, "_bucket"])
         .withColumn(name, F.col("_start") + F.col("_row") - 1)
         .drop("_h", "_bucket", "_row", "_start")
     )

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from callwise.functions.scalars import ident
 from callwise.functions.skew import join_spread
+from callwise.functions.workers import with_library
 from callwise.sources.staging import stage
 
 CELL_POINTS = 2_000
@@ -45,17 +46,17 @@ def nearest(df: DataFrame, key: str, cols: Sequence[str], k: int, cell_points: i
     return nearest_staged(stage(feature_arrays(df, key, cols), "knn_rows"), k, cell_points)
 
 
-def feature_arrays(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """``(id, x)``; adding 0.0 turns -0.0 into 0.0, so equal points have equal arrays."""
+def feature_arrays(df: DataFrame, key: str, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """``(id, x, keep...)``; adding 0.0 turns -0.0 into 0.0, so equal points have equal arrays."""
     values = ", ".join(f"CAST({ident(c)} AS DOUBLE) + 0D" for c in cols)
-    return df.select(F.col(key).cast("bigint").alias("id"), F.expr(f"array({values}) AS x"))
+    return df.select(F.col(key).cast("bigint").alias("id"), F.expr(f"array({values}) AS x"), *keep)
 
 
 def nearest_staged(rows: DataFrame, k: int, cell_points: int = CELL_POINTS) -> DataFrame:
     """As ``nearest``, for rows ``(id, x)`` in a stored table."""
     few = Window.partitionBy("x").orderBy("id")
     points = stage(
-        rows.withColumn("r", F.row_number().over(few))
+        with_library(rows).withColumn("r", F.row_number().over(few))
         .filter(F.col("r") <= k + 1)  # pushed below the shuffle: a task ships at most k + 1 copies
         .groupBy("x")
         .agg(F.sort_array(F.collect_list("id")).alias("ids"))

@@ -16,7 +16,7 @@ from callwise.functions.skew import join_spread
 from callwise.functions.ranking import class_counts, hash_position
 from callwise.operators.neighbors import feature_arrays, nearest_staged
 from callwise.operators.splits import SEED
-from callwise.sources.staging import stage
+from callwise.sources.staging import local_rows, stage
 
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
@@ -68,6 +68,51 @@ def synthetic_rows(df: DataFrame, key: str, cols: Sequence[str], label: str, k:
     )
 
 
+#: The training set that leaves out no fold.
+ALL = -1
+
+
+def synthetic_by_fold(
+    df: DataFrame, key: str, cols: Sequence[str], label: str, fold: str, folds: Sequence[int], k: int = 5, seed: int = SEED
+) -> DataFrame:
+    """``(for_fold, j, base, neighbor, gap, cols..., label)``: for each fold the rows of ``synthetic_rows`` on all other folds.
+
+    One search serves all folds: each rare row is there once for every fold that trains on it, and a coordinate more, equal
+    within a fold, keeps the folds further apart than any two rows are. Ids are numbered per fold in the order of the keys.
+    """
+    spark = df.sparkSession
+    counts = {(r["l"], r["f"]): r["count"] for r in df.groupBy(F.col(label).alias("l"), F.col(fold).cast("int").alias("f")).count().limit(100_001).collect()}
+    classes = sorted({c for c, _ in counts})
+    if len(classes) != 2:
+        raise ValueError(f"two classes expected in {label}, found {len(classes)}")
+    sizes = {f: {c: sum(n for (l, g), n in counts.items() if l == c and (f == ALL or g != f)) for c in classes} for f in folds}
+    rare = {f: min(classes, key=lambda c: (n[c], c)) for f, n in sizes.items()}
+    if any(n[rare[f]] < 2 and len(set(n.values())) > 1 for f, n in sizes.items()):
+        raise ValueError("the rare class needs at least two rows in each training set")
+    wanted = [(f, str(rare[f]), sizes[f][rare[f]], abs(sizes[f][classes[0]] - sizes[f][classes[1]])) for f in folds]
+    plan = F.broadcast(local_rows(spark, wanted, "for_fold int, rare string, rows bigint, missing bigint"))  # a row per fold
+    x = feature_arrays(df.withColumns({"_fold": F.coalesce(F.col(fold).cast("int"), F.lit(ALL - 1)), "_rare": F.col(label).cast("string")}), key, cols, ["_fold", "_rare"])
+    spans = x.agg(*[F.expr(f"max(x[{i}]) - min(x[{i}])") for i in range(len(cols))]).first()
+    apart = 4.0 * (1.0 + sum((s or 0.0) ** 2 for s in spans) ** 0.5)
+    copies = x.join(plan, (F.col("_rare") == F.col("rare")) & ((F.col("for_fold") == ALL) | (F.col("_fold") != F.col("for_fold"))))
+    number = F.col("id") * (max(folds) - min(folds) + 1) + F.col("for_fold") - min(folds)
+    minority = stage(copies.select("for_fold", F.col("id").alias("own"), number.alias("id"), "x", "rows"), "minority")
+    placed = minority.select("id", F.concat("x", F.array(F.col("for_fold") * F.lit(apart))).alias("x"))
+    pairs = stage(nearest_staged(stage(placed, "placed"), k), "pairs")
+    ends = minority.select(F.col("id").alias("neighbor"), F.col("for_fold").alias("end_fold"), F.col("own").alias("end_own"), F.col("x").alias("to"))
+    around = join_spread(pairs, ends, "neighbor", tie="id").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rank", "end_own", "to", "end_fold"))).alias("around"))
+    bases = hash_position(minority, "own", seed, by="for_fold").join(around, "id")
+    bases = bases.withColumn("around", F.filter("around", lambda e: e["end_fold"] == F.col("for_fold"))).select("for_fold", "pos", "own", "x", "around", "rows")
+    tag = lambda part: F.concat(F.lit(f"{seed}-"), F.col("j").cast("string"), F.lit(f"-{part}"))
+    most = max((m for *_, m in wanted), default=0)
+    drawn = spark.range(most).withColumnRenamed("id", "j").join(plan, F.col("j") < F.col("missing")).select(
+        "for_fold", "j", F.pmod(hash_integer(tag("base")), F.col("rows")).alias("pos"), hash_integer(tag("neighbor")).alias("pick"), (hash_integer(tag("gap")) / F.lit(DRAWS)).alias("gap"), "rare"
+    )
+    joined = drawn.join(bases.drop("rows"), ["for_fold", "pos"]).withColumn("end", F.element_at("around", (F.pmod("pick", F.size("around")) + 1).cast("int")))
+    made = [F.expr(f"x[{i}] + gap * (end.to[{i}] - x[{i}]) AS {ident(c)}") for i, c in enumerate(cols)]
+    return joined.select("for_fold", "j", F.col("own").alias("base"), F.col("end.end_own").alias("neighbor"), "gap", *made, F.col("rare").cast(df.schema[label].dataType).alias(label))
+
+
 def smote(df: DataFrame, key: str, cols: Sequence[str], label: str, k: int = 5, seed: int = SEED) -> DataFrame:
     """``(cols..., label)`` of the original rows and the synthetic ones: both classes are equally large."""
     original = df.select(*[F.col(c).cast("double").alias(c) for c in cols], label)

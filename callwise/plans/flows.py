@@ -14,6 +14,7 @@ from callwise.functions.scalars import DECISION_THRESHOLD, threshold_classify
 from callwise.operators.features import feature_pipeline
 from callwise.operators.metrics import point_metrics
 from callwise.operators.models import assemble, load_version, logistic, positive_probability, random_forest, voting_model
+from callwise.operators.newton import NewtonLogistic
 from callwise.operators.relational import dropna_any
 from callwise.operators.resampling import Smoted
 from callwise.operators.schema import exclude_from, infer_schema
@@ -82,7 +83,7 @@ def feature_ablation(
     runs = None
     for k in ks:
         chosen = best_features(train, cols, label, k) if k < len(cols) else list(cols)
-        model = Smoted(inner=logistic(), key=key, cols=chosen, label=label).fit(train)
+        model = Smoted(inner=NewtonLogistic(), key=key, cols=chosen, label=label).fit(train)
         scored = positive_probability(model, assemble(evaluation, chosen, label))
         measured = point_metrics(scored.withColumn("pred", threshold_classify(F.col("score"), threshold)))
         run = run_rows(measured, f"select-{k}-features", {"test_size": 0.2, "n": len(chosen)})

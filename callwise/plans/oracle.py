@@ -168,12 +168,12 @@ add("stratified_holdout", CAMPAIGN, "counts AS (SELECT response AS cls, count(*)
     sql="SELECT id, response, pos <= take AS is_holdout FROM hashed JOIN first ON cls = response")
 add("three_way_split", CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, response, split FROM split")
 add("serving_emulation", CAMPAIGN, *split("campaign"), sql="SELECT * EXCLUDE (response, split) REPLACE (" + DAY + ") FROM split WHERE split = 'serving'")
-def folds(rows: str) -> tuple[str, ...]:
+def folds(rows: str, key: str = "doc_id", label: str = "toxic") -> tuple[str, ...]:
     return (f"""
-numbered AS (SELECT doc_id, toxic, min(doc_id) OVER (PARTITION BY toxic) AS head FROM {rows}),
-laid AS (SELECT *, row_number() OVER (ORDER BY head, doc_id) - 1 AS place, row_number() OVER (PARTITION BY toxic ORDER BY doc_id) - 1 AS pos FROM numbered),
-dealt AS (SELECT toxic, place % 10 AS fold, count(*) AS n FROM laid GROUP BY ALL),
-ends AS (SELECT toxic, fold, sum(n) OVER (PARTITION BY toxic ORDER BY fold) AS upto, sum(n) OVER (PARTITION BY toxic ORDER BY fold) - n AS start FROM dealt)""",)
+numbered AS (SELECT {key}, {label}, min({key}) OVER (PARTITION BY {label}) AS head FROM {rows}),
+laid AS (SELECT *, row_number() OVER (ORDER BY head, {key}) - 1 AS place, row_number() OVER (PARTITION BY {label} ORDER BY {key}) - 1 AS pos FROM numbered),
+dealt AS (SELECT {label}, place % 10 AS fold, count(*) AS n FROM laid GROUP BY ALL),
+ends AS (SELECT {label}, fold, sum(n) OVER (PARTITION BY {label} ORDER BY fold) AS upto, sum(n) OVER (PARTITION BY {label} ORDER BY fold) - n AS start FROM dealt)""",)
 
 
 FOLDED = "SELECT l.doc_id, l.toxic, CAST(e.fold AS INT) AS fold FROM laid l JOIN ends e ON e.toxic = l.toxic AND l.pos >= e.start AND l.pos < e.upto"
@@ -523,10 +523,76 @@ add("daily_scores", *SCORED, VERSIONS, sql="""
 SELECT id, version, round(score / CASE WHEN id % 2 = 0 THEN 4 ELSE 2 END, 6) AS score, CASE WHEN id % 2 = 0 THEN '2024-03-02' ELSE '2024-03-01' END AS scored_on FROM scores""")
 add("outcomes_latest", *SCORED, VERSIONS, "last AS (SELECT id, CASE WHEN id % 3 = 0 THEN 1 - result ELSE result END AS result FROM outcomes)", sql=f"""
 SELECT version, {points('score >= 0.53')}, count(*) AS calls FROM (SELECT version, score, result AS label FROM scores JOIN last USING (id)) GROUP BY version""")
-for _name in ("logistic_fit", "random_forest_fit", "mlp_fit"):
+# ---- training -----------------------------------------------------------------------------------------------
+# ``base (g, id, x, y)``: the real training rows of each group g (a fold or a choice of features), features as a list.
+# ``t (g, y, x)`` adds the synthetic rows and the 1 of the intercept. ``models (m, g, c)`` names the fits. The recursive
+# ``newton`` takes Newton steps on the penalised mean loss; a step solves its system by elimination over lists.
+BALANCED = f"""
+sizes AS (SELECT g, count(*) FILTER (WHERE y = 1) AS n1, count(*) FILTER (WHERE y = 0) AS n0 FROM base GROUP BY g),
+rare AS (SELECT g, id, x, row_number() OVER (PARTITION BY g ORDER BY md5(concat(id, '-250')), id) - 1 AS pos FROM base WHERE y = 1),
+pairs AS (SELECT a.g, a.id, b.id AS neighbor, b.x AS other, list_reduce(list_transform(a.x, lambda v, i: (v - b.x[i]) * (v - b.x[i])), lambda u, v: u + v) AS d
+  FROM rare a JOIN rare b ON a.g = b.g AND a.id <> b.id),
+near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY g, id ORDER BY d, neighbor) AS rank FROM pairs) WHERE rank <= 5),
+degree AS (SELECT g, id, count(*) AS k FROM near GROUP BY g, id),
+drawn AS (SELECT g, {draw('base')} % n1 AS pos, {draw('neighbor')} AS pick, {draw('gap')} / 1152921504606846976.0::DOUBLE AS gap FROM sizes, range(n0 - n1) AS r(j)),
+synth AS (SELECT d.g, list_transform(b.x, lambda v, i: v + gap * (n.other[i] - v)) AS x FROM drawn d JOIN rare b ON b.g = d.g AND b.pos = d.pos
+  JOIN degree k ON k.g = d.g AND k.id = b.id JOIN near n ON n.g = d.g AND n.id = b.id AND n.rank = pick % k.k + 1),
+t AS (SELECT g, y, list_append(x, 1.0::DOUBLE) AS x FROM base UNION ALL SELECT g, 1, list_append(x, 1.0::DOUBLE) FROM synth),
+many AS (SELECT g, count(*)::DOUBLE AS n, max(len(x)) AS k FROM t GROUP BY g)"""
+NEWTON = """
+newton AS (
+  SELECT 0 AS step, m, g, c, n, k, list_transform(range(k), lambda i: 0.0::DOUBLE) AS beta, 1.0::DOUBLE AS moved FROM models JOIN many USING (g)
+  UNION ALL
+  SELECT step, m, g, c, n, k, list_transform(beta, lambda b, j: b - done[j][k + 1]), list_max(list_transform(done, lambda line: abs(line[k + 1]))) FROM (
+    SELECT step, m, g, c, n, k, beta, list_reduce(list_concat([list(line ORDER BY i)], list_transform(range(1, k + 1), lambda e: [[e::DOUBLE]])),
+      lambda acc, e: list_transform(acc, lambda line, i: CASE WHEN i = e[1][1] THEN list_transform(line, lambda v: v / acc[i][i])
+        ELSE list_transform(line, lambda v, j: v - line[e[1][1]::BIGINT] / acc[e[1][1]::BIGINT][e[1][1]::BIGINT] * acc[e[1][1]::BIGINT][j]) END)) AS done
+    FROM (SELECT step, m, g, c, n, k, beta, i, list(v ORDER BY j) AS line FROM (
+      SELECT any_value(step) + 1 AS step, m, any_value(g) AS g, any_value(c) AS c, any_value(n) AS n, any_value(k) AS k, any_value(beta) AS beta, i, j,
+        CASE WHEN j <= any_value(k) THEN sum(p * (1 - p) * x[i] * x[j]) / any_value(n) + CASE WHEN i = j AND i < any_value(k) THEN 1 / (any_value(c) * any_value(n)) ELSE 0 END
+             ELSE sum((p - y) * x[i]) / any_value(n) + CASE WHEN i < any_value(k) THEN any_value(beta)[i] / (any_value(c) * any_value(n)) ELSE 0 END END AS v
+      FROM (SELECT step, m, b.g, c, n, k, beta, y, x, 1 / (1 + exp(-list_dot_product(beta, x))) AS p FROM newton b JOIN t ON t.g = b.g WHERE step < 25 AND moved > 1e-11),
+        unnest(range(1, k + 1)) AS a(i), unnest(range(1, k + 2)) AS e(j) GROUP BY m, i, j) GROUP BY step, m, g, c, n, k, beta, i)
+    GROUP BY step, m, g, c, n, k, beta)),
+fitted AS (SELECT m, g, c, arg_max(beta, step) AS beta FROM newton GROUP BY m, g, c)"""
+ALL_FEATURES = NUMERIC + CATEGORICAL
+LISTED = "[" + ", ".join(dbl(c) for c in ALL_FEATURES) + "]"
+TRAINED = tuple(part.replace("WHERE split = 'serving' OR n_orders > 2", "") for part in PREPARED)
+TRAIN = (*TRAINED, f"train AS (SELECT id, {LISTED} AS x, response AS y FROM prepared WHERE split = 'train')")
+ONE = (*TRAIN, "base AS (SELECT -1 AS g, id, x, y FROM train)", BALANCED, "models AS (SELECT 0 AS m, -1 AS g, 1.0::DOUBLE AS c)", NEWTON)
+P = "1 / (1 + exp(-list_dot_product(beta, list_append({x}, 1.0::DOUBLE))))"
+recursive = lambda sql: sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def trained(name: str, *ctes: str, sql: str) -> None:
+    ORACLE[name] = recursive(with_(*ctes)) + sql
+
+
+trained("logistic_fit", *ONE, f"names AS (SELECT unnest({ALL_FEATURES + ['intercept']!r}) AS feature, unnest(range(1, {len(ALL_FEATURES) + 2})) AS i)", sql="""
+SELECT feature, round(beta[i] * coalesce((SELECT sqrt(avg(x[i] * x[i])) FROM train), 1), 6) AS effect FROM fitted, names""")
+trained("logistic_scores", *ONE, sql=f"SELECT id, response, round({P.format(x=LISTED)}, 6) AS score FROM prepared, fitted WHERE split = 'eval'")
+FOLDED_TRAIN = (
+    *TRAIN, *folds("(SELECT id, y FROM train)", "id", "y"),
+    "folded AS (SELECT t.*, e.fold FROM train t JOIN laid l ON l.id = t.id JOIN ends e ON e.y = l.y AND l.pos >= e.start AND l.pos < e.upto)",
+    "base AS (SELECT g, id, x, y FROM folded, range(10) AS f(g) WHERE fold <> g)", BALANCED,
+    "models AS (SELECT row_number() OVER () AS m, g, c FROM range(10) AS f(g), (VALUES (0.1::DOUBLE), (13), (15), (20), (40)) AS v(c))", NEWTON,
+    f"runs AS (SELECT c, g, avg(CASE WHEN ({P.format(x='x')} > 0.5) = (y = 1) THEN 1.0::DOUBLE ELSE 0 END) AS accuracy FROM fitted JOIN folded ON fold = g GROUP BY c, g)",
+)
+LIMITS = "(VALUES (500), (1000)) AS l(max_iter)"
+trained("grid_runs", *FOLDED_TRAIN, sql=f"SELECT c, max_iter, CAST(g AS INT) AS fold, round(accuracy, 6) AS accuracy FROM runs, {LIMITS}")
+trained("grid_search", *FOLDED_TRAIN, f"means AS (SELECT c, max_iter, avg(accuracy) AS accuracy FROM runs, {LIMITS} GROUP BY c, max_iter)", sql="""
+SELECT c, max_iter, round(accuracy, 6) AS accuracy, row_number() OVER (ORDER BY round(accuracy, 9) DESC, c, max_iter) = 1 AS chosen FROM means""")
+for _name in ("random_forest_fit", "mlp_fit"):
     add(_name, CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, response, TRUE AS scored FROM split WHERE split = 'eval'")
 add("batch_score", CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, nation, id IN (SELECT id FROM split WHERE split = 'serving') AS scored FROM campaign")
-ORACLE["grid_search"] = "SELECT settings, TRUE AS scored FROM (VALUES ('{''C'': 0.1, ''maxIter'': 50}'), ('{''C'': 13.0, ''maxIter'': 50}')) AS v(settings)"
-ORACLE["feature_ablation"] = "SELECT run_name, n, 3 AS measures FROM (VALUES ('select-5-features', '5'), ('select-10-features', '10'), ('select-11-features', '11')) AS v(run_name, n)"
+trained("feature_ablation", *TRAIN, f"""
+parts AS (SELECT i, y, x[i] AS v FROM train, unnest(range(1, {len(ALL_FEATURES) + 1})) AS r(i)),
+classes AS (SELECT i, y, count(*) AS n, avg(v) AS mean, var_pop(v) AS spread FROM parts GROUP BY i, y),
+spreads AS (SELECT i, sum(n * spread) / (sum(n) - 2) AS within, sum(n * mean * mean) - sum(n * mean) * sum(n * mean) / sum(n) AS between_ FROM classes GROUP BY i),
+ranked AS (SELECT i, row_number() OVER (ORDER BY between_ / within DESC, i DESC) AS place FROM spreads),
+picked AS (SELECT g, list(i ORDER BY i) AS picks FROM ranked, (VALUES (5), (10), ({len(ALL_FEATURES)})) AS v(g) WHERE place <= g GROUP BY g),
+base AS (SELECT g, id, list_transform(picks, lambda i: x[i]) AS x, y FROM train, picked)""", BALANCED, "models AS (SELECT g AS m, g, 1.0::DOUBLE AS c FROM picked)", NEWTON, f"""
+scored AS (SELECT g, response AS label, {P.format(x=f"list_transform(picks, lambda i: {LISTED}[i])")} AS score FROM prepared, fitted JOIN picked USING (g) WHERE split = 'eval')""",
+    sql=f"SELECT 'select-' || g || '-features' AS run_name, CAST(g AS VARCHAR) AS n, {points('score >= 0.53')} FROM scored GROUP BY g")
 ORACLE["saved_pipeline"] = ORACLE["fit_apply_pipeline"]
-add("daily_run", CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, TRUE AS scored FROM split WHERE split = 'serving'")
+trained("daily_run", *ONE, sql=f"SELECT id, round({P.format(x=LISTED)}, 6) AS rate FROM prepared, fitted WHERE split = 'serving'")
