@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from callwise.sources.staging import stage
 
@@ -35,6 +35,11 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def text_key(text: Column) -> Column:
+    """Hash of a text; with the id it names a document, so that two texts of one id, or of none, stay apart."""
+    return F.xxhash64(F.lit(7), F.octet_length(text), text)
+
+
 def map_texts(docs: DataFrame, each: Callable[[list, list], dict], schema: str, columns: Sequence[str] = ("doc_id", "text")) -> DataFrame:
     """Run ``each(ids, texts)`` over Arrow batches; it returns the columns of ``schema``, not necessarily a row per text.
 

@@ -76,7 +76,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, prefix_bytes: int) ->
     hashed = stage(map_texts(source, each, HEADS + ", full_hash binary"), "hashed")
     full = hashed.filter("full_hash IS NOT NULL").groupBy("doc_id", "n_bytes", "prefix_hash", "full_hash").agg(F.count("*").alias("n_rows"))
     full = stage(full, "full")
-    groups = stage(full.groupBy("n_bytes", "full_hash").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
+    groups = stage(full.groupBy("n_bytes", "full_hash").agg(F.max("doc_id").alias("keep_id"), F.sum("n_rows").alias("group_size")), "groups")
     together = join_groups(full, groups, ["n_bytes", "full_hash"], "group_size", "doc_id")
     one = F.lit(1).cast("bigint")
     single = hashed.filter("full_hash IS NULL").withColumns({"n_rows": one, "keep_id": F.col("doc_id"), "group_size": one})
@@ -87,9 +87,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``(doc_id, n_bytes, prefix_hash, keep_id, group_size, kept)``: one row per document, also those to drop.
 
     Texts are equal when they agree after lower-casing A-Z; the largest doc_id of a group stays. Null text is empty.
-    A document is a distinct (doc_id, text): a repeated row is the same document and counts once. A null doc_id is a
-    document like others; it stays only if all of its group have none. An empty table gives an empty result; other
-    columns of ``docs`` are not read.
+    A document is a distinct (doc_id, text): a repeated row is the same document, but ``group_size`` counts rows. A null
+    doc_id is a document like others; it stays only if all of its group have none. Texts are hashed whole, however long.
+    An empty table gives an empty result; other columns of ``docs`` are not read.
     """
     return _decided(docs, id_col, text_col, prefix_bytes).drop("full_hash", "n_rows")
 

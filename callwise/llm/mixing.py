@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callwise.llm.common import join_groups, reachable
+from callwise.llm.common import join_groups, reachable, text_key
 from callwise.llm.words import groups, scan, VISIBLE, word_hashes
 from callwise.sources.staging import stage
 
@@ -28,19 +28,24 @@ CELLS_PER_TASK = 100_000
 NONE = "(none)"
 
 
+def row_key(docs: DataFrame) -> Column:
+    """Hash of what a row is sampled by, besides its id; null source, language and text count as such."""
+    return F.xxhash64(text_key(F.coalesce(docs["text"].cast("string"), F.lit(""))), *[F.coalesce(docs[c].cast("string"), F.lit(NONE)) for c in ("source", "lang")])
+
+
 def described(docs: DataFrame, topics: int = TOPICS) -> DataFrame:
-    """``(doc_id, source, lang, topic, n_tokens)`` of every row; null source or language becomes ``(none)``.
+    """``(doc_id, key, source, lang, topic, n_tokens)`` of every row; ``key`` is a hash of its text, source and language; null source or language becomes ``(none)``.
 
     n_tokens is the number of words. The words of TOPIC_BYTES and more are dealt to ``topics`` blocks of the vocabulary by
     their hash; the topic is the block that the document uses most, the first of equals, ``(none)`` without such words.
     """
     reachable(docs.sparkSession)
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c)
-    read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), name("source"), name("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key(docs).alias("key"), name("source"), name("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raws = batch.column(3).cast(pa.binary()).to_pylist()
+            raws = batch.column(4).cast(pa.binary()).to_pylist()
             topic, size = [], []
             for a, b in groups(raws):
                 data, starts, ends, doc = scan(raws[a:b], VISIBLE)
@@ -50,9 +55,9 @@ def described(docs: DataFrame, topics: int = TOPICS) -> DataFrame:
                 used = np.bincount(doc[long] * topics + block, minlength=(b - a) * topics).reshape(-1, topics)
                 topic += [f"t{k}" if n else NONE for k, n in zip(used.argmax(1), used.max(1), strict=True)]
             sizes = np.concatenate(size).astype(np.int64) if size else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(topic, pa.string()), pa.array(sizes)], ["doc_id", "source", "lang", "topic", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(topic, pa.string()), pa.array(sizes)], ["doc_id", "key", "source", "lang", "topic", "n_tokens"])
 
-    return read.mapInArrow(run, "doc_id bigint, source string, lang string, topic string, n_tokens bigint")
+    return read.mapInArrow(run, "doc_id bigint, key bigint, source string, lang string, topic string, n_tokens bigint")
 
 
 def tempered(cells: DataFrame, dimension: str, temperature: float = TEMPERATURE) -> DataFrame:
@@ -95,7 +100,7 @@ def draw(doc_id: str, seed: int) -> Column:
 
 
 def mix(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, share: float = SHARE, seed: int = 42, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
-    """``(doc_id, source, lang, topic, n_tokens, probability, sampled)`` for every row.
+    """``(doc_id, key, source, lang, topic, n_tokens, probability, sampled)`` for every row.
 
     ``targets`` has a table ``(value, share)`` per dimension; without it the observed marginals are tempered. Documents
     without words weigh nothing and are sampled by the probability of their cell (``share`` in a cell without tokens). Rows
@@ -109,10 +114,11 @@ def mix(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, share:
     odds = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") / F.col("tokens"))).otherwise(F.lit(share))
     chances = stage(raked.select(*dimensions, "members", odds.alias("probability")), "chances")
     joined = join_groups(rows, chances, list(dimensions), "members", "doc_id")
-    return joined.select("doc_id", "source", "lang", "topic", "n_tokens", "probability", (draw("doc_id", seed) < F.col("probability")).alias("sampled"))
+    return joined.select("doc_id", "key", "source", "lang", "topic", "n_tokens", "probability", (draw("doc_id", seed) < F.col("probability")).alias("sampled"))
 
 
 def sample(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, share: float = SHARE, seed: int = 42) -> DataFrame:
-    """``docs`` with its own columns, the sampled rows only."""
-    taken = stage(mix(docs, targets, share, seed).filter("sampled").select("doc_id").distinct(), "sampled").hint("shuffle_hash")
-    return docs.join(taken, docs["doc_id"].cast("bigint").eqNullSafe(taken["doc_id"]), "left_semi")
+    """``docs`` with its own columns, the sampled rows only; a row is known by its id, text, source and language."""
+    taken = mix(docs, targets, share, seed).filter("sampled").select(F.col("doc_id").alias("_taken_id"), F.col("key").alias("_taken_key")).distinct()
+    taken = stage(taken, "sampled").hint("shuffle_hash")
+    return docs.join(taken, docs["doc_id"].cast("bigint").eqNullSafe(taken["_taken_id"]) & (row_key(docs) == taken["_taken_key"]), "left_semi")

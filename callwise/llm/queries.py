@@ -83,7 +83,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir))
+    return mixing.mix(documents(spark, sf_dir)).drop("key")
 
 
 @query

@@ -45,13 +45,14 @@ def fingerprint(raw: bytes, width: int = 3, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """``(doc_id, fp)``, the fingerprint as a signed long."""
+    """``(doc_id, fp, key)``: the fingerprint as a signed long and the text's key as an XXH64 of its bytes."""
 
     def each(ids: list, raws: list) -> dict:
         fp = np.array([fingerprint(r, width) for r in raws], np.uint64).view(np.int64)
-        return {"doc_id": pa.array(ids, pa.int64()), "fp": fp}
+        key = np.array([xxhash.xxh64_intdigest(r, SEED) for r in raws], np.uint64).view(np.int64)
+        return {"doc_id": pa.array(ids, pa.int64()), "fp": fp, "key": key}
 
-    return map_texts(docs, each, "doc_id bigint, fp bigint")
+    return map_texts(docs, each, "doc_id bigint, fp bigint, key bigint")
 
 
 def _kept(positions: tuple[int, ...]) -> int:
@@ -98,41 +99,52 @@ def _links(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 2) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row: fingerprints within ``distance`` bits link, links chain.
+    """``(doc_id, fp, key, cluster, component_id)`` for every row: fingerprints within ``distance`` bits link, links chain.
 
     component_id is the smallest doc_id reachable. Texts without words share fingerprint 0 and link like any other; texts
     shorter than a shingle have one, the whole. Null text is empty. Rows without doc_id get a fingerprint and the
     component of the others with the same one, or null if there is none. A repeated row gives a repeated result row.
-    Equal fingerprints collapse first, so copies cost nothing further on.
+    Equal fingerprints collapse first, so copies cost nothing further on. ``key`` is a hash of the text, to tell texts of
+    one id apart, ``cluster`` the smallest fingerprint reachable: unlike component_id it is never shared by two components. Texts are read whole, however long; an empty table gives an empty result; other columns are not read.
     """
     rows = stage(fingerprints(texts(docs, id_col, text_col), width), "fingerprints")
     groups = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("members")), "groups")
     choices = list(combinations(range(8), 8 - distance))
     keys = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(_signed(_kept(c)))).alias("shared")) for i, c in enumerate(choices)])
-    listed = groups.filter("first_id IS NOT NULL").select("fp", "first_id", F.explode(keys).alias("k"))
-    lists = listed.groupBy("k").agg(F.collect_list(F.struct("fp", "first_id")).alias("of")).filter("size(of) > 1").select("of")
+    listed = groups.filter("first_id IS NOT NULL").select("fp", F.explode(keys).alias("k"))
+    lists = listed.groupBy("k").agg(F.collect_list("fp").alias("of")).filter("size(of) > 1").select("of")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of = batch.column(0)
-            flat, ends = of.flatten(), of.offsets.to_numpy()
-            fp, ids = flat.field("fp").to_numpy().view(np.uint64), flat.field("first_id").to_numpy()
+            fp, ends = of.flatten().to_numpy().view(np.uint64), of.offsets.to_numpy()
             base, left, right = ends[0], [], []
             for a, b in zip(ends[:-1] - base, ends[1:] - base, strict=True):
                 x, y = _links(fp[a:b], distance)
-                left.append(ids[a:b][x])
-                right.append(ids[a:b][y])
+                left.append(fp[a:b][x].view(np.int64))
+                right.append(fp[a:b][y].view(np.int64))
             if left:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
 
     found = components(lists.mapInArrow(link, "a bigint, b bigint"))
-    named = groups.join(found, groups["first_id"] == found["node"], "left")
-    named = named.select("fp", "members", F.coalesce("component", "first_id").alias("component_id"))
-    return join_groups(rows, stage(named, "named"), ["fp"], "members", "doc_id").select("doc_id", "fp", "component_id")
+    named = groups.join(found, groups["fp"] == found["node"], "left")
+    named = stage(named.select("fp", "members", "first_id", F.coalesce("component", "fp").alias("cluster")), "named")
+    least = stage(named.groupBy("cluster").agg(F.min("first_id").alias("component_id"), F.count("*").alias("prints")), "clusters")
+    named = join_groups(named, least, ["cluster"], "prints", "fp").select("fp", "members", "cluster", "component_id")
+    return join_groups(rows, stage(named, "named"), ["fp"], "members", "doc_id").select("doc_id", "fp", "key", "cluster", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
-    """``docs`` with its own columns, one document left of each component: the one with the smallest doc_id."""
-    groups = simhash_groups(docs, width=width, distance=distance)
-    gone = stage(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "gone").hint("shuffle_hash")
-    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["doc_id"], "left_anti")
+    """``docs`` with its own columns, one document left of each component: the one with the smallest doc_id.
+
+    A document is an id and a text. If several texts of the smallest id are in a component, the one with the smallest key
+    stays; equal rows stay or go together. Rows without id stay. An empty table gives an empty result.
+    """
+    groups = stage(simhash_groups(docs, width=width, distance=distance).select("doc_id", "key", "cluster", "component_id"), "near")
+    first = groups.filter("doc_id = component_id")
+    spare = first.groupBy("cluster").agg(F.min("key").alias("least"), F.max("key").alias("most"), F.count("*").alias("members")).filter("least < most")
+    spare = join_groups(first, stage(spare, "spare"), ["cluster"], "members", "key").filter("key > least").select("doc_id", "key")
+    gone = groups.filter("doc_id <> component_id").select("doc_id", "key").unionByName(spare)
+    gone = stage(gone.select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key")).distinct(), "gone").hint("shuffle_hash")
+    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(gone, (docs["doc_id"].cast("bigint") == gone["_gone_id"]) & (key == gone["_gone_key"]), "left_anti")
