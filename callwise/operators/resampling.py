@@ -120,6 +120,19 @@ def smote(df: DataFrame, key: str, cols: Sequence[str], label: str, k: int = 5,
     return original if extra is None else original.unionByName(extra.select(*cols, label))
 
 
+def smote_keyed(df: DataFrame, key: str, cols: Sequence[str], label: str, k: int = 5, seed: int = SEED, fold: str | None = None, folds: Sequence[int] = (ALL,)) -> DataFrame:
+    """As ``smote``, with the key kept: a synthetic row has the key -1 - j, counted on over the folds. With ``fold`` the rows
+    keep that column, and ``for_fold`` tells for which fold a synthetic row was made (null: a real row)."""
+    values = [F.col(c).cast("double").alias(c) for c in cols]
+    own = F.lit(ALL) if fold is None else F.col(fold).cast("int")
+    real = df.select(F.col(key).cast("bigint").alias(key), own.alias("fold"), F.lit(None).cast("int").alias("for_fold"), *values, label)
+    made = synthetic_by_fold(df.withColumn("_own", own), key, cols, label, "_own", folds, k, seed)
+    place = {f: i for i, f in enumerate(folds)}
+    number = F.create_map(*[F.lit(x) for f, i in place.items() for x in (f, i)])[F.col("for_fold")]
+    extra = made.select((-1 - (F.col("j") * len(place) + number)).alias(key), F.lit(ALL).alias("fold"), "for_fold", *cols, label)
+    return real.unionByName(extra)
+
+
 class Smoted(Estimator):
     """Fit an estimator on oversampled rows and return its model as it is.
 

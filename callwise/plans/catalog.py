@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callwise.functions import scalars as S
 from callwise.operators import features as X
+from callwise.operators import forest as FO
 from callwise.operators import metrics as M
 from callwise.operators import models as MM
 from callwise.operators import newton as N
@@ -736,7 +737,24 @@ def logistic_scores(spark, d):
 
 @query
 def random_forest_fit(spark, d):
-    return _fit_and_score(spark, d, MM.random_forest())
+    """What each of 100 trees drew, its first cut, and the rows that have come to its leaves."""
+    train = _prepared(spark, d).filter(F.col("split") == "train")
+    rows = FO.forest_rows(RS.smote_keyed(train, C.KEY, C.FEATURES, C.LABEL), C.KEY, C.FEATURES, C.LABEL)
+    nodes = FO.grow(stage(rows, "forest-rows"), 100)
+    leaves = nodes.filter("left < 0").groupBy("tree").agg(F.sum("n").alias("in_leaves"), F.sum(F.round(F.col("n") * F.col("p"))).cast("bigint").alias("positive"))
+    name = F.element_at(F.array(*map(F.lit, C.FEATURES)), F.col("feature") + 1)
+    return rounded(nodes.filter("node = 0").join(leaves, "tree").select("tree", "n", "in_leaves", "positive", name.alias("feature"), "threshold"), "threshold", digits=4)
+
+
+@query
+def forest_search(spark, d):
+    """48 settings on ten folds: mean accuracy. Trained trees are not SQL; the tests compare them with plain ones."""
+    train = _prepared(spark, d).filter(F.col("split") == "train")
+    folded = stage(SP.stratified_kfold(train, C.KEY, C.LABEL, 10), "folds")
+    rows = RS.smote_keyed(folded, C.KEY, C.FEATURES, C.LABEL, fold="fold", folds=list(range(10)))
+    runs = FO.forest_search(stage(FO.forest_rows(rows, C.KEY, C.FEATURES, C.LABEL, "fold"), "forest-rows"), list(range(10)))
+    table = local_rows(spark, [(r.deepest, r.trees, r.subset, r.fold, r.accuracy) for r in runs], "deepest int, trees int, subset string, fold int, accuracy double")
+    return rounded(table.groupBy("deepest", "trees", "subset").agg(F.avg("accuracy").alias("accuracy")), "accuracy")
 
 
 @query

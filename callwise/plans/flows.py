@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callwise.functions.scalars import DECISION_THRESHOLD, threshold_classify
 from callwise.operators.features import feature_pipeline
+from callwise.operators.forest import DeepForest
 from callwise.operators.metrics import point_metrics
-from callwise.operators.models import assemble, load_version, logistic, positive_probability, random_forest, voting_model
+from callwise.operators.models import assemble, load_version, positive_probability, voting_model
 from callwise.operators.newton import NewtonLogistic
 from callwise.operators.relational import dropna_any
 from callwise.operators.resampling import Smoted
@@ -67,11 +68,11 @@ def training_checks(split_rows: DataFrame, key: str, label: str) -> tuple[DataFr
 
 
 def train_ensemble(
-    train: DataFrame, key: str, cols: Sequence[str], label: str, trees: int = 100, depth: int = 15, seed: int = SEED
+    train: DataFrame, key: str, cols: Sequence[str], label: str, trees: int = 100, depth: int | None = None, seed: int = SEED
 ) -> PipelineModel:
     """Random forest and logistic regression on the same oversampled rows, combined by the mean of their probabilities."""
-    balanced = Smoted(inner=logistic(), key=key, cols=list(cols), label=label, seed=seed).balanced(train)
-    members = {"rf": random_forest(trees, depth, seed=seed).fit(balanced), "lr": logistic().fit(balanced)}
+    balanced = Smoted(inner=NewtonLogistic(), key=key, cols=list(cols), label=label, seed=seed).balanced(train)
+    members = {"rf": DeepForest(trees=trees, deepest=depth, seed=seed).fit(balanced), "lr": NewtonLogistic().fit(balanced)}
     return voting_model(members, cols)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from callwise.sources.campaign import CATEGORICAL, INTERCEPT, NUMERIC, OLD_INTERCEPT, OLD_WEIGHTS, WEIGHTS
 
 CAMPAIGN = """
@@ -534,8 +536,8 @@ pairs AS (SELECT a.g, a.id, b.id AS neighbor, b.x AS other, list_reduce(list_tra
   FROM rare a JOIN rare b ON a.g = b.g AND a.id <> b.id),
 near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY g, id ORDER BY d, neighbor) AS rank FROM pairs) WHERE rank <= 5),
 degree AS (SELECT g, id, count(*) AS k FROM near GROUP BY g, id),
-drawn AS (SELECT g, {draw('base')} % n1 AS pos, {draw('neighbor')} AS pick, {draw('gap')} / 1152921504606846976.0::DOUBLE AS gap FROM sizes, range(n0 - n1) AS r(j)),
-synth AS (SELECT d.g, list_transform(b.x, lambda v, i: v + gap * (n.other[i] - v)) AS x FROM drawn d JOIN rare b ON b.g = d.g AND b.pos = d.pos
+drawn AS (SELECT g, j, {draw('base')} % n1 AS pos, {draw('neighbor')} AS pick, {draw('gap')} / 1152921504606846976.0::DOUBLE AS gap FROM sizes, range(n0 - n1) AS r(j)),
+synth AS (SELECT d.g, d.j, list_transform(b.x, lambda v, i: v + gap * (n.other[i] - v)) AS x FROM drawn d JOIN rare b ON b.g = d.g AND b.pos = d.pos
   JOIN degree k ON k.g = d.g AND k.id = b.id JOIN near n ON n.g = d.g AND n.id = b.id AND n.rank = pick % k.k + 1),
 t AS (SELECT g, y, list_append(x, 1.0::DOUBLE) AS x FROM base UNION ALL SELECT g, 1, list_append(x, 1.0::DOUBLE) FROM synth),
 many AS (SELECT g, count(*)::DOUBLE AS n, max(len(x)) AS k FROM t GROUP BY g)"""
@@ -582,7 +584,23 @@ LIMITS = "(VALUES (500), (1000)) AS l(max_iter)"
 trained("grid_runs", *FOLDED_TRAIN, sql=f"SELECT c, max_iter, CAST(g AS INT) AS fold, round(accuracy, 6) AS accuracy FROM runs, {LIMITS}")
 trained("grid_search", *FOLDED_TRAIN, f"means AS (SELECT c, max_iter, avg(accuracy) AS accuracy FROM runs, {LIMITS} GROUP BY c, max_iter)", sql="""
 SELECT c, max_iter, round(accuracy, 6) AS accuracy, row_number() OVER (ORDER BY round(accuracy, 9) DESC, c, max_iter) = 1 AS chosen FROM means""")
-for _name in ("random_forest_fit", "mlp_fit"):
+# Poisson(1) draws and the root cut of each tree: three features by hash order, every value tried
+LIMITS_OF_DRAW = [int(sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) * 2**60) for k in range(12)]
+ROOT_DRAW = "('0x' || substr(md5('250-' || tree || '-' || id), 1, 15))::BIGINT"
+ORACLE["random_forest_fit"] = with_(
+    *TRAIN, "base AS (SELECT -1 AS g, id, x, y FROM train)", BALANCED, f"""
+keyed AS (SELECT id, x, y FROM base UNION ALL SELECT -1 - j, x, 1 FROM synth),
+sown AS (SELECT *, {' + '.join(f'(({ROOT_DRAW}) >= {limit})::INT' for limit in LIMITS_OF_DRAW)} AS w FROM keyed, range(100) AS r(tree)),
+looked AS (SELECT tree, i, row_number() OVER (PARTITION BY tree ORDER BY md5('250-' || tree || '-' || (i - 1))) AS place FROM range(100) AS r(tree), range(1, {len(ALL_FEATURES) + 1}) AS f(i)),
+steps AS (SELECT tree, place, i, x[i] AS v, sum(w)::DOUBLE AS w, sum(w * y)::DOUBLE AS k FROM sown JOIN looked USING (tree) WHERE w > 0 AND place <= {math.isqrt(len(ALL_FEATURES))} GROUP BY tree, place, i, v),
+runs AS (SELECT tree, place, i, v, lead(v) OVER o AS next, sum(w) OVER o AS n, sum(k) OVER o AS k, sum(w) OVER (PARTITION BY tree, place) AS alln, sum(k) OVER (PARTITION BY tree, place) AS allk
+  FROM steps WINDOW o AS (PARTITION BY tree, place ORDER BY v)),
+gains AS (SELECT *, (k * k + (n - k) * (n - k)) / n + ((allk - k) * (allk - k) + (alln - n - allk + k) * (alln - n - allk + k)) / (alln - n) AS gain FROM runs WHERE next IS NOT NULL),
+best AS (SELECT * FROM gains QUALIFY row_number() OVER (PARTITION BY tree ORDER BY gain DESC, place, v) = 1),
+totals AS (SELECT tree, sum(w) AS n, sum(w * y) AS positive FROM sown GROUP BY tree)""") + f"""
+SELECT CAST(tree AS INT) AS tree, CAST(t.n AS BIGINT) AS n, CAST(t.n AS BIGINT) AS in_leaves, CAST(t.positive AS BIGINT) AS positive, {ALL_FEATURES!r}[i] AS feature, round((v + next) / 2, 4) AS threshold
+FROM best JOIN totals t USING (tree)"""
+for _name in ("mlp_fit",):
     add(_name, CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, response, TRUE AS scored FROM split WHERE split = 'eval'")
 add("batch_score", CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, nation, id IN (SELECT id FROM split WHERE split = 'serving') AS scored FROM campaign")
 trained("feature_ablation", *TRAIN, f"""
