@@ -1,9 +1,11 @@
-"""Exact quantiles of columns of any size, for any number of groups.
+"""Exact quantiles of columns of any size, for any number of groups, in two scans.
 
-A sketch gives a narrow bracket around each wanted rank. One more pass counts what lies below each bracket and collects
-the distinct values inside it. The bracket is then cut into sub-buckets and narrowed to the one with the rank, again and
-again, until one task can sort what is left. The result is exact: all counts are exact, and a bracket that missed its
-rank would raise an error, never give another value. There is one way for all sizes.
+The first scan sketches a narrow bracket around each wanted rank. The ends of all brackets of a (group, feature) cut its
+values into a few segments. The second scan counts: values inside a bracket by themselves, all others by their segment
+only, so each value is one row whatever the number of ranks. Running sums over the segments find the one that holds a
+rank. While a segment has more distinct values than one task should sort, it is cut into sub-buckets and narrowed to the
+one with the rank. The result is exact: all counts are exact, and a bracket that missed its rank would raise an error,
+never give another value.
 """
 
 from __future__ import annotations
@@ -37,50 +39,58 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
         parts.append(f"named_struct('feature', {literal(c)}, 'n', n_{i}, 'low', min_{i}, 'high', max_{i}, 'near', near_{i})")
     named = [F.col(b).alias(g) for b, g in zip(by, groups, strict=True)]
     heads = df.groupBy(*named).agg(*map(F.expr, aggs)).select(*groups, F.expr(f"inline(array({', '.join(parts)}))"))
-    wanted = F.posexplode(F.array(*[F.lit(float(p)) for p in probs]))
-    heads = heads.select("*", wanted.alias("k", "prob")).withColumn("pos", F.expr("prob * (n - 1)"))
-    ends = "CASE WHEN pos = floor(pos) THEN array(floor(pos)) ELSE array(floor(pos), floor(pos) + 1) END"
-    narrow = f"prob > 0 AND prob < 1 AND n * {BRACKET_SLACK}D >= 4"  # else the bracket would be narrower than its ranks
-    at = lambda end, plain, i: f"CASE WHEN prob {end} THEN {plain} WHEN {narrow} THEN element_at(near, 2 * k + {i}) ELSE {plain} END"
-    # the ends of the order need no search: their bracket is one value
-    low = F.expr(f"CASE WHEN prob >= 1 THEN high ELSE {at('<= 0', 'low', 1)} END")
-    high = F.expr(f"CASE WHEN prob <= 0 THEN low ELSE {at('>= 1', 'high', 2)} END")
-    plan = heads.select(*groups, "feature", "prob", "n", "pos", low.alias("lo"), high.alias("hi"), F.explode_outer(F.expr(f"IF(n > 0, {ends}, array())")).alias("rank"))
-    slot = F.to_json(F.struct(*groups, "feature", "prob", "rank"))
-    plan = stage(plan.withColumn("slot", slot), "quantile_plan")
+
+    def bracket(k: int, p: float) -> str:
+        # the ends of the order need no search; where a bracket would be narrower than its ranks it is the whole range
+        ends = ("low", "low") if p <= 0 else ("high", "high") if p >= 1 else tuple(
+            f"IF(n * {BRACKET_SLACK}D >= 4, near[{2 * k + i}], {plain})" for i, plain in enumerate(("low", "high"))
+        )
+        return f"named_struct('prob', {float(p)!r}D, 'pos', {float(p)!r}D * (n - 1), 'lo', {ends[0]}, 'hi', {ends[1]})"
+
+    brackets = f"array({', '.join(bracket(k, p) for k, p in enumerate(probs))})"
+    heads = heads.select(*groups, "feature", "n", F.expr(brackets).alias("brackets"), F.monotonically_increasing_id().alias("head"))
+    edges = F.expr("array_sort(array_distinct(flatten(transform(brackets, b -> array(b.lo, b.hi)))))").alias("edges")
+    heads = stage(heads.select("*", edges), "quantile_heads")
 
     entries = ", ".join(f"named_struct('feature', {literal(c)}, 'value', CAST({ident(c)} AS DOUBLE))" for c in cols)
     tall = df.select(*named, F.expr(f"inline(array({entries}))")).filter("value IS NOT NULL")
-    brackets = plan.filter("rank IS NOT NULL").select(*[F.col(g).alias(f"_{g}") for g in groups], F.col("feature").alias("_f"), "slot", "lo", "hi")
-    same = (F.col("feature") == F.col("_f")) & (F.col("value") <= F.col("hi"))
+    same = F.col("feature") == F.col("_f")
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
-    # values below a bracket share one row: only their number matters
-    inside = tall.join(brackets, same).select("slot", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("value"))
-    inside = stage(inside.groupBy("slot", "value").agg(F.count("*").alias("m")), "quantile_values")
-    below = inside.filter("value IS NULL").select("slot", F.col("m").alias("before"))
-    state = plan.filter("rank IS NOT NULL").join(below, "slot", "left").select("slot", "rank", F.coalesce("before", F.lit(0)).alias("before"), "lo", "hi")
-    while True:
-        state, rows = _narrowed(inside, state)
-        if rows <= sort_rows:
-            break
-    within = inside.join(state, "slot").filter("value >= lo AND value <= hi")
-    order = Window.partitionBy("slot").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)  # sort_rows rows at most
-    placed = within.withColumn("upto", F.col("before") + F.sum("m").over(order)).filter("upto > rank AND upto - m <= rank").select("slot", "value")
+    cuts = heads.select(*[F.col(g).alias(f"_{g}") for g in groups], F.col("feature").alias("_f"), "head", "brackets", "edges")
+    placed = tall.join(cuts, same).select(
+        "head",
+        F.expr("size(filter(edges, e -> e <= value))").alias("segment"),
+        F.expr("IF(exists(brackets, b -> value >= b.lo AND value <= b.hi), value, NULL)").alias("value"),
+    )
+    # inside a segment, values outside all brackets lie above its lower edge, so null comes last
+    counted = stage(placed.groupBy("head", "segment", "value").agg(F.count("*").alias("m")), "quantile_counts")
+    upto = Window.partitionBy("head").orderBy("segment").rowsBetween(Window.unboundedPreceding, 0)  # two rows per rank at most
+    segments = counted.groupBy("head", "segment").agg(F.sum("m").alias("m"), F.count("value").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    segments = segments.withColumn("before", F.sum("m").over(upto) - F.col("m"))
+    wanted = heads.filter("n > 0").select("head", F.expr("inline(brackets)")).select("head", "prob", "pos", F.expr("explode(array_distinct(array(floor(pos), ceil(pos))))").alias("rank"))
+    ranks = wanted.select("head", "rank").distinct()
+    state = ranks.join(segments, "head").filter("rank >= before AND rank < before + m").drop("m")
+    while (state.agg(F.max(F.when(F.col("hi") > F.col("lo"), F.col("rows")))).first()[0] or 0) > sort_rows:
+        state = _narrowed(counted, state)
+    within = counted.join(state.drop("rows"), ["head", "segment"]).filter("value >= lo AND value <= hi")
+    order = Window.partitionBy("head", "rank").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)  # sort_rows rows at most
+    summed = within.withColumn("upto", F.col("before") + F.sum("m").over(order)).filter("upto > rank AND upto - m <= rank")
+    hits = wanted.join(summed.select("head", "rank", "value"), ["head", "rank"], "left")
     missing = F.raise_error(F.lit("a quantile bracket missed its rank; raise BRACKET_SLACK")).cast("double")
-    found = plan.join(placed, "slot", "left").withColumn("value", F.when(F.col("rank").isNotNull() & F.col("value").isNull(), missing).otherwise(F.col("value")))
-    pair = found.groupBy(*groups, "feature", "prob").agg(F.min("value").alias("a"), F.max("value").alias("b"), F.max(F.expr("pos - floor(pos)")).alias("part"))
-    return pair.select(*[F.col(g).alias(b) for g, b in zip(groups, by, strict=True)], "feature", "prob", F.expr("a + (b - a) * coalesce(part, 0D)").alias("value"))
+    hits = hits.withColumn("value", F.coalesce("value", missing))
+    pair = hits.groupBy("head", "prob").agg(F.min("value").alias("a"), F.max("value").alias("b"), F.max(F.expr("pos - floor(pos)")).alias("part"))
+    pair = pair.select("head", "prob", F.expr("a + (b - a) * part").alias("value"))
+    listed = heads.select(*[F.col(g).alias(b) for g, b in zip(groups, by, strict=True)], "head", "feature", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+    return listed.join(pair, ["head", "prob"], "left").select(*by, "feature", "prob", "value")
 
 
-def _narrowed(inside: DataFrame, state: DataFrame) -> tuple[DataFrame, int]:
-    """The sub-bucket of each bracket that holds its rank, as a new bracket between values that occur, and the most distinct
-    values in one of them."""
+def _narrowed(counted: DataFrame, state: DataFrame) -> DataFrame:
+    """The sub-bucket of each segment that holds its rank, as a new segment between values that occur."""
     share = "CASE WHEN hi > lo THEN (value - lo) / (hi - lo) ELSE 0D END"
     sub = F.expr(f"CAST(least({SUB_BUCKETS - 1}, floor(({share}) * {SUB_BUCKETS})) AS INT)").alias("sub")
-    cut = inside.join(state, "slot").filter("value >= lo AND value <= hi")
-    counts = cut.groupBy("slot", "rank", "before", sub).agg(F.sum("m").alias("m"), F.count("*").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    upto = Window.partitionBy("slot").orderBy("sub").rowsBetween(Window.unboundedPreceding, 0)  # SUB_BUCKETS rows at most
+    cut = counted.join(state.drop("rows"), ["head", "segment"]).filter("value >= lo AND value <= hi")
+    counts = cut.groupBy("head", "segment", "rank", "before", sub).agg(F.sum("m").alias("m"), F.count("*").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    upto = Window.partitionBy("head", "rank").orderBy("sub").rowsBetween(Window.unboundedPreceding, 0)  # SUB_BUCKETS rows at most
     summed = counts.withColumn("upto", F.col("before") + F.sum("m").over(upto)).filter("upto > rank AND upto - m <= rank")
-    chosen = stage(summed.select("slot", "rank", (F.col("upto") - F.col("m")).alias("before"), "lo", "hi", F.when(F.col("hi") > F.col("lo"), F.col("rows")).otherwise(1).alias("rows")), "quantile_state")
-    return chosen.drop("rows"), chosen.agg(F.max("rows")).first()[0] or 0
+    return stage(summed.select("head", "segment", "rank", (F.col("upto") - F.col("m")).alias("before"), "lo", "hi", "rows"), "quantile_state")
