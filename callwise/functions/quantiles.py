@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from callwise.functions.scalars import ident, literal, nan_to_null
-from callwise.sources.staging import stage
+from callwise.sources.staging import hold, stage
 
 SKETCH_ACCURACY = 2_000
 BRACKET_SLACK = 1e-3
@@ -50,7 +50,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
     brackets = f"array({', '.join(bracket(k, p) for k, p in enumerate(probs))})"
     heads = heads.select(*groups, "feature", "n", F.expr(brackets).alias("brackets"), F.monotonically_increasing_id().alias("head"))
     edges = F.expr("array_sort(array_distinct(flatten(transform(brackets, b -> array(b.lo, b.hi)))))").alias("edges")
-    heads = stage(heads.select("*", edges), "quantile_heads")
+    heads = hold(heads.select("*", edges), "quantile_heads")
 
     entries = ", ".join(f"named_struct('feature', {literal(c)}, 'value', CAST({ident(c)} AS DOUBLE))" for c in cols)
     tall = df.select(*named, F.expr(f"inline(array({entries}))")).filter("value IS NOT NULL")
@@ -70,7 +70,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
     segments = segments.withColumn("before", F.sum("m").over(upto) - F.col("m"))
     wanted = heads.filter("n > 0").select("head", F.expr("inline(brackets)")).select("head", "prob", "pos", F.expr("explode(array_distinct(array(floor(pos), ceil(pos))))").alias("rank"))
     ranks = wanted.select("head", "rank").distinct()
-    state = ranks.join(segments, "head").filter("rank >= before AND rank < before + m").drop("m")
+    state = hold(ranks.join(segments, "head").filter("rank >= before AND rank < before + m").drop("m"), "quantile_state")
     while (state.agg(F.max(F.when(F.col("hi") > F.col("lo"), F.col("rows")))).first()[0] or 0) > sort_rows:
         state = _narrowed(counted, state)
     within = counted.join(state.drop("rows"), ["head", "segment"]).filter("value >= lo AND value <= hi")
@@ -93,4 +93,4 @@ def _narrowed(counted: DataFrame, state: DataFrame) -> DataFrame:
     counts = cut.groupBy("head", "segment", "rank", "before", sub).agg(F.sum("m").alias("m"), F.count("*").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
     upto = Window.partitionBy("head", "rank").orderBy("sub").rowsBetween(Window.unboundedPreceding, 0)  # SUB_BUCKETS rows at most
     summed = counts.withColumn("upto", F.col("before") + F.sum("m").over(upto)).filter("upto > rank AND upto - m <= rank")
-    return stage(summed.select("head", "segment", "rank", (F.col("upto") - F.col("m")).alias("before"), "lo", "hi", "rows"), "quantile_state")
+    return hold(summed.select("head", "segment", "rank", (F.col("upto") - F.col("m")).alias("before"), "lo", "hi", "rows"), "quantile_state")

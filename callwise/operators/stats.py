@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from callwise.functions.quantiles import quantiles
 from callwise.functions.scalars import ident, is_fractional, is_integral, is_numeric, literal, nan_to_null
-from callwise.sources.staging import local_rows, stage
+from callwise.sources.staging import hold, local_rows, stage
 
 
 def feature_type(dtype: str) -> str:
@@ -161,7 +161,7 @@ def hist_quantiles(df: DataFrame, cols: Sequence[str], buckets: int = 10, by: Se
     Values that occur often make buckets uneven; a bucket without width is empty unless it is the last.
     """
     df = nan_to_null(df, cols)
-    edges = stage(quantiles(df, cols, [i / buckets for i in range(buckets + 1)], by), "edges")
+    edges = hold(quantiles(df, cols, [i / buckets for i in range(buckets + 1)], by), "edges")
     limits = edges.groupBy(*by, "feature").agg(F.array_sort(F.collect_list(F.struct("prob", "value"))).alias("e"))  # buckets + 1 numbers
     limits = limits.select(*[F.col(b).alias(f"_{b}") for b in by], F.col("feature").alias("_f"), F.expr("transform(e, x -> x.value)").alias("e"))
     values = [f"named_struct('feature', {literal(c)}, 'value', CAST({ident(c)} AS DOUBLE))" for c in cols]

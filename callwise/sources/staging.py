@@ -51,6 +51,12 @@ def pin(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(table, df.schema)
 
 
+def hold(df: DataFrame, name: str) -> DataFrame:
+    """A table of statistics to be read many times: a local relation if it is small, a staged table otherwise."""
+    table = df.limit(PIN_ROWS + 1).toArrow()
+    return stage(df, name) if table.num_rows > PIN_ROWS else df.sparkSession.createDataFrame(table, df.schema)
+
+
 def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
     """A few rows of parameters as a local relation, whose size the optimizer knows."""
     if isinstance(schema, str):
