@@ -13,6 +13,7 @@ from callwise.operators import features as X
 from callwise.operators import forest as FO
 from callwise.operators import metrics as M
 from callwise.operators import models as MM
+from callwise.operators import network as NN
 from callwise.operators import newton as N
 from callwise.operators import relational as R
 from callwise.operators import resampling as RS
@@ -26,6 +27,7 @@ from callwise.operators import validation as V
 from callwise.operators.neighbors import minority_knn
 from callwise.plans import flows
 from callwise.sources import campaign as C
+from callwise.sources import snapshots as SN
 from callwise.sources import tables as T
 from callwise.sources.staging import fresh_path, local_rows, pin, stage
 
@@ -634,6 +636,18 @@ def score_upsert(spark, d):
     return T.read_table(spark, wide)
 
 
+@query
+def snapshot_upsert(spark, d):
+    """As ``score_upsert``, but the wide table is replaced by published versions, one column after the other."""
+    wide = fresh_path(spark, "snapshots")
+    scores = _scores(spark, d)
+    halved = scores.withColumn("score", F.when(F.col("version") == "v0.0.1", F.round(F.col("score") / 2, 6)).otherwise(F.col("score")))
+    SN.commit(C.campaign_table(spark, d).select("id", "nation"), wide)
+    for version, column in (("v0.0.1", "old_rate"), ("v0.0.2", "new_rate")):
+        SN.change(spark, wide, lambda t, version=version, column=column: SV.attach_scores(t, halved, version, column))
+    return SN.read_version(spark, wide)
+
+
 @query
 def daily_scores(spark, d):
     """Two days are written, the first one again with other scores: history stays, the latest score of each customer counts."""
@@ -705,13 +719,6 @@ def _probability(c: str):
     return F.coalesce(F.col(c).between(0.0, 1.0), F.lit(False)).alias("scored")
 
 
-def _fit_and_score(spark, d, estimator):
-    rows = _prepared(spark, d)
-    train, evaluation = (rows.filter(F.col("split") == s) for s in ("train", "eval"))
-    model = RS.Smoted(inner=estimator, key=C.KEY, cols=C.FEATURES, label=C.LABEL).fit(train)
-    return MM.positive_probability(model, MM.assemble(evaluation, C.FEATURES)).select("id", "response", _probability("score"))
-
-
 def _logistic(spark, d):
     train = _prepared(spark, d).filter(F.col("split") == "train")
     return RS.Smoted(inner=N.NewtonLogistic(), key=C.KEY, cols=C.FEATURES, label=C.LABEL).fit(train)
@@ -759,7 +766,23 @@ def forest_search(spark, d):
 
 @query
 def mlp_fit(spark, d):
-    return _fit_and_score(spark, d, MM.mlp(len(C.FEATURES)))
+    """A hundred rectified units, Adam, 300 epochs at most; SQL checks which rows are scored."""
+    rows = _prepared(spark, d)
+    train = FO.forest_rows(RS.smote_keyed(rows.filter(F.col("split") == "train"), C.KEY, C.FEATURES, C.LABEL), C.KEY, C.FEATURES, C.LABEL)
+    (network,) = NN.train(stage(train, "network-rows"), [NN.Setting()])
+    scored = NN.with_score(rows.filter(F.col("split") == "eval"), F.array(*[F.col(c).cast("double") for c in C.FEATURES]), network)
+    return scored.select("id", "response", _probability("score"))
+
+
+@query
+def fold_features(spark, d):
+    """F of every feature with each of ten folds left out, and the five best."""
+    train = _prepared(spark, d).filter(F.col("split") == "train")
+    folded = stage(SP.stratified_kfold(train, C.KEY, C.LABEL, 10), "folds")
+    chosen = SEL.fold_choices(folded, C.FEATURES, C.LABEL, "fold", 5)
+    picks = local_rows(spark, [(f, c) for f, cs in chosen.items() for c in cs], "left_out int, feature string").withColumn("chosen", F.lit(True))
+    scores = SEL.fold_anova_f(folded, C.FEATURES, C.LABEL, "fold").withColumn("left_out", F.col("left_out").cast("int"))
+    return rounded(scores.join(picks, ["left_out", "feature"], "left").select("left_out", "feature", "f", F.coalesce("chosen", F.lit(False)).alias("chosen")), "f")
 
 
 def _grid_runs(spark, d):

@@ -600,6 +600,14 @@ best AS (SELECT * FROM gains QUALIFY row_number() OVER (PARTITION BY tree ORDER
 totals AS (SELECT tree, sum(w) AS n, sum(w * y) AS positive FROM sown GROUP BY tree)""") + f"""
 SELECT CAST(tree AS INT) AS tree, CAST(t.n AS BIGINT) AS n, CAST(t.n AS BIGINT) AS in_leaves, CAST(t.positive AS BIGINT) AS positive, {ALL_FEATURES!r}[i] AS feature, round((v + next) / 2, 4) AS threshold
 FROM best JOIN totals t USING (tree)"""
+ORACLE["snapshot_upsert"] = ORACLE["score_upsert"]
+add("fold_features", *TRAIN, *folds("(SELECT id, y FROM train)", "id", "y"), f"""
+folded AS (SELECT t.*, e.fold FROM train t JOIN laid l ON l.id = t.id JOIN ends e ON e.y = l.y AND l.pos >= e.start AND l.pos < e.upto),
+parts AS (SELECT g, i, y, x[i] AS v FROM folded, range(10) AS f(g), unnest(range(1, {len(ALL_FEATURES) + 1})) AS r(i) WHERE fold <> g),
+classes AS (SELECT g, i, y, count(*) AS n, avg(v) AS mean, var_pop(v) AS spread FROM parts GROUP BY g, i, y),
+grand AS (SELECT g, i, sum(n * mean) / sum(n) AS grand, sum(n * spread) / (sum(n) - 2) AS within FROM classes GROUP BY g, i),
+scores AS (SELECT g, i, sum(n * (mean - grand) * (mean - grand)) / any_value(within) AS f FROM classes JOIN grand USING (g, i) GROUP BY g, i)""", sql=f"""
+SELECT CAST(g AS INT) AS left_out, {ALL_FEATURES!r}[i] AS feature, round(f, 6) AS f, row_number() OVER (PARTITION BY g ORDER BY f DESC, i DESC) <= 5 AS chosen FROM scores""")
 for _name in ("mlp_fit",):
     add(_name, CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, response, TRUE AS scored FROM split WHERE split = 'eval'")
 add("batch_score", CAMPAIGN, COMPLETE, *split("complete"), sql="SELECT id, nation, id IN (SELECT id FROM split WHERE split = 'serving') AS scored FROM campaign")

@@ -172,5 +172,5 @@ def test_entry_points(spark, sf_dir):
     assert entry_points.entry(spark).count() == 15
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
     rows_only = set(entry_points.queries()) - set(entry_points.oracle_sql())
-    trained = {"forest_search", "network_search"}  # compared with plain versions in their tests
+    trained = {"forest_search"}  # compared with plain versions in their tests
     assert rows_only <= set(entry_points.CORPUS) | trained  # every other query has its SQL twin
