@@ -184,3 +184,41 @@ def with_previous(
     marked = cut.join(F.broadcast(lasts), "_r").withColumn("_prev", F.coalesce(F.lag(row).over(inner), F.col("_carry")))
     marked = marked.drop("_r", "_carry")
     return marked.withColumns({f"prev_{c}": F.col(f"_prev.{c}") for c in columns}).drop("_prev")
+
+
+def running_totals_by(
+    staged: DataFrame,
+    by: Sequence[str],
+    order: str,
+    sums: Mapping[str, str],
+    descending: bool = False,
+    buckets: int | None = None,
+) -> DataFrame:
+    """Running sums inside every group of ``by``, in the order of the number ``order``, distinct within a group; with
+    ``total_<output>``, the sum of the whole group.
+
+    All groups share the ranges of ``order``, so a group that holds most of the rows is cut into as many tasks as the
+    ranges it spans. The total before a range enters the range as a row of its own, ahead of the others: no join, and
+    nothing that grows with the number of groups is broadcast. The input must be staged, as it is read three times.
+    """
+    buckets = buckets or ranges_for(staged.count())
+    value = F.col(order).cast("double")
+    cut = staged.withColumn("_r", range_bucket(value, range_edges(staged, order, buckets)))
+    ranges = Window.partitionBy(*by).orderBy(F.col("_r").desc() if descending else F.col("_r").asc())  # at most `buckets` rows a group
+    before = ranges.rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*by)
+    per_range = cut.groupBy(*by, "_r").agg(*[F.sum(src).alias(f"_t_{out}") for out, src in sums.items()])
+    carried = per_range.select(
+        *by, "_r", F.lit(False).alias("_is_row"),
+        *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_v_{out}") for out in sums],
+        *[F.sum(f"_t_{out}").over(group).alias(f"_all_{out}") for out in sums],
+    )
+    rows = cut.withColumn("_is_row", F.lit(True)).withColumns({f"_v_{out}": F.col(src) for out, src in sums.items()})
+    both = rows.unionByName(carried, allowMissingColumns=True)
+    direction = F.col(order).desc() if descending else F.col(order).asc()
+    inner = Window.partitionBy(*by, "_r").orderBy("_is_row", direction).rowsBetween(Window.unboundedPreceding, 0)
+    summed = both.withColumns(
+        {out: F.sum(f"_v_{out}").over(inner) for out in sums}
+        | {f"total_{out}": F.first(f"_all_{out}", ignorenulls=True).over(inner) for out in sums}
+    )
+    return summed.filter("_is_row").drop("_r", "_is_row", *[f"_{k}_{out}" for out in sums for k in ("v", "all")])

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callwise.functions.ranking import running_totals, with_previous
+from callwise.functions.ranking import running_totals, running_totals_by, with_previous
 from callwise.sources.staging import stage
 
 
@@ -88,10 +88,10 @@ def point_metrics(df: DataFrame, label: str = "label", pred: str = "pred", by: S
     return df.groupBy(*by).agg(*point_aggregates(label, pred))
 
 
-def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
+def score_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score; ties and hot scores collapse before the shuffle."""
     positive = F.count(F.when(F.col(label) == 1, 1))
-    return df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+    return df.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
         positive.alias("pos"), (F.count("*") - positive).alias("neg")
     )
 
@@ -129,8 +129,42 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score", buckets
     return points.unionByName(first)
 
 
-def best_threshold(curve: DataFrame, objective: str = "reference", beta: float = 1.0) -> DataFrame:
-    """The threshold that maximizes the objective over a precision-recall curve; of equal ones the lowest.
+def curves_by(df: DataFrame, by: Sequence[str], label: str = "label", score: str = "score", buckets: int | None = None) -> DataFrame:
+    """The curves of all groups (model versions, folds) in one job: ``(by..., threshold, pos, neg, tp, fp, precision, recall,
+    fpr, tpr, total_tp, total_fp)`` at every distinct score of a group.
+
+    ``pos`` and ``neg`` are the rows at the score itself. The outer points, which are the same for every curve, are not
+    listed. Rates of a class that a group lacks are 0, its recall is 1. Rows without a score are left out; a null in
+    ``by`` is a group like any other.
+    """
+    counts = stage(score_counts(df.filter(F.col(score).isNotNull()), label, score, by), "per-score")
+    curve = running_totals_by(counts, by, "threshold", {"tp": "pos", "fp": "neg"}, descending=True, buckets=buckets)
+    p, n = F.col("total_tp"), F.col("total_fp")
+    return curve.withColumns({
+        "precision": _ratio(F.col("tp"), F.col("tp") + F.col("fp")),
+        "recall": F.when(p > 0, _ratio(F.col("tp"), p)).otherwise(1.0),
+        "fpr": _ratio(F.col("fp"), n),
+        "tpr": _ratio(F.col("tp"), p),
+    })
+
+
+def areas_by(curves: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``(by..., roc_auc, pr_auc, positives, negatives)`` by trapezoids, from the rows of ``curves_by`` alone.
+
+    The point before a row has the counts of the row without its own, so no row needs its neighbor and one grouping
+    gives all areas, in any order. The precision-recall curve begins at recall 0 with precision 1.
+    """
+    tp, fp = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
+    was_right = F.when(tp + fp > 0, _ratio(tp, tp + fp)).otherwise(1.0)
+    roc = _ratio(F.col("neg"), F.col("total_fp")) * (F.col("tpr") + _ratio(tp, F.col("total_tp"))) / 2
+    recall = _ratio(F.col("pos"), F.col("total_tp")) * (F.col("precision") + was_right) / 2
+    return curves.groupBy(*by).agg(
+        F.sum(roc).alias("roc_auc"), F.sum(recall).alias("pr_auc"), F.max("total_tp").alias("positives"), F.max("total_fp").alias("negatives")
+    )
+
+
+def best_threshold(curve: DataFrame, objective: str = "reference", beta: float = 1.0, by: Sequence[str] = ()) -> DataFrame:
+    """The threshold that maximizes the objective over a precision-recall curve, or over each of several; of equal ones the lowest.
 
     ``reference`` is ``(2r + p) / (r + p)``, where 0/0 is NaN and NaN wins, as in an argmax over floats. ``f1`` and
     ``fbeta`` are the usual measures, 0 where undefined.
@@ -145,7 +179,7 @@ def best_threshold(curve: DataFrame, objective: str = "reference", beta: float =
         raise ValueError(objective)
     best = F.max_by(F.struct("threshold", "objective"), F.struct("objective", -F.col("threshold")))
     rated = curve.filter(F.col("threshold").isNotNull()).withColumn("objective", value)
-    return rated.agg(best.alias("b")).select("b.threshold", "b.objective")
+    return rated.groupBy(*by).agg(best.alias("b")).select(*by, "b.threshold", "b.objective")
 
 
 def auc(curve: DataFrame, x: str, y: str, order: str | None = None, buckets: int | None = None) -> DataFrame:
