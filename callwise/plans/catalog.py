@@ -20,6 +20,7 @@ from callwise.operators import resampling as RS
 from callwise.operators import schema as SC
 from callwise.operators import selection as SEL
 from callwise.operators import serving as SV
+from callwise.operators import span_states as SS
 from callwise.operators import splits as SP
 from callwise.operators import stats as ST
 from callwise.operators import tracking as TR
@@ -477,6 +478,30 @@ def skew_drift_report(spark, d):
     return report.select("feature", "anomaly_type", "expected")
 
 
+VALUE_EDGES = [0.0, 10.0, 25.0, 50.0, 100.0, 200.0]
+
+
+@query
+def span_statistics(spark, d):
+    """Days are stored, a day is stored again, and the weeks are merged from what is stored."""
+    events = C.table(spark, d, "events")
+    path = fresh_path(spark, "moments")
+    SS.save_days(SS.day_moments(events, "ts", ["value", "user_id"], ["event_type"]), path)
+    again = F.to_date("ts") == F.lit("2024-01-09").cast("date")
+    SS.save_days(SS.day_moments(events.filter(again & (F.col("event_type") != "error")), "ts", ["value", "user_id"], ["event_type"]), path)
+    days = SS.read_days(spark, path).withColumn("week", F.date_format(F.date_trunc("week", "day"), "yyyy-MM-dd"))
+    weeks = SS.span_statistics(SS.merge_moments(days, ["week"])).drop("unique_est", "quantiles_est").fillna(0, ["zeros"])
+    return rounded(weeks, "mean", "std_dev", "min", "max")
+
+
+@query
+def span_drift(spark, d):
+    """Every day against the seven days before it, from the counts kept per day."""
+    counts = stage(SS.day_counts(C.table(spark, d, "events"), "ts", {"value": VALUE_EDGES}, ["event_type", "props"]), "counts")
+    drift = SS.drift_by_day(counts, ["value"], days=7)
+    return rounded(drift.withColumn("day", F.date_format("day", "yyyy-MM-dd")), "distance")
+
+
 # ---- resampling ----------------------------------------------------------------------------------------------
 
 
@@ -617,6 +642,29 @@ def outcome_metrics(spark, d):
     return rounded(SV.outcome_metrics(_scores(spark, d), _outcomes(spark, d)), "precision", "recall", "accuracy")
 
 
+def _judged(spark, d):
+    """Scores of both versions with the response and a fold."""
+    labels = C.campaign_scores(spark, d).select("id", "label")
+    return _scores(spark, d).join(labels, "id").withColumn("fold", (F.col("id") % 5).cast("int"))
+
+
+@query
+def version_curves(spark, d):
+    """The curve of every version on every fold, all in one job."""
+    curves = M.curves_by(_judged(spark, d), ["version", "fold"])
+    points = curves.select("version", "fold", "threshold", "tp", "fp", "precision", "recall", "fpr", "tpr")
+    return rounded(points, "threshold", "precision", "recall", "fpr", "tpr")
+
+
+@query
+def version_areas(spark, d):
+    """Areas and best F1 threshold of every version on every fold."""
+    curves = stage(M.curves_by(_judged(spark, d), ["version", "fold"]), "curves")
+    areas = M.areas_by(curves, ["version", "fold"])
+    best = M.best_threshold(curves, "f1", by=["version", "fold"])
+    return rounded(areas.join(best, ["version", "fold"]), "roc_auc", "pr_auc", "threshold", "objective")
+
+
 @query
 def call_list(spark, d):
     return SV.call_list(_scores(spark, d), _outcomes(spark, d), "v0.0.2", 100)

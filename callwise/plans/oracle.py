@@ -398,6 +398,32 @@ WITH gaps AS ({linf('event_type')} UNION ALL {jsd('value', ' * 2')} UNION ALL {j
 SELECT feature, 'drift' AS anomaly_type, '0.01' AS expected FROM gaps WHERE distance > 0.01
 UNION ALL SELECT feature, 'skew', '0.1' FROM gaps WHERE distance > 0.1""".replace("WITH gaps", "SELECT * FROM (WITH gaps") + ")")
 
+KEPT_EVENTS = "kept AS (SELECT * FROM events WHERE NOT (ts::DATE = DATE '2024-01-09' AND event_type = 'error'))"
+
+
+def week_numbers(c: str) -> str:
+    return f"""SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week, '{c}' AS feature, count({c}) AS n, count(*) - count({c}) AS missing,
+  count(CASE WHEN {c} = 0 THEN 1 END) AS zeros, round(avg({dbl(c)}), 6) AS mean, round(stddev_pop({dbl(c)}), 6) AS std_dev,
+  round(min({dbl(c)}), 6) AS min, round(max({dbl(c)}), 6) AS max FROM kept GROUP BY 1"""
+
+
+add("span_statistics", KEPT_EVENTS, sql=f"""{week_numbers('value')} UNION ALL {week_numbers('user_id')}
+UNION ALL SELECT strftime(date_trunc('week', ts), '%Y-%m-%d'), 'event_type', count(event_type), count(*) - count(event_type), 0, NULL, NULL, NULL, NULL FROM kept GROUP BY 1""")
+
+
+def day_drift(feature: str, value: str, distance: str) -> str:
+    return f"""SELECT strftime(day, '%Y-%m-%d') AS day, '{feature}' AS feature, round({distance}, 6) AS distance FROM (
+  SELECT day, v, coalesce(sum(a) / nullif(sum(sum(a)) OVER (PARTITION BY day), 0), 0) AS p, coalesce(sum(z) / nullif(sum(sum(z)) OVER (PARTITION BY day), 0), 0) AS q FROM (
+    SELECT t.day, {value} AS v, 1 AS a, 0 AS z FROM (SELECT DISTINCT ts::DATE AS day FROM events) t JOIN events ON ts::DATE BETWEEN t.day - 7 AND t.day - 1
+    UNION ALL SELECT ts::DATE, {value}, 0, 1 FROM events) WHERE v IS NOT NULL GROUP BY day, v)
+  GROUP BY day HAVING sum(p) > 0 AND sum(q) > 0"""
+
+
+DIVERGENCE = "sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2"
+add("span_drift", sql=" UNION ALL ".join([
+    day_drift("value", "CASE WHEN value < 0 THEN 0 WHEN value < 10 THEN 1 WHEN value < 25 THEN 2 WHEN value < 50 THEN 3 WHEN value < 100 THEN 4 WHEN value < 200 THEN 5 WHEN value IS NOT NULL THEN 6 END", DIVERGENCE),
+    *[day_drift(c, c, "max(abs(p - q))") for c in ("event_type", "props")]]))
+
 
 def knn(rows: str, cols: list[str], k: int, key: str = "id") -> str:
     dist = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in cols)
@@ -509,6 +535,24 @@ SELECT id, o.score AS old_score, n.score AS new_score, round(n.score - o.score,
   (SELECT * FROM scores WHERE version = 'v0.0.1') o FULL OUTER JOIN (SELECT * FROM scores WHERE version = 'v0.0.2') n USING (id)""")
 add("outcome_metrics", *SCORED, VERSIONS, sql=f"""
 SELECT version, {points('score >= 0.53')}, count(*) AS calls FROM (SELECT version, score, result AS label FROM scores JOIN outcomes USING (id)) GROUP BY version""")
+JUDGED = """
+judged AS (SELECT version, CAST(scores.id % 5 AS INT) AS fold, scores.score, scored.label FROM scores JOIN scored USING (id)),
+judged_scores AS (SELECT version, fold, score AS threshold, sum(label) AS pos, count(*) - sum(label) AS neg FROM judged GROUP BY 1, 2, 3),
+judged_sums AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER g AS p, sum(neg) OVER g AS n FROM judged_scores
+  WINDOW w AS (PARTITION BY version, fold ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING), g AS (PARTITION BY version, fold)),
+judged_curve AS (SELECT version, fold, threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, p, n, coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
+  CASE WHEN p > 0 THEN tp / p ELSE 1 END AS recall, coalesce(fp / nullif(n, 0), 0) AS fpr, coalesce(tp / nullif(p, 0), 0) AS tpr FROM judged_sums),
+judged_steps AS (SELECT *, lag(fpr, 1, 0) OVER w AS fpr0, lag(tpr, 1, 0) OVER w AS tpr0, lag(precision, 1, 1) OVER w AS precision0
+  FROM judged_curve WINDOW w AS (PARTITION BY version, fold ORDER BY threshold DESC)),
+judged_areas AS (SELECT version, fold, sum((fpr - fpr0) * (tpr + tpr0) / 2) AS roc_auc, sum((tpr - tpr0) * (precision + precision0) / 2) AS pr_auc,
+  CAST(max(p) AS BIGINT) AS positives, CAST(max(n) AS BIGINT) AS negatives FROM judged_steps GROUP BY 1, 2),
+judged_best AS (SELECT version, fold, threshold, f1 AS objective FROM (SELECT *, CASE WHEN precision + recall = 0 THEN 0 ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM judged_curve)
+  QUALIFY row_number() OVER (PARTITION BY version, fold ORDER BY f1 DESC, threshold) = 1)"""
+add("version_curves", *SCORED, VERSIONS, JUDGED, sql="""
+SELECT version, fold, round(threshold, 6) AS threshold, tp, fp, round(precision, 6) AS precision, round(recall, 6) AS recall, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM judged_curve""")
+add("version_areas", *SCORED, VERSIONS, JUDGED, sql="""
+SELECT version, fold, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc, positives, negatives, round(threshold, 6) AS threshold, round(objective, 6) AS objective
+FROM judged_areas JOIN judged_best USING (version, fold)""")
 add("call_list", *SCORED, VERSIONS, sql="""
 SELECT id, score FROM scores WHERE version = 'v0.0.2' AND id NOT IN (SELECT id FROM outcomes) ORDER BY score DESC, id LIMIT 100""")
 add("score_upsert", *SCORED, VERSIONS, sql="""
