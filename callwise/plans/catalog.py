@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from callwise.functions import scalars as S
 from callwise.operators import features as X
 from callwise.operators import forest as FO
+from callwise.operators import heavy as HV
 from callwise.operators import metrics as M
 from callwise.operators import models as MM
 from callwise.operators import network as NN
@@ -331,6 +332,13 @@ def top_values(spark, d):
     return campaign.unionByName(events)
 
 
+@query
+def heavy_values(spark, d):
+    """The most frequent values of columns with many values, from summaries and one exact count of the candidates."""
+    lines = HV.heavy_values(C.table(spark, d, "lineitem"), ["l_partkey", "l_orderkey", "l_returnflag"], 5)
+    return lines.unionByName(HV.heavy_values(C.table(spark, d, "events"), ["event_type", "props", "user_id"], 5))
+
+
 @query
 def stats_compare(spark, d):
     rows = SP.three_way_split(C.campaign_table(spark, d), C.KEY, C.LABEL)

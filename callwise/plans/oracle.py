@@ -372,6 +372,7 @@ add("anomaly_report", *RULES, FAULTY, SEEN, sql=f"SELECT feature, anomaly_type,
 add("validation_gate", *RULES, FAULTY, SEEN, sql=f"""
 SELECT 'clean' AS data, 0::BIGINT AS anomalies, FALSE AS warns
 UNION ALL SELECT 'faulty', count(*), count(*) > 0 FROM ({EVERY}) WHERE feature <> 'old_score'""")
+add("heavy_values", sql=" UNION ALL ".join([top("lineitem", c, 5) for c in ("l_partkey", "l_orderkey", "l_returnflag")] + [top("events", c, 5) for c in ("event_type", "props", "user_id")]))
 
 SPANS = """
 previous AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00'),
