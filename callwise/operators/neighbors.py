@@ -5,7 +5,8 @@
 2. Points are spread over cells around pivots that are themselves a hash sample of the points, so dense regions get
    more pivots and cells stay small.
 3. A first pass searches each cell alone. The distance to the k-th neighbor found there bounds the true one.
-4. A point then visits only those other cells that the triangle inequality cannot rule out. Visits to a busy cell are
+4. A point then visits only those other cells that no bound rules out: the triangle inequality, the plane midway between
+   the two pivots, and the box around the cell along the principal axes. Visits to a busy cell are
    cut into chunks and the points of a large cell into parts; each chunk meets each part, and the best of all parts are
    merged. So no task holds an unbounded group, however many points a cell has.
 
@@ -31,6 +32,7 @@ MAX_PIVOTS = 65_536
 VISIT_ROWS = 20_000
 HELD_ROWS = 8_000
 MATRIX_ROWS = 512  # rows of a distance matrix held at once
+AXES = 12  # leading principal axes along which cells have boxes
 SLACK = 1e-9  # relative; keeps rounding in the bounds from excluding a tie
 
 
@@ -163,26 +165,73 @@ def _search(queries: DataFrame, cells: DataFrame, k: int, own: bool) -> DataFram
     return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(look, "p bigint, q bigint, d2 double")
 
 
+def _axes(pivots: np.ndarray) -> np.ndarray:
+    """Orthonormal leading axes of the pivots, as columns. They shape the boxes and never the result."""
+    return np.linalg.svd(pivots - pivots.mean(axis=0), full_matrices=False)[2][:AXES].T
+
+
+def _boxes(cells: DataFrame, axes: np.ndarray) -> DataFrame:
+    """``(cell, far, lo, hi)``: the largest distance from the pivot and the ends along every axis, one row per cell."""
+    shared = cells.sparkSession.sparkContext.broadcast(axes)
+
+    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                order = np.argsort(pdf["cell"].to_numpy(), kind="stable")
+                cell = pdf["cell"].to_numpy()[order]
+                at = (np.stack(pdf["x"].to_numpy()) @ shared.value)[order]
+                first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+                lo, hi = np.minimum.reduceat(at, first), np.maximum.reduceat(at, first)
+                yield pd.DataFrame({"cell": cell[first], "far": np.maximum.reduceat(pdf["far"].to_numpy()[order], first), "lo": list(lo), "hi": list(hi)})
+
+    width = range(axes.shape[1])
+    found = cells.select("cell", "x", "far").mapInPandas(ends, "cell int, far double, lo array<double>, hi array<double>")
+    return found.groupBy("cell").agg(
+        F.max("far").alias("far"),
+        F.array(*[F.min(F.col("lo")[i]) for i in width]).alias("lo"),
+        F.array(*[F.max(F.col("hi")[i]) for i in width]).alias("hi"),
+    )
+
+
 def _visits(cells: DataFrame, local: DataFrame, pivots: np.ndarray, k: int) -> DataFrame:
     """``(p, x, cell)`` for each other cell that may hold something nearer than the k-th neighbor found so far."""
-    radii = {r["cell"]: r["u"] for r in cells.groupBy("cell").agg(F.max("far").alias("u")).collect()}  # one per pivot
-    known = np.array(sorted(radii), dtype=np.int32)
-    shared = cells.sparkSession.sparkContext.broadcast((known, pivots[known], np.array([radii[c] for c in known])))
+    axes = _axes(pivots)
+    table = _boxes(cells, axes).orderBy("cell").toPandas()  # one row per pivot
+    known = table["cell"].to_numpy(np.int32)
+    lows, highs = np.array(table["lo"].to_list()), np.array(table["hi"].to_list())
+    shared = cells.sparkSession.sparkContext.broadcast((known, pivots[known], table["far"].to_numpy(), axes, lows, highs))
     bound = local.groupBy("p").agg(F.when(F.count("*") >= k, F.max("d2")).alias("kth"))
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, centers, radius = shared.value
+        names, centers, radius, axes, lo, hi = shared.value
         for pdf in batches:
             if not len(pdf):
                 continue
             x, mine = np.stack(pdf["x"].to_numpy()), pdf["cell"].to_numpy()
             kth = np.sqrt(pdf["kth"].fillna(np.inf).to_numpy(dtype="float64"))
             for s in range(0, len(x), MATRIX_ROWS):
-                away = np.sqrt(_distances(x[s : s + MATRIX_ROWS], centers))
+                block, reach, own = x[s : s + MATRIX_ROWS], kth[s : s + MATRIX_ROWS], np.searchsorted(names, mine[s : s + MATRIX_ROWS])
+                away2 = _distances(block, centers)
+                away = np.sqrt(away2)
                 # rounding is relative to the size of the distances involved
-                may = away - radius[None, :] <= kth[s : s + MATRIX_ROWS][:, None] + SLACK * (1.0 + away + radius[None, :])
-                may &= mine[s : s + MATRIX_ROWS][:, None] != names[None, :]
+                may = away - radius[None, :] <= reach[:, None] + SLACK * (1.0 + away + radius[None, :])
+                may[np.arange(len(block)), own] = False
                 i, j = np.nonzero(may)
+                if not len(i):
+                    continue
+                # a point of the other cell is nearer to its pivot than to this one: it lies behind the plane midway
+                gap = np.sqrt(((centers[own[i]] - centers[j]) ** 2).sum(axis=1))
+                near2, far2 = away2[i, own[i]], away2[i, j]
+                beyond = (far2 - near2) <= 2 * gap * reach[i] + SLACK * (1.0 + far2 + radius[j] ** 2 + gap * gap)
+                i, j = i[beyond], j[beyond]
+                at = block @ axes
+                outside2 = np.zeros(len(i))
+                for axis in range(axes.shape[1]):
+                    y = at[i, axis]
+                    outside2 += np.maximum(np.maximum(lo[j, axis] - y, y - hi[j, axis]), 0.0) ** 2
+                size = 1.0 + away[i, j] + radius[j] + np.abs(at[i]).max(axis=1)
+                inside = np.sqrt(outside2) <= reach[i] + SLACK * size
+                i, j = i[inside], j[inside]
                 part = pdf.iloc[s + i]
                 yield pd.DataFrame({"p": part["p"].to_numpy(), "x": part["x"].to_numpy(), "cell": names[j]})
 
@@ -190,6 +239,20 @@ def _visits(cells: DataFrame, local: DataFrame, pivots: np.ndarray, k: int) -> D
     return asked.mapInPandas(choose, "p bigint, x array<double>, cell int")
 
 
+def visited_share(rows: DataFrame, k: int, cell_points: int = CELL_POINTS) -> float:
+    """Pairs of points that the search of ``nearest_staged`` compares, as a share of all pairs of points."""
+    points = stage(rows.groupBy("x").agg(F.min("id").alias("p"), F.sort_array(F.collect_set("id")).alias("ids")).select("x", "ids", "p"), "knn_points")
+    total = points.count()
+    pivots = _pivots(points, ceil(total / cell_points))
+    if len(pivots) < 2:
+        return 1.0
+    cells = stage(_assign(points, pivots), "knn_cells")
+    local = stage(_best(_search(cells.select("p", "x", "cell"), cells, k, own=True), k), "knn_local")
+    asked = _visits(cells, local, pivots, k).select("cell").unionByName(cells.select("cell")).groupBy("cell").agg(F.count("*").alias("asked"))
+    held = cells.groupBy("cell").agg(F.count("*").alias("held"))
+    return asked.join(held, "cell").agg(F.sum(F.col("asked") * F.col("held"))).first()[0] / total**2
+
+
 def _best(found: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("p").orderBy("d2", "q")
     return found.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k).drop("r")
