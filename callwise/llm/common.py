@@ -13,6 +13,8 @@ from callwise.sources.staging import stage
 #: A key is split when it holds more rows than this, or more than this share of all rows (so few keys ever are).
 HOT_ROWS = 20_000
 HOT_SHARE = 1_000
+#: Links of one node in a task of ``components``, as long as this is above that share.
+STAR_ROWS = 1_000
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -57,14 +59,18 @@ def map_texts(docs: DataFrame, each: Callable[[list, list], dict], schema: str,
     return docs.select(*columns).mapInArrow(run, schema)
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], members: str, tie: str) -> DataFrame:
+def join_groups(
+    rows: DataFrame, groups: DataFrame, keys: Sequence[str], members: str, tie: str, total: int | None = None, hot_rows: int | None = None
+) -> DataFrame:
     """Inner join of ``rows`` to ``groups`` (one row per key, ``members`` rows of ``rows`` each) with hot keys split.
 
-    A key with over ``max(HOT_ROWS, all / HOT_SHARE)`` rows is cut by the hash of ``tie`` into parts of that size. At
+    A key with over ``max(hot_rows, all / HOT_SHARE)`` rows (HOT_ROWS unless given) is cut by the hash of ``tie`` into parts of that size. At
     most HOT_SHARE keys can be so large, so the list of them is small enough to broadcast at any size. Null keys join.
+    ``total`` is the number of all rows where it is known.
     """
-    total = groups.agg(F.sum(members)).first()[0] or 0
-    limit = max(HOT_ROWS, total // HOT_SHARE)
+    if total is None:
+        total = groups.agg(F.sum(members)).first()[0] or 0
+    limit = max(HOT_ROWS if hot_rows is None else hot_rows, total // HOT_SHARE)
     parts = F.ceil(F.col(members) / F.lit(limit))
     hot = groups.filter(F.col(members) > limit).select(*[F.col(k).alias(f"_h_{k}") for k in keys], parts.alias("_parts"))
     same = lambda left, right: _all(F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}")) for k in keys)
@@ -84,12 +90,17 @@ def _all(conditions):
     return out
 
 
+def _to_lowest(links: DataFrame, lowest: DataFrame, total: int) -> DataFrame:
+    return join_groups(links, lowest, ["v"], "members", "u", total, STAR_ROWS)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``edges (a, b)`` but the smallest of each component.
 
     Alternating large-star and small-star steps: each node hooks its neighbors to the smallest one it knows. The rounds
     grow with the logarithm of the longest chain. A round ends as a written table, so no lineage builds up, and only a
-    row count and a checksum reach the driver.
+    row count and a checksum reach the driver. The links of a node that holds many of them (the center of a star) are dealt
+    to several tasks; sums and minima per node combine before they are shuffled.
     """
     pairs = edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).filter("u < v").distinct()
     pairs, seen = stage(pairs, "edges"), None
@@ -99,8 +110,8 @@ def components(edges: DataFrame) -> DataFrame:
             return pairs.select(F.col("v").alias("node"), F.col("u").alias("component"))
         seen = mark
         both = pairs.unionByName(pairs.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
-        large = both.filter("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).filter("u < v").distinct()
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
-        hooked = large.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(least.select("v", F.col("m").alias("u")))
+        lowest = both.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("members")).select("v", F.least("v", "m").alias("m"), "members")
+        large = _to_lowest(both.filter("u > v"), lowest, 2 * mark[0]).select(F.col("u").alias("v"), F.col("m").alias("u")).filter("u < v").distinct()
+        least = large.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("members"))
+        hooked = _to_lowest(large, least, mark[0]).select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(least.select("v", F.col("m").alias("u")))
         pairs = stage(hooked.filter("u < v").distinct(), "edges")

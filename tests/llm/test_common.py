@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 from callwise.llm import common
 
 
-def test_components_of_chains_stars_and_loose_ends(spark):
+@pytest.mark.parametrize("star", [1_000, 4])
+def test_components_of_chains_stars_and_loose_ends(spark, monkeypatch, star):
+    monkeypatch.setattr(common, "STAR_ROWS", star)
+    monkeypatch.setattr(common, "HOT_SHARE", 40)
     draw = random.Random(5)
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, 200 + i) for i in range(50)] + [(draw.randrange(300, 340), draw.randrange(300, 340)) for _ in range(25)] + [(5, 5), (150, 7)]
     draw.shuffle(edges)
