@@ -65,13 +65,16 @@ def training_rows(df: DataFrame, cols: Sequence[str], label: str, fold: str | No
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """``(fold, only, y, x)`` in strips; x ends with the ones of the intercept, ``only`` is below ALL for real rows."""
+    """``(fold, only, y, x)`` in strips of rows with one value of ``only``; x ends with the ones of the intercept, ``only`` is
+    below ALL for real rows."""
     for batch in batches:
-        for at in range(0, batch.num_rows, STRIP):
-            part = batch.slice(at, STRIP)
-            fold, only = part.column(0).to_numpy(), part.column(1).fill_null(ALL - 1).to_numpy(zero_copy_only=False)
-            x = np.column_stack([*(part.column(i).to_numpy() for i in range(3, part.num_columns)), np.ones(part.num_rows)])
-            yield fold, only, part.column(2).to_numpy(), x
+        only = batch.column(1).fill_null(ALL - 1).to_numpy(zero_copy_only=False)
+        order = np.argsort(only, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(only[order])) + 1):
+            for at in range(0, len(rows), STRIP):
+                part = batch.take(pa.array(rows[at : at + STRIP]))
+                x = np.column_stack([*(part.column(i).to_numpy() for i in range(3, part.num_columns)), np.ones(part.num_rows)])
+                yield part.column(0).to_numpy(), only[rows[at : at + STRIP]], part.column(2).to_numpy(), x
 
 
 def _member(fold: np.ndarray, only: np.ndarray, folds: np.ndarray) -> np.ndarray:
@@ -85,15 +88,23 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return np.where(z >= 0, 1.0, e) / (1.0 + e)
 
 
-def _summed(rows: DataFrame, kernel, models: int, width: int) -> np.ndarray:
-    """Sum ``kernel(fold, only, y, x) -> (width, models)`` over all rows: added in the task, then by (model, place)."""
+def _summed(rows: DataFrame, kernel, folds: np.ndarray, width: int) -> np.ndarray:
+    """Sum ``kernel(fold, only, y, x, which) -> (width, which)`` over all rows: added in the task, then by (model, place).
+
+    ``folds`` has the fold of each model. A synthetic row concerns the models of one fold only, a real one all of them;
+    ``which`` numbers those.
+    """
+    models = len(folds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, models))
         seen = False
         for block in _blocks(batches):
-            total += kernel(*block)
-            seen = True
+            only = block[1][0]
+            which = np.flatnonzero((folds == only) | (only < ALL))
+            if len(which):
+                total[:, which] += kernel(*block, which)
+                seen = True
         if seen:
             place, model = np.divmod(np.arange(width * models), models)
             yield pa.RecordBatch.from_arrays([pa.array(model.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(total.ravel())], names=["model", "place", "value"])
@@ -106,7 +117,10 @@ def _summed(rows: DataFrame, kernel, models: int, width: int) -> np.ndarray:
 
 
 def fit_many(rows: DataFrame, cols: Sequence[str], fits: Sequence[Fit], tolerance: float = TOLERANCE) -> list[Fitted]:
-    """Solve every fit on the stored ``rows`` of ``training_rows``. An empty training set gives zero coefficients."""
+    """Solve every fit on the stored ``rows`` of ``training_rows``. An empty training set gives zero coefficients.
+
+    Fits that differ in ``max_iter`` alone take the same steps: the longest takes them, the others stop on its way.
+    """
     d = len(cols) + 1
     squares = rows.agg(*[F.expr(f"avg({ident(c)} * {ident(c)})") for c in cols]).first()
     scale = np.array([*(np.sqrt(s) if s else 1.0 for s in squares), 1.0])  # conditions the systems; no result depends on it
@@ -116,20 +130,24 @@ def fit_many(rows: DataFrame, cols: Sequence[str], fits: Sequence[Fit], toleranc
     def sums(active: list[int], weights: np.ndarray) -> np.ndarray:
         folds = np.array([fits[m].fold for m in active])
 
-        def kernel(fold, only, y, x):
+        def kernel(fold, only, y, x, which):
             x = x / scale
-            inside = _member(fold, only, folds)
-            z = x @ weights
+            inside = _member(fold, only, folds[which])
+            z = x @ weights[:, which]
             p = _sigmoid(z)
             squared = x[:, upper[0]] * x[:, upper[1]]
             loss = inside * (np.logaddexp(0.0, z) - y[:, None] * z)
             return np.vstack([squared.T @ (inside * p * (1.0 - p)), x.T @ (inside * (p - y[:, None])), loss.sum(axis=0), inside.sum(axis=0)])
 
-        return _summed(rows, kernel, len(active), width)
+        return _summed(rows, kernel, folds, width)
 
     at = np.zeros((d, len(fits)))  # where each model stands, in scaled features
     state = [{"loss": np.inf, "step": 1.0, "move": np.zeros(d), "gradient": np.inf, "rows": 0, "steps": 0} for _ in fits]
-    active = list(range(len(fits)))
+    alike: dict[tuple, list[int]] = {}
+    for m in sorted(range(len(fits)), key=lambda m: -fits[m].max_iter):
+        alike.setdefault((fits[m].C, fits[m].fold), []).append(m)
+    waiting = {own[0]: own[1:] for own in alike.values()}  # by the longest of its kind
+    active = sorted(waiting)
     while active:
         tried = np.column_stack([at[:, m] - state[m]["step"] * state[m]["move"] for m in active])
         found = sums(active, tried)
@@ -138,7 +156,8 @@ def fit_many(rows: DataFrame, cols: Sequence[str], fits: Sequence[Fit], toleranc
             s, beta, total = state[m], tried[:, i], found[:, i]
             n = total[-1]
             if not n:
-                s |= {"gradient": 0.0, "loss": 0.0}
+                for each in (m, *waiting[m]):
+                    state[each] |= {"gradient": 0.0, "loss": 0.0}
                 continue
             penalty = np.append(1.0 / (fits[m].C * n) / scale[:-1] ** 2, 0.0)
             loss = total[-2] / n + 0.5 * penalty @ beta**2
@@ -153,6 +172,9 @@ def fit_many(rows: DataFrame, cols: Sequence[str], fits: Sequence[Fit], toleranc
             hessian += np.triu(hessian, 1).T + np.diag(penalty)
             at[:, m] = beta
             s |= {"loss": loss, "step": 1.0, "rows": int(n), "gradient": float(np.abs(gradient * scale).max())}
+            for other in [o for o in waiting[m] if s["gradient"] <= tolerance or s["steps"] > fits[o].max_iter]:
+                at[:, other], state[other] = beta, dict(s)
+                waiting[m].remove(other)
             if s["gradient"] > tolerance and s["steps"] <= fits[m].max_iter:
                 s["move"] = np.linalg.lstsq(hessian, gradient, rcond=None)[0]
                 still.append(m)
@@ -169,12 +191,12 @@ def accuracies(rows: DataFrame, models: Sequence[Fitted]) -> list[float | None]:
     """Share of right decisions at 0.5 of each model on the real rows of its own fold; None without such rows."""
     weights, folds = _weights(models), np.array([m.fit.fold for m in models])
 
-    def kernel(fold, only, y, x):
-        tested = (only < ALL)[:, None] & (fold[:, None] == folds)
-        right = tested & ((x @ weights > 0) == (y[:, None] > 0))
+    def kernel(fold, only, y, x, which):
+        tested = (only < ALL)[:, None] & (fold[:, None] == folds[which])
+        right = tested & ((x @ weights[:, which] > 0) == (y[:, None] > 0))
         return np.vstack([right.sum(axis=0), tested.sum(axis=0)]).astype(float)
 
-    right, tested = _summed(rows, kernel, len(models), 2)
+    right, tested = _summed(rows, kernel, folds, 2)
     return [float(r / t) if t else None for r, t in zip(right, tested, strict=True)]
 
 
@@ -185,11 +207,11 @@ def fitted_moments(rows: DataFrame, cols: Sequence[str], models: Sequence[Fitted
     """
     weights, folds, d = _weights(models), np.array([m.fit.fold for m in models]), len(cols) + 1
 
-    def kernel(fold, only, y, x):
-        inside = _member(fold, only, folds)
-        return np.vstack([x.T @ (inside * _sigmoid(x @ weights)), np.abs(x).T @ inside])
+    def kernel(fold, only, y, x, which):
+        inside = _member(fold, only, folds[which])
+        return np.vstack([x.T @ (inside * _sigmoid(x @ weights[:, which])), np.abs(x).T @ inside])
 
-    sums = _summed(rows, kernel, len(models), 2 * d)
+    sums = _summed(rows, kernel, folds, 2 * d)
     penalty = np.vstack([weights[:-1] / np.array([m.fit.C for m in models]), np.zeros(len(models))])
     moments = (sums[:d] + penalty) / np.where(sums[d:] == 0, 1.0, sums[d:])
     return [(m, name, float(moments[j, i])) for i, m in enumerate(models) for j, name in enumerate([*cols, "intercept"])]

@@ -129,3 +129,20 @@ def test_estimator_saves_and_votes(spark, table, tmp_path):
     MM.save_version(vote, str(tmp_path), "v1")
     for r in MM.load_version(spark, str(tmp_path), "v1").transform(table).collect():
         assert r["score"] == pytest.approx(p[r["id"]], abs=1e-3)
+
+
+def test_rows_meet_only_the_models_they_train(spark):
+    df = spark.createDataFrame([(0, None, 1.0), (1, None, 0.0), (N.ALL, 0, 1.0), (N.ALL, 0, 1.0), (N.ALL, 1, 0.0), (N.ALL, N.ALL, 1.0)], "_fold int, _only int, _y double").withColumn("a", F.lit(2.0))
+    seen = N._summed(df, lambda fold, only, y, x, which: np.full((1, len(which)), float(len(y))), np.array([0, 1, N.ALL]), 1)
+    assert seen.tolist() == [[4.0, 3.0, 3.0]]  # was 6 rows for each model
+
+
+def test_fits_that_differ_in_iterations_share_their_steps(table, monkeypatch):
+    rows = N.training_rows(table, COLS, "y", "fold")
+    fits = [N.Fit(c, n, f) for c in (0.5, 9.0) for n in (100, 1, 2, 50) for f in (0, N.ALL)]
+    alone = [N.fit_many(rows, COLS, [f])[0] for f in fits]
+    summed, models = N._summed, []
+    monkeypatch.setattr(N, "_summed", lambda rows, kernel, folds, width: (models.append(len(folds)), summed(rows, kernel, folds, width))[1])
+    for together, own in zip(N.fit_many(rows, COLS, fits), alone, strict=True):
+        assert weights(together) == pytest.approx(weights(own), rel=1e-9) and together.iterations == own.iterations and together.fit == own.fit
+    assert max(models) == 4  # was 16
