@@ -1,8 +1,9 @@
 """Multi-layer perceptrons with one hidden layer, trained by synchronous steps over partitioned rows.
 
 A step is one Spark job: tasks form the loss and gradient sums of their rows under every network that is being trained, Spark
-sums them by place, and the driver moves the weights (Adam, or momentum with look-ahead). Batches are chosen by a hash of
-(seed, epoch, row), so what a network sees does not depend on the partitioning. All settings and folds of a search train
+sums them by place, and the driver moves the weights (Adam, or momentum with look-ahead). Rows are stored as blocks chosen by
+a hash of (seed, row), many to a batch; each epoch shuffles the blocks anew and deals them to its batches. An epoch so reads
+every row once, however many batches it has, and what a network sees does not depend on the partitioning. All settings and folds of a search train
 in the same jobs. Tasks keep nothing between steps, so a lost executor costs the tasks it was running; with ``path`` the
 weights are written after every epoch, and a killed run goes on from the last one.
 
@@ -24,10 +25,13 @@ from callwise.functions.workers import with_library
 from callwise.operators.newton import _member, _sigmoid
 from callwise.operators.resampling import ALL
 from callwise.operators.splits import SEED
-from callwise.sources.staging import local_rows
+from callwise.sources.staging import fresh_path, local_rows
 
-STRIP = 2_048
+STRIP = 1_024
 BATCH_ROWS = 1_000_000
+#: Blocks of a batch, and rows of a block where all rows are one batch.
+BLOCKS, BLOCK_ROWS = 24, 40_000
+STRIPS = "_fold binary, _only binary, _y binary, _x binary, _block int"
 RATE, MOMENTUM, BETAS, TINY = 1e-3, 0.9, (0.9, 0.999), 1e-8
 PATIENCE, LEAST_GAIN = 10, 1e-4
 
@@ -132,15 +136,38 @@ class Network:
         self.judge()
 
 
+def _strips(rows: DataFrame, blocks: int, seed: int = SEED) -> DataFrame:
+    """The rows of each block as a stored table (``STRIPS``), partitioned by block, STRIP rows at most in one row as bytes."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = batch.column(4).to_numpy()
+            ends = np.flatnonzero(np.r_[block[1:] != block[:-1], True]) + 1 if len(block) else []
+            out: list[tuple] = []
+            for start, end in zip([0, *ends[:-1]], ends, strict=True):
+                for at in range(start, end, STRIP):
+                    b = batch.slice(at, min(STRIP, end - at))
+                    only = b.column(1).fill_null(ALL - 1).to_numpy(zero_copy_only=False)
+                    x = b.column(3).flatten().to_numpy()
+                    out.append((*(v.tobytes() for v in (b.column(0).to_numpy(), only, b.column(2).to_numpy(), x)), int(block[at])))
+            kinds = (pa.binary(),) * 4 + (pa.int32(),)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=[c.split()[0] for c in STRIPS.split(", ")])
+
+    placed = rows.select("_fold", "_only", "_y", "_x", F.pmod(F.xxhash64(F.lit(seed), "_row"), F.lit(blocks)).cast("int").alias("_block"))
+    path = fresh_path(rows.sparkSession, "strips")
+    placed.repartition(blocks, "_block").sortWithinPartitions("_block").mapInArrow(pack, STRIPS).write.partitionBy("_block").parquet(path)
+    return rows.sparkSession.read.schema(STRIPS).parquet(path)
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     for batch in batches:
-        for at in range(0, batch.num_rows, STRIP):
-            b = batch.slice(at, STRIP)
-            yield b.column(0).to_numpy(), b.column(1).fill_null(ALL - 1).to_numpy(zero_copy_only=False), b.column(2).to_numpy(), b.column(3).flatten().to_numpy().reshape(b.num_rows, -1)
+        for fold, only, y, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            y = np.frombuffer(y)
+            yield np.frombuffer(fold, np.int32), np.frombuffer(only, np.int32), y, np.frombuffer(x).reshape(len(y), -1)
 
 
-def _job(rows: DataFrame, networks: Sequence[Network], kernel) -> list[np.ndarray]:
-    """Sums of ``kernel(network, own rows of fold, only, y, x)`` per network over all rows."""
+def _job(strips: DataFrame, networks: Sequence[Network], kernel) -> list[np.ndarray]:
+    """Sums of ``kernel(network, own rows of fold, only, y, x)`` per network over all strips."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: list = [None] * len(networks)
@@ -152,7 +179,7 @@ def _job(rows: DataFrame, networks: Sequence[Network], kernel) -> list[np.ndarra
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(total), i, np.int32)), pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["net", "place", "value"])
 
-    sums = rows.select("_fold", "_only", "_y", "_x").mapInArrow(run, "net int, place int, value double").groupBy("net", "place").agg(F.sum("value").alias("value")).toArrow()
+    sums = strips.select("_fold", "_only", "_y", "_x").mapInArrow(run, "net int, place int, value double").groupBy("net", "place").agg(F.sum("value").alias("value")).toArrow()
     net, place, value = (sums[c].to_numpy() for c in ("net", "place", "value"))
     return [value[net == i][np.argsort(place[net == i])] for i in range(len(networks))]
 
@@ -167,23 +194,31 @@ def _test(net: Network, fold: np.ndarray, only: np.ndarray, y: np.ndarray, x: np
     return np.array([((net.score(x[own]) > 0.5) == (y[own] > 0)).sum(), own.sum()], float)
 
 
+def _blocks(rows: int) -> int:
+    return max(1, -(-rows // BLOCK_ROWS))
+
+
 def train(rows: DataFrame, settings: Sequence[Setting], seed: int = SEED, batch_rows: int = BATCH_ROWS, path: str | None = None) -> list[Network]:
     """Train a network for each setting on the stored ``rows``; with ``path`` a run that was killed goes on where it was.
 
-    Rows are cut into batches of about ``batch_rows``. An empty table leaves the weights as they were drawn.
+    Rows are cut into batches of about ``batch_rows``, other ones in every epoch. An empty table leaves the weights as they were drawn.
     """
     with_library(rows)
     spark, first = rows.sparkSession, rows.select("_x").first()
     if first is None:
         return [Network.fresh(s, 0, seed + i) for i, s in enumerate(settings)]
     networks = [Network.fresh(s, len(first["_x"]), seed + i) for i, s in enumerate(settings)]
-    batches = max(1, -(-rows.count() // batch_rows))
+    number = rows.count()
+    batches = max(1, -(-number // batch_rows))
+    blocks = batches * BLOCKS if batches > 1 else _blocks(number)
+    strips = _strips(rows, blocks, seed)
     epoch = _resumed(spark, path, networks) if path else 0
     while live := [n for n in networks if not n.done]:
         epoch += 1
         totals = np.zeros((len(live), 2))
-        for b in range(batches):
-            part = rows if batches == 1 else rows.filter(F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), "_row"), F.lit(batches)) == b)
+        dealt = np.random.default_rng([seed, epoch]).permutation(blocks).reshape(batches, -1)
+        for own in dealt.tolist():
+            part = strips if batches == 1 else strips.filter(F.col("_block").isin(own))
             for i, (net, sums) in enumerate(zip(live, _job(part, live, _train), strict=True)):
                 if len(sums):
                     totals[i] += [net.move(sums) * sums[1], sums[1]]
@@ -213,7 +248,7 @@ def network_search(rows: DataFrame, folds: Sequence[int], grid: Mapping[str, Seq
     """Accuracy at 0.5 of every setting on the real rows of every fold, all trained side by side."""
     settings = [Setting(h, a, s, p, epochs, f) for h, a, s, p in product(grid["hidden"], grid["activation"], grid["solver"], grid["alpha"]) for f in folds]
     networks = train(rows, settings, seed, path=path)
-    tested = _job(rows, networks, _test)
+    tested = _job(_strips(rows, _blocks(rows.count())), networks, _test)
     return [(n.setting, float(t[0] / t[1]) if len(t) and t[1] else None) for n, t in zip(networks, tested, strict=True)]
 
 

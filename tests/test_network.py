@@ -60,6 +60,24 @@ def test_batches_follow_the_rows_not_the_partitions(rows):
     assert one.steps == many.steps == 3 * 4 and one.losses == pytest.approx(many.losses)
 
 
+def test_an_epoch_reads_every_row_once(rows, monkeypatch):
+    seen, kernel = [], NN._job
+
+    def reading(part, networks, job):
+        got = [len(x) // 8 for (x,) in part.select("_y").collect()]
+        seen.append((sum(got), sorted(r[0] for r in part.select("_block").distinct().collect()), len(part.inputFiles())))
+        return kernel(part, networks, job)
+
+    monkeypatch.setattr(NN, "_job", reading)
+    NN.train(rows, [NN.Setting(3, "tanh", "adam", 1e-3, 2)], batch_rows=60)
+    assert len(seen) == 2 * 4
+    for epoch in (seen[:4], seen[4:]):
+        assert sum(n for n, *_ in epoch) == 240 and all(n > 0 for n, *_ in epoch)
+        blocks = [b for _, own, _ in epoch for b in own]
+        assert len(blocks) == len(set(blocks))  # blocks are stored apart: a batch reads its own only
+    assert [own for _, own, _ in seen[:4]] != [own for _, own, _ in seen[4:]]  # batches are drawn anew
+
+
 def test_a_killed_run_goes_on(rows, tmp_path, monkeypatch):
     settings = [NN.Setting(5, "relu", "adam", 1e-4, 6), NN.Setting(5, "tanh", "sgd", 1e-4, 4)]
     whole = NN.train(rows, settings, seed=2)
