@@ -9,19 +9,22 @@ Equal passages: a window of the first hash function lists its spans of ``passage
 places around c, each by the shingle at c and those at both ends. Any common interval of ``passage`` words holds one of
 these spans whole, so no repeated passage is missed. Spans of equal content are verified repeats.
 
-Near copies: the windows of NEAR hash functions are joined by (hash function, smallest shingle) where their intervals, laid
-over each other at c, overlap by a passage. Words may be inserted, deleted or replaced on either side of c. Documents that
-ENOUGH hash functions bring together are verified around each such place: the shingles of both are aligned in order, and
-stretches of ``passage`` words in both texts whose sets of shingles have a Jaccard similarity of 0.8 are kept.
-
-A key makes stars, not pairs: a window meets the smallest document of its key, the first of its class (those of the key that
-agree in a second hash function near c) and the window before it. A key that is frequent in a batch is split: its windows
-meet the batch's smallest document at once and go on under 64 parts of the key, and only that document stays for all.
+Near copies: shorter windows, of RUN shingles and more, are joined by smallest shingle where they overlap by RUN places, laid
+over each other at c, and two bits of each shingle on both sides agree so far that a run of RUN can be common. Two texts that share a run of RUN shingles always meet so,
+as the smallest of the run is the same in both. An edit between words costs nine shingles of both texts together, so stretches
+of ``passage`` words with a Jaccard similarity of 0.8 share a run of 21 at least; they share RUN or more where a repeated word
+or phrase was inserted. Words may be inserted, deleted or replaced on either side of c. Pairs are verified around each such
+place: the shingles of both are aligned in order, and stretches of ``passage`` words in both texts whose sets of shingles have
+a Jaccard similarity of 0.8 are kept.
+
+All windows of a key meet, one of those whose surroundings are equal (equal spans link the others). Where a key has more than
+FULL, they first make stars: a window meets the smallest document of its key, the first of its class (those that agree on both
+sides of c) and the window before it. Those of documents that are then in different components meet in a second pass, in blocks.
+A key that is frequent in a batch is split: its windows meet the batch's smallest document at once and go on under 64 parts.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,17 +38,23 @@ from callwise.sources.staging import stage
 WIDTH = 5
 PASSAGE = 50
 STEP = 8
-NEAR = 4
-ENOUGH = 2
+#: Shingles of the shortest run that always makes two texts meet, and on how many a side two bits each are compared.
+RUN, SIDE = 16, 16
+#: Windows of a text with equal sides that start in the same so many places count as one.
+CLOSE = 8
+#: Shingles on either side of a window's smallest one that tell whether two windows are copies.
+BESIDE = 128
 SIMILARITY = 0.8
-FREQUENT, PARTS = 256, 64
+FREQUENT, PARTS, FULL, BLOCK = 256, 64, 48, 1024
 #: Shingles on either side of a common one that are aligned at once, and the most that they may be shifted. The next place
 #: to be aligned is half as far away, so that the shortest stretches around all places between lie inside.
-AROUND, SHIFT = 256, 32
+AROUND, SHIFT = 256, 48
 ROWS = "key bigint, body bigint, doc bigint, at int, size int, a bigint, a_at int, kind int"
-WINDOW, REPEAT, CANDIDATE, SEED = 0, 1, 2, 3  # a window of near hash function k is SEED + k; its size packs both extents
+#: Kinds: a span or whole text, links, a window to be compared in the second pass, a window (its size packs both extents, its
+#: ``a`` is the hash of its surroundings), one whose key has windows elsewhere, and one that is there under a part of its key.
+WINDOW, REPEAT, CANDIDATE, LEFT, SEED, CUT, PART = 0, 1, 2, 3, 4, 5, 6
 COLUMNS = [c.split()[0] for c in ROWS.split(", ")]
-LISTED = ["key", "body", "doc", "at", "size", "kind"]
+LISTED = ["key", "body", "doc", "at", "size", "a", "kind"]
 _B = 0xD6E8FEB86659FD93
 
 
@@ -104,8 +113,8 @@ def compact_windows(values: np.ndarray, least: int, reach: int) -> tuple[np.ndar
     return c[wide], left[wide], right[wide]
 
 
-def _listed(raws: list[bytes], passage: int, near: int) -> dict[str, np.ndarray]:
-    """Rows of a group of texts: spans of equal passages (and whole texts), then the windows of ``near`` hash functions."""
+def _listed(raws: list[bytes], passage: int) -> dict[str, np.ndarray]:
+    """Rows of a group of texts: spans of equal passages (and whole texts), then the windows for near copies."""
     s, doc, number = shingles(raws)
     least = passage - WIDTH + 1
     span = least - STEP
@@ -127,34 +136,35 @@ def _listed(raws: list[bytes], passage: int, near: int) -> dict[str, np.ndarray]
     body = lambda a, b: mix((sums[b + 1] - sums[a]) * inverse[a] + (b - a).astype(np.uint64))
     full = lambda n, v: np.full(n, v, np.int64)
 
-    def hashed(k: int) -> np.ndarray:
-        values = np.zeros(len(back), np.uint64)
-        values[slot] = np.maximum(mix(s + np.uint64((k + 1) * _B % 2**64)), np.uint64(1))
-        return values
-
-    first = hashed(0)
-    values = first
-    for k in range(max(near, 1)):
-        c, left, right = compact_windows(values, least, span)
-        at = back[c]
-        if k == 0:
-            for before in sorted({*range(0, span, STEP), span - 1}):
-                ok = (c - before >= left) & (c - before + span - 1 <= right)
-                a = at[ok] - before
-                b = a + span - 1
-                code = np.uint64((1_000_003 + before) * _B % 2**64)
-                key = mix(values[c[ok]] + mix(s[a] + code) + np.uint64(3) * mix(s[b] ^ code))
-                add(key, body(a, b), doc[a], a - start[doc[a]], full(len(a), span + WIDTH - 1), full(len(a), WINDOW))
-        if k < near:
-            other = hashed(k + 1) if k + 1 < near else first
-            beside = _tables(other, 4)[4][np.maximum(c - 8, 0)] & np.uint64(0xFFFFFF)  # smallest of the 16 shingles around c
-            size = np.minimum(c - left, 255) * 256 + np.minimum(right - c, 255)
-            add(mix(values[c] ^ np.uint64((k + 7) * _B % 2**64)), beside, doc[at], at - start[doc[at]], size, full(len(c), SEED + k))
-            values = other
+    values = np.zeros(len(back), np.uint64)
+    values[slot] = np.maximum(mix(s + np.uint64(_B)), np.uint64(1))
+    c, left, right = compact_windows(values, least, span)
+    at = back[c]
+    for before in sorted({*range(0, span, STEP), span - 1}):
+        ok = (c - before >= left) & (c - before + span - 1 <= right)
+        a = at[ok] - before
+        b = a + span - 1
+        code = np.uint64((1_000_003 + before) * _B % 2**64)
+        key = mix(values[c[ok]] + mix(s[a] + code) + np.uint64(3) * mix(s[b] ^ code))
+        add(key, body(a, b), doc[a], a - start[doc[a]], full(len(a), span + WIDTH - 1), full(len(a), 0), full(len(a), WINDOW))
+    c, left, right = compact_windows(values, RUN, RUN)
+    long = count[doc[back[c]]] >= least
+    c, left, right = c[long], left[long], right[long]
+    at = back[c]
+    text = doc[at]
+    sides = np.zeros(len(c), np.uint64)
+    for k in range(SIDE):
+        for place, to in ((slot[at] + k + 1, 2 * k), (slot[at] - k - 1, 32 + 2 * k)):
+            sides |= (values[np.clip(place, 0, len(values) - 1)] & np.uint64(3)) << np.uint64(to)
+    near, far = np.maximum(at - BESIDE, start[text]), np.minimum(at + BESIDE, start[text] + count[text] - 1)
+    size = np.minimum(c - left, 255) * 256 + np.minimum(right - c, 255)
+    key = mix(values[c] ^ np.uint64(7 * _B % 2**64))
+    around = mix(body(near, far) + (at - near).astype(np.uint64)).view(np.int64)
+    add(key, sides, text, at - start[text], size, around, full(len(c), SEED))
     whole = np.flatnonzero(count >= least)
     if len(whole):
         content = body(start[whole], start[whole] + count[whole] - 1)
-        add(mix(content ^ np.uint64(_B)), content, whole, full(len(whole), 0), number[whole], full(len(whole), WINDOW))
+        add(mix(content ^ np.uint64(_B)), content, whole, full(len(whole), 0), number[whole], full(len(whole), 0), full(len(whole), WINDOW))
     return {k: np.concatenate(v) for k, v in out.items()}
 
 
@@ -167,14 +177,13 @@ def _join(*parts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 
 def _linked(rows: dict[str, np.ndarray], take: np.ndarray, to: np.ndarray, kind: int) -> dict[str, np.ndarray]:
-    """Links of rows ``take`` to rows ``to`` of other documents; a seed keeps its hash function as its size."""
+    """Links of rows ``take`` to rows ``to`` of other documents."""
     real = rows["doc"][take] != rows["doc"][to]
     take, to = take[real], to[real]
     out = _take(rows, take)
     # links are done: they are dealt out by their document, not by a key that many of them share
     spread = mix(out["doc"].astype(np.int64).view(np.uint64) * np.uint64(_B) + out["at"].astype(np.uint64)).view(out["key"].dtype)
-    size = out["size"] if kind == REPEAT else out["kind"] - SEED
-    return out | {"key": spread, "size": size, "kind": np.full(len(take), kind), "a": rows["doc"][to], "a_at": rows["at"][to]}
+    return out | {"key": spread, "kind": np.full(len(take), kind), "a": rows["doc"][to], "a_at": rows["at"][to]}
 
 
 def _firsts(*columns: np.ndarray) -> np.ndarray:
@@ -194,10 +203,31 @@ def _repeats(rows: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], dict[s
     return _linked(rows, member, leader[member], REPEAT), _take(rows, np.flatnonzero(new))
 
 
-def _overlap(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, least: int) -> np.ndarray:
-    """Whether the windows of rows i and j, laid over each other at their smallest shingle, share ``least`` places."""
+def _meet(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the windows of rows i and j, laid over each other at their smallest shingle, can hold a common run of RUN."""
     left, right = rows["size"] >> 8, rows["size"] & 255
-    return np.minimum(left[i], left[j]) + np.minimum(right[i], right[j]) + 1 >= least
+    unlike = (rows["body"][i] ^ rows["body"][j]).view(np.uint64)
+    before, after = _alike(unlike >> np.uint64(32)), _alike(unlike & np.uint64(0xFFFFFFFF))
+    before, after = np.minimum(before, np.minimum(left[i], left[j])), np.minimum(after, np.minimum(right[i], right[j]))
+    return before + after + 1 >= RUN
+
+
+def _alike(bits: np.ndarray) -> np.ndarray:
+    """How many pairs of bits are zero before the first that is not, of SIDE."""
+    lowest = (bits & (~bits + np.uint64(1))).astype(np.float64)
+    return np.where(bits == 0, SIDE, (np.frexp(lowest)[1] - 1) // 2)
+
+
+def _unlike(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Windows sorted by key, class and place; of those with equal surroundings the first. One of a cut key marks it for all."""
+    order = np.lexsort((rows["at"], rows["doc"], rows["a"], rows["key"]))
+    new = np.flatnonzero(_firsts(rows["key"][order], rows["a"][order]))
+    kind = np.maximum.reduceat(rows["kind"][order], new) if len(new) else rows["kind"][:0]
+    rows = _take(rows, order[new]) | {"kind": kind}
+    rows = _take(rows, np.lexsort((rows["at"], rows["doc"], rows["body"], rows["key"])))
+    new = np.flatnonzero(_firsts(rows["key"], rows["body"], rows["doc"], rows["at"] // CLOSE))
+    kind = np.maximum.reduceat(rows["kind"], new) if len(new) else rows["kind"][:0]
+    return _take(rows, new) | {"kind": kind}
 
 
 def _least_doc(rows: dict[str, np.ndarray]) -> np.ndarray:
@@ -207,86 +237,118 @@ def _least_doc(rows: dict[str, np.ndarray]) -> np.ndarray:
     return order[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
 
 
-def _stars(rows: dict[str, np.ndarray], least: int) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """``(links, carried)`` of windows: to the smallest document of the key, the first of the class and the one before.
+def _stars(rows: dict[str, np.ndarray], more: bool) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """``(links, left, carried)`` of windows: between all of a key, or in stars if they are over FULL, which are left as well.
 
-    Carried are those three for the last key, should it go on in the next batch.
+    If there may be ``more`` of the last key, its windows are carried: all of them as long as they are few, else those that
+    others would meet.
     """
-    rows = _take(rows, np.lexsort((rows["at"], rows["doc"], rows["body"], rows["key"])))
+    rows = _unlike(rows)
     n = np.arange(len(rows["key"]))
+    if not len(n):
+        return _linked(rows, n, n, CANDIDATE), rows, rows
     key, both = _firsts(rows["key"]), _firsts(rows["key"], rows["body"])
+    begin = np.flatnonzero(key)
+    members = np.diff(np.append(begin, len(n)))
+    many = np.repeat((members > FULL) | np.logical_or.reduceat(rows["kind"] >= CUT, begin), members)
+    end = np.repeat(begin + members, members)
+    keep, ready = n[:0], ~many
+    if more:
+        last = n >= begin[-1]
+        ready &= ~last
+        keep = n[last] if not many[-1] else keep
+    take, to = [], []
+    for d in range(1, int(members.max())):
+        i = n[ready & (n + d < end)]
+        if not len(i):
+            break
+        take.append(i + d)
+        to.append(i)
     center, leader = _least_doc(rows), np.maximum.accumulate(np.where(both, n, 0))
-    take = np.concatenate((n, n[~both], n[~key]))
-    to = np.concatenate((center, leader[~both], n[~key] - 1))
-    ok = _overlap(rows, take, to, least)
-    keep = np.unique([center[-1], leader[-1], n[-1]]) if len(n) else n
-    return _linked(rows, take[ok], to[ok], CANDIDATE), _take(rows, keep)
-
-
-def _split(rows: dict[str, np.ndarray], least: int) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """``(links, rows)``: windows of keys that are frequent in this batch go on under parts of the key."""
-    rows = _take(rows, np.argsort(rows["key"], kind="stable"))
+    take += [n[many], n[~both & many], n[~key & many]]
+    to += [center[many], leader[~both & many], n[~key & many] - 1]
+    take, to = np.concatenate(take), np.concatenate(to)
+    ok = _meet(rows, take, to)
+    left = _take(rows, np.flatnonzero(many & (rows["kind"] != PART)))
+    left["kind"] = np.full(len(left["kind"]), LEFT)
+    carried = _take(rows, keep)
+    if more and many[-1]:
+        carried = _take(rows, np.unique([center[-1], leader[-1], n[-1]]))
+        carried["kind"] = np.maximum(carried["kind"], CUT)
+    return _linked(rows, take[ok], to[ok], CANDIDATE), left, carried
+
+
+def _split(rows: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """``(links, left, rows)``: windows of keys that are frequent in this batch go on under parts of the key."""
+    rows = _unlike(rows)
     new = _firsts(rows["key"])
     begin = np.flatnonzero(new)
     members = np.diff(np.append(begin, len(new)))
     center = _least_doc(rows)
-    hot = np.flatnonzero(np.repeat(members > FREQUENT, members))
+    frequent = np.repeat(members > FREQUENT, members)
+    hot = np.flatnonzero(frequent)
     moved = hot[rows["doc"][hot] != rows["doc"][center[hot]]]
     part = mix(rows["doc"][moved].astype(np.int64).view(np.uint64)) % np.uint64(PARTS) + np.uint64(1)
-    ok = _overlap(rows, moved, center[moved], least)
+    ok = _meet(rows, moved, center[moved])
     links = _linked(rows, moved[ok], center[moved][ok], CANDIDATE)
-    key = rows["key"].copy()
-    key[moved] = mix(key[moved] + part * np.uint64(_B))
-    return links, rows | {"key": key}
+    left = _take(rows, moved) | {"kind": np.full(len(moved), LEFT)}
+    key, kind = rows["key"].copy(), np.where(frequent, CUT, rows["kind"])
+    key[moved], kind[moved] = mix(key[moved] + part * np.uint64(_B)), PART
+    return links, left, rows | {"key": key, "kind": kind}
 
 
 def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     kinds = {"at": np.int32, "size": np.int32, "a_at": np.int32, "kind": np.int32}
-    if "a" not in columns:  # not a link
-        columns = columns | {"a": np.zeros(len(columns["doc"]), np.int64), "a_at": np.zeros(len(columns["doc"]), np.int64)}
+    if "a_at" not in columns:  # not a link
+        columns = columns | {"a_at": np.zeros(len(columns["doc"]), np.int64)}
     cast = lambda n: columns[n].view(np.int64) if columns[n].dtype == np.uint64 else columns[n].astype(kinds.get(n, np.int64))
     return pa.RecordBatch.from_arrays([pa.array(cast(n)) for n in COLUMNS], COLUMNS)
 
 
-def windows(docs: DataFrame, passage: int = PASSAGE, near: int = NEAR) -> DataFrame:
+def windows(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     """Rows of ROWS: spans and windows to be shuffled, and the links found inside a batch."""
-    least = passage - WIDTH + 1 - STEP
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, raws = batch.column(0).to_numpy(), batch.column(1).cast(pa.binary()).to_pylist()
             held = []
             for a, b in groups(raws):
-                rows = _listed(raws[a:b], passage, near)
+                rows = _listed(raws[a:b], passage)
                 held.append(rows | {"doc": ids[a:b][rows["doc"]]})
             if held:
                 rows = _join(*held)
                 yield from map(_batch, _repeats(_take(rows, rows["kind"] == WINDOW)))
-                yield from map(_batch, _split(_take(rows, rows["kind"] >= SEED), least))
+                yield from map(_batch, _split(_take(rows, rows["kind"] >= SEED)))
 
     return docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, ROWS)
 
 
-def paired(rows: DataFrame, passage: int = PASSAGE) -> DataFrame:
-    """Rows of ROWS that are links. The rows of a key come in one sorted stream; what a cut key needs further on is carried."""
-    least = passage - WIDTH + 1 - STEP
+def paired(rows: DataFrame) -> DataFrame:
+    """Rows of ROWS that are links or left. The rows of a key come in one sorted stream; what a cut key needs further on is carried."""
+
+    def plain(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        """Links are not looked up by key or content any more."""
+        needed = rows["kind"] == LEFT
+        return _batch(rows | {n: np.where(needed, rows[n], rows[n].dtype.type(0)) for n in ("key", "body")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans, starred = None, None
         for batch in batches:
             got = {n: batch.column(k).to_numpy() for k, n in enumerate(COLUMNS)}
-            done = (got["kind"] == REPEAT) | (got["kind"] == CANDIDATE)
+            done = (got["kind"] != WINDOW) & (got["kind"] < SEED)
             if done.any():
-                yield _batch(_take(got, done))
+                yield plain(_take(got, done))
             got = {n: got[n] for n in LISTED}
             exact, near = _take(got, got["kind"] == WINDOW), _take(got, got["kind"] >= SEED)
             if len(exact["key"]):
                 links, heads = _repeats(exact if spans is None else _join(spans, exact))
                 spans = _take(heads, np.arange(len(heads["key"]))[-1:])
-                yield _batch(links)
+                yield plain(links)
             if len(near["key"]):
-                links, starred = _stars(near if starred is None else _join(starred, near), least)
-                yield _batch(links)
+                links, left, starred = _stars(near if starred is None else _join(starred, near), True)
+                yield from map(plain, (links, left))
+        if starred is not None:
+            yield plain(_stars(starred, False)[0])  # those of a key with many are left already
 
     return rows.repartition("key").sortWithinPartitions("key", "body", "doc", "at").mapInArrow(run, ROWS)
 
@@ -311,39 +373,67 @@ def repeats(pair: DataFrame) -> DataFrame:
     return runs.groupBy("a", "b", "diagonal", "_run").agg(F.min("first_a").alias("first_a"), F.max("last_a").alias("last_a")).drop("_run")
 
 
-def aligned(left: np.ndarray, right: np.ndarray, shift: int, needed: float = 0) -> tuple[np.ndarray, np.ndarray]:
+def aligned(left: np.ndarray, right: np.ndarray, shift: int, needed: float = 0, least: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Places ``(i, j)`` of a longest rising chain of equal shingles with ``j - i`` within SHIFT of ``shift``.
 
-    Where fewer than ``needed`` places are equal, they are returned as they are.
+    Where fewer than ``needed`` places are equal, they are returned as they are; where no ``least`` places of either text
+    hold nearly as many that are, none. (A stretch of a density of 0.8 or more has that in some ``least`` places, but one.)
     """
     order = np.argsort(right, kind="stable")
     ranked = right[order]
     low, high = np.searchsorted(ranked, left), np.searchsorted(ranked, left, side="right")
     number = high - low
+    shared = np.zeros(len(right), bool)
+    known = ranked[low[number > 0]]
+    known.sort()
+    if len(known):
+        shared = known[np.minimum(np.searchsorted(known, right), len(known) - 1)] == right
+    for flags in (number > 0, shared):
+        met = np.cumsum(np.concatenate(([0], flags)))
+        if least and np.max(met[least:] - met[: max(len(met) - least, 0)], initial=0) < 0.85 * needed:
+            return (np.zeros(0, np.int64),) * 2
     i = np.repeat(np.arange(len(left)), number)
     j = order[np.arange(len(i)) - np.repeat(np.cumsum(number) - number, number) + np.repeat(low, number)]
     close = np.abs(j - i - shift) <= SHIFT
     i, j = i[close], j[close]
     if len(i) < max(needed, 2) or (np.all(i[1:] > i[:-1]) and np.all(j[1:] > j[:-1])):
         return i, j
-    order = np.lexsort((-j, i))
+    order = np.lexsort((j, i))
     i, j = i[order], j[order]
-    ends: list[int] = []
-    last: list[int] = []
-    before: list[int] = []
-    for x, value in enumerate(j.tolist()):
-        k = bisect_left(ends, value)
-        before.append(last[k - 1] if k else -1)
-        if k == len(ends):
-            ends.append(value)
-            last.append(x)
-        else:
-            ends[k], last[k] = value, x
-    chain, x = [], last[-1]
-    while x >= 0:
-        chain.append(x)
-        x = before[x]
-    return i[chain[::-1]], j[chain[::-1]]
+    # a place that all others lie before or behind in both texts belongs to every longest chain
+    sure = np.ones(len(i), bool)
+    sure[1:] &= (i[1:] > i[:-1]) & (j[1:] > np.maximum.accumulate(j)[:-1])
+    sure[:-1] &= (i[1:] > i[:-1]) & (j[:-1] < np.minimum.accumulate(j[::-1])[::-1][1:])
+    x, y = _longest(i[~sure], j[~sure])
+    return np.sort(np.concatenate((i[sure], x))), np.sort(np.concatenate((j[sure], y)))
+
+
+def _longest(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A longest rising chain of places, by rows of bits: bit c is 0 where the chain up to this row grows at column c."""
+    if not len(i):
+        return i, j
+    rows, x = np.unique(i, return_inverse=True)
+    columns, y = np.unique(j, return_inverse=True)
+    table = np.zeros((len(rows), len(columns)), bool)
+    table[x, y] = True
+    lines = [int.from_bytes(b.tobytes(), "little") for b in np.packbits(table, axis=1, bitorder="little")]
+    full = (1 << len(columns)) - 1
+    states = [full]
+    for line in lines:
+        state = states[-1]
+        met = state & line
+        states.append(((state + met) | (state - met)) & full)
+    chain, r, c = [], len(rows), len(columns)
+    while r and c:
+        free = ~states[r] & ((1 << c) - 1)  # the last column at which the chain grows
+        c = free.bit_length()
+        while c and not states[r - 1] >> (c - 1) & 1:
+            r -= 1
+        if c:
+            r, c = r - 1, c - 1
+            chain.append((r, c))
+    r, c = np.array(chain[::-1], np.int64).reshape(-1, 2).T
+    return rows[r], columns[c]
 
 
 def similar_stretches(left: np.ndarray, right: np.ndarray, shift: int, least: int, similarity: float) -> list[tuple[int, int, int, int]]:
@@ -354,7 +444,7 @@ def similar_stretches(left: np.ndarray, right: np.ndarray, shift: int, least: in
     sides. Its sets of shingles are compared as well, as a shingle may occur twice.
     """
     needed = 2 * least * similarity / (1 + similarity) - 1e-9  # common places of two stretches of the least length
-    i, j = aligned(left, right, shift, needed)
+    i, j = aligned(left, right, shift, needed, least)
     if len(i) < needed:
         return []
     total = (1 + similarity) * np.arange(len(i)) - similarity * (i + j)
@@ -369,6 +459,7 @@ def similar_stretches(left: np.ndarray, right: np.ndarray, shift: int, least: in
         end = int(np.argmax(long))
         p, q = x + int(start[end]), x + end
         if long[end] + 1 < least:
+            found += _filled(left, right, i[x:y], j[x:y], least, similarity)
             continue
         one, two = set(left[i[p] : i[q] + 1].tolist()), set(right[j[p] : j[q] + 1].tolist())
         common = len(one & two)
@@ -378,6 +469,24 @@ def similar_stretches(left: np.ndarray, right: np.ndarray, shift: int, least: in
     return sorted(found)
 
 
+def _filled(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, least: int, similarity: float) -> list[tuple[int, int, int, int]]:
+    """The stretch of ``least`` shingles with the most links of a chain, if enough, that does not end on links on both sides."""
+    if min(len(left), len(right)) < least:
+        return []
+    for m in range(min(least, len(i)), 0, -1):
+        v, w = (np.maximum(n[m - 1 :] - n[: len(n) - m + 1] + 1, least) for n in (i, j))
+        if m * (1 + similarity) < 2 * least * similarity - 1e-9:
+            return []
+        for k in np.flatnonzero(m * (1 + similarity) >= similarity * (v + w) - 1e-9).tolist():
+            a, b = (max(min(int(n[k]), len(text) - least), 0) for n, text in ((i, left), (j, right)))
+            c, d = max(a + least, int(i[k + m - 1]) + 1), max(b + least, int(j[k + m - 1]) + 1)
+            one, two = set(left[a:c].tolist()), set(right[b:d].tolist())
+            common = len(one & two)
+            if common >= similarity * (len(one) + len(two) - common) - 1e-9:
+                return [(a, c, b, d)]
+    return []
+
+
 def _stretches(left: np.ndarray, right: np.ndarray, seeds: list[tuple[int, int]], least: int, similarity: float) -> list[tuple[int, int, int, int]]:
     """Similar stretches around all common places of two texts.
 
@@ -397,10 +506,26 @@ def _stretches(left: np.ndarray, right: np.ndarray, seeds: list[tuple[int, int]]
     return sorted(found)
 
 
-def verified(docs: DataFrame, seeds: DataFrame, passage: int = PASSAGE, similarity: float = SIMILARITY, enough: int = ENOUGH) -> DataFrame:
-    """``(a, b, diagonal, first_a, last_a, first_b, last_b)``: word ranges of similar passages around the seeds of a pair."""
-    pairs = seeds.groupBy("a", "b").agg(F.collect_set(F.struct("at_a", "at_b")).alias("seeds"), F.count_distinct("size").alias("_functions"))
-    pairs = stage(pairs.filter(F.col("_functions") >= enough).drop("_functions"), "pairs")
+def _hashed(distinct: set[str]) -> dict[str, np.ndarray]:
+    """Shingles of every text."""
+    names = list(distinct)
+    raws = [t.encode() for t in names]
+    out: dict[str, np.ndarray] = {}
+    for a, b in groups(raws):
+        hashes, _, number = shingles(raws[a:b])
+        out |= zip(names[a:b], np.split(hashes, np.cumsum(np.maximum(number - WIDTH + 1, 0))[:-1]), strict=True)
+    return out
+
+
+def rounded(seeds: DataFrame) -> DataFrame:
+    """Seeds moved to the middle of 32 places and of 8 shifts, so that close ones are one; AROUND and SHIFT have room for that."""
+    at = F.floor(F.col("at_a") / 32) * 32 + 16
+    return seeds.select("a", "b", at.cast("int").alias("at_a"), (at + F.floor((F.col("at_b") - F.col("at_a")) / 8) * 8 + 4).cast("int").alias("at_b"))
+
+
+def verified(docs: DataFrame, seeds: DataFrame, passage: int = PASSAGE, similarity: float = SIMILARITY) -> DataFrame:
+    """``(a, b, first_a, last_a, first_b, last_b)``: word ranges of similar passages around the seeds of a pair."""
+    pairs = stage(rounded(seeds).groupBy("a", "b").agg(F.collect_set(F.struct("at_a", "at_b")).alias("seeds")), "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("_n")).distinct()
     found = stage(docs.join(needed.hint("shuffle_hash"), docs["doc_id"] == F.col("_n"), "left_semi").distinct(), "candidates")
 
@@ -416,9 +541,10 @@ def verified(docs: DataFrame, seeds: DataFrame, passage: int = PASSAGE, similari
         names = ["a", "b", "first_a", "last_a", "first_b", "last_b"]
         for batch in batches:
             out: dict[str, list] = {n: [] for n in names}
-            known: dict[str, np.ndarray] = {}
-            for r in batch.to_pylist():
-                left, right = (known[r[c]] if r[c] in known else known.setdefault(r[c], shingles([r[c].encode()])[0]) for c in ("x", "y"))
+            each = batch.select(["a", "b", "seeds"]).to_pylist()
+            x, y = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            known = _hashed({*x, *y})
+            for r, left, right in zip(each, map(known.get, x), map(known.get, y), strict=True):
                 for first, last, to, end in _stretches(left, right, [(x["at_a"], x["at_b"]) for x in r["seeds"]], least, similarity):
                     for n, v in zip(names, (r["a"], r["b"], first, last + WIDTH - 1, to, end + WIDTH - 1), strict=True):
                         out[n].append(v)
@@ -428,31 +554,62 @@ def verified(docs: DataFrame, seeds: DataFrame, passage: int = PASSAGE, similari
     return both.select("a", "b", "seeds", "x", "y").mapInArrow(run, "a bigint, b bigint, first_a int, last_a int, first_b int, last_b int")
 
 
-def repeated_passages(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE, near: int = NEAR, similarity: float = SIMILARITY, enough: int = ENOUGH
-) -> DataFrame:
+def crossing(left: DataFrame, named: DataFrame) -> DataFrame:
+    """``(a, b, at_a, at_b)`` of all windows that can hold a common run and lie in different components.
+
+    Rows of one key and half are dealt to blocks of about BLOCK rows, each pair of blocks to a task of its own.
+    """
+    of = left.join(named, left["doc"] == F.col("node"), "left").withColumn("component", F.coalesce("component", "doc"))
+    once = of.groupBy("key", "a").agg(F.min(F.struct("doc", "at", "body", "size", "component")).alias("r")).select("key", "r.*")
+    # a common run of RUN has half of it before or after c
+    half = lambda side, bits: F.xxhash64("key", F.lit(side), F.expr(bits))
+    halves = F.array(half(0, f"shiftright(body, 32) & {(1 << RUN) - 1}"), half(1, f"body & {(1 << RUN - 2) - 1}"))
+    rows = stage(once.select(F.explode(halves).alias("g"), "doc", "at", "body", "size", "component"), "left")
+    mixed = rows.groupBy("g").agg(F.count("*").alias("_n"), F.min("component").alias("_low"), F.max("component").alias("_high"))
+    parts = mixed.filter("_low < _high").select("g", F.ceil(F.col("_n") / BLOCK).alias("_parts"))
+    dealt = rows.join(parts, "g").withColumn("x", F.pmod(F.xxhash64("doc", "at"), F.col("_parts")))
+    spread = dealt.withColumn("y", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))).drop("_parts")
+    one = spread.select("g", "x", "y", F.col("doc").alias("a"), F.col("at").alias("at_a"), F.col("component").alias("c"), F.col("body").alias("v"), F.col("size").alias("m"))
+    two = spread.select("g", F.col("y").alias("x"), F.col("x").alias("y"), F.col("doc").alias("b"), F.col("at").alias("at_b"), F.col("component").alias("d"), F.col("body").alias("w"), F.col("size").alias("n"))
+    # the lowest bit that differs, below it only ones
+    alike = lambda bits: f"bit_count(({bits} & -({bits})) - 1) DIV 2"
+    before = f"least({alike('shiftrightunsigned(v ^ w, 32)')}, {SIDE}, shiftright(m, 8), shiftright(n, 8))"
+    after = f"least({alike('((v ^ w) & 4294967295L)')}, {SIDE}, m & 255, n & 255)"
+    return rounded(one.join(two, ["g", "x", "y"]).filter(f"a < b AND c != d AND {before} + {after} + 1 >= {RUN}")).distinct()
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE, similarity: float = SIMILARITY) -> DataFrame:
     """``(doc_id, component_id, passages)`` of the documents that share a passage with another one.
 
     Every passage of ``passage`` words that is the same in two documents links them, up to case and white space; shorter
-    ones link from ``passage - STEP`` words on when a listed span holds them, none below. Passages of ``passage`` words in
-    both texts whose five-word shingles have a Jaccard similarity of ``similarity`` link when ``enough`` of ``near`` hash
-    functions bring the two documents together. component_id is the smallest doc_id reachable. ``passages`` are the word
+    ones link from ``passage - STEP`` words on when a listed span holds them, and where they make passages of ``passage``
+    words similar enough. Passages of ``passage`` words in both texts whose five-word shingles, aligned in order, have a
+    Jaccard similarity of ``similarity`` link when they share a run of RUN shingles; at 0.8 all do, whatever words are
+    inserted, deleted or replaced in them, unless an inserted phrase repeats its neighbors three times or more.
+    component_id is the smallest doc_id reachable. ``passages`` are the word
     ranges ``(first, end)`` that made the links, sorted, overlaps merged; that of an equal passage may end up to STEP
-    words short. Documents without such a passage have no row, nor
+    words short. Of similar pairs that links connect already, not all add their ranges. Documents without such a passage have no row, nor
     have rows without doc_id; rows that share a doc_id are one document with all their texts. Null, empty and short texts
     share nothing; an empty table gives an empty result. A very long text is one array of hashes in its task; comparisons
     look at no more than AROUND shingles on either side of a common one. Other columns are not read.
     """
     source = texts(docs, id_col, text_col)
-    pair = stage(oriented(paired(windows(source, passage, near), passage)), "links")
+    found = stage(paired(windows(source, passage)), "links")
+    pair = oriented(found.filter(F.col("kind") != LEFT))
     exact = stage(repeats(pair), "repeats")
-    seeds = pair.filter(F.col("kind") == CANDIDATE).select("a", "b", "size", "at_a", "at_b")
+    seeds = pair.filter(F.col("kind") == CANDIDATE).select("a", "b", "at_a", "at_b")
     inside = (F.col("at_b") - F.col("at_a") == F.col("r.diagonal")) & F.col("at_a").between(F.col("r.first_a"), F.col("r.last_a") - WIDTH)
     fresh = seeds.join(exact.alias("r").hint("shuffle_hash"), (seeds["a"] == F.col("r.a")) & (seeds["b"] == F.col("r.b")) & inside, "left_anti")
-    close = stage(verified(source, fresh, passage, similarity, enough), "near")
+    close = stage(verified(source, fresh, passage, similarity), "near")
     shifted = exact.withColumns({"first_b": F.col("first_a") + F.col("diagonal"), "last_b": F.col("last_a") + F.col("diagonal")})
     linked = shifted.drop("diagonal").unionByName(close)
     named = components(linked.select("a", "b"))
+    rest = stage(crossing(found.filter(F.col("kind") == LEFT), named), "crossing")
+    if not rest.isEmpty():
+        more = stage(verified(source, rest, passage, similarity), "more")
+        if not more.isEmpty():
+            linked = linked.unionByName(more)
+            named = components(named.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more.select("a", "b")))
     ends = F.array(*[F.struct(F.col(n).alias("d"), F.col(f"first_{n}").alias("first"), F.col(f"last_{n}").alias("end")) for n in "ab"])
     covers = linked.select(F.explode(ends).alias("s")).select("s.*").groupBy("d", "first").agg(F.max("end").alias("end"))
     line = Window.partitionBy("d").orderBy("first")

@@ -185,6 +185,34 @@ def test_edited_passage_in_very_many_documents(make, words):
     assert got == dict.fromkeys(range(700), 0)
 
 
+def test_pairs_around_a_line_that_all_documents_share(make, words):
+    """The line is in more documents than meet at once; each pair shares what follows, but for one word."""
+    line = words(26, 8)
+    rows = [(k, f"{words(40, 100 + k)} {line} own{k} {words(24, 5000 + k // 2)} {words(40, 900 + k)}") for k in range(3 * S.FULL)]
+    got = {r["doc_id"]: r["component_id"] for r in S.repeated_passages(make(rows)).collect()}
+    assert got == {k: k // 2 * 2 for k, _ in rows}
+
+
+def test_passages_that_end_on_unlike_words(make, words):
+    """45 equal words are 41 of the 51 shingles of two passages of 50 words; 44 are 40 of 52."""
+    rows = [(2 * n + k, f"{words(30, 100 + 2 * n + k)} {words(n, n)} {words(30, 900 + 2 * n + k)}") for n in (44, 45, 49) for k in (0, 1)]
+    rows += [(k, words(45, 3)) for k in (1, 2)]  # too short
+    got = {r["doc_id"]: r["component_id"] for r in S.repeated_passages(make(rows)).collect()}
+    assert {i: c for i, c in got.items() if i >= 90} == {90: 90, 91: 90, 98: 98, 99: 98}
+    assert not {1, 2} & got.keys()
+
+
+def test_chain_is_a_longest_one():
+    rng = np.random.default_rng(6)
+    for _ in range(100):
+        left, right = (rng.integers(0, int(rng.integers(2, 30)), int(rng.integers(2, 40))) for _ in "xy")
+        size = np.zeros((len(left) + 1, len(right) + 1), int)
+        for a, b in np.ndindex(len(left), len(right)):
+            size[a + 1, b + 1] = max(size[a, b + 1], size[a + 1, b], size[a, b] + (left[a] == right[b]))
+        i, j = S.aligned(left.astype(np.uint64), right.astype(np.uint64), 0)
+        assert len(i) == size[-1, -1] and np.all(left[i] == right[j]) and np.all(np.diff(i) > 0) and np.all(np.diff(j) > 0)
+
+
 def test_two_texts_of_one_document(make, words):
     one, two = words(70, 71), words(70, 72)
     rows = [(1, one), (1, two), (1, two), (2, edited(words, "insert", 71, 70)), (3, edited(words, "delete", 72, 70)), (4, words(90, 73))]
