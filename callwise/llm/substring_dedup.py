@@ -40,6 +40,8 @@ PASSAGE = 50
 STEP = 8
 #: Shingles of the shortest run that always makes two texts meet, and on how many a side two bits each are compared.
 RUN, SIDE = 16, 16
+#: The same near a shingle that is repeated, where repeats of the one before are left out.
+VARIED, FAR = 11, 31
 #: Windows of a text with equal sides that start in the same so many places count as one.
 CLOSE = 8
 #: Shingles on either side of a window's smallest one that tell whether two windows are copies.
@@ -113,6 +115,33 @@ def compact_windows(values: np.ndarray, least: int, reach: int) -> tuple[np.ndar
     return c[wide], left[wide], right[wide]
 
 
+def _varied(values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(c, l, r, place, varied, apart)`` of windows over the values that differ from the one before.
+
+    A window has RUN values, or VARIED within FAR of a repeated one. ``apart`` packs how far the next repeated values before
+    and behind each value are, FAR if there are none. ``place`` is where c was in all values; a value that is there more than
+    RUN times in a row has a window for the first and one for the last of them.
+    """
+    kept = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])) | (values == 0))
+    number = np.diff(np.append(kept, len(values)))
+    varied = values[kept]
+    repeated = (number > 1) & (varied > 0)
+
+    def since(repeated: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        n = np.arange(len(ends))
+        last = np.maximum.accumulate(np.where(repeated | ends, n, 0))
+        return np.where(repeated[last], np.minimum(n - last, FAR), FAR)
+
+    before, behind = since(repeated, varied == 0), since(repeated[::-1], varied[::-1] == 0)[::-1]
+    c, left, right = compact_windows(varied, VARIED, RUN)
+    wide = right - left + 1 >= np.where(np.minimum(before, behind)[c] < FAR, VARIED, RUN)
+    c, left, right = c[wide], left[wide], right[wide]
+    twice = np.flatnonzero(number[c] > RUN)
+    place = np.concatenate((kept[c], (kept + number - 1)[c[twice]]))
+    c, left, right = (np.concatenate((x, x[twice])) for x in (c, left, right))
+    return c, left, right, place, varied, before * 32 + behind
+
+
 def _listed(raws: list[bytes], passage: int) -> dict[str, np.ndarray]:
     """Rows of a group of texts: spans of equal passages (and whole texts), then the windows for near copies."""
     s, doc, number = shingles(raws)
@@ -147,18 +176,18 @@ def _listed(raws: list[bytes], passage: int) -> dict[str, np.ndarray]:
         code = np.uint64((1_000_003 + before) * _B % 2**64)
         key = mix(values[c[ok]] + mix(s[a] + code) + np.uint64(3) * mix(s[b] ^ code))
         add(key, body(a, b), doc[a], a - start[doc[a]], full(len(a), span + WIDTH - 1), full(len(a), 0), full(len(a), WINDOW))
-    c, left, right = compact_windows(values, RUN, RUN)
-    long = count[doc[back[c]]] >= least
-    c, left, right = c[long], left[long], right[long]
-    at = back[c]
-    text = doc[at]
+    c, left, right, place, varied, apart = _varied(values)
+    long = count[doc[back[place]]] >= least
+    c, left, right, place = c[long], left[long], right[long], place[long]
     sides = np.zeros(len(c), np.uint64)
     for k in range(SIDE):
-        for place, to in ((slot[at] + k + 1, 2 * k), (slot[at] - k - 1, 32 + 2 * k)):
-            sides |= (values[np.clip(place, 0, len(values) - 1)] & np.uint64(3)) << np.uint64(to)
+        for other, to in ((c + k + 1, 2 * k), (c - k - 1, 32 + 2 * k)):
+            sides |= (varied[np.clip(other, 0, len(varied) - 1)] & np.uint64(3)) << np.uint64(to)
+    size = apart[c] * 65536 + np.minimum(c - left, 255) * 256 + np.minimum(right - c, 255)
+    key = mix(varied[c] ^ np.uint64(7 * _B % 2**64))
+    at = back[place]
+    text = doc[at]
     near, far = np.maximum(at - BESIDE, start[text]), np.minimum(at + BESIDE, start[text] + count[text] - 1)
-    size = np.minimum(c - left, 255) * 256 + np.minimum(right - c, 255)
-    key = mix(values[c] ^ np.uint64(7 * _B % 2**64))
     around = mix(body(near, far) + (at - near).astype(np.uint64)).view(np.int64)
     add(key, sides, text, at - start[text], size, around, full(len(c), SEED))
     whole = np.flatnonzero(count >= least)
@@ -204,12 +233,12 @@ def _repeats(rows: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], dict[s
 
 
 def _meet(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether the windows of rows i and j, laid over each other at their smallest shingle, can hold a common run of RUN."""
-    left, right = rows["size"] >> 8, rows["size"] & 255
+    """Whether the windows of rows i and j, laid over each other at their smallest shingle, can hold a common run long enough."""
     unlike = (rows["body"][i] ^ rows["body"][j]).view(np.uint64)
     before, after = _alike(unlike >> np.uint64(32)), _alike(unlike & np.uint64(0xFFFFFFFF))
-    before, after = np.minimum(before, np.minimum(left[i], left[j])), np.minimum(after, np.minimum(right[i], right[j]))
-    return before + after + 1 >= RUN
+    left, right, gap, rest = (np.minimum(x[i], x[j]) for x in (rows["size"] >> 8 & 255, rows["size"] & 255, rows["size"] >> 21, rows["size"] >> 16 & 31))
+    before, after = np.minimum(before, left), np.minimum(after, right)
+    return before + after + 1 >= np.where((before >= gap) | (after >= rest), VARIED, RUN)
 
 
 def _alike(bits: np.ndarray) -> np.ndarray:
@@ -373,33 +402,45 @@ def repeats(pair: DataFrame) -> DataFrame:
     return runs.groupBy("a", "b", "diagonal", "_run").agg(F.min("first_a").alias("first_a"), F.max("last_a").alias("last_a")).drop("_run")
 
 
+def ranked(texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in order of their hashes, and where each of them is."""
+    order = np.argsort(texts, kind="stable")
+    return texts[order], order
+
+
+def _places(left: np.ndarray, ranks: tuple[np.ndarray, np.ndarray], limit: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """All places ``(i, j)`` of equal shingles, rising by i and then j; None if they are over ``limit``."""
+    values, order = ranks
+    low, high = np.searchsorted(values, left), np.searchsorted(values, left, side="right")
+    number = high - low
+    if int(number.sum()) > limit:
+        return None
+    i = np.repeat(np.arange(len(left)), number)
+    return i, order[np.arange(len(i)) - np.repeat(np.cumsum(number) - number, number) + np.repeat(low, number)]
+
+
 def aligned(left: np.ndarray, right: np.ndarray, shift: int, needed: float = 0, least: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Places ``(i, j)`` of a longest rising chain of equal shingles with ``j - i`` within SHIFT of ``shift``.
 
     Where fewer than ``needed`` places are equal, they are returned as they are; where no ``least`` places of either text
     hold nearly as many that are, none. (A stretch of a density of 0.8 or more has that in some ``least`` places, but one.)
     """
-    order = np.argsort(right, kind="stable")
-    ranked = right[order]
-    low, high = np.searchsorted(ranked, left), np.searchsorted(ranked, left, side="right")
-    number = high - low
-    shared = np.zeros(len(right), bool)
-    known = ranked[low[number > 0]]
-    known.sort()
-    if len(known):
-        shared = known[np.minimum(np.searchsorted(known, right), len(known) - 1)] == right
-    for flags in (number > 0, shared):
-        met = np.cumsum(np.concatenate(([0], flags)))
-        if least and np.max(met[least:] - met[: max(len(met) - least, 0)], initial=0) < 0.85 * needed:
-            return (np.zeros(0, np.int64),) * 2
-    i = np.repeat(np.arange(len(left)), number)
-    j = order[np.arange(len(i)) - np.repeat(np.cumsum(number) - number, number) + np.repeat(low, number)]
+    return _rising(*_places(left, ranked(right), len(left) * len(right)), shift, needed, least)
+
+
+def _rising(i: np.ndarray, j: np.ndarray, shift: int, needed: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """What ``aligned`` gives, of the places of equal shingles in order."""
     close = np.abs(j - i - shift) <= SHIFT
     i, j = i[close], j[close]
-    if len(i) < max(needed, 2) or (np.all(i[1:] > i[:-1]) and np.all(j[1:] > j[:-1])):
+    if len(i) < max(needed, 2):
+        return i, j
+    rising = bool(np.all(i[1:] > i[:-1]) and np.all(j[1:] > j[:-1]))
+    enough = max(int(np.ceil(0.85 * needed)), 1)
+    for n in (i, j) if rising else (np.unique(i), np.unique(j)):
+        if least and not np.any(n[enough - 1 :] - n[: max(len(n) - enough + 1, 0)] < least):
+            return (np.zeros(0, np.int64),) * 2
+    if rising:
         return i, j
-    order = np.lexsort((j, i))
-    i, j = i[order], j[order]
     # a place that all others lie before or behind in both texts belongs to every longest chain
     sure = np.ones(len(i), bool)
     sure[1:] &= (i[1:] > i[:-1]) & (j[1:] > np.maximum.accumulate(j)[:-1])
@@ -443,8 +484,17 @@ def similar_stretches(left: np.ndarray, right: np.ndarray, shift: int, least: in
     1 + s and each place it passes costs s; the longest part with a sum of zero or more is taken, then what is left on both
     sides. Its sets of shingles are compared as well, as a shingle may occur twice.
     """
-    needed = 2 * least * similarity / (1 + similarity) - 1e-9  # common places of two stretches of the least length
-    i, j = aligned(left, right, shift, needed, least)
+    return _parts(left, right, *aligned(left, right, shift, _needed(least, similarity), least), least, similarity)
+
+
+def _needed(least: int, similarity: float) -> float:
+    """Common places of two stretches of the least length."""
+    return 2 * least * similarity / (1 + similarity) - 1e-9
+
+
+def _parts(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, least: int, similarity: float) -> list[tuple[int, int, int, int]]:
+    """The stretches along a chain."""
+    needed = _needed(least, similarity)
     if len(i) < needed:
         return []
     total = (1 + similarity) * np.arange(len(i)) - similarity * (i + j)
@@ -461,18 +511,27 @@ def similar_stretches(left: np.ndarray, right: np.ndarray, shift: int, least: in
         if long[end] + 1 < least:
             found += _filled(left, right, i[x:y], j[x:y], least, similarity)
             continue
-        one, two = set(left[i[p] : i[q] + 1].tolist()), set(right[j[p] : j[q] + 1].tolist())
-        common = len(one & two)
-        if common >= similarity * (len(one) + len(two) - common) - 1e-9:
+        if i[q] - i[p] == j[q] - j[p] == q - p or _similar(left[i[p] : i[q] + 1], right[j[p] : j[q] + 1], similarity):
             found.append((int(i[p]), int(i[q]) + 1, int(j[p]), int(j[q]) + 1))
         open_ += [(x, p), (q + 1, y)]
     return sorted(found)
 
 
+def _similar(left: np.ndarray, right: np.ndarray, similarity: float) -> bool:
+    one, two = set(left.tolist()), set(right.tolist())
+    common = len(one & two)
+    return common >= similarity * (len(one) + len(two) - common) - 1e-9
+
+
 def _filled(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, least: int, similarity: float) -> list[tuple[int, int, int, int]]:
     """The stretch of ``least`` shingles with the most links of a chain, if enough, that does not end on links on both sides."""
     if min(len(left), len(right)) < least:
         return []
+    # m links of v and w places hold the fewest that are enough in m - fewest places less of each text, at least
+    fewest = int(np.ceil(_needed(least, similarity)))
+    most = (1 + similarity) / similarity * least - 2 * (least - fewest)
+    if len(i) < fewest or np.min(i[fewest - 1 :] - i[: len(i) - fewest + 1] + j[fewest - 1 :] - j[: len(j) - fewest + 1]) + 2 > most + 1e-6:
+        return []
     for m in range(min(least, len(i)), 0, -1):
         v, w = (np.maximum(n[m - 1 :] - n[: len(n) - m + 1] + 1, least) for n in (i, j))
         if m * (1 + similarity) < 2 * least * similarity - 1e-9:
@@ -480,28 +539,37 @@ def _filled(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, l
         for k in np.flatnonzero(m * (1 + similarity) >= similarity * (v + w) - 1e-9).tolist():
             a, b = (max(min(int(n[k]), len(text) - least), 0) for n, text in ((i, left), (j, right)))
             c, d = max(a + least, int(i[k + m - 1]) + 1), max(b + least, int(j[k + m - 1]) + 1)
-            one, two = set(left[a:c].tolist()), set(right[b:d].tolist())
-            common = len(one & two)
-            if common >= similarity * (len(one) + len(two) - common) - 1e-9:
+            if _similar(left[a:c], right[b:d], similarity):
                 return [(a, c, b, d)]
     return []
 
 
-def _stretches(left: np.ndarray, right: np.ndarray, seeds: list[tuple[int, int]], least: int, similarity: float) -> list[tuple[int, int, int, int]]:
-    """Similar stretches around all common places of two texts.
+def _stretches(
+    left: np.ndarray, right: np.ndarray, ranks: tuple[np.ndarray, np.ndarray], seeds: list[tuple[int, int]], least: int, similarity: float
+) -> list[tuple[int, int, int, int]]:
+    """Similar stretches around all common places of two texts, of which the second is ``ranked`` as well.
 
     A place less than ``AROUND / 2`` behind one that was looked at, at nearly the same shift, lies well inside its
     surroundings, and so do the shortest stretches around it; it is passed over.
     """
     found: set[tuple[int, int, int, int]] = set()
     seen: dict[int, int] = {}  # by shift, in steps of 8: the last place looked at
+    places = _places(left, ranks, 4 * (len(left) + len(right)))  # of all of both texts, unless they repeat themselves too much
     for at, to in sorted(seeds):
         step = (to - at) // 8
         if any(at - seen.get(near, -AROUND) < AROUND // 2 for near in (step - 1, step, step + 1)):
             continue
         seen[step] = at
         a, b = max(0, at - AROUND), max(0, to - AROUND)
-        for one in similar_stretches(left[a : at + AROUND], right[b : to + AROUND], to - b - at + a, least, similarity):
+        x, y, shift = left[a : at + AROUND], right[b : to + AROUND], to - b - at + a
+        if places is None:
+            chain = aligned(x, y, shift, _needed(least, similarity), least)
+        else:
+            first, last = np.searchsorted(places[0], (a, a + len(x)))
+            i, j = places[0][first:last] - a, places[1][first:last] - b
+            inside = (j >= 0) & (j < len(y))
+            chain = _rising(i[inside], j[inside], shift, _needed(least, similarity), least)
+        for one in _parts(x, y, *chain, least, similarity):
             found.add((one[0] + a, one[1] + a, one[2] + b, one[3] + b))
     return sorted(found)
 
@@ -544,8 +612,10 @@ def verified(docs: DataFrame, seeds: DataFrame, passage: int = PASSAGE, similari
             each = batch.select(["a", "b", "seeds"]).to_pylist()
             x, y = batch.column(3).to_pylist(), batch.column(4).to_pylist()
             known = _hashed({*x, *y})
-            for r, left, right in zip(each, map(known.get, x), map(known.get, y), strict=True):
-                for first, last, to, end in _stretches(left, right, [(x["at_a"], x["at_b"]) for x in r["seeds"]], least, similarity):
+            ranks = {text: ranked(known[text]) for text in {*y}}
+            for r, one, two in zip(each, x, y, strict=True):
+                seeds = [(p["at_a"], p["at_b"]) for p in r["seeds"]]
+                for first, last, to, end in _stretches(known[one], known[two], ranks[two], seeds, least, similarity):
                     for n, v in zip(names, (r["a"], r["b"], first, last + WIDTH - 1, to, end + WIDTH - 1), strict=True):
                         out[n].append(v)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
@@ -561,10 +631,12 @@ def crossing(left: DataFrame, named: DataFrame) -> DataFrame:
     """
     of = left.join(named, left["doc"] == F.col("node"), "left").withColumn("component", F.coalesce("component", "doc"))
     once = of.groupBy("key", "a").agg(F.min(F.struct("doc", "at", "body", "size", "component")).alias("r")).select("key", "r.*")
-    # a common run of RUN has half of it before or after c
-    half = lambda side, bits: F.xxhash64("key", F.lit(side), F.expr(bits))
-    halves = F.array(half(0, f"shiftright(body, 32) & {(1 << RUN) - 1}"), half(1, f"body & {(1 << RUN - 2) - 1}"))
-    rows = stage(once.select(F.explode(halves).alias("g"), "doc", "at", "body", "size", "component"), "left")
+    # of the 15 places that a common run has beside c, 12 are before or behind it or 8 and 4 on either side; near repeats, of ten places 7 or 4 and 4
+    part = lambda before, after: F.xxhash64("key", F.lit(before), F.lit(after), F.expr(f"(body >> 32) & {4**before - 1}"), F.expr(f"body & {4**after - 1}"))
+    runs, varied = F.array(part(12, 0), part(8, 4), part(4, 8), part(0, 12)), F.array(part(7, 0), part(4, 4), part(0, 7))
+    near = F.expr(f"size >> 21 < {FAR} OR (size >> 16 & 31) < {FAR}")
+    parts = F.when(near, F.concat(runs, varied)).otherwise(runs)
+    rows = stage(once.select(F.explode(parts).alias("g"), "doc", "at", "body", "size", "component"), "left")
     mixed = rows.groupBy("g").agg(F.count("*").alias("_n"), F.min("component").alias("_low"), F.max("component").alias("_high"))
     parts = mixed.filter("_low < _high").select("g", F.ceil(F.col("_n") / BLOCK).alias("_parts"))
     dealt = rows.join(parts, "g").withColumn("x", F.pmod(F.xxhash64("doc", "at"), F.col("_parts")))
@@ -573,9 +645,11 @@ def crossing(left: DataFrame, named: DataFrame) -> DataFrame:
     two = spread.select("g", F.col("y").alias("x"), F.col("x").alias("y"), F.col("doc").alias("b"), F.col("at").alias("at_b"), F.col("component").alias("d"), F.col("body").alias("w"), F.col("size").alias("n"))
     # the lowest bit that differs, below it only ones
     alike = lambda bits: f"bit_count(({bits} & -({bits})) - 1) DIV 2"
-    before = f"least({alike('shiftrightunsigned(v ^ w, 32)')}, {SIDE}, shiftright(m, 8), shiftright(n, 8))"
+    before = f"least({alike('shiftrightunsigned(v ^ w, 32)')}, {SIDE}, m >> 8 & 255, n >> 8 & 255)"
     after = f"least({alike('((v ^ w) & 4294967295L)')}, {SIDE}, m & 255, n & 255)"
-    return rounded(one.join(two, ["g", "x", "y"]).filter(f"a < b AND c != d AND {before} + {after} + 1 >= {RUN}")).distinct()
+    needed = f"IF(before >= least(m >> 21, n >> 21) OR after >= least(m >> 16 & 31, n >> 16 & 31), {VARIED}, {RUN})"
+    met = one.join(two, ["g", "x", "y"]).filter("a < b AND c != d").selectExpr("a", "b", "at_a", "at_b", "m", "n", f"{before} AS before", f"{after} AS after")
+    return rounded(met.filter(f"before + after + 1 >= {needed}")).distinct()
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE, similarity: float = SIMILARITY) -> DataFrame:
