@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
-from callwise.llm.common import components, join_groups, texts
+from callwise.llm.common import components, texts as plain_texts
 from callwise.llm.words import groups, mix, scan, VISIBLE, word_hashes
 from callwise.sources.staging import stage
 
@@ -47,7 +47,7 @@ CLOSE = 8
 #: Shingles on either side of a window's smallest one that tell whether two windows are copies.
 BESIDE = 128
 SIMILARITY = 0.8
-FREQUENT, PARTS, FULL, BLOCK = 256, 64, 48, 1024
+FREQUENT, PARTS, FULL, BLOCK, CELL = 256, 64, 48, 4096, 1024
 #: Shingles on either side of a common one that are aligned at once, and the most that they may be shifted. The next place
 #: to be aligned is half as far away, so that the shortest stretches around all places between lie inside.
 AROUND, SHIFT = 256, 48
@@ -574,15 +574,11 @@ def _stretches(
     return sorted(found)
 
 
-def _hashed(distinct: set[str]) -> dict[str, np.ndarray]:
+def _hashed(raws: list[bytes]) -> Iterator[np.ndarray]:
     """Shingles of every text."""
-    names = list(distinct)
-    raws = [t.encode() for t in names]
-    out: dict[str, np.ndarray] = {}
     for a, b in groups(raws):
         hashes, _, number = shingles(raws[a:b])
-        out |= zip(names[a:b], np.split(hashes, np.cumsum(np.maximum(number - WIDTH + 1, 0))[:-1]), strict=True)
-    return out
+        yield from np.split(hashes, np.cumsum(np.maximum(number - WIDTH + 1, 0))[:-1])
 
 
 def rounded(seeds: DataFrame) -> DataFrame:
@@ -592,36 +588,53 @@ def rounded(seeds: DataFrame) -> DataFrame:
 
 
 def verified(docs: DataFrame, seeds: DataFrame, passage: int = PASSAGE, similarity: float = SIMILARITY) -> DataFrame:
-    """``(a, b, first_a, last_a, first_b, last_b)``: word ranges of similar passages around the seeds of a pair."""
-    pairs = stage(rounded(seeds).groupBy("a", "b").agg(F.collect_set(F.struct("at_a", "at_b")).alias("seeds")), "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("_n")).distinct()
-    found = stage(docs.join(needed.hint("shuffle_hash"), docs["doc_id"] == F.col("_n"), "left_semi").distinct(), "candidates")
-
-    def beside(rows: DataFrame, side: str, name: str) -> DataFrame:
-        number = rows.groupBy(F.col(side).alias("doc_id")).agg(F.count("*").alias("_members"))
-        text = found.join(number, "doc_id").select(F.col("doc_id").alias(side), F.col("text").alias(name), "_members")
-        return join_groups(rows, text, [side], "_members", "b" if side == "a" else "a").drop("_members")
+    """``(a, b, first_a, last_a, first_b, last_b)``: word ranges of similar passages around the seeds of a pair.
 
-    both = beside(beside(pairs, "a", "x"), "b", "y")
+    Both sides are dealt to parts by their hash, so that a cell of two parts has about CELL pairs; a text goes to a cell once,
+    however many pairs it has there.
+    """
+    pairs = stage(rounded(seeds).groupBy("a", "b").agg(F.collect_set(F.struct("at_a", "at_b")).alias("seeds")), "pairs")
+    parts = int(np.ceil(np.sqrt(max(pairs.count(), 1) / CELL)))
+    side = lambda name: F.pmod(F.xxhash64(name), F.lit(parts)).cast("int")
+    cell = (side("a") * parts + side("b")).alias("cell")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("_n"), cell).distinct()
+    texts = docs.join(needed.hint("shuffle_hash"), docs["doc_id"] == F.col("_n")).select("cell", "doc_id", "text", F.xxhash64("text").alias("order"))
+    nothing = F.lit(None)
+    texts = texts.select("cell", F.col("doc_id").alias("a"), nothing.cast("bigint").alias("b"), "order", "text", nothing.cast(pairs.schema["seeds"].dataType).alias("seeds"))
+    both = texts.unionByName(pairs.select(cell, "a", "b", F.lit(0).cast("bigint").alias("order"), nothing.cast("string").alias("text"), "seeds"))
     least = passage - WIDTH + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b", "first_a", "last_a", "first_b", "last_b"]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+        now, known, ranks = None, {}, {}
         for batch in batches:
             out: dict[str, list] = {n: [] for n in names}
-            each = batch.select(["a", "b", "seeds"]).to_pylist()
-            x, y = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            known = _hashed({*x, *y})
-            ranks = {text: ranked(known[text]) for text in {*y}}
-            for r, one, two in zip(each, x, y, strict=True):
-                seeds = [(p["at_a"], p["at_b"]) for p in r["seeds"]]
-                for first, last, to, end in _stretches(known[one], known[two], ranks[two], seeds, least, similarity):
-                    for n, v in zip(names, (r["a"], r["b"], first, last + WIDTH - 1, to, end + WIDTH - 1), strict=True):
-                        out[n].append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+            cells, ones, twos = (batch.column(k).to_pylist() for k in range(3))
+            raws, places = batch.column(3).cast(pa.binary()).to_pylist(), batch.column(4)
+            hashed = iter(_hashed([r for r in raws if r is not None]))
+            for k, (at, a, b, raw) in enumerate(zip(cells, ones, twos, raws, strict=True)):
+                if at != now:
+                    now, known, ranks = at, {}, {}
+                if b is None:  # a text; those of the cell come before its pairs
+                    if raw not in (held := known.setdefault(a, {})):
+                        held[raw] = next(hashed)
+                    else:
+                        next(hashed)
+                    continue
+                for to in known[b]:
+                    if (b, to) not in ranks:
+                        ranks[b, to] = ranked(known[b][to])
+                seeds = [(p["at_a"], p["at_b"]) for p in places[k].as_py()]
+                for left in known[a].values():
+                    for to, right in known[b].items():
+                        for first, last, start, end in _stretches(left, right, ranks[b, to], seeds, least, similarity):
+                            for n, v in zip(names, (a, b, first, last + WIDTH - 1, start, end + WIDTH - 1), strict=True):
+                                out[n].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[n], k) for n, k in zip(names, kinds, strict=True)], names)
 
-    return both.select("a", "b", "seeds", "x", "y").mapInArrow(run, "a bigint, b bigint, first_a int, last_a int, first_b int, last_b int")
+    dealt = both.repartition("cell").sortWithinPartitions("cell", F.col("b").asc_nulls_first(), "a", "order")
+    return dealt.select("cell", "a", "b", "text", "seeds").mapInArrow(run, "a bigint, b bigint, first_a int, last_a int, first_b int, last_b int")
 
 
 def crossing(left: DataFrame, named: DataFrame) -> DataFrame:
@@ -667,7 +680,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     share nothing; an empty table gives an empty result. A very long text is one array of hashes in its task; comparisons
     look at no more than AROUND shingles on either side of a common one. Other columns are not read.
     """
-    source = texts(docs, id_col, text_col)
+    source = plain_texts(docs, id_col, text_col)
     found = stage(paired(windows(source, passage)), "links")
     pair = oriented(found.filter(F.col("kind") != LEFT))
     exact = stage(repeats(pair), "repeats")

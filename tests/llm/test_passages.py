@@ -193,6 +193,26 @@ def test_pairs_around_a_line_that_all_documents_share(make, words):
     assert got == {k: k // 2 * 2 for k, _ in rows}
 
 
+def test_texts_that_repeat_one_word_do_not_all_meet(make, words):
+    """A word that stands 25 times in a row makes no passage; its documents are not compared in pairs."""
+    docs = make([(k, f"{words(40, 100 + k)} {'the ' * 25}{words(40, 900 + k)}") for k in range(2 * S.FULL)])
+    rows = S.paired(S.windows(docs)).filter(S.F.col("kind") != S.REPEAT).cache()
+    none = docs.sparkSession.createDataFrame([], "node bigint, component bigint")
+    assert rows.filter(S.F.col("kind") == S.CANDIDATE).count() == 0
+    assert S.crossing(rows.filter(S.F.col("kind") == S.LEFT), none).count() == 0
+
+
+def test_passages_around_a_repeated_word(make, words):
+    """A word put into or taken out of what repeats; few shingles are unlike, the longest varied run has 15."""
+    rows = []
+    for n, (x, y) in enumerate(((14, 14), (8, 20), (20, 8))):
+        one, two = words(x, 10 + n), words(y, 20 + n)
+        for k, between in enumerate(("the " * 30, "the " * 13 + "brandnew " + "the " * 16, "the " * 26)):
+            rows.append((10 * n + k, f"{words(30, 300 + 10 * n + k)} {one} {between}{two} {words(30, 600 + 10 * n + k)}"))
+    got = {r["doc_id"]: r["component_id"] for r in S.repeated_passages(make(rows)).collect()}
+    assert got == {i: i // 10 * 10 for i, _ in rows}
+
+
 def test_passages_that_end_on_unlike_words(make, words):
     """45 equal words are 41 of the 51 shingles of two passages of 50 words; 44 are 40 of 52."""
     rows = [(2 * n + k, f"{words(30, 100 + 2 * n + k)} {words(n, n)} {words(30, 900 + 2 * n + k)}") for n in (44, 45, 49) for k in (0, 1)]
