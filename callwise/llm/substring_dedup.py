@@ -13,7 +13,12 @@ Near copies: shorter windows, of RUN shingles and more, are joined by smallest s
 over each other at c, and two bits of each shingle on both sides agree so far that a run of RUN can be common. Two texts that share a run of RUN shingles always meet so,
 as the smallest of the run is the same in both. An edit between words costs nine shingles of both texts together, so stretches
 of ``passage`` words with a Jaccard similarity of 0.8 share a run of 21 at least; they share RUN or more where a repeated word
-or phrase was inserted. Words may be inserted, deleted or replaced on either side of c. Pairs are verified around each such
+or phrase was inserted. Words may be inserted, deleted or replaced on either side of c.
+
+A shingle that repeats the one before is left out of these windows, as many repeats add one shingle to a set. Where a common
+run holds a repeated one, VARIED shingles are enough: an edit between repeats adds five shingles that are not common, so twenty
+are, and one side of it has ten and the repeated one. Without an edit two texts differ in the numbers of repeats alone;
+they meet where two shingles and more fill the places that a similar stretch has in common. Pairs are verified around each such
 place: the shingles of both are aligned in order, and stretches of ``passage`` words in both texts whose sets of shingles have
 a Jaccard similarity of 0.8 are kept.
 
@@ -41,7 +46,7 @@ STEP = 8
 #: Shingles of the shortest run that always makes two texts meet, and on how many a side two bits each are compared.
 RUN, SIDE = 16, 16
 #: The same near a shingle that is repeated, where repeats of the one before are left out.
-VARIED, FAR = 11, 31
+VARIED, FAR, NONE = 11, 31, 15
 #: Windows of a text with equal sides that start in the same so many places count as one.
 CLOSE = 8
 #: Shingles on either side of a window's smallest one that tell whether two windows are copies.
@@ -115,11 +120,12 @@ def compact_windows(values: np.ndarray, least: int, reach: int) -> tuple[np.ndar
     return c[wide], left[wide], right[wide]
 
 
-def _varied(values: np.ndarray) -> tuple[np.ndarray, ...]:
+def _varied(values: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
     """``(c, l, r, place, varied, apart)`` of windows over the values that differ from the one before.
 
-    A window has RUN values, or VARIED within FAR of a repeated one. ``apart`` packs how far the next repeated values before
-    and behind each value are, FAR if there are none. ``place`` is where c was in all values; a value that is there more than
+    A window has RUN values, or VARIED within FAR of a repeated one, or two and more that fill the places of a similar stretch
+    of ``least`` with their repeats. ``apart`` packs how many more than c are needed for the latter, NONE if they are not
+    there, and how far the next repeated values before and behind each value are, FAR if there are none. ``place`` is where c was in all values; a value that is there more than
     RUN times in a row has a window for the first and one for the last of them.
     """
     kept = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])) | (values == 0))
@@ -136,10 +142,24 @@ def _varied(values: np.ndarray) -> tuple[np.ndarray, ...]:
     c, left, right = compact_windows(varied, VARIED, RUN)
     wide = right - left + 1 >= np.where(np.minimum(before, behind)[c] < FAR, VARIED, RUN)
     c, left, right = c[wide], left[wide], right[wide]
+    more = np.full(len(kept), NONE)
+    total = np.concatenate(([0], np.cumsum(np.where(varied > 0, number, 0))))
+    places = int(np.ceil(_needed(least, SIMILARITY)))
+    filled = np.flatnonzero(total[VARIED:] - total[: max(len(total) - VARIED, 0)] >= places)
+    if len(filled):
+        inside = np.cumsum(np.bincount(filled, minlength=len(kept) + 1) - np.bincount(filled + VARIED, minlength=len(kept) + 1))[: len(kept)] > 0
+        x, first, last = compact_windows(np.where(inside, varied, np.uint64(0)), 2, RUN)
+        for beside in range(VARIED - 1, 0, -1):
+            for before_c in range(beside + 1):
+                a, b = x - before_c, x - before_c + beside
+                enough = (a >= first) & (b <= last) & (total[np.minimum(b + 1, len(kept))] - total[np.maximum(a, 0)] >= places)
+                more[x[enough]] = beside
+        new = (more[x] < NONE) & ~np.isin(x, c)
+        c, left, right = (np.concatenate(y) for y in ((c, x[new]), (left, first[new]), (right, last[new])))
     twice = np.flatnonzero(number[c] > RUN)
     place = np.concatenate((kept[c], (kept + number - 1)[c[twice]]))
     c, left, right = (np.concatenate((x, x[twice])) for x in (c, left, right))
-    return c, left, right, place, varied, before * 32 + behind
+    return c, left, right, place, varied, more * 1024 + before * 32 + behind
 
 
 def _listed(raws: list[bytes], passage: int) -> dict[str, np.ndarray]:
@@ -176,7 +196,7 @@ def _listed(raws: list[bytes], passage: int) -> dict[str, np.ndarray]:
         code = np.uint64((1_000_003 + before) * _B % 2**64)
         key = mix(values[c[ok]] + mix(s[a] + code) + np.uint64(3) * mix(s[b] ^ code))
         add(key, body(a, b), doc[a], a - start[doc[a]], full(len(a), span + WIDTH - 1), full(len(a), 0), full(len(a), WINDOW))
-    c, left, right, place, varied, apart = _varied(values)
+    c, left, right, place, varied, apart = _varied(values, least)
     long = count[doc[back[place]]] >= least
     c, left, right, place = c[long], left[long], right[long], place[long]
     sides = np.zeros(len(c), np.uint64)
@@ -236,9 +256,10 @@ def _meet(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarr
     """Whether the windows of rows i and j, laid over each other at their smallest shingle, can hold a common run long enough."""
     unlike = (rows["body"][i] ^ rows["body"][j]).view(np.uint64)
     before, after = _alike(unlike >> np.uint64(32)), _alike(unlike & np.uint64(0xFFFFFFFF))
-    left, right, gap, rest = (np.minimum(x[i], x[j]) for x in (rows["size"] >> 8 & 255, rows["size"] & 255, rows["size"] >> 21, rows["size"] >> 16 & 31))
+    left, right, gap, rest = (np.minimum(x[i], x[j]) for x in (rows["size"] >> 8 & 255, rows["size"] & 255, rows["size"] >> 21 & 31, rows["size"] >> 16 & 31))
+    more = np.maximum(rows["size"][i] >> 26, rows["size"][j] >> 26)
     before, after = np.minimum(before, left), np.minimum(after, right)
-    return before + after + 1 >= np.where((before >= gap) | (after >= rest), VARIED, RUN)
+    return (before + after + 1 >= np.where((before >= gap) | (after >= rest), VARIED, RUN)) | (before + after >= more)
 
 
 def _alike(bits: np.ndarray) -> np.ndarray:
@@ -647,8 +668,11 @@ def crossing(left: DataFrame, named: DataFrame) -> DataFrame:
     # of the 15 places that a common run has beside c, 12 are before or behind it or 8 and 4 on either side; near repeats, of ten places 7 or 4 and 4
     part = lambda before, after: F.xxhash64("key", F.lit(before), F.lit(after), F.expr(f"(body >> 32) & {4**before - 1}"), F.expr(f"body & {4**after - 1}"))
     runs, varied = F.array(part(12, 0), part(8, 4), part(4, 8), part(0, 12)), F.array(part(7, 0), part(4, 4), part(0, 7))
-    near = F.expr(f"size >> 21 < {FAR} OR (size >> 16 & 31) < {FAR}")
-    parts = F.when(near, F.concat(runs, varied)).otherwise(runs)
+    near = F.expr(f"(size >> 21 & 31) < {FAR} OR (size >> 16 & 31) < {FAR}")
+    some, few = F.array(part(3, 0), part(0, 3)), F.array(part(1, 0), part(0, 1))  # of five and more places, and of fewer
+    none = F.array().cast("array<bigint>")
+    choice = lambda test, keys: F.when(test, keys).otherwise(none)
+    parts = F.concat(runs, choice(near, varied), choice(F.expr(f"size >> 26 < {NONE}"), some), choice(F.expr("size >> 26 < 5"), few))
     rows = stage(once.select(F.explode(parts).alias("g"), "doc", "at", "body", "size", "component"), "left")
     mixed = rows.groupBy("g").agg(F.count("*").alias("_n"), F.min("component").alias("_low"), F.max("component").alias("_high"))
     parts = mixed.filter("_low < _high").select("g", F.ceil(F.col("_n") / BLOCK).alias("_parts"))
@@ -660,9 +684,9 @@ def crossing(left: DataFrame, named: DataFrame) -> DataFrame:
     alike = lambda bits: f"bit_count(({bits} & -({bits})) - 1) DIV 2"
     before = f"least({alike('shiftrightunsigned(v ^ w, 32)')}, {SIDE}, m >> 8 & 255, n >> 8 & 255)"
     after = f"least({alike('((v ^ w) & 4294967295L)')}, {SIDE}, m & 255, n & 255)"
-    needed = f"IF(before >= least(m >> 21, n >> 21) OR after >= least(m >> 16 & 31, n >> 16 & 31), {VARIED}, {RUN})"
+    needed = f"IF(before >= least(m >> 21 & 31, n >> 21 & 31) OR after >= least(m >> 16 & 31, n >> 16 & 31), {VARIED}, {RUN})"
     met = one.join(two, ["g", "x", "y"]).filter("a < b AND c != d").selectExpr("a", "b", "at_a", "at_b", "m", "n", f"{before} AS before", f"{after} AS after")
-    return rounded(met.filter(f"before + after + 1 >= {needed}")).distinct()
+    return rounded(met.filter(f"before + after + 1 >= {needed} OR before + after >= greatest(m >> 26, n >> 26)")).distinct()
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE, similarity: float = SIMILARITY) -> DataFrame:

@@ -213,6 +213,13 @@ def test_passages_around_a_repeated_word(make, words):
     assert got == {i: i // 10 * 10 for i, _ in rows}
 
 
+def test_passages_of_two_repeated_words(make, words):
+    """Few shingles, each repeated another number of times; the first word is in more documents than meet at once."""
+    rows = [(k, f"{words(30, 100 + k)} {'the ' * (30 - k % 2 * 4)}{f'own{k // 2} ' * (25 + k % 2 * 4)}{words(30, 900 + k)}") for k in range(3 * S.FULL)]
+    got = {r["doc_id"]: r["component_id"] for r in S.repeated_passages(make(rows)).collect()}
+    assert got == {k: k // 2 * 2 for k, _ in rows}
+
+
 def test_passages_that_end_on_unlike_words(make, words):
     """45 equal words are 41 of the 51 shingles of two passages of 50 words; 44 are 40 of 52."""
     rows = [(2 * n + k, f"{words(30, 100 + 2 * n + k)} {words(n, n)} {words(30, 900 + 2 * n + k)}") for n in (44, 45, 49) for k in (0, 1)]
